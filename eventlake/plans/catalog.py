@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 
 from eventlake.functions.time import epoch_ms
 from eventlake.operators import aggregates as agg
+from eventlake.operators import encode as enc
+from eventlake.operators import panes
 from eventlake.operators.dedup import dedup_by_id, dedup_key
-from eventlake.operators.parse import assign_event_time, route_counts
+from eventlake.operators.parse import assign_event_time, route_counts, split_routes
 from eventlake.operators.wordcount import count_words
 from eventlake.plans import fixtures as fx
+from eventlake.schemas import DETAIL, WAREHOUSE
 from eventlake.sources.tables import load_table
 
 S = fx.FIXTURE
@@ -74,6 +77,72 @@ def q_assign_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("message_id", "event_time_ms")
 
 
+
+def _detail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enc.csv_line(enc.detail_rows(fx.enriched(spark, sf_dir), S), delimiter=S.csv_delimiter)
+
+
+def q_typed_by_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = enc.typed_by_schema(_detail_lines(spark, sf_dir), DETAIL, "line", S.csv_delimiter)
+    return t.select(*DETAIL.fieldNames(), "error")
+
+
+def q_typed_warehouse_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = enc.warehouse_row(_detail_lines(spark, sf_dir), "line", S.csv_delimiter, S.truncate_seconds)
+    return w.select(*WAREHOUSE.fieldNames(), F.col("event_date").cast("string").alias("event_date"))
+
+
+def q_warehouse_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = enc.warehouse_row(_detail_lines(spark, sf_dir), "line", S.csv_delimiter, S.truncate_seconds)
+    return (w.groupBy(F.col("event_date").cast("string").alias("event_date"))
+            .agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+def q_json_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enc.json_document(fx.enriched(spark, sf_dir)).select("message_id", "doc", "n_bytes")
+
+
+def q_windowed_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dead letters per error-file path: default trigger, so one final
+    on-time pane per window and one shard."""
+    _, dead = split_routes(fx.parsed(spark, sf_dir, faulty=True))
+    w = agg.window_stats(dead.withColumn("_v", F.lit(0)), S, keys=(), value="_v")
+    w = (w.withColumn("pane_idx", F.lit(0)).withColumn("is_last", F.lit(True))
+          .withColumn("timing", F.lit("ON_TIME")))
+    return enc.windowed_path(w, S, output_dir=S.err_output_dir).select(
+        "path", F.col("num_records").alias("n_rows"))
+
+
+def q_lateness_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return panes.lateness_audit(fx.enriched(spark, sf_dir), S)
+
+
+_PANE_COLS = ["dim1", "win_start_ms", "win_end_ms", "b", "process_ts", "timing", "pane_idx",
+              "pane_nonspeculative_idx", "is_first", "is_last", "num_records", "sum", "max",
+              "min", "avg"]
+
+
+def q_pane_replay_discarding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return panes.pane_replay_discarding(fx.enriched(spark, sf_dir), S).select(*_PANE_COLS)
+
+
+def q_pane_replay_accumulating(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return panes.pane_replay_accumulating(fx.enriched(spark, sf_dir), S).select(*_PANE_COLS)
+
+
+def q_tall_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enc.tall_encode(panes.pane_replay_accumulating(fx.enriched(spark, sf_dir), S))
+
+
+def q_wide_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enc.wide_encode(panes.pane_replay_discarding(fx.enriched(spark, sf_dir), S))
+
+
+def q_read_wide_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells = enc.wide_encode(panes.pane_replay_discarding(fx.enriched(spark, sf_dir), S))
+    return enc.read_wide_total(enc.wide_rows(cells))
+
+
 QUERIES = {
     "parse_csv_messages": q_parse_csv_messages,
     "route_dead_letter": q_route_dead_letter,
@@ -85,6 +154,17 @@ QUERIES = {
     "latest_globally": q_latest_globally,
     "count_per_element": q_count_per_element,
     "assign_event_time": q_assign_event_time,
+    "typed_by_schema": q_typed_by_schema,
+    "typed_warehouse_row": q_typed_warehouse_row,
+    "warehouse_daily": q_warehouse_daily,
+    "json_document": q_json_document,
+    "windowed_path": q_windowed_path,
+    "lateness_audit": q_lateness_audit,
+    "pane_replay_discarding": q_pane_replay_discarding,
+    "pane_replay_accumulating": q_pane_replay_accumulating,
+    "tall_encode": q_tall_encode,
+    "wide_encode": q_wide_encode,
+    "read_wide_total": q_read_wide_total,
 }
 
 

@@ -105,3 +105,187 @@ SELECT message_id,
        CASE WHEN event_id % 50 IN (33, 41) THEN arrival_ms ELSE event_ts END AS event_time_ms
 FROM msg""",
 }
+
+
+def _iso(ms: str) -> str:
+    return f"strftime(make_timestamp(({ms}) * 1000), '%Y-%m-%dT%H:%M:%S.%gZ')"
+
+
+def _win_str(start: str, end: str) -> str:
+    return f"'[' || {_iso(start)} || '..' || {_iso(end)} || ')'"
+
+
+def _ts_s(ms: str) -> str:
+    return f"make_timestamp((({ms}) // 1000) * 1000000)"
+
+
+DETAIL_SQL = f"""
+detail AS (
+  SELECT event_ts, thread_id, thread_name, seq, dim1, metrics1, process_ts, dim1_val,
+         {_win_str(f"(event_ts // {W6H}) * {W6H}", f"(event_ts // {W6H}) * {W6H} + {W6H}")} AS "window",
+         'PaneInfo.NO_FIRING' AS pane_info, CAST(0 AS BIGINT) AS pane_idx,
+         CAST(0 AS BIGINT) AS pane_nonspeculative_idx, true AS is_first, true AS is_last,
+         'UNKNOWN' AS pane_timing, event_ts AS pane_event_ts
+  FROM enr
+)"""
+
+E30M = 1800000
+L30M = 1800000
+LMAX = 9223372036854775807
+
+PANES_SQL = f"""
+bm AS (SELECT arrival_ms // {E30M} AS b, max(event_ts) AS bmax FROM enr GROUP BY 1),
+wm AS (
+  SELECT b,
+         max(bmax) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS wm_before,
+         CASE WHEN b = max(b) OVER () THEN {LMAX}
+              ELSE max(bmax) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS wm_after
+  FROM bm),
+r AS (
+  SELECT enr.*, (event_ts // {W6H}) * {W6H} AS win_start_ms, (event_ts // {W6H}) * {W6H} + {W6H} AS win_end_ms,
+         arrival_ms // {E30M} AS b
+  FROM enr),
+t AS (
+  SELECT r.*, CASE WHEN wm.wm_before >= r.win_end_ms + {L30M} THEN 'DROPPED'
+                   WHEN wm.wm_before >= r.win_end_ms THEN 'LATE'
+                   WHEN wm.wm_after >= r.win_end_ms THEN 'ON_TIME'
+                   ELSE 'EARLY' END AS timing
+  FROM r JOIN wm USING (b)),
+pp AS (
+  SELECT dim1, win_start_ms, win_end_ms, b, timing, count(*) AS n, CAST(sum(metrics1) AS BIGINT) AS s,
+         min(metrics1) AS mn, max(metrics1) AS mx
+  FROM t WHERE timing <> 'DROPPED' GROUP BY ALL),
+panes AS (
+  SELECT pp.*, (b + 1) * {E30M} AS process_ts,
+         CAST(row_number() OVER w - 1 AS BIGINT) AS pane_idx,
+         CAST(CASE WHEN timing = 'EARLY' THEN -1
+              ELSE sum(CASE WHEN timing <> 'EARLY' THEN 1 ELSE 0 END)
+                   OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - 1 END AS BIGINT)
+           AS pane_nonspeculative_idx,
+         row_number() OVER w = 1 AS is_first,
+         b = max(b) OVER (PARTITION BY dim1, win_start_ms) AS is_last,
+         sum(n) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS acc_n,
+         CAST(sum(s) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS acc_s,
+         min(mn) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS acc_mn,
+         max(mx) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS acc_mx
+  FROM pp WINDOW w AS (PARTITION BY dim1, win_start_ms ORDER BY b))"""
+
+
+def _favg(s: str, n: str) -> str:
+    return f"CAST(CAST({s} AS FLOAT) / CAST({n} AS FLOAT) AS FLOAT)"
+
+
+def _pane_text() -> str:
+    return ("'PaneInfo{' || CASE WHEN is_first THEN 'isFirst=true, ' ELSE '' END"
+            " || CASE WHEN is_last THEN 'isLast=true, ' ELSE '' END"
+            " || 'timing=' || timing || ', index=' || CAST(pane_idx AS VARCHAR)"
+            " || CASE WHEN pane_nonspeculative_idx <> -1 THEN ', onTimeIndex='"
+            " || CAST(pane_nonspeculative_idx AS VARCHAR) ELSE '' END || '}'")
+
+
+_PANE_SELECT = ("dim1, win_start_ms, win_end_ms, b, process_ts, timing, pane_idx, "
+                "pane_nonspeculative_idx, is_first, is_last")
+
+ORACLE.update({
+    "typed_by_schema": f"""
+WITH {ENR.strip()},
+{DETAIL_SQL.strip()}
+SELECT *, CAST(NULL AS VARCHAR) AS error FROM detail""",
+
+    "typed_warehouse_row": f"""
+WITH {ENR.strip()},
+{DETAIL_SQL.strip()}
+SELECT {_ts_s('event_ts')} AS event_ts, thread_id, thread_name, seq, dim1, metrics1,
+       {_ts_s('process_ts')} AS process_ts, dim1_val, "window", pane_info, pane_idx,
+       pane_nonspeculative_idx, is_first, is_last, pane_timing,
+       {_ts_s('pane_event_ts')} AS pane_event_ts,
+       CAST(CAST({_ts_s('event_ts')} AS DATE) AS VARCHAR) AS event_date
+FROM detail""",
+
+    "warehouse_daily": f"""
+WITH {MSG.strip()}
+SELECT CAST(CAST({_ts_s('event_ts')} AS DATE) AS VARCHAR) AS event_date, count(*) AS n_rows
+FROM msg GROUP BY 1""",
+
+    "json_document": f"""
+WITH {ENR.strip()}
+SELECT message_id,
+       CAST(json_object('@timestamp', event_ts, 'thread_id', thread_id, 'thread_name', thread_name,
+                        'seq', CAST(seq AS BIGINT), 'dim1', dim1, 'metrics1', CAST(metrics1 AS BIGINT),
+                        'process_ts', process_ts, 'dim1_val', dim1_val) AS VARCHAR) AS doc,
+       octet_length(encode(CAST(json_object('@timestamp', event_ts, 'thread_id', thread_id,
+                        'thread_name', thread_name, 'seq', CAST(seq AS BIGINT), 'dim1', dim1,
+                        'metrics1', CAST(metrics1 AS BIGINT), 'process_ts', process_ts,
+                        'dim1_val', dim1_val) AS VARCHAR))) AS n_bytes
+FROM enr""",
+
+    "windowed_path": f"""
+WITH {MSG.strip()},
+w AS (SELECT (event_ts // {W6H}) * {W6H} AS s, (event_ts // {W6H}) * {W6H} + {W6H} AS e, count(*) AS n_rows
+      FROM msg WHERE event_id % 50 IN (0, 7, 17, 33, 41) GROUP BY 1, 2)
+SELECT 'err/' || strftime(make_timestamp(e * 1000), '%Y/%m/%d/%H') || '/bindiego'
+       || {_iso('s')} || '-' || {_iso('e')} || '-pane-0-last-00-of-01.csv' AS path,
+       n_rows
+FROM w""",
+
+    "lateness_audit": f"""
+WITH {ENR.strip()},
+{PANES_SQL.strip()}
+SELECT win_start_ms, win_end_ms, timing, count(*) AS n_rows FROM t GROUP BY 1, 2, 3""",
+
+    "pane_replay_discarding": f"""
+WITH {ENR.strip()},
+{PANES_SQL.strip()}
+SELECT {_PANE_SELECT}, n AS num_records, s AS sum, mx AS max, mn AS min, {_favg('s', 'n')} AS avg
+FROM panes""",
+
+    "pane_replay_accumulating": f"""
+WITH {ENR.strip()},
+{PANES_SQL.strip()}
+SELECT {_PANE_SELECT}, acc_n AS num_records, acc_s AS sum, acc_mx AS max, acc_mn AS min,
+       {_favg('acc_s', 'acc_n')} AS avg
+FROM panes""",
+
+    "tall_encode": f"""
+WITH {ENR.strip()},
+{PANES_SQL.strip()},
+k AS (SELECT *, dim1 || '#' || CAST({LMAX} - process_ts AS VARCHAR) || '#' || CAST(win_start_ms AS VARCHAR)
+               AS row_key FROM panes)
+SELECT row_key, family, qualifier, process_ts AS cell_ts, value FROM (
+  SELECT row_key, process_ts, 'stats' AS family, 'num_records' AS qualifier, CAST(acc_n AS VARCHAR) AS value FROM k
+  UNION ALL SELECT row_key, process_ts, 'stats', 'sum', CAST(acc_s AS VARCHAR) FROM k
+  UNION ALL SELECT row_key, process_ts, 'stats', 'max', CAST(acc_mx AS VARCHAR) FROM k
+  UNION ALL SELECT row_key, process_ts, 'stats', 'min', CAST(acc_mn AS VARCHAR) FROM k
+  UNION ALL SELECT row_key, process_ts, 'stats', 'avg', CAST({_favg('acc_s', 'acc_n')} AS VARCHAR) FROM k
+  UNION ALL SELECT row_key, process_ts, 'window_info', 'window', {_win_str('win_start_ms', 'win_end_ms')} FROM k
+  UNION ALL SELECT row_key, process_ts, 'window_info', 'pane', {_pane_text()} FROM k
+  UNION ALL SELECT row_key, process_ts, 'window_info', 'pane_idx', CAST(pane_idx AS VARCHAR) FROM k
+  UNION ALL SELECT row_key, process_ts, 'window_info', 'pane_nonspeculative_idx',
+                   CAST(pane_nonspeculative_idx AS VARCHAR) FROM k
+  UNION ALL SELECT row_key, process_ts, 'window_info', 'is_first', CAST(is_first AS VARCHAR) FROM k
+  UNION ALL SELECT row_key, process_ts, 'window_info', 'is_last', CAST(is_last AS VARCHAR) FROM k
+  UNION ALL SELECT row_key, process_ts, 'window_info', 'timing', timing FROM k
+  UNION ALL SELECT row_key, process_ts, 'window_info', 'win_start_ts', CAST(win_start_ms AS VARCHAR) FROM k
+  UNION ALL SELECT row_key, process_ts, 'window_info', 'win_end_ts', CAST(win_end_ms AS VARCHAR) FROM k
+) c""",
+
+    "wide_encode": f"""
+WITH {ENR.strip()},
+{PANES_SQL.strip()},
+k AS (SELECT *, dim1 || '#' || CAST(win_start_ms AS VARCHAR) || '#' || CAST(win_end_ms AS VARCHAR) AS row_key,
+             '#' || CAST(pane_idx AS VARCHAR) AS sfx FROM panes)
+SELECT row_key, 'stats' AS family, qualifier, process_ts AS cell_ts, value FROM (
+  SELECT row_key, process_ts, 'num_records' || sfx AS qualifier, CAST(n AS VARCHAR) AS value FROM k
+  UNION ALL SELECT row_key, process_ts, 'sum' || sfx, CAST(s AS VARCHAR) FROM k
+  UNION ALL SELECT row_key, process_ts, 'max' || sfx, CAST(mx AS VARCHAR) FROM k
+  UNION ALL SELECT row_key, process_ts, 'min' || sfx, CAST(mn AS VARCHAR) FROM k
+  UNION ALL SELECT row_key, process_ts, 'avg' || sfx, CAST({_favg('s', 'n')} AS VARCHAR) FROM k
+) c""",
+
+    "read_wide_total": f"""
+WITH {ENR.strip()},
+{PANES_SQL.strip()}
+SELECT dim1, win_start_ms, win_end_ms, sum(n) AS num_records, CAST(sum(s) AS BIGINT) AS sum,
+       max(mx) AS max, min(mn) AS min, {_favg('sum(s)', 'sum(n)')} AS avg
+FROM panes GROUP BY 1, 2, 3""",
+})
