@@ -19,7 +19,11 @@ def csv_fields(text: Column, delimiter: str = ",") -> Column:
     """Positional split on a literal delimiter, no quoting. Like Java's
     ``String.split``, trailing empty fields are dropped."""
     d = re.escape(delimiter)
-    return F.split(F.regexp_replace(text, f"(?:{d})+$", ""), d, -1)
+    if len(delimiter) == 1:
+        stripped = F.call_function("rtrim", text, F.lit(delimiter))
+    else:
+        stripped = F.regexp_replace(text, f"(?:{d})+$", "")
+    return F.split(stripped, d, -1)
 
 
 def field_at(fields: Column, i: int) -> Column:

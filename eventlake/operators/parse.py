@@ -81,14 +81,24 @@ def parse_messages(messages: DataFrame, settings: Settings = Settings(),
     )
 
 
+def route(parsed: DataFrame, valid: bool, cols: list) -> DataFrame:
+    """Rows of one route. Written as a 0-or-1-row generator rather than a
+    ``filter``: Catalyst would push a filter on ``error`` below the parse and
+    inline every parsed expression into the predicate (evaluating the parse
+    several times per row in one huge, un-JITted method). The generator reads
+    the parsed columns once."""
+    cond = F.col("error").isNull() if valid else F.col("error").isNotNull()
+    return parsed.select(F.inline(F.when(cond, F.array(F.struct(*cols))).otherwise(F.array())))
+
+
 def split_routes(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid, dead_letter). Dead letters keep the raw payload text (or the
     fixed no-payload text) plus the reason."""
-    valid = parsed.filter(F.col("error").isNull()).drop("error")
-    dead = parsed.filter(F.col("error").isNotNull()).select(
+    valid = route(parsed, True, [c for c in parsed.columns if c != "error"])
+    dead = route(parsed, False, [
         "message_id", "event_time", "publish_ts",
         F.coalesce(F.col("raw"), F.lit(NO_PAYLOAD_TEXT)).alias("payload"),
-        F.col("error").alias("reason"))
+        F.col("error").alias("reason")])
     return valid, dead
 
 
