@@ -20,7 +20,7 @@ def csv_fields(text: Column, delimiter: str = ",") -> Column:
     ``String.split``, trailing empty fields are dropped."""
     d = re.escape(delimiter)
     if len(delimiter) == 1:
-        stripped = F.call_function("rtrim", text, F.lit(delimiter))
+        stripped = F.rtrim(text, F.lit(delimiter))
     else:
         stripped = F.regexp_replace(text, f"(?:{d})+$", "")
     return F.split(stripped, d, -1)
