@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from eventlake.functions.time import LONG_MAX
 from eventlake.operators.aggregates import float_avg
+from eventlake.session import ensure_checkpoint_dir
 from eventlake.settings import Settings
 
 BLOCK = 4096
@@ -80,9 +81,17 @@ def timing_expr(settings: Settings, crossing: str = "ON_TIME"):
 
 
 def timed_partials(rows: DataFrame, settings: Settings, keys=("dim1",), value: str = "metrics1",
-                   crossing: str = "ON_TIME") -> DataFrame:
-    """Pane partials with window end and timing."""
+                   crossing: str = "ON_TIME", materialize: bool = True) -> DataFrame:
+    """Pane partials with window end and timing.
+
+    The partials feed two branches (the panes and the watermark); they are
+    written once as a reliable checkpoint in the shared checkpoint folder so
+    the rows are scanned and shuffled once and a lost executor does not send
+    the job back to the source."""
     p = pane_partials(rows, settings, keys, value)
+    if materialize and not rows.isStreaming:
+        ensure_checkpoint_dir(rows.sparkSession)
+        p = p.checkpoint(eager=True)
     wm = batch_watermarks(p.groupBy("b").agg(F.max("max_event_ms").alias("bmax")))
     return (p.join(wm, "b")
             .withColumn("win_end_ms", F.col("win_start_ms") + F.lit(settings.window_ms))

@@ -92,9 +92,10 @@ def route(parsed: DataFrame, valid: bool, cols: list) -> DataFrame:
 
 
 def split_routes(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid, dead_letter). Dead letters keep the raw payload text (or the
+    """(valid, dead_letter). Valid rows carry the typed fields (not the raw
+    text or attributes); dead letters keep the raw payload text (or the
     fixed no-payload text) plus the reason."""
-    valid = route(parsed, True, [c for c in parsed.columns if c != "error"])
+    valid = route(parsed, True, [c for c in parsed.columns if c not in ("error", "raw", "attributes")])
     dead = route(parsed, False, [
         "message_id", "event_time", "publish_ts",
         F.coalesce(F.col("raw"), F.lit(NO_PAYLOAD_TEXT)).alias("payload"),
