@@ -172,3 +172,8 @@ def q_flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events -> messages -> parse -> dead-letter split -> broadcast enrich ->
     window stats per (dim1, dim1_val)."""
     return agg.window_stats(fx.enriched(spark, sf_dir), S, keys=("dim1", "dim1_val"))
+
+
+def all_queries() -> dict:
+    from eventlake.plans.streams import STREAM_QUERIES
+    return {**QUERIES, **STREAM_QUERIES}

@@ -16,7 +16,7 @@ It runs in ``foreachBatch``. Per micro-batch:
    a discarding pane would be empty and is skipped), and windows with
    W' >= end + lateness close (buffered late rows fire as the last pane) and
    leave the state;
-4. panes go to ``out/{accumulating,discarding}/batch_id=<id>`` and the new
+4. panes go to ``out/batch_id=<id>/mode={accumulating,discarding}`` and the new
    state to ``state/v=<id>``, all with overwrite: a replayed batch id
    recomputes from ``v=<id-1>`` and replaces its own output (exactly once).
 
@@ -165,6 +165,7 @@ class PaneMachine:
         step = step.withColumn("_panes", panes).persist()
 
         ts = F.unix_millis(F.current_timestamp())
+        outs = []
         for mode, idx_c, ns_c, keep in (
                 ("accumulating", "acc_idx", "acc_nonspec", lambda p: p["fire"]),
                 ("discarding", "dis_idx", "dis_nonspec", lambda p: p["fire"] & (p["d_n"] > 0))):
@@ -178,19 +179,20 @@ class PaneMachine:
             # pane, when present, is always the first
             ns = F.when(F.col("p.timing") == "EARLY", F.lit(-1)).otherwise(
                 F.coalesce(F.col(ns_c), F.lit(0)) + F.col("pos") - F.when(F.col("_has_early"), 1).otherwise(0))
-            n_col = F.col("p.a_n") if mode == "accumulating" else F.col("p.d_n")
-            s_col = F.col("p.a_sum") if mode == "accumulating" else F.col("p.d_sum")
-            out = ex.select(
+            pre = "p.a_" if mode == "accumulating" else "p.d_"
+            n_col, s_col = F.col(pre + "n"), F.col(pre + "sum")
+            outs.append(ex.select(
                 *keys, "win_start_ms", (F.col("win_start_ms") + F.lit(size)).alias("win_end_ms"),
                 F.lit(batch_id).cast("bigint").alias("batch_id"), ts.alias("process_ts"),
                 F.col("p.timing").alias("timing"), idx.cast("bigint").alias("pane_idx"),
                 ns.cast("bigint").alias("pane_nonspeculative_idx"),
                 (idx == 0).alias("is_first"), F.col("p.is_last").alias("is_last"),
                 n_col.alias("num_records"), s_col.alias("sum"),
-                (F.col("p.a_max") if mode == "accumulating" else F.col("p.d_max")).alias("max"),
-                (F.col("p.a_min") if mode == "accumulating" else F.col("p.d_min")).alias("min"),
-                float_avg(s_col, n_col).alias("avg"))
-            out.write.mode("overwrite").parquet(f"{self.out}/{mode}/batch_id={batch_id}")
+                F.col(pre + "max").alias("max"), F.col(pre + "min").alias("min"),
+                float_avg(s_col, n_col).alias("avg"), F.lit(mode).alias("mode")))
+        # one job writes both pane kinds: out/batch_id=<id>/mode=<kind>/
+        (outs[0].unionByName(outs[1]).write.mode("overwrite").partitionBy("mode")
+         .parquet(f"{self.out}/batch_id={batch_id}"))
 
         def count_fired(cond):
             return F.size(F.filter("_panes", cond))
@@ -217,9 +219,10 @@ class PaneMachine:
                              .alias("dis_nonspec")))
         new_state = new_state.select(*[F.col(f.name).cast(f.dataType) for f in _state_schema(keys).fields])
         new_state.write.mode("overwrite").parquet(f"{self.state}/v={batch_id}")
-        dropped_n = step.agg(F.sum(F.when(F.col("_dropped"), F.col("b_n")).otherwise(0))).first()[0] or 0
-        spark.createDataFrame([(wm2, int(dropped_n), batch_id)], "wm long, dropped long, batch_id long") \
-             .write.mode("overwrite").parquet(f"{self.state}/meta/v={batch_id}")
+        (step.agg(F.coalesce(F.sum(F.when(F.col("_dropped"), F.col("b_n"))), F.lit(0)).alias("dropped"))
+             .select(W2.alias("wm"), F.col("dropped").cast("bigint").alias("dropped"),
+                     F.lit(batch_id).cast("bigint").alias("batch_id"))
+             .coalesce(1).write.mode("overwrite").parquet(f"{self.state}/meta/v={batch_id}"))
         step.unpersist()
         agg.unpersist()
 

@@ -29,13 +29,13 @@ def _stream_rows(spark, work):
 def test_pane_machine_sequence(spark, work):
     q = start_pane_query(_stream_rows(spark, work), f"{work}/out", f"{work}/state", f"{work}/ckpt", S)
     q.awaitTermination(120)
-    acc = spark.read.parquet(f"{work}/out/accumulating").filter("win_start_ms = 0").orderBy("pane_idx")
+    acc = spark.read.parquet(f"{work}/out").filter("mode = 'accumulating'").filter("win_start_ms = 0").orderBy("pane_idx")
     got = [(r.timing, r.pane_idx, r.pane_nonspeculative_idx, r.sum) for r in acc.collect()]
     assert got == [("EARLY", 0, -1, 1), ("EARLY", 1, -1, 6), ("ON_TIME", 2, 0, 6), ("LATE", 3, 1, 15)]
-    dis = spark.read.parquet(f"{work}/out/discarding").filter("win_start_ms = 0").orderBy("pane_idx")
+    dis = spark.read.parquet(f"{work}/out").filter("mode = 'discarding'").filter("win_start_ms = 0").orderBy("pane_idx")
     got = [(r.timing, r.pane_idx, r.pane_nonspeculative_idx, r.sum) for r in dis.collect()]
     assert got == [("EARLY", 0, -1, 1), ("EARLY", 1, -1, 5), ("LATE", 2, 0, 9)]
-    w2 = spark.read.parquet(f"{work}/out/accumulating").filter("win_start_ms = 6000").orderBy("pane_idx")
+    w2 = spark.read.parquet(f"{work}/out").filter("mode = 'accumulating'").filter("win_start_ms = 6000").orderBy("pane_idx")
     assert [(r.timing, r.sum) for r in w2.collect()] == [("EARLY", 7), ("ON_TIME", 7)]
     meta = spark.read.parquet(f"{work}/state/meta").orderBy("batch_id").collect()
     assert [m.wm for m in meta] == [1000, 9000, 9000, 300000, 300000, 300000]
@@ -53,5 +53,34 @@ def test_pane_machine_batch_replay_is_idempotent(spark, work):
     rows = spark.createDataFrame([("x", 1000, 1)], "dim1 string, event_ms long, metrics1 int")
     m.process(rows, 0)
     m.process(rows, 0)
-    out = spark.read.parquet(f"{work}/out/accumulating").collect()
+    out = spark.read.parquet(f"{work}/out").filter("mode = 'accumulating'").collect()
     assert len(out) == 1 and out[0].sum == 1
+
+
+def test_stream_append_equals_batch_on_closed_windows(spark):
+    """Built-in append-mode stats == batch window stats for every window the
+    stream closed; update mode's last value per window == the same."""
+    from conftest import SF001
+    from eventlake.operators.aggregates import window_stats
+    from eventlake.plans import fixtures as fx
+    from eventlake.plans.streams import q_stream_append_stats, q_stream_update_stats
+    batch = {(r.dim1, r.win_start_ms): (r.num_records, r.sum, r.min, r.max)
+             for r in window_stats(fx.enriched(spark, SF001), fx.FIXTURE).collect()}
+    app = {(r.dim1, r.win_start_ms): (r.num_records, r.sum, r.min, r.max)
+           for r in q_stream_append_stats(spark, SF001).collect()}
+    assert app and len(app) < len(batch)
+    assert all(batch[k] == v for k, v in app.items())
+    upd = q_stream_update_stats(spark, SF001)
+    from pyspark.sql import Window
+    w = Window.partitionBy("dim1", "win_start_ms").orderBy(F.col("batch_id").desc())
+    last = {(r.dim1, r.win_start_ms): (r.num_records, r.sum, r.min, r.max)
+            for r in upd.withColumn("r", F.row_number().over(w)).filter("r = 1").collect()}
+    assert last == batch
+
+
+def test_stream_dedup_removes_redeliveries(spark):
+    from conftest import SF001
+    from eventlake.plans.streams import q_stream_dedup
+    out = q_stream_dedup(spark, SF001)
+    assert out.count() == 1000
+    assert out.filter(F.col("message_id").endswith("-r")).count() == 0
