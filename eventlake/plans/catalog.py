@@ -19,6 +19,7 @@ from eventlake.operators.parse import assign_event_time, route_counts, split_rou
 from eventlake.operators.wordcount import count_words
 from eventlake.plans import fixtures as fx
 from eventlake.schemas import DETAIL, WAREHOUSE
+from eventlake.sinks.bulk import bulk_batches, bulk_item_errors
 from eventlake.sources.tables import load_table
 
 S = fx.FIXTURE
@@ -143,6 +144,21 @@ def q_read_wide_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enc.read_wide_total(enc.wide_rows(cells))
 
 
+def q_bulk_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bulk requests the document sink sends: totals are independent of how
+    the rows are partitioned; every batch respects the limits."""
+    docs = enc.json_document(fx.enriched(spark, sf_dir))
+    b = bulk_batches(docs, "doc", S.bulk_max_docs, S.bulk_max_bytes)
+    return b.agg(F.sum("n_docs").alias("n_docs"), F.sum("doc_bytes").alias("doc_bytes"),
+                 F.sum("body_bytes").alias("body_bytes"),
+                 (F.max("n_docs") <= S.bulk_max_docs).alias("within_limits"))
+
+
+def q_bulk_item_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = enc.json_document(fx.enriched(spark, sf_dir))
+    return bulk_item_errors(fx.simulated_bulk_responses(docs))
+
+
 QUERIES = {
     "parse_csv_messages": q_parse_csv_messages,
     "route_dead_letter": q_route_dead_letter,
@@ -165,6 +181,8 @@ QUERIES = {
     "tall_encode": q_tall_encode,
     "wide_encode": q_wide_encode,
     "read_wide_total": q_read_wide_total,
+    "bulk_batches": q_bulk_batches,
+    "bulk_item_errors": q_bulk_item_errors,
 }
 
 

@@ -289,3 +289,24 @@ SELECT dim1, win_start_ms, win_end_ms, sum(n) AS num_records, CAST(sum(s) AS BIG
        max(mx) AS max, min(mn) AS min, {_favg('sum(s)', 'sum(n)')} AS avg
 FROM panes GROUP BY 1, 2, 3""",
 })
+
+
+ORACLE.update({
+    "bulk_batches": f"""
+WITH {ENR.strip()},
+docs AS (SELECT CAST(json_object('@timestamp', event_ts, 'thread_id', thread_id, 'thread_name', thread_name,
+                        'seq', CAST(seq AS BIGINT), 'dim1', dim1, 'metrics1', CAST(metrics1 AS BIGINT),
+                        'process_ts', process_ts, 'dim1_val', dim1_val) AS VARCHAR) AS doc FROM enr)
+SELECT count(*) AS n_docs, CAST(sum(octet_length(encode(doc))) AS BIGINT) AS doc_bytes,
+       CAST(sum(octet_length(encode(doc)) + 18) AS BIGINT) AS body_bytes, true AS within_limits
+FROM docs""",
+
+    "bulk_item_errors": f"""
+WITH {ENR.strip()}
+SELECT CAST(seq // 1000 AS BIGINT) AS request_no,
+       CAST(row_number() OVER (PARTITION BY seq // 1000 ORDER BY seq) - 1 AS INTEGER) AS item_pos,
+       message_id AS doc_id, 400 AS status, 'mapper_parsing_exception' AS error_type,
+       'unknown dimension value for ' || dim1 AS error_reason
+FROM enr
+QUALIFY dim1_val = 'Not Found'""",
+})
