@@ -20,10 +20,16 @@ N_BATCHES = 6
 S = fx.FIXTURE
 
 
-def _staged_messages(spark: SparkSession, sf_dir: str, name: str, redeliver: bool = False):
+def _staged_messages(spark: SparkSession, sf_dir: str, name: str, redeliver: bool = False,
+                     faulty: bool = False):
     prepare(spark)
     root = scratch_path(spark, name)
-    m = fx.redelivered_messages(spark, sf_dir) if redeliver else fx.messages(spark, sf_dir)
+    if redeliver:
+        m = fx.redelivered_messages(spark, sf_dir)
+    elif faulty:
+        m = fx.faulty_messages(spark, sf_dir)
+    else:
+        m = fx.messages(spark, sf_dir)
     stage_batches(arrival_batches(m, N_BATCHES), f"{root}/src", "_batch")
     stream = (spark.readStream.schema(MESSAGE).option("maxFilesPerTrigger", "1")
               .parquet(f"{root}/src/*"))
@@ -70,3 +76,43 @@ STREAM_QUERIES = {
     "stream_dedup": q_stream_dedup,
     "stream_panes": q_stream_panes,
 }
+
+
+def q_stream_enrich_refreshing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lookup re-read every micro-batch (TTL 0) from a dimension table in the
+    shared folder."""
+    from eventlake.sources.dims import read_dimension
+    from eventlake.streaming.enrich import RefreshingDimension, start_refreshing_enrich_query
+    root, stream = _staged_messages(spark, sf_dir, "stream_enrich_refreshing")
+    fixture_dimension(spark).write.mode("overwrite").parquet(f"{root}/dim")
+    dim = RefreshingDimension(lambda: read_dimension(spark, path=f"{root}/dim"), ttl_s=0)
+    _run(start_refreshing_enrich_query(stream, dim, f"{root}/out", f"{root}/ckpt", S,
+                                       process_ts=fx.batch_process_ts()))
+    return spark.read.parquet(f"{root}/out")
+
+
+def q_stream_fanout_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows landed per sink after replaying the stream through every sink."""
+    from eventlake.streaming.fanout import start_fanout_query
+    root, stream = _staged_messages(spark, sf_dir, "stream_fanout_sinks", faulty=True)
+    _run(start_fanout_query(stream, f"{root}/sinks", f"{root}/ckpt", fixture_dimension(spark), S,
+                            process_ts=fx.batch_process_ts()))
+    r = f"{root}/sinks"
+
+    def n(df: DataFrame, sink: str) -> DataFrame:
+        return df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(sink).alias("sink"), "n_rows")
+
+    return (n(spark.read.text(f"{r}/csv"), "csv")
+            .unionByName(n(spark.read.parquet(f"{r}/records"), "records"))
+            .unionByName(n(spark.read.parquet(f"{r}/warehouse"), "warehouse"))
+            .unionByName(n(spark.read.text(f"{r}/docs/*/*.ndjson"), "docs_ndjson_lines"))
+            .unionByName(n(spark.read.text(f"{r}/errors"), "errors"))
+            .unionByName(n(spark.read.parquet(f"{r}/panes"), "panes"))
+            .unionByName(n(spark.read.parquet(f"{r}/tall"), "tall"))
+            .unionByName(n(spark.read.parquet(f"{r}/wide"), "wide")))
+
+
+STREAM_QUERIES.update({
+    "stream_enrich_refreshing": q_stream_enrich_refreshing,
+    "stream_fanout_sinks": q_stream_fanout_sinks,
+})

@@ -84,3 +84,30 @@ def test_stream_dedup_removes_redeliveries(spark):
     out = q_stream_dedup(spark, SF001)
     assert out.count() == 1000
     assert out.filter(F.col("message_id").endswith("-r")).count() == 0
+
+
+def test_refreshing_dimension_rereads(spark, tmp_path):
+    from eventlake.streaming.enrich import RefreshingDimension
+    calls = []
+
+    def loader():
+        calls.append(1)
+        v = "druid" if len(calls) == 1 else "bard"
+        return spark.createDataFrame([("ivy", v)], "dim1 string, dim1_val string")
+
+    d = RefreshingDimension(loader, ttl_s=0)
+    assert d.get().first().dim1_val == "druid"
+    assert d.get().first().dim1_val == "bard" and d.version == 2
+    keep = RefreshingDimension(loader, ttl_s=3600)
+    keep.get()
+    keep.get()
+    assert keep.version == 1
+
+
+def test_fanout_all_sinks(spark):
+    from conftest import SF001
+    from eventlake.plans.streams import q_stream_fanout_sinks
+    got = {r.sink: r.n_rows for r in q_stream_fanout_sinks(spark, SF001).collect()}
+    assert got["csv"] == got["records"] == got["warehouse"] == 900
+    assert got["errors"] == 100 and got["docs_ndjson_lines"] == 1800
+    assert got["tall"] > 0 and got["wide"] > 0 and got["panes"] > 0
