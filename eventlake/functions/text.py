@@ -58,6 +58,15 @@ def java_bool(s: Column) -> Column:
 WORD_SPLIT = "[^a-zA-Z']+"
 
 
+WORD = "[a-zA-Z']+"
+
+
 def tokenize(text: Column) -> Column:
     """Array of words; empties are removed by the caller (``drop_empty``)."""
     return F.split(text, WORD_SPLIT, -1)
+
+
+def words_of(text: Column) -> Column:
+    """The non-empty tokens of ``tokenize`` directly: the maximal runs of
+    letters/apostrophes (one regex pass, no empty strings to filter)."""
+    return F.regexp_extract_all(text, F.lit(WORD), 0)
