@@ -223,7 +223,7 @@ FROM enr""",
 WITH {MSG.strip()},
 w AS (SELECT (event_ts // {W6H}) * {W6H} AS s, (event_ts // {W6H}) * {W6H} + {W6H} AS e, count(*) AS n_rows
       FROM msg WHERE event_id % 50 IN (0, 7, 17, 33, 41) GROUP BY 1, 2)
-SELECT 'err/' || strftime(make_timestamp(e * 1000), '%Y/%m/%d/%H') || '/bindiego'
+SELECT 'err/' || strftime(make_timestamp(e * 1000), '%Y/%m/%d/%H') || '/events'
        || {_iso('s')} || '-' || {_iso('e')} || '-pane-0-last-00-of-01.csv' AS path,
        n_rows
 FROM w""",

@@ -103,6 +103,7 @@ def from_warehouse_json(doc: dict) -> T.StructType:
                "INTEGER": T.LongType(), "INT64": T.LongType(),
                "BOOLEAN": T.BooleanType(), "BOOL": T.BooleanType(),
                "FLOAT": T.DoubleType(), "FLOAT64": T.DoubleType(), "DATE": T.DateType()}
+    # Fixed value: the key holding the field list in the warehouse schema file.
     out = []
     for f in doc["BigQuery Schema"]:
         t = f["type"].upper()

@@ -52,7 +52,7 @@ class Settings:
     # file sinks
     output_dir: str = "out/YYYY/MM/DD/HH/"
     err_output_dir: str = "err/YYYY/MM/DD/HH/"
-    filename_prefix: str = "bindiego"
+    filename_prefix: str = "events"
     shard_template: str = "W-P-SS-of-NN"
     csv_suffix: str = ".csv"
     avro_suffix: str = ".avro"

@@ -57,14 +57,14 @@ def test_windowed_path(spark):
                                "win_start_ms long, win_end_ms long, pane_idx long, is_last boolean, timing string")
     s = Settings(output_dir="gs://b/YYYY/MM/DD/HH/", num_shards=3)
     p = enc.windowed_path(df, s, shard=F.lit(1)).collect()[0].path
-    assert p == ("gs://b/1970/01/01/06/bindiego1970-01-01T00:00:00.000Z-1970-01-01T06:00:00.000Z"
+    assert p == ("gs://b/1970/01/01/06/events1970-01-01T00:00:00.000Z-1970-01-01T06:00:00.000Z"
                  "-pane-2-late-last-01-of-03.csv")
 
 
 def test_detail_rows_no_firing(spark):
     from eventlake.plans import fixtures as fx
     from conftest import SF001
-    d = enc.csv_line(enc.detail_rows(fx.enriched(spark, SF001), Settings.fixture())).limit(1).collect()[0]
+    d = enc.csv_line(enc.detail_rows(fx.enriched(spark, SF001), Settings.fixture())).filter("seq = 0").collect()[0]
     parts = d.line.split(",")
     assert len(parts) == 16 and parts[9] == "PaneInfo.NO_FIRING" and parts[14] == "UNKNOWN"
     assert parts[8].startswith("[2024-01-01T00:00:00.000Z..")

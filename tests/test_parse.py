@@ -7,7 +7,7 @@ from eventlake.sources.dims import fixture_dimension
 
 from conftest import msg_rows
 
-IVY_DIM = [("bindigo", "rogue"), ("bindiego", "warrior"), ("ivy", "druid"), ("duelaylowmow", "priest")]
+IVY_DIM = [("oak", "rogue"), ("elm", "warrior"), ("ivy", "druid"), ("fir", "priest")]
 
 EDGE = [
     "1700000000000,t1,n1,7,ivy,42",
