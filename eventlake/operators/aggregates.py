@@ -72,3 +72,10 @@ def latest_n_per_key(df: DataFrame, n: int, key: str, order_desc: list[str]) ->
 
 def count_per_element(df: DataFrame, col: str, out: str = "n") -> DataFrame:
     return df.groupBy(col).agg(F.count(F.lit(1)).alias(out))
+
+
+def limit_n(df: DataFrame, n: int, order_desc: list[str]) -> DataFrame:
+    """Top-n report: the first ``n`` rows by ``order_desc`` (descending).
+    Planned as TakeOrderedAndProject: each task keeps its own top n, the
+    driver merges n x tasks rows."""
+    return df.orderBy(*[F.col(c).desc() for c in order_desc]).limit(n)

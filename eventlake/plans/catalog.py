@@ -68,6 +68,13 @@ def q_latest_globally(spark: SparkSession, sf_dir: str) -> DataFrame:
                                ["message_id", "event_ts", "seq", "dim1", "metrics1"])
 
 
+def q_limit_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Peek report: the 10 newest enriched events."""
+    e = fx.enriched(spark, sf_dir)
+    return agg.limit_n(e, 10, ["event_ts", "seq"]).select("message_id", "event_ts", "dim1", "dim1_val",
+                                                            "metrics1")
+
+
 def q_count_per_element(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_words(load_table(spark, sf_dir, "documents"), "text")
 
@@ -168,6 +175,7 @@ QUERIES = {
     "min_globally_windowed": q_min_globally_windowed,
     "latest_n_per_key": q_latest_n_per_key,
     "latest_globally": q_latest_globally,
+    "limit_n": q_limit_n,
     "count_per_element": q_count_per_element,
     "assign_event_time": q_assign_event_time,
     "typed_by_schema": q_typed_by_schema,

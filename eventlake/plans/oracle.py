@@ -310,3 +310,9 @@ SELECT CAST(seq // 1000 AS BIGINT) AS request_no,
 FROM enr
 QUALIFY dim1_val = 'Not Found'""",
 })
+
+
+ORACLE["limit_n"] = f"""
+WITH {ENR.strip()}
+SELECT message_id, event_ts, dim1, dim1_val, metrics1 FROM enr
+ORDER BY event_ts DESC, seq DESC LIMIT 10"""
