@@ -316,3 +316,30 @@ ORACLE["limit_n"] = f"""
 WITH {ENR.strip()}
 SELECT message_id, event_ts, dim1, dim1_val, metrics1 FROM enr
 ORDER BY event_ts DESC, seq DESC LIMIT 10"""
+
+
+# Streams whose final output is deterministic. Append mode emits a window
+# once the watermark (max event time - (lateness + window size)) reaches its end.
+ORACLE.update({
+    "stream_dedup": f"""
+WITH {MSG.strip()}
+SELECT message_id,
+       concat_ws(',', CAST(event_ts AS VARCHAR), thread_id, thread_name, CAST(seq AS VARCHAR),
+                 dim1, CAST(metrics1 AS VARCHAR)) AS payload,
+       event_ts AS event_ms, arrival_ms AS publish_ms
+FROM msg""",
+
+    "stream_enrich_refreshing": f"""
+WITH {ENR.strip()}
+SELECT message_id, dim1, dim1_val, metrics1, event_ts AS event_ms FROM enr""",
+
+    "stream_append_stats": f"""
+WITH {ENR.strip()},
+w AS (
+  SELECT dim1, (event_ts // {W6H}) * {W6H} AS win_start_ms, (event_ts // {W6H}) * {W6H} + {W6H} AS win_end_ms,
+         count(*) AS num_records, CAST(sum(metrics1) AS BIGINT) AS sum, max(metrics1) AS max,
+         min(metrics1) AS min,
+         CAST(CAST(sum(metrics1) AS FLOAT) / CAST(count(*) AS FLOAT) AS FLOAT) AS avg
+  FROM enr GROUP BY 1, 2, 3)
+SELECT w.* FROM w WHERE win_end_ms <= (SELECT max(event_ts) FROM enr) - {L30M + W6H}""",
+})

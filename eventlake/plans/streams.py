@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventlake.functions.time import epoch_ms
 from eventlake.plans import fixtures as fx
 from eventlake.schemas import MESSAGE
 from eventlake.session import prepare, scratch_path
@@ -53,13 +54,15 @@ def q_stream_append_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, stream = _staged_messages(spark, sf_dir, "stream_append_stats")
     valid, _ = valid_enriched(stream, fixture_dimension(spark), S, process_ts=fx.batch_process_ts())
     _run(start_stats_query(valid, f"{root}/out", f"{root}/ckpt", S, mode="append"))
-    return spark.read.parquet(f"{root}/out")
+    return spark.read.parquet(f"{root}/out").drop("batch_id")
 
 
 def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, stream = _staged_messages(spark, sf_dir, "stream_dedup", redeliver=True)
     _run(start_dedup_query(stream, f"{root}/out", f"{root}/ckpt", S))
-    return spark.read.parquet(f"{root}/out")
+    return spark.read.parquet(f"{root}/out").select(
+        "message_id", "payload", epoch_ms(F.col("event_time")).alias("event_ms"),
+        epoch_ms(F.col("publish_ts")).alias("publish_ms"))
 
 
 def q_stream_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,7 +91,7 @@ def q_stream_enrich_refreshing(spark: SparkSession, sf_dir: str) -> DataFrame:
     dim = RefreshingDimension(lambda: read_dimension(spark, path=f"{root}/dim"), ttl_s=0)
     _run(start_refreshing_enrich_query(stream, dim, f"{root}/out", f"{root}/ckpt", S,
                                        process_ts=fx.batch_process_ts()))
-    return spark.read.parquet(f"{root}/out")
+    return spark.read.parquet(f"{root}/out").drop("batch_id", "dim_version")
 
 
 def q_stream_fanout_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
