@@ -36,7 +36,7 @@ INDEX_ACTION = '{ "index" : {} }'
 def action_line(doc_id: str | None) -> str:
     if doc_id is None:
         return INDEX_ACTION
-    return json.dumps({"index": {"_id": doc_id}})
+    return json.dumps({"index": {"_id": doc_id}}, separators=(",", ":"))
 
 
 def iter_batches(docs: Iterator[tuple[str, str | None]], max_docs: int, max_bytes: int):
@@ -63,31 +63,57 @@ def bulk_batches(docs: DataFrame, doc_col: str = "doc", max_docs: int = 1000,
                  max_bytes: int = 5 * 1024 * 1024, id_col: str | None = None,
                  with_body: bool = False) -> DataFrame:
     """The bulk requests each partition would send: one row per batch with
-    ``partition_id, batch_no, n_docs, doc_bytes, body_bytes`` (and ``body``)."""
-    cols = [doc_col] + ([id_col] if id_col else [])
+    ``partition_id, batch_no, n_docs, doc_bytes, body_bytes`` (and ``body``).
+
+    Without ``with_body`` only the UTF-8 byte lengths (computed JVM-side with
+    ``octet_length``) cross into Python, not the documents."""
+    if with_body:
+        cols = [F.col(doc_col)] + ([F.col(id_col)] if id_col else [])
+    else:
+        cols = [F.octet_length(F.col(doc_col)).alias("_len")]
+        if id_col:
+            cols.append(F.octet_length(F.to_json(F.struct(F.struct(F.col(id_col).alias("_id"))
+                                                          .alias("index")))).alias("_alen"))
     schema = ("partition_id int, batch_no int, n_docs long, doc_bytes long, body_bytes long"
               + (", body string" if with_body else ""))
+    plain_action = len(INDEX_ACTION.encode("utf-8"))
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
         pid = TaskContext.get().partitionId()
+        out, no = [], 0
 
-        def rows():
-            for pdf in it:
-                ids = pdf[id_col] if id_col else [None] * len(pdf)
-                yield from zip(pdf[doc_col], ids)
-
-        out = []
-        for no, (batch, size) in enumerate(iter_batches(rows(), max_docs, max_bytes)):
-            body = body_of(batch)
-            rec = {"partition_id": pid, "batch_no": no, "n_docs": len(batch), "doc_bytes": size,
-                   "body_bytes": len(body.encode("utf-8"))}
+        def emit(n, size, extra, body=None):
+            nonlocal no
+            rec = {"partition_id": pid, "batch_no": no, "n_docs": n, "doc_bytes": size,
+                   "body_bytes": size + extra}
             if with_body:
                 rec["body"] = body
+                rec["body_bytes"] = len(body.encode("utf-8"))
             out.append(rec)
-            if len(out) >= 64:
-                yield pd.DataFrame(out)
-                out = []
+            no += 1
+
+        if with_body:
+            def rows():
+                for pdf in it:
+                    ids = pdf[id_col] if id_col else [None] * len(pdf)
+                    yield from zip(pdf[doc_col], ids)
+            for batch, size in iter_batches(rows(), max_docs, max_bytes):
+                emit(len(batch), size, 0, body_of(batch))
+        else:
+            n = size = extra = 0
+            for pdf in it:
+                lens = pdf["_len"].to_numpy()
+                alens = pdf["_alen"].to_numpy() if id_col else None
+                for i in range(len(lens)):
+                    n += 1
+                    size += int(lens[i])
+                    extra += (int(alens[i]) if alens is not None else plain_action) + 2
+                    if n >= max_docs or size >= max_bytes:
+                        emit(n, size, extra)
+                        n = size = extra = 0
+            if n:
+                emit(n, size, extra)
         if out:
             yield pd.DataFrame(out)
 

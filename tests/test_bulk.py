@@ -30,6 +30,15 @@ def test_bulk_batches_plan(spark):
     assert sum(r.body_bytes - r.doc_bytes for r in b) == 2500 * (len(INDEX_ACTION) + 2)
 
 
+def test_planned_bytes_match_bodies_with_ids(spark):
+    docs = spark.range(300).select(F.to_json(F.struct(F.col("id"))).alias("doc"),
+                                   F.concat(F.lit("id-"), F.col("id").cast("string")).alias("doc_id"))
+    plan = bulk_batches(docs, max_docs=70, id_col="doc_id").collect()
+    full = bulk_batches(docs, max_docs=70, id_col="doc_id", with_body=True).collect()
+    assert sorted((r.partition_id, r.batch_no, r.n_docs, r.body_bytes) for r in plan) == \
+        sorted((r.partition_id, r.batch_no, r.n_docs, r.body_bytes) for r in full)
+
+
 def test_write_bulk_docs_file_transport(spark, tmp_path):
     docs = spark.range(250).select(F.to_json(F.struct(F.col("id"))).alias("doc"),
                                    F.col("id").cast("string").alias("doc_id")).repartition(2)
