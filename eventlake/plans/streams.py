@@ -115,7 +115,17 @@ def q_stream_fanout_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
             .unionByName(n(spark.read.parquet(f"{r}/wide"), "wide")))
 
 
+def q_stream_per_trigger_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Global window, repeated trigger, discarding: stats of each micro-batch."""
+    from eventlake.streaming.stats import start_per_trigger_query
+    root, stream = _staged_messages(spark, sf_dir, "stream_per_trigger_stats")
+    valid, _ = valid_enriched(stream, fixture_dimension(spark), S, process_ts=fx.batch_process_ts())
+    _run(start_per_trigger_query(valid, f"{root}/out", f"{root}/ckpt"))
+    return spark.read.parquet(f"{root}/out")
+
+
 STREAM_QUERIES.update({
+    "stream_per_trigger_stats": q_stream_per_trigger_stats,
     "stream_enrich_refreshing": q_stream_enrich_refreshing,
     "stream_fanout_sinks": q_stream_fanout_sinks,
 })

@@ -77,3 +77,20 @@ def start_dedup_query(messages: DataFrame, out_path: str, checkpoint: str,
          .writeStream.outputMode("append").format("parquet")
          .option("checkpointLocation", checkpoint).option("path", out_path))
     return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def start_per_trigger_query(valid: DataFrame, out_path: str, checkpoint: str, keys=("dim1",),
+                            value: str = "metrics1", trigger: dict | None = None):
+    """Unwindowed, discarding per-trigger stats (a global window with a
+    repeated processing-time trigger): every micro-batch emits the stats of
+    the rows that arrived in it, per key, under ``batch_id=<id>``."""
+    from eventlake.operators.aggregates import float_avg, stats_aggs
+
+    def sink(df: DataFrame, batch_id: int):
+        (df.groupBy(*keys).agg(*stats_aggs(value))
+           .withColumn("avg", float_avg(F.col("sum"), F.col("num_records")))
+           .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+           .write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}"))
+
+    w = valid.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
+    return w.trigger(**(trigger or {"availableNow": True})).start()

@@ -111,3 +111,15 @@ def test_fanout_all_sinks(spark):
     assert got["csv"] == got["records"] == got["warehouse"] == 900
     assert got["errors"] == 100 and got["docs_ndjson_lines"] == 1800
     assert got["tall"] > 0 and got["wide"] > 0 and got["panes"] > 0
+
+
+def test_per_trigger_stats_sum_to_totals(spark):
+    from conftest import SF001
+    from eventlake.plans import fixtures as fx
+    from eventlake.plans.streams import q_stream_per_trigger_stats
+    out = q_stream_per_trigger_stats(spark, SF001)
+    per = {r.dim1: (r.n, r.s) for r in out.groupBy("dim1").agg(F.sum("num_records").alias("n"),
+                                                                  F.sum("sum").alias("s")).collect()}
+    tot = {r.dim1: (r.n, r.s) for r in fx.enriched(spark, SF001).groupBy("dim1").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("metrics1").alias("s")).collect()}
+    assert per == tot and out.select("batch_id").distinct().count() > 1
