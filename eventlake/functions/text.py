@@ -23,7 +23,9 @@ def csv_fields(text: Column, delimiter: str = ",") -> Column:
         stripped = F.rtrim(text, F.lit(delimiter))
     else:
         stripped = F.regexp_replace(text, f"(?:{d})+$", "")
-    return F.split(stripped, d, -1)
+    # only delimiters: every field is a trailing empty one -> no fields
+    return F.when((stripped == F.lit("")) & (text != F.lit("")), F.array().cast("array<string>")) \
+            .otherwise(F.split(stripped, d, -1))
 
 
 def field_at(fields: Column, i: int) -> Column:

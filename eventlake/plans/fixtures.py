@@ -56,11 +56,20 @@ def faulty_messages(spark: SparkSession, sf_dir: str, settings: Settings = FIXTU
     return m.withColumn("payload", payload.cast("binary"))
 
 
+# Fixed value: deliveries slower than this miss the ack deadline and are
+# delivered again.
+ACK_DEADLINE_MINUTES = 80
+
+
 def redelivered_messages(spark: SparkSession, sf_dir: str, settings: Settings = FIXTURE) -> DataFrame:
-    """Every 10th message delivered a second time, 5 minutes later, under a
-    new message id but the same id attribute."""
+    """Messages whose delivery took longer than the ack deadline are
+    delivered a second time, 5 minutes later, under a new message id but the
+    same id attribute (about 1 in 6 messages)."""
     m = messages(spark, sf_dir, settings)
-    again = (m.filter(F.pmod(F.col("message_id").cast("bigint"), F.lit(10)) == 0)
+    late_ack = (F.unix_seconds(F.col("publish_ts"))
+                - F.floor(F.col("attributes").getItem(settings.ts_attr).cast("bigint") / 1000)
+                >= ACK_DEADLINE_MINUTES * 60)
+    again = (m.filter(late_ack)
              .withColumn("message_id", F.concat(F.col("message_id"), F.lit("-r")))
              .withColumn("publish_ts", F.col("publish_ts") + F.expr("INTERVAL 5 MINUTES")))
     return m.unionByName(again)
