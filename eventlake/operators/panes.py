@@ -45,30 +45,39 @@ def pane_partials(rows: DataFrame, settings: Settings, keys=("dim1",), value: st
             .agg(F.count(F.lit(1)).alias("num_records"),
                  F.sum(F.col(value)).cast("bigint").alias("sum"),
                  F.min(F.col(value)).alias("min"), F.max(F.col(value)).alias("max"),
-                 F.max(ev).alias("max_event_ms")))
+                 F.max(ev).alias("max_event_ms"), F.min(ev).alias("min_event_ms")))
 
 
-def batch_watermarks(batch_max: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(b, bmax) -> (b, wm_before, wm_after); wm_before null = -inf,
-    wm_after of the last batch = +inf (end of bounded input)."""
+def batch_watermarks(batch_max: DataFrame, block: int = BLOCK, close_input: bool = True) -> DataFrame:
+    """(b, bmax[, bmin]) -> (b, wm_before, wm_after[, lo_ms]); wm_before null
+    = -inf. With ``close_input`` the last batch's wm_after is +inf (end of a
+    bounded input); a live stream never gets there. ``lo_ms`` is the
+    smallest event time overall (when ``bmin`` is given)."""
+    has_min = "bmin" in batch_max.columns
     bm = batch_max.withColumn("blk", F.floor(F.col("b") / F.lit(block)).cast("bigint"))
     w = Window.partitionBy("blk").orderBy("b")
     local = bm.select("b", "blk",
                       F.max("bmax").over(w.rowsBetween(_UNB, Window.currentRow)).alias("loc_incl"),
                       F.max("bmax").over(w.rowsBetween(_UNB, -1)).alias("loc_excl"))
-    # Block table: one row per BLOCK batches; the two whole-table windows
-    # below run over it only.
-    blocks = bm.groupBy("blk").agg(F.max("bmax").alias("blk_max"), F.max("b").alias("blk_last_b"))
+    # Block table: one row per BLOCK batches; the whole-table windows below
+    # run over it only.
+    blocks = bm.groupBy("blk").agg(F.max("bmax").alias("blk_max"), F.max("b").alias("blk_last_b"),
+                                   *([F.min("bmin").alias("blk_min")] if has_min else []))
+    whole = Window.partitionBy()
     blocks = blocks.select(
         "blk",
         F.max("blk_max").over(Window.orderBy("blk").rowsBetween(_UNB, -1)).alias("prev_max"),
-        F.max("blk_last_b").over(Window.partitionBy()).alias("last_b"))
+        F.max("blk_last_b").over(whole).alias("last_b"),
+        *([F.min("blk_min").over(whole).alias("lo_ms")] if has_min else []))
     j = local.join(blocks, "blk")
     wm_after = F.greatest(F.col("loc_incl"), F.col("prev_max"))
+    if close_input:
+        wm_after = F.when(F.col("b") == F.col("last_b"), F.lit(LONG_MAX)).otherwise(wm_after)
     return j.select(
         "b",
         F.greatest(F.col("loc_excl"), F.col("prev_max")).alias("wm_before"),
-        F.when(F.col("b") == F.col("last_b"), F.lit(LONG_MAX)).otherwise(wm_after).alias("wm_after"))
+        wm_after.alias("wm_after"),
+        *(["lo_ms"] if has_min else []))
 
 
 def timing_expr(settings: Settings, crossing: str = "ON_TIME"):
@@ -80,6 +89,21 @@ def timing_expr(settings: Settings, crossing: str = "ON_TIME"):
             .otherwise(F.lit("EARLY")))
 
 
+def _timed(rows: DataFrame, settings: Settings, keys, value: str, crossing: str,
+           close_input: bool, materialize: bool = True):
+    p = pane_partials(rows, settings, keys, value)
+    if materialize and not rows.isStreaming:
+        ensure_checkpoint_dir(rows.sparkSession)
+        p = p.checkpoint(eager=True)
+    wm = batch_watermarks(p.groupBy("b").agg(F.max("max_event_ms").alias("bmax"),
+                                             F.min("min_event_ms").alias("bmin")),
+                          close_input=close_input)
+    t = (p.join(wm.drop("lo_ms"), "b")
+         .withColumn("win_end_ms", F.col("win_start_ms") + F.lit(settings.window_ms))
+         .withColumn("timing", timing_expr(settings, crossing)))
+    return t, wm
+
+
 def timed_partials(rows: DataFrame, settings: Settings, keys=("dim1",), value: str = "metrics1",
                    crossing: str = "ON_TIME", materialize: bool = True) -> DataFrame:
     """Pane partials with window end and timing.
@@ -88,14 +112,28 @@ def timed_partials(rows: DataFrame, settings: Settings, keys=("dim1",), value: s
     written once as a reliable checkpoint in the shared checkpoint folder so
     the rows are scanned and shuffled once and a lost executor does not send
     the job back to the source."""
-    p = pane_partials(rows, settings, keys, value)
-    if materialize and not rows.isStreaming:
-        ensure_checkpoint_dir(rows.sparkSession)
-        p = p.checkpoint(eager=True)
-    wm = batch_watermarks(p.groupBy("b").agg(F.max("max_event_ms").alias("bmax")))
-    return (p.join(wm, "b")
-            .withColumn("win_end_ms", F.col("win_start_ms") + F.lit(settings.window_ms))
-            .withColumn("timing", timing_expr(settings, crossing)))
+    return _timed(rows, settings, keys, value, crossing, True, materialize)[0]
+
+
+def _on_time_panes(t: DataFrame, wm: DataFrame, settings: Settings, keys) -> DataFrame:
+    """Live mode: the (empty) ON_TIME firing of every window that was open
+    (had an EARLY pane), at the first batch whose watermark reaches the window
+    end. Each batch crosses the aligned window ends in (wm_before, wm_after];
+    enumerating them gives one row per window end of the data's time span."""
+    size = settings.window_ms
+    lo = F.coalesce(F.col("wm_before"), F.col("lo_ms") - F.lit(1))
+    start = lo - F.pmod(lo, F.lit(size)) + F.lit(size)
+    stop = F.col("wm_after") - F.pmod(F.col("wm_after"), F.lit(size))
+    crossed = wm.select("b", F.explode(
+        F.when(start <= stop, F.sequence(start, stop, F.lit(size).cast("bigint")))
+         .otherwise(F.array().cast("array<bigint>"))).alias("win_end_ms"))
+    opened = (t.filter(F.col("timing") == "EARLY")
+              .groupBy(*keys, "win_start_ms", "win_end_ms").agg(F.count(F.lit(1)).alias("_n")))
+    return opened.join(crossed, "win_end_ms").select(
+        *keys, "win_start_ms", "win_end_ms", "b", F.lit("ON_TIME").alias("timing"),
+        F.lit(0).cast("bigint").alias("num_records"), F.lit(0).cast("bigint").alias("sum"),
+        F.lit(None).cast("int").alias("min"), F.lit(None).cast("int").alias("max"),
+        F.lit(1).alias("_ord"))
 
 
 def lateness_audit(rows: DataFrame, settings: Settings, keys=()) -> DataFrame:
@@ -105,11 +143,21 @@ def lateness_audit(rows: DataFrame, settings: Settings, keys=()) -> DataFrame:
             .agg(F.sum("num_records").alias("n_rows")))
 
 
-def _panes(rows: DataFrame, settings: Settings, keys, value, crossing) -> DataFrame:
-    t = timed_partials(rows, settings, keys, value, crossing).filter(F.col("timing") != "DROPPED")
-    w = Window.partitionBy(*keys, "win_start_ms").orderBy("b")
+def _panes(rows: DataFrame, settings: Settings, keys, value, crossing, live: bool,
+           with_on_time: bool) -> DataFrame:
+    if live:
+        crossing = "EARLY"
+    t, wm = _timed(rows, settings, keys, value, crossing, close_input=not live)
+    t = (t.filter(F.col("timing") != "DROPPED")
+         .select(*keys, "win_start_ms", "win_end_ms", "b", "timing", "num_records", "sum", "min", "max",
+                 F.lit(0).alias("_ord")))
+    if live and with_on_time:
+        t = t.unionByName(_on_time_panes(t, wm, settings, keys))
+    w = Window.partitionBy(*keys, "win_start_ms").orderBy("b", "_ord")
     nonspec = F.sum(F.when(F.col("timing") != "EARLY", 1).otherwise(0)).over(
         w.rowsBetween(_UNB, Window.currentRow))
+    last = F.lit(False) if live else \
+        (F.col("b") == F.max("b").over(Window.partitionBy(*keys, "win_start_ms")))
     return t.select(
         *keys, "win_start_ms", "win_end_ms", "b",
         ((F.col("b") + 1) * F.lit(settings.early_ms)).alias("process_ts"),
@@ -118,24 +166,32 @@ def _panes(rows: DataFrame, settings: Settings, keys, value, crossing) -> DataFr
         F.when(F.col("timing") == "EARLY", F.lit(-1)).otherwise(nonspec - 1).cast("bigint")
          .alias("pane_nonspeculative_idx"),
         (F.row_number().over(w) == 1).alias("is_first"),
-        (F.col("b") == F.max("b").over(Window.partitionBy(*keys, "win_start_ms"))).alias("is_last"),
-        "num_records", "sum", "min", "max")
+        last.alias("is_last"),
+        "num_records", "sum", "min", "max", "_ord")
 
 
 def pane_replay_discarding(rows: DataFrame, settings: Settings, keys=("dim1",),
-                           value: str = "metrics1", crossing: str = "ON_TIME") -> DataFrame:
-    """One row per fired pane with the stats of that pane's rows only."""
-    p = _panes(rows, settings, keys, value, crossing)
-    return p.withColumn("avg", float_avg(F.col("sum"), F.col("num_records")))
+                           value: str = "metrics1", crossing: str = "ON_TIME",
+                           live: bool = False) -> DataFrame:
+    """One row per fired pane with the stats of that pane's rows only.
+
+    ``live=True`` gives what a running stream emits: rows of the batch that
+    crosses the window end are EARLY, the input never ends (no final +inf
+    watermark) and no pane is known to be the last."""
+    p = _panes(rows, settings, keys, value, crossing, live, with_on_time=False)
+    return p.drop("_ord").withColumn("avg", float_avg(F.col("sum"), F.col("num_records")))
 
 
 def pane_replay_accumulating(rows: DataFrame, settings: Settings, keys=("dim1",),
-                             value: str = "metrics1", crossing: str = "ON_TIME") -> DataFrame:
-    """One row per fired pane with running stats of the window so far."""
-    p = _panes(rows, settings, keys, value, crossing)
-    w = Window.partitionBy(*keys, "win_start_ms").orderBy("b").rowsBetween(_UNB, Window.currentRow)
+                             value: str = "metrics1", crossing: str = "ON_TIME",
+                             live: bool = False) -> DataFrame:
+    """One row per fired pane with running stats of the window so far. In
+    ``live`` mode an ON_TIME pane re-emits the running total once the
+    watermark passes the window end (as the stream does)."""
+    p = _panes(rows, settings, keys, value, crossing, live, with_on_time=True)
+    w = Window.partitionBy(*keys, "win_start_ms").orderBy("b", "_ord").rowsBetween(_UNB, Window.currentRow)
     acc = p.select(
-        *[c for c in p.columns if c not in ("num_records", "sum", "min", "max")],
+        *[c for c in p.columns if c not in ("num_records", "sum", "min", "max", "_ord")],
         F.sum("num_records").over(w).alias("num_records"),
         F.sum("sum").over(w).alias("sum"),
         F.min("min").over(w).alias("min"),
