@@ -184,3 +184,19 @@ def test_stream_panes_equal_live_replay(spark, work):
     timings = {r.timing for r in out.select("timing").distinct().collect()}
     assert timings == {"EARLY", "ON_TIME", "LATE"}
     assert sum(r.dropped for r in spark.read.parquet(f"{work}/state/meta").collect()) > 0
+
+
+def test_pane_machine_late_count_buffers_until_close(spark, work):
+    """late_firing_count=2: the single late row (9@4s) is buffered and fires
+    as the closing pane (last) when the watermark passes end + lateness."""
+    s2 = S.with_(late_firing_count=2)
+    q = start_pane_query(_stream_rows(spark, work), f"{work}/out", f"{work}/state", f"{work}/ckpt", s2)
+    q.awaitTermination(120)
+    acc = spark.read.parquet(f"{work}/out").filter("mode = 'accumulating' and win_start_ms = 0")
+    got = [(r.timing, r.pane_idx, r.pane_nonspeculative_idx, r.is_last, r.sum, r.batch_id)
+           for r in acc.orderBy("pane_idx").collect()]
+    assert got == [("EARLY", 0, -1, False, 1, 0), ("EARLY", 1, -1, False, 6, 1),
+                   ("ON_TIME", 2, 0, False, 6, 1), ("LATE", 3, 1, True, 15, 3)]
+    dis = spark.read.parquet(f"{work}/out").filter("mode = 'discarding' and win_start_ms = 0")
+    assert [(r.timing, r.sum, r.is_last) for r in dis.orderBy("pane_idx").collect()] == \
+        [("EARLY", 1, False), ("EARLY", 5, False), ("LATE", 9, True)]
