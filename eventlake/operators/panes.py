@@ -49,10 +49,10 @@ def pane_partials(rows: DataFrame, settings: Settings, keys=("dim1",), value: st
 
 
 def batch_watermarks(batch_max: DataFrame, block: int = BLOCK, close_input: bool = True) -> DataFrame:
-    """(b, bmax[, bmin]) -> (b, wm_before, wm_after[, lo_ms]); wm_before null
-    = -inf. With ``close_input`` the last batch's wm_after is +inf (end of a
-    bounded input); a live stream never gets there. ``lo_ms`` is the
-    smallest event time overall (when ``bmin`` is given)."""
+    """(b, bmax[, bmin]) -> (b, wm_before, wm_after[, lo_ms, hi_ms]);
+    wm_before null = -inf. With ``close_input`` the last batch's wm_after is
+    +inf (end of a bounded input); a live stream never gets there. ``lo_ms`` /
+    ``hi_ms`` are the smallest / largest event time overall (with ``bmin``)."""
     has_min = "bmin" in batch_max.columns
     bm = batch_max.withColumn("blk", F.floor(F.col("b") / F.lit(block)).cast("bigint"))
     w = Window.partitionBy("blk").orderBy("b")
@@ -68,7 +68,8 @@ def batch_watermarks(batch_max: DataFrame, block: int = BLOCK, close_input: bool
         "blk",
         F.max("blk_max").over(Window.orderBy("blk").rowsBetween(_UNB, -1)).alias("prev_max"),
         F.max("blk_last_b").over(whole).alias("last_b"),
-        *([F.min("blk_min").over(whole).alias("lo_ms")] if has_min else []))
+        *([F.min("blk_min").over(whole).alias("lo_ms"), F.max("blk_max").over(whole).alias("hi_ms")]
+          if has_min else []))
     j = local.join(blocks, "blk")
     wm_after = F.greatest(F.col("loc_incl"), F.col("prev_max"))
     if close_input:
@@ -77,7 +78,7 @@ def batch_watermarks(batch_max: DataFrame, block: int = BLOCK, close_input: bool
         "b",
         F.greatest(F.col("loc_excl"), F.col("prev_max")).alias("wm_before"),
         wm_after.alias("wm_after"),
-        *(["lo_ms"] if has_min else []))
+        *(["lo_ms", "hi_ms"] if has_min else []))
 
 
 def timing_expr(settings: Settings, crossing: str = "ON_TIME"):
@@ -98,7 +99,7 @@ def _timed(rows: DataFrame, settings: Settings, keys, value: str, crossing: str,
     wm = batch_watermarks(p.groupBy("b").agg(F.max("max_event_ms").alias("bmax"),
                                              F.min("min_event_ms").alias("bmin")),
                           close_input=close_input)
-    t = (p.join(wm.drop("lo_ms"), "b")
+    t = (p.join(wm.drop("lo_ms", "hi_ms"), "b")
          .withColumn("win_end_ms", F.col("win_start_ms") + F.lit(settings.window_ms))
          .withColumn("timing", timing_expr(settings, crossing)))
     return t, wm
@@ -115,27 +116,86 @@ def timed_partials(rows: DataFrame, settings: Settings, keys=("dim1",), value: s
     return _timed(rows, settings, keys, value, crossing, True, materialize)[0]
 
 
-def _on_time_panes(t: DataFrame, wm: DataFrame, settings: Settings, keys) -> DataFrame:
-    """Live mode: the (empty) ON_TIME firing of every window that was open
-    (had an EARLY pane), at the first batch whose watermark reaches the window
-    end. Each batch crosses the aligned window ends in (wm_before, wm_after];
-    enumerating them gives one row per window end of the data's time span."""
-    size = settings.window_ms
-    lo = F.coalesce(F.col("wm_before"), F.col("lo_ms") - F.lit(1))
+def _crossings(wm: DataFrame, size: int, shift: int) -> DataFrame:
+    """(b, win_end_ms): the batch in which the watermark first reaches
+    ``win_end_ms + shift``, for every aligned window end of the data's time
+    span. Batch b crosses the values in (wm_before, wm_after]; enumerating
+    them yields one row per window end (bounded by time span / window size,
+    not by rows)."""
+    lo = F.coalesce(F.col("wm_before"), F.col("lo_ms") - F.lit(1)) - F.lit(shift)
+    hi = F.least(F.col("wm_after") - F.lit(shift), F.col("hi_ms") + F.lit(size))
     start = lo - F.pmod(lo, F.lit(size)) + F.lit(size)
-    stop = F.col("wm_after") - F.pmod(F.col("wm_after"), F.lit(size))
-    crossed = wm.select("b", F.explode(
+    stop = hi - F.pmod(hi, F.lit(size))
+    return wm.select("b", F.explode(
         F.when(start <= stop, F.sequence(start, stop, F.lit(size).cast("bigint")))
          .otherwise(F.array().cast("array<bigint>"))).alias("win_end_ms"))
+
+
+def _on_time_panes(t: DataFrame, wm: DataFrame, settings: Settings, keys) -> DataFrame:
+    """Live mode: the (empty) ON_TIME firing of every window that was open
+    (had an EARLY pane), at the first batch whose watermark reaches the window
+    end."""
     opened = (t.filter(F.col("timing") == "EARLY")
               .groupBy(*keys, "win_start_ms", "win_end_ms").agg(F.count(F.lit(1)).alias("_n")))
-    return opened.join(crossed, "win_end_ms").select(
+    return opened.join(_crossings(wm, settings.window_ms, 0), "win_end_ms").select(
         *keys, "win_start_ms", "win_end_ms", "b", F.lit("ON_TIME").alias("timing"),
         F.lit(0).cast("bigint").alias("num_records"), F.lit(0).cast("bigint").alias("sum"),
         F.lit(None).cast("int").alias("min"), F.lit(None).cast("int").alias("max"),
         F.lit(1).alias("_ord"))
 
 
+_FIRED = "array<struct<b:bigint,num_records:bigint,sum:bigint,min:int,max:int,closing:boolean>>"
+
+
+def _late_count_panes(late: DataFrame, wm: DataFrame, settings: Settings, keys) -> DataFrame:
+    """late_firing_count n > 1: per window, walk its late partials in batch
+    order, buffering until n rows are pending, then fire and reset; rows
+    still pending when the watermark reaches end + lateness fire as the
+    closing (last) pane. A running sum with reset is not a window function,
+    so it runs as an ``aggregate`` over the window's late partials -- at most
+    lateness / early period + 1 of them."""
+    n = settings.late_firing_count
+    gc = _crossings(wm, settings.window_ms, settings.lateness_ms).withColumnRenamed("b", "gc_b")
+    parts = (late.groupBy(*keys, "win_start_ms", "win_end_ms")
+             .agg(F.sort_array(F.collect_list(F.struct(
+                 F.col("b").cast("bigint").alias("b"), F.col("num_records").cast("bigint").alias("n"),
+                 F.col("sum").cast("bigint").alias("s"), F.col("min").cast("int").alias("mn"),
+                 F.col("max").cast("int").alias("mx")))).alias("_parts"))
+             .join(gc, "win_end_ms", "left"))
+    init = F.struct(F.lit(0).cast("bigint").alias("pn"), F.lit(0).cast("bigint").alias("ps"),
+                    F.lit(None).cast("int").alias("pmn"), F.lit(None).cast("int").alias("pmx"),
+                    F.array().cast(_FIRED).alias("fired"))
+
+    def step(acc, x):
+        pn, ps = acc["pn"] + x["n"], acc["ps"] + x["s"]
+        pmn, pmx = F.least(acc["pmn"], x["mn"]), F.greatest(acc["pmx"], x["mx"])
+        fire = pn >= F.lit(n)
+        pane = F.struct(x["b"].alias("b"), pn.alias("num_records"), ps.alias("sum"), pmn.alias("min"),
+                        pmx.alias("max"), F.lit(False).alias("closing"))
+        return F.struct(
+            F.when(fire, F.lit(0).cast("bigint")).otherwise(pn).alias("pn"),
+            F.when(fire, F.lit(0).cast("bigint")).otherwise(ps).alias("ps"),
+            F.when(fire, F.lit(None).cast("int")).otherwise(pmn).alias("pmn"),
+            F.when(fire, F.lit(None).cast("int")).otherwise(pmx).alias("pmx"),
+            F.when(fire, F.concat(acc["fired"], F.array(pane))).otherwise(acc["fired"]).cast(_FIRED)
+             .alias("fired"))
+
+    def finish(acc):
+        closing = F.struct(F.col("gc_b").alias("b"), acc["pn"].alias("num_records"),
+                           acc["ps"].alias("sum"), acc["pmn"].alias("min"), acc["pmx"].alias("max"),
+                           F.lit(True).alias("closing"))
+        return F.when((acc["pn"] > 0) & F.col("gc_b").isNotNull(),
+                      F.concat(acc["fired"], F.array(closing))).otherwise(acc["fired"]).cast(_FIRED)
+
+    fired = parts.select(*keys, "win_start_ms", "win_end_ms",
+                         F.explode(F.aggregate("_parts", init, step, finish)).alias("p"))
+    return fired.select(
+        *keys, "win_start_ms", "win_end_ms", F.col("p.b").alias("b"), F.lit("LATE").alias("timing"),
+        F.col("p.num_records").alias("num_records"), F.col("p.sum").alias("sum"),
+        F.col("p.min").alias("min"), F.col("p.max").alias("max"),
+        F.when(F.col("p.closing"), F.lit(2)).otherwise(F.lit(0)).alias("_ord"))
+
+
 def lateness_audit(rows: DataFrame, settings: Settings, keys=()) -> DataFrame:
     """Row counts per (keys, window, timing) incl. DROPPED."""
     t = timed_partials(rows, settings, keys=tuple(keys) or ("dim1",))
@@ -151,13 +211,19 @@ def _panes(rows: DataFrame, settings: Settings, keys, value, crossing, live: boo
     t = (t.filter(F.col("timing") != "DROPPED")
          .select(*keys, "win_start_ms", "win_end_ms", "b", "timing", "num_records", "sum", "min", "max",
                  F.lit(0).alias("_ord")))
+    if settings.late_firing_count > 1:
+        late = t.filter(F.col("timing") == "LATE")
+        t = t.filter(F.col("timing") != "LATE").unionByName(_late_count_panes(late, wm, settings, keys))
     if live and with_on_time:
         t = t.unionByName(_on_time_panes(t, wm, settings, keys))
     w = Window.partitionBy(*keys, "win_start_ms").orderBy("b", "_ord")
     nonspec = F.sum(F.when(F.col("timing") != "EARLY", 1).otherwise(0)).over(
         w.rowsBetween(_UNB, Window.currentRow))
-    last = F.lit(False) if live else \
-        (F.col("b") == F.max("b").over(Window.partitionBy(*keys, "win_start_ms")))
+    # live: only a closing pane is known to be the last; replay of a bounded
+    # input: the window's final pane
+    last = (F.col("_ord") == 2) if live else \
+        (F.row_number().over(Window.partitionBy(*keys, "win_start_ms").orderBy(
+            F.col("b").desc(), F.col("_ord").desc())) == 1)
     return t.select(
         *keys, "win_start_ms", "win_end_ms", "b",
         ((F.col("b") + 1) * F.lit(settings.early_ms)).alias("process_ts"),

@@ -83,3 +83,17 @@ def test_panes_recombine_to_window_aggregate(spark):
     last = {(r.dim1, r.win_start_ms): (r.num_records, r.sum, r.min, r.max) for r in acc.collect()}
     assert plain == tot == last
     assert lateness_audit(e, s).filter("timing = 'DROPPED'").count() == 0
+
+
+def test_live_replay_late_count_closing_pane(rows):
+    """late_firing_count=2 in live mode: the one late row waits and fires as
+    the closing pane at the batch where the watermark passes end + lateness
+    (same panes as the streaming machine)."""
+    s2 = S.with_(late_firing_count=2)
+    a = pane_replay_accumulating(rows, s2, live=True).filter("win_start_ms = 0").orderBy("pane_idx").collect()
+    assert [(p.timing, p.pane_idx, p.pane_nonspeculative_idx, p.is_last, p.sum, p.b) for p in a] == [
+        ("EARLY", 0, -1, False, 1, 0), ("EARLY", 1, -1, False, 6, 1), ("ON_TIME", 2, 0, False, 6, 1),
+        ("LATE", 3, 1, True, 15, 3)]
+    d = pane_replay_discarding(rows, s2, live=True).filter("win_start_ms = 0").orderBy("pane_idx").collect()
+    assert [(p.timing, p.sum, p.is_last) for p in d] == [("EARLY", 1, False), ("EARLY", 5, False),
+                                                         ("LATE", 9, True)]

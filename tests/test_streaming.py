@@ -153,7 +153,8 @@ def test_pane_machine_restart_from_checkpoint(spark, work):
     assert [m.wm for m in meta] == [1000, 9000, 9000, 300000, 300000, 300000]
 
 
-def test_stream_panes_equal_live_replay(spark, work):
+@pytest.mark.parametrize("late_count", [1, 2])
+def test_stream_panes_equal_live_replay(spark, work, late_count):
     """The streaming pane machine and the batch replay in live mode give the
     same panes (timing, indexes, flags, stats) for both pane kinds, on real
     rows micro-batched by the same arrival rule. Some deliveries are held
@@ -161,7 +162,8 @@ def test_stream_panes_equal_live_replay(spark, work):
     from conftest import SF001
     from eventlake.operators.panes import pane_replay_accumulating, pane_replay_discarding
     from eventlake.plans import fixtures as fx
-    s = Settings.fixture().with_(early_firing_period="120h", allowed_lateness="120h")
+    s = Settings.fixture().with_(early_firing_period="120h", allowed_lateness="120h",
+                                 late_firing_count=late_count)
     held = (F.when(F.pmod(F.col("seq"), F.lit(11)) == 0, 3)
              .when(F.pmod(F.col("seq"), F.lit(7)) == 0, 1).otherwise(0))
     rows = (fx.enriched(spark, SF001)
