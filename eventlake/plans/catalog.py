@@ -138,6 +138,15 @@ def q_pane_replay_accumulating(spark: SparkSession, sf_dir: str) -> DataFrame:
     return panes.pane_replay_accumulating(fx.enriched(spark, sf_dir), S).select(*_PANE_COLS)
 
 
+def q_pane_replay_live_discarding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Panes as a running stream emits them (no end of input)."""
+    return panes.pane_replay_discarding(fx.enriched(spark, sf_dir), S, live=True).select(*_PANE_COLS)
+
+
+def q_pane_replay_live_accumulating(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return panes.pane_replay_accumulating(fx.enriched(spark, sf_dir), S, live=True).select(*_PANE_COLS)
+
+
 def q_tall_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enc.tall_encode(panes.pane_replay_accumulating(fx.enriched(spark, sf_dir), S))
 
@@ -186,6 +195,8 @@ QUERIES = {
     "lateness_audit": q_lateness_audit,
     "pane_replay_discarding": q_pane_replay_discarding,
     "pane_replay_accumulating": q_pane_replay_accumulating,
+    "pane_replay_live_discarding": q_pane_replay_live_discarding,
+    "pane_replay_live_accumulating": q_pane_replay_live_accumulating,
     "tall_encode": q_tall_encode,
     "wide_encode": q_wide_encode,
     "read_wide_total": q_read_wide_total,

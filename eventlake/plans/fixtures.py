@@ -44,7 +44,7 @@ def faulty_messages(spark: SparkSession, sf_dir: str, settings: Settings = FIXTU
     d = settings.csv_delimiter
     text = F.col("payload").cast("string")
     parts = F.split(text, d, -1)
-    rest = F.array_join(F.slice(parts, 2, 100), d)
+    rest = F.array_join(F.slice(parts, F.lit(2), F.size(parts) - 1), d)
     k = F.pmod(F.col("message_id").cast("bigint"), F.lit(50))
     payload = (F.when(k == FAULT_TRUNCATED, F.array_join(F.slice(parts, 1, 3), d))
                .when(k == FAULT_PADDED_TS, F.concat(F.lit(" "), parts[0], F.lit(" "), F.lit(d), rest))

@@ -343,3 +343,72 @@ w AS (
   FROM enr GROUP BY 1, 2, 3)
 SELECT w.* FROM w WHERE win_end_ms <= (SELECT max(event_ts) FROM enr) - {L30M + W6H}""",
 })
+
+
+# Live pane replay: rows of the batch that crosses the window end stay EARLY;
+# an open window (one with an EARLY pane) fires an empty ON_TIME pane at the
+# first batch whose watermark reaches its end; the input never ends.
+LIVE_SQL = f"""
+bm AS (SELECT arrival_ms // {E30M} AS b, max(event_ts) AS bmax FROM enr GROUP BY 1),
+wm AS (
+  SELECT b,
+         max(bmax) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS wm_before,
+         max(bmax) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS wm_after
+  FROM bm),
+r AS (
+  SELECT enr.*, (event_ts // {W6H}) * {W6H} AS win_start_ms, (event_ts // {W6H}) * {W6H} + {W6H} AS win_end_ms,
+         arrival_ms // {E30M} AS b
+  FROM enr),
+t AS (
+  SELECT r.*, CASE WHEN wm.wm_before >= r.win_end_ms + {L30M} THEN 'DROPPED'
+                   WHEN wm.wm_before >= r.win_end_ms THEN 'LATE'
+                   ELSE 'EARLY' END AS timing
+  FROM r JOIN wm USING (b)),
+pp AS (
+  SELECT dim1, win_start_ms, win_end_ms, b, timing, 0 AS ord, count(*) AS n, CAST(sum(metrics1) AS BIGINT) AS s,
+         min(metrics1) AS mn, max(metrics1) AS mx
+  FROM t WHERE timing <> 'DROPPED' GROUP BY ALL),
+ot AS (
+  SELECT o.dim1, o.win_start_ms, o.win_end_ms,
+         (SELECT min(wm.b) FROM wm WHERE wm.wm_after >= o.win_end_ms) AS b,
+         'ON_TIME' AS timing, 1 AS ord, CAST(0 AS BIGINT) AS n, CAST(0 AS BIGINT) AS s,
+         CAST(NULL AS INTEGER) AS mn, CAST(NULL AS INTEGER) AS mx
+  FROM (SELECT DISTINCT dim1, win_start_ms, win_end_ms FROM pp WHERE timing = 'EARLY') o)"""
+
+
+def _live_panes(with_on_time: bool) -> str:
+    src = "SELECT * FROM pp UNION ALL SELECT * FROM ot WHERE b IS NOT NULL" if with_on_time else \
+        "SELECT * FROM pp"
+    return f"""
+allp AS ({src}),
+panes AS (
+  SELECT allp.*, (b + 1) * {E30M} AS process_ts,
+         CAST(row_number() OVER w - 1 AS BIGINT) AS pane_idx,
+         CAST(CASE WHEN timing = 'EARLY' THEN -1
+              ELSE sum(CASE WHEN timing <> 'EARLY' THEN 1 ELSE 0 END)
+                   OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - 1 END AS BIGINT)
+           AS pane_nonspeculative_idx,
+         row_number() OVER w = 1 AS is_first, false AS is_last,
+         sum(n) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS acc_n,
+         CAST(sum(s) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS acc_s,
+         min(mn) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS acc_mn,
+         max(mx) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS acc_mx
+  FROM allp WINDOW w AS (PARTITION BY dim1, win_start_ms ORDER BY b, ord))"""
+
+
+ORACLE.update({
+    "pane_replay_live_discarding": f"""
+WITH {ENR.strip()},
+{LIVE_SQL.strip()},
+{_live_panes(False).strip()}
+SELECT {_PANE_SELECT}, n AS num_records, s AS sum, mx AS max, mn AS min, {_favg('s', 'n')} AS avg
+FROM panes""",
+
+    "pane_replay_live_accumulating": f"""
+WITH {ENR.strip()},
+{LIVE_SQL.strip()},
+{_live_panes(True).strip()}
+SELECT {_PANE_SELECT}, acc_n AS num_records, acc_s AS sum, acc_mx AS max, acc_mn AS min,
+       {_favg('acc_s', 'acc_n')} AS avg
+FROM panes""",
+})

@@ -9,7 +9,7 @@ from eventlake.functions.time import epoch_ms
 from eventlake.operators.aggregates import window_stats
 from eventlake.operators.dedup import dedup_stream
 from eventlake.operators.enrich import enrich
-from eventlake.operators.parse import parse_messages, split_routes
+from eventlake.operators.parse import event_time_from_attributes, parse_messages, split_routes
 from eventlake.settings import Settings
 
 
@@ -27,7 +27,6 @@ def valid_enriched(messages: DataFrame, dim: DataFrame, settings: Settings = Set
     """messages (batch or stream) -> (enriched valid rows with event_ms and
     arrival_ms, dead letters)."""
     if dedup:
-        from eventlake.operators.parse import event_time_from_attributes
         m = messages.withColumn("event_time", event_time_from_attributes(settings))
         m = dedup_stream(m, settings, horizon=f"{watermark_delay_ms(settings)} milliseconds").drop("event_time")
     else:
@@ -69,7 +68,6 @@ def start_dedup_query(messages: DataFrame, out_path: str, checkpoint: str,
                       settings: Settings = Settings(), trigger: dict | None = None):
     """Drop redelivered messages (same id attribute) within the watermark
     horizon and append the survivors as parquet."""
-    from eventlake.operators.parse import event_time_from_attributes
     m = messages.withColumn("event_time", event_time_from_attributes(settings))
     d = dedup_stream(m, settings, horizon=f"{watermark_delay_ms(settings)} milliseconds")
     w = (d.select("message_id", F.col("payload").cast("string").alias("payload"), "event_time",
