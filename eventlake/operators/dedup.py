@@ -24,11 +24,31 @@ def dedup_by_id(messages: DataFrame, settings: Settings = Settings()) -> DataFra
     return first.select("_m.*")
 
 
+def local_first_copies(df: DataFrame, key_col: str) -> DataFrame:
+    """Keep the first row per key within each input partition (no shuffle).
+    Stateless, so it also runs inside a stream: when one id's copies are a
+    large share of a micro-batch, at most one copy per partition reaches the
+    shuffle of the stateful dedup."""
+    def run(batches):
+        seen = set()
+        for pdf in batches:
+            pdf = pdf.drop_duplicates(subset=[key_col])
+            pdf = pdf[~pdf[key_col].isin(seen)]
+            seen.update(pdf[key_col].tolist())
+            if len(pdf):
+                yield pdf
+    return df.mapInPandas(run, df.schema)
+
+
 def dedup_stream(messages: DataFrame, settings: Settings = Settings(),
-                 time_col: str = "event_time", horizon: str = "10 minutes") -> DataFrame:
+                 time_col: str = "event_time", horizon: str = "10 minutes",
+                 local_first: bool = True) -> DataFrame:
     """Streaming: drop redeliveries seen within the watermark horizon
-    (bounded state)."""
-    return (messages.withColumn("_dedup_key", dedup_key(settings))
-            .withWatermark(time_col, horizon)
+    (bounded state). ``local_first`` removes copies inside each partition
+    before the stateful operator's shuffle."""
+    m = messages.withColumn("_dedup_key", dedup_key(settings))
+    if local_first:
+        m = local_first_copies(m, "_dedup_key")
+    return (m.withWatermark(time_col, horizon)
             .dropDuplicatesWithinWatermark(["_dedup_key"])
             .drop("_dedup_key"))

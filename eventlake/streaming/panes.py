@@ -69,12 +69,26 @@ class PaneMachine:
     must hold ``keys``, ``event_ms`` and the value column."""
 
     def __init__(self, out_path: str, state_path: str, settings: Settings = Settings(),
-                 keys=("dim1",), value: str = "metrics1"):
+                 keys=("dim1",), value: str = "metrics1", keep_versions: int = 10):
         self.out = out_path.rstrip("/")
         self.state = state_path.rstrip("/")
         self.s = settings
         self.keys = list(keys)
         self.value = value
+        self.keep_versions = max(2, keep_versions)
+
+    def _prune(self, spark: SparkSession, batch_id: int) -> None:
+        """Retention: drop the state version that fell out of the window of
+        ``keep_versions`` (a restart replays at most the last batch, which
+        needs only the previous version)."""
+        old = batch_id - self.keep_versions
+        if old < 0:
+            return
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in (f"{self.state}/v={old}", f"{self.state}/meta/v={old}"):
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
 
     # -- state ---------------------------------------------------------
     def _prev(self, spark: SparkSession, batch_id: int):
@@ -225,12 +239,13 @@ class PaneMachine:
              .coalesce(1).write.mode("overwrite").parquet(f"{self.state}/meta/v={batch_id}"))
         step.unpersist()
         agg.unpersist()
+        self._prune(spark, batch_id)
 
 
 def start_pane_query(valid: DataFrame, out_path: str, state_path: str, checkpoint: str,
                      settings: Settings = Settings(), keys=("dim1",), value: str = "metrics1",
-                     trigger: dict | None = None):
-    machine = PaneMachine(out_path, state_path, settings, keys, value)
+                     trigger: dict | None = None, keep_versions: int = 10):
+    machine = PaneMachine(out_path, state_path, settings, keys, value, keep_versions)
     cols = [*keys, "event_ms", value]
     w = (valid.select(*cols).writeStream.option("checkpointLocation", checkpoint)
          .foreachBatch(machine.process))

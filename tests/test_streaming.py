@@ -202,3 +202,18 @@ def test_pane_machine_late_count_buffers_until_close(spark, work):
     dis = spark.read.parquet(f"{work}/out").filter("mode = 'discarding' and win_start_ms = 0")
     assert [(r.timing, r.sum, r.is_last) for r in dis.orderBy("pane_idx").collect()] == \
         [("EARLY", 1, False), ("EARLY", 5, False), ("LATE", 9, True)]
+
+
+def test_local_first_copies_and_state_retention(spark, work):
+    from eventlake.operators.dedup import local_first_copies
+    from eventlake.streaming.panes import PaneMachine
+    df = spark.createDataFrame([("hot", i) for i in range(300)] + [(f"k{i}", i) for i in range(20)],
+                               "k string, v int").repartition(4)
+    out = local_first_copies(df, "k")
+    assert out.filter("k = 'hot'").count() <= 4 and out.filter("k != 'hot'").count() == 20
+    m = PaneMachine(f"{work}/out", f"{work}/state", S, keep_versions=2)
+    rows = spark.createDataFrame([("x", 1000, 1)], "dim1 string, event_ms long, metrics1 int")
+    for b in range(4):
+        m.process(rows, b)
+    import os
+    assert sorted(d for d in os.listdir(f"{work}/state") if d.startswith("v=")) == ["v=2", "v=3"]
