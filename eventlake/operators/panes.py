@@ -99,6 +99,9 @@ def _timed(rows: DataFrame, settings: Settings, keys, value: str, crossing: str,
     wm = batch_watermarks(p.groupBy("b").agg(F.max("max_event_ms").alias("bmax"),
                                              F.min("min_event_ms").alias("bmin")),
                           close_input=close_input)
+    if materialize and not rows.isStreaming:
+        # one row per micro-batch, read by several branches: computed once
+        wm = wm.checkpoint(eager=True)
     t = (p.join(wm.drop("lo_ms", "hi_ms"), "b")
          .withColumn("win_end_ms", F.col("win_start_ms") + F.lit(settings.window_ms))
          .withColumn("timing", timing_expr(settings, crossing)))
