@@ -17,7 +17,8 @@ msg AS (
          event_type AS dim1,
          CAST(floor(value) AS INTEGER) AS metrics1,
          epoch_us(ts) // 1000 + 1000 AS process_ts,
-         epoch_us(ts) // 1000 + ((event_id * 7919) % 97) * 60000 AS arrival_ms
+         epoch_us(ts) // 1000 + ((event_id * 7919) % 97) * 60000 AS arrival_ms,
+         epoch_us(ts) + ((event_id * 7919) % 97) * 60000000 AS arrival_us
   FROM events
 )"""
 
@@ -348,8 +349,9 @@ SELECT w.* FROM w WHERE win_end_ms <= (SELECT max(event_ts) FROM enr) - {L30M +
 # Live pane replay: rows of the batch that crosses the window end stay EARLY;
 # an open window (one with an EARLY pane) fires an empty ON_TIME pane at the
 # first batch whose watermark reaches its end; the input never ends.
-LIVE_SQL = f"""
-bm AS (SELECT arrival_ms // {E30M} AS b, max(event_ts) AS bmax FROM enr GROUP BY 1),
+def live_sql(batch: str = f"arrival_ms // {E30M}") -> str:
+    return f"""
+bm AS (SELECT {batch} AS b, max(event_ts) AS bmax FROM enr GROUP BY 1),
 wm AS (
   SELECT b,
          max(bmax) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS wm_before,
@@ -357,7 +359,7 @@ wm AS (
   FROM bm),
 r AS (
   SELECT enr.*, (event_ts // {W6H}) * {W6H} AS win_start_ms, (event_ts // {W6H}) * {W6H} + {W6H} AS win_end_ms,
-         arrival_ms // {E30M} AS b
+         {batch} AS b
   FROM enr),
 t AS (
   SELECT r.*, CASE WHEN wm.wm_before >= r.win_end_ms + {L30M} THEN 'DROPPED'
@@ -376,13 +378,13 @@ ot AS (
   FROM (SELECT DISTINCT dim1, win_start_ms, win_end_ms FROM pp WHERE timing = 'EARLY') o)"""
 
 
-def _live_panes(with_on_time: bool) -> str:
-    src = "SELECT * FROM pp UNION ALL SELECT * FROM ot WHERE b IS NOT NULL" if with_on_time else \
-        "SELECT * FROM pp"
+LIVE_SQL = live_sql()
+
+
+def _pane_rows(src: str) -> str:
+    """Pane indexes and running totals over the panes in ``src``."""
     return f"""
-allp AS ({src}),
-panes AS (
-  SELECT allp.*, (b + 1) * {E30M} AS process_ts,
+  SELECT {src}.*, (b + 1) * {E30M} AS process_ts,
          CAST(row_number() OVER w - 1 AS BIGINT) AS pane_idx,
          CAST(CASE WHEN timing = 'EARLY' THEN -1
               ELSE sum(CASE WHEN timing <> 'EARLY' THEN 1 ELSE 0 END)
@@ -393,7 +395,15 @@ panes AS (
          CAST(sum(s) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS acc_s,
          min(mn) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS acc_mn,
          max(mx) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS acc_mx
-  FROM allp WINDOW w AS (PARTITION BY dim1, win_start_ms ORDER BY b, ord))"""
+  FROM {src} WINDOW w AS (PARTITION BY dim1, win_start_ms ORDER BY b, ord)"""
+
+
+def _live_panes(with_on_time: bool) -> str:
+    src = "SELECT * FROM pp UNION ALL SELECT * FROM ot WHERE b IS NOT NULL" if with_on_time else \
+        "SELECT * FROM pp"
+    return f"""
+allp AS ({src}),
+panes AS ({_pane_rows("allp")})"""
 
 
 ORACLE.update({
@@ -412,3 +422,51 @@ SELECT {_PANE_SELECT}, acc_n AS num_records, acc_s AS sum, acc_mx AS max, acc_mn
        {_favg('acc_s', 'acc_n')} AS avg
 FROM panes""",
 })
+
+
+# The stream replays the messages as 6 equal arrival slices (one micro-batch
+# each); its pane machine must give the live panes of that batching.
+_SLICE = ("((arrival_us - (SELECT min(arrival_us) FROM msg)) * 6) "
+          "// ((SELECT max(arrival_us) FROM msg) - (SELECT min(arrival_us) FROM msg) + 1)")
+
+ORACLE["stream_panes"] = f"""
+WITH {ENR.strip()},
+{live_sql(_SLICE).strip()},
+allp AS (SELECT * FROM pp UNION ALL SELECT * FROM ot WHERE b IS NOT NULL),
+acc AS ({_pane_rows("allp")}),
+dis AS ({_pane_rows("pp")})
+SELECT dim1, win_start_ms, win_end_ms, b AS batch_id, timing, pane_idx, pane_nonspeculative_idx, is_first,
+       is_last, acc_n AS num_records, acc_s AS sum, acc_mx AS max, acc_mn AS min,
+       {_favg('acc_s', 'acc_n')} AS avg, 'accumulating' AS mode
+FROM acc
+UNION ALL
+SELECT dim1, win_start_ms, win_end_ms, b AS batch_id, timing, pane_idx, pane_nonspeculative_idx, is_first,
+       is_last, n AS num_records, s AS sum, mx AS max, mn AS min, {_favg('s', 'n')} AS avg,
+       'discarding' AS mode
+FROM dis"""
+
+
+# Update mode: every micro-batch re-emits the running totals of the windows
+# it touched (no row is behind the watermark for this data).
+ORACLE["stream_update_stats"] = f"""
+WITH {ENR.strip()},
+x AS (SELECT enr.*, {_SLICE} AS b, (event_ts // {W6H}) * {W6H} AS win_start_ms FROM enr),
+pb AS (SELECT dim1, win_start_ms, b, count(*) AS n, sum(metrics1) AS s, min(metrics1) AS mn,
+              max(metrics1) AS mx FROM x GROUP BY ALL),
+acc AS (
+  SELECT dim1, win_start_ms, b,
+         sum(n) OVER w AS acc_n, CAST(sum(s) OVER w AS BIGINT) AS acc_s,
+         min(mn) OVER w AS acc_mn, max(mx) OVER w AS acc_mx
+  FROM pb WINDOW w AS (PARTITION BY dim1, win_start_ms ORDER BY b
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT dim1, win_start_ms, win_start_ms + {W6H} AS win_end_ms, acc_n AS num_records, acc_s AS sum,
+       acc_mx AS max, acc_mn AS min, {_favg('acc_s', 'acc_n')} AS avg, b AS batch_id
+FROM acc"""
+
+
+ORACLE["stream_per_trigger_stats"] = f"""
+WITH {ENR.strip()},
+x AS (SELECT enr.*, {_SLICE} AS b FROM enr)
+SELECT dim1, count(*) AS num_records, CAST(sum(metrics1) AS BIGINT) AS sum, max(metrics1) AS max,
+       min(metrics1) AS min, {_favg('sum(metrics1)', 'count(*)')} AS avg, b AS batch_id
+FROM x GROUP BY dim1, b"""

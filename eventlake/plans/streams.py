@@ -47,7 +47,7 @@ def q_stream_update_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, stream = _staged_messages(spark, sf_dir, "stream_update_stats")
     valid, _ = valid_enriched(stream, fixture_dimension(spark), S, process_ts=fx.batch_process_ts())
     _run(start_stats_query(valid, f"{root}/out", f"{root}/ckpt", S, mode="update"))
-    return spark.read.parquet(f"{root}/out")
+    return spark.read.parquet(f"{root}/out").withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
 
 def q_stream_append_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +70,8 @@ def q_stream_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, stream = _staged_messages(spark, sf_dir, "stream_panes")
     valid, _ = valid_enriched(stream, fixture_dimension(spark), S, process_ts=fx.batch_process_ts())
     _run(start_pane_query(valid, f"{root}/out", f"{root}/state", f"{root}/ckpt", S))
-    return spark.read.parquet(f"{root}/out").drop("process_ts")
+    return spark.read.parquet(f"{root}/out").drop("process_ts") \
+        .withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
 
 STREAM_QUERIES = {
@@ -121,7 +122,7 @@ def q_stream_per_trigger_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, stream = _staged_messages(spark, sf_dir, "stream_per_trigger_stats")
     valid, _ = valid_enriched(stream, fixture_dimension(spark), S, process_ts=fx.batch_process_ts())
     _run(start_per_trigger_query(valid, f"{root}/out", f"{root}/ckpt"))
-    return spark.read.parquet(f"{root}/out")
+    return spark.read.parquet(f"{root}/out").withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
 
 STREAM_QUERIES.update({

@@ -23,9 +23,12 @@ def stage_batches(df: DataFrame, path: str, batch_col: str) -> list:
 
 
 def arrival_batches(messages: DataFrame, n: int) -> DataFrame:
-    """Bucket messages into ``n`` arrival-time slices (equal time width)."""
-    bounds = messages.agg(F.min("publish_ts").alias("lo"), F.max("publish_ts").alias("hi")).first()
-    lo, hi = bounds["lo"].timestamp(), bounds["hi"].timestamp()
-    width = max((hi - lo) / n, 1e-6)
-    b = F.least(F.floor((F.unix_micros("publish_ts") / 1e6 - F.lit(lo)) / F.lit(width)), F.lit(n - 1))
-    return messages.withColumn("_batch", b.cast("int"))
+    """Bucket messages into ``n`` equal-width arrival-time slices:
+    ``(publish_us - lo) * n div (hi - lo + 1)`` in exact integer arithmetic
+    (lo / hi = first / last publish time, two scalars)."""
+    b = messages.agg(F.min(F.unix_micros("publish_ts")).alias("lo"),
+                     F.max(F.unix_micros("publish_ts")).alias("hi")).first()
+    lo, span = int(b["lo"]), int(b["hi"]) - int(b["lo"]) + 1
+    num = (F.unix_micros("publish_ts") - F.lit(lo)) * F.lit(n)
+    k = (num - F.pmod(num, F.lit(span))) / F.lit(span)  # exact: num is a multiple of span here
+    return messages.withColumn("_batch", k.cast("int"))
