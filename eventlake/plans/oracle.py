@@ -349,18 +349,18 @@ SELECT w.* FROM w WHERE win_end_ms <= (SELECT max(event_ts) FROM enr) - {L30M +
 # Live pane replay: rows of the batch that crosses the window end stay EARLY;
 # an open window (one with an EARLY pane) fires an empty ON_TIME pane at the
 # first batch whose watermark reaches its end; the input never ends.
-def live_sql(batch: str = f"arrival_ms // {E30M}") -> str:
+def live_sql(batch: str = f"arrival_ms // {E30M}", src: str = "enr") -> str:
     return f"""
-bm AS (SELECT {batch} AS b, max(event_ts) AS bmax FROM enr GROUP BY 1),
+bm AS (SELECT {batch} AS b, max(event_ts) AS bmax FROM {src} GROUP BY 1),
 wm AS (
   SELECT b,
          max(bmax) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS wm_before,
          max(bmax) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS wm_after
   FROM bm),
 r AS (
-  SELECT enr.*, (event_ts // {W6H}) * {W6H} AS win_start_ms, (event_ts // {W6H}) * {W6H} + {W6H} AS win_end_ms,
+  SELECT {src}.*, (event_ts // {W6H}) * {W6H} AS win_start_ms, (event_ts // {W6H}) * {W6H} + {W6H} AS win_end_ms,
          {batch} AS b
-  FROM enr),
+  FROM {src}),
 t AS (
   SELECT r.*, CASE WHEN wm.wm_before >= r.win_end_ms + {L30M} THEN 'DROPPED'
                    WHEN wm.wm_before >= r.win_end_ms THEN 'LATE'
@@ -470,3 +470,23 @@ x AS (SELECT enr.*, {_SLICE} AS b FROM enr)
 SELECT dim1, count(*) AS num_records, CAST(sum(metrics1) AS BIGINT) AS sum, max(metrics1) AS max,
        min(metrics1) AS min, {_favg('sum(metrics1)', 'count(*)')} AS avg, b AS batch_id
 FROM x GROUP BY dim1, b"""
+
+
+# Fan-out over the faulty messages: rows landed per sink.
+_DEAD = "event_id % 50 IN (0, 7, 17, 33, 41)"
+
+ORACLE["stream_fanout_sinks"] = f"""
+WITH {ENR.strip()},
+enrv AS (SELECT * FROM enr WHERE NOT ({_DEAD})),
+{live_sql(_SLICE, "enrv").strip()},
+allp AS (SELECT * FROM pp UNION ALL SELECT * FROM ot WHERE b IS NOT NULL),
+acc AS ({_pane_rows("allp")}),
+dis AS ({_pane_rows("pp")})
+SELECT 'csv' AS sink, (SELECT count(*) FROM enrv) AS n_rows
+UNION ALL SELECT 'records', (SELECT count(*) FROM enrv)
+UNION ALL SELECT 'warehouse', (SELECT count(*) FROM enrv)
+UNION ALL SELECT 'docs_ndjson_lines', 2 * (SELECT count(*) FROM enrv)
+UNION ALL SELECT 'errors', (SELECT count(*) FROM msg WHERE {_DEAD})
+UNION ALL SELECT 'panes', (SELECT count(*) FROM acc) + (SELECT count(*) FROM dis)
+UNION ALL SELECT 'tall', 14 * (SELECT count(*) FROM acc)
+UNION ALL SELECT 'wide', 5 * (SELECT count(*) FROM dis)"""
