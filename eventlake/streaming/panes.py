@@ -19,6 +19,7 @@ It runs in ``foreachBatch``. Per micro-batch:
 4. panes go to ``out/batch_id=<id>/mode={accumulating,discarding}`` and the new
    state to ``state/v=<id>``, all with overwrite: a replayed batch id
    recomputes from ``v=<id-1>`` and replaces its own output (exactly once).
+   The watermark and dropped-row count go to ``state/meta/v=<id>.json``.
 
 Every step after (1) touches only per-window rows, whose number is bounded by
 keys x open windows, not by the data volume.
@@ -26,6 +27,8 @@ keys x open windows, not by the data volume.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,6 +79,21 @@ class PaneMachine:
         self.keys = list(keys)
         self.value = value
         self.keep_versions = max(2, keep_versions)
+        self._step_cols = None
+        self._wm: dict = {}
+
+    def _fs(self, spark: SparkSession, path: str):
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _write_meta(self, spark: SparkSession, batch_id: int, meta: dict) -> None:
+        """Per-batch metadata (watermark after the batch, rows dropped) as one
+        small JSON file through the Hadoop FileSystem API -- no Spark job."""
+        p, fs = self._fs(spark, f"{self.state}/meta/v={batch_id}.json")
+        out = fs.create(p, True)
+        out.write(bytearray(json.dumps(meta).encode("utf-8")))
+        out.close()
 
     def _prune(self, spark: SparkSession, batch_id: int) -> None:
         """Retention: drop the state version that fell out of the window of
@@ -84,40 +102,29 @@ class PaneMachine:
         old = batch_id - self.keep_versions
         if old < 0:
             return
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for path in (f"{self.state}/v={old}", f"{self.state}/meta/v={old}"):
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(conf).delete(p, True)
+        for path in (f"{self.state}/v={old}", f"{self.state}/meta/v={old}.json"):
+            p, fs = self._fs(spark, path)
+            fs.delete(p, True)
 
     # -- state ---------------------------------------------------------
     def _prev(self, spark: SparkSession, batch_id: int):
         st = _read_or_none(spark, f"{self.state}/v={batch_id - 1}") if batch_id > 0 else None
-        meta = _read_or_none(spark, f"{self.state}/meta/v={batch_id - 1}") if batch_id > 0 else None
         if st is None:
             st = spark.createDataFrame([], _state_schema(self.keys))
-        wm = meta.first()["wm"] if meta is not None else None
+        if batch_id - 1 in self._wm:
+            wm = self._wm[batch_id - 1]
+        elif batch_id > 0:  # restart: the previous watermark comes from storage
+            meta = spark.read.schema("wm long").json(f"{self.state}/meta/v={batch_id - 1}.json").first()
+            wm = meta["wm"] if meta is not None else None
+        else:
+            wm = None
         return st, wm
 
-    # -- one micro-batch -----------------------------------------------
-    def process(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+    # -- expressions (built once; per-batch values enter as columns) -----
+    def _build(self) -> None:
         s, keys = self.s, self.keys
         size, late_ms, n_late = s.window_ms, s.lateness_ms, s.late_firing_count
-        ev = F.col("event_ms")
-        agg = (batch.groupBy(*[F.col(k).cast("string").alias(k) for k in keys],
-                             (ev - F.pmod(ev, F.lit(size))).alias("win_start_ms"))
-               .agg(F.count(F.lit(1)).alias("b_n"), F.sum(self.value).cast("bigint").alias("b_sum"),
-                    F.min(self.value).cast("int").alias("b_min"),
-                    F.max(self.value).cast("int").alias("b_max"), F.max(ev).alias("b_mev"))
-               .persist())
-        prev_state, wm = self._prev(spark, batch_id)
-        bmax = agg.agg(F.max("b_mev")).first()[0]
-        wm2 = bmax if wm is None else (wm if bmax is None else max(wm, bmax))
-
-        W = F.lit(wm).cast("bigint")
-        W2 = F.lit(wm2).cast("bigint")
-        j = agg.join(prev_state, keys + ["win_start_ms"], "full_outer")
+        W, W2 = F.col("_W"), F.col("_W2")
         E = F.col("win_start_ms") + F.lit(size)
         in_b = F.col("b_n").isNotNull()
         dropped = in_b & W.isNotNull() & (W >= E + F.lit(late_ms))
@@ -139,9 +146,10 @@ class PaneMachine:
         d_mx = F.when(is_early, F.col("b_max")).when(fire_late, pmx)
         an, as_, amn, amx = _add(F.col("acc_n"), F.col("acc_sum"), F.col("acc_min"), F.col("acc_max"),
                                  F.when(take, d_n), F.when(take, d_s), F.when(take, d_mn), F.when(take, d_mx))
-        step = j.select(
+        self._step_cols = [
             "*",
             is_early.alias("_early"), fire_late.alias("_fire_late"), dropped.alias("_dropped"),
+            (known | live).alias("_keep"),
             d_n.alias("_d_n"), d_s.alias("_d_sum"), d_mn.alias("_d_min"), d_mx.alias("_d_max"),
             an.alias("_a_n"), as_.alias("_a_sum"), amn.alias("_a_min"), amx.alias("_a_max"),
             F.when(fire_late, F.lit(0)).otherwise(pn).alias("_p_n"),
@@ -152,7 +160,8 @@ class PaneMachine:
             ((F.coalesce(F.col("on_time"), F.lit(False)) == F.lit(False))
              & (is_early | (known & ~is_late)) & W2.isNotNull() & (W2 >= E)).alias("_fire_on_time"),
             (W2.isNotNull() & (W2 >= E + F.lit(late_ms))).alias("_close"),
-        )
+            (in_b & W.isNotNull() & (W >= E)).alias("_seen_late"),
+        ]
         fire_close = F.col("_close") & (F.col("_p_n") > 0)
         empty = F.lit(None).cast("bigint")
 
@@ -167,7 +176,7 @@ class PaneMachine:
                                 F.col("_p_n"), F.col("_p_sum"), F.col("_p_min"), F.col("_p_max"))
         a = (F.col("_a_n"), F.col("_a_sum"), F.col("_a_min"), F.col("_a_max"))
         no_last = F.lit(False)
-        panes = F.array(
+        self._panes_col = F.array(
             pane("EARLY", F.col("_early"), F.col("_d_n"), F.col("_d_sum"), F.col("_d_min"), F.col("_d_max"),
                  *a, no_last),
             pane("LATE", F.col("_fire_late"), F.col("_d_n"), F.col("_d_sum"), F.col("_d_min"), F.col("_d_max"),
@@ -175,38 +184,33 @@ class PaneMachine:
             pane("ON_TIME", F.col("_fire_on_time"), empty, empty, empty, empty, *a, no_last),
             pane("LATE", fire_close, F.col("_p_n"), F.col("_p_sum"), F.col("_p_min"), F.col("_p_max"),
                  cn, cs, cmn, cmx, F.lit(True)),
-        )
-        step = step.withColumn("_panes", panes).persist()
+        ).alias("_panes")
 
         ts = F.unix_millis(F.current_timestamp())
-        outs = []
-        for mode, idx_c, ns_c, keep in (
-                ("accumulating", "acc_idx", "acc_nonspec", lambda p: p["fire"]),
-                ("discarding", "dis_idx", "dis_nonspec", lambda p: p["fire"] & (p["d_n"] > 0))):
-            fired = step.select(*keys, "win_start_ms", F.col(idx_c), F.col(ns_c),
-                                F.filter("_panes", keep).alias("_f"))
-            fired = fired.withColumn("_has_early", F.exists("_f", lambda p: p["timing"] == "EARLY"))
-            ex = fired.select(*keys, "win_start_ms", idx_c, ns_c, "_has_early",
-                              F.posexplode("_f").alias("pos", "p"))
-            idx = F.coalesce(F.col(idx_c), F.lit(0)) + F.col("pos")
+        acc_keep = lambda p: p["fire"]
+        dis_keep = lambda p: p["fire"] & (p["d_n"] > 0)
+        self._fired = []
+        for mode, idx_c, ns_c, keep in (("accumulating", "acc_idx", "acc_nonspec", acc_keep),
+                                        ("discarding", "dis_idx", "dis_nonspec", dis_keep)):
+            f = F.filter("_panes", keep)
+            pick = [*keys, "win_start_ms", "_batch_id", F.col(idx_c).alias("_idx"), F.col(ns_c).alias("_ns"),
+                    f.alias("_f"), F.exists(f, lambda p: p["timing"] == "EARLY").alias("_has_early")]
+            idx = F.coalesce(F.col("_idx"), F.lit(0)) + F.col("pos")
             # non-EARLY panes fired before this one in the batch: an EARLY
             # pane, when present, is always the first
             ns = F.when(F.col("p.timing") == "EARLY", F.lit(-1)).otherwise(
-                F.coalesce(F.col(ns_c), F.lit(0)) + F.col("pos") - F.when(F.col("_has_early"), 1).otherwise(0))
+                F.coalesce(F.col("_ns"), F.lit(0)) + F.col("pos") - F.when(F.col("_has_early"), 1).otherwise(0))
             pre = "p.a_" if mode == "accumulating" else "p.d_"
             n_col, s_col = F.col(pre + "n"), F.col(pre + "sum")
-            outs.append(ex.select(
-                *keys, "win_start_ms", (F.col("win_start_ms") + F.lit(size)).alias("win_end_ms"),
-                F.lit(batch_id).cast("bigint").alias("batch_id"), ts.alias("process_ts"),
-                F.col("p.timing").alias("timing"), idx.cast("bigint").alias("pane_idx"),
-                ns.cast("bigint").alias("pane_nonspeculative_idx"),
-                (idx == 0).alias("is_first"), F.col("p.is_last").alias("is_last"),
-                n_col.alias("num_records"), s_col.alias("sum"),
-                F.col(pre + "max").alias("max"), F.col(pre + "min").alias("min"),
-                float_avg(s_col, n_col).alias("avg"), F.lit(mode).alias("mode")))
-        # one job writes both pane kinds: out/batch_id=<id>/mode=<kind>/
-        (outs[0].unionByName(outs[1]).write.mode("overwrite").partitionBy("mode")
-         .parquet(f"{self.out}/batch_id={batch_id}"))
+            out = [*keys, "win_start_ms", (F.col("win_start_ms") + F.lit(size)).alias("win_end_ms"),
+                   F.col("_batch_id").alias("batch_id"), ts.alias("process_ts"),
+                   F.col("p.timing").alias("timing"), idx.cast("bigint").alias("pane_idx"),
+                   ns.cast("bigint").alias("pane_nonspeculative_idx"),
+                   (idx == 0).alias("is_first"), F.col("p.is_last").alias("is_last"),
+                   n_col.alias("num_records"), s_col.alias("sum"),
+                   F.col(pre + "max").alias("max"), F.col(pre + "min").alias("min"),
+                   float_avg(s_col, n_col).alias("avg"), F.lit(mode).alias("mode")]
+            self._fired.append((pick, out))
 
         def count_fired(cond):
             return F.size(F.filter("_panes", cond))
@@ -214,29 +218,57 @@ class PaneMachine:
         def count_nonspec(cond):
             return F.size(F.filter("_panes", lambda p: cond(p) & (p["timing"] != "EARLY")))
 
-        acc_keep = lambda p: p["fire"]
-        dis_keep = lambda p: p["fire"] & (p["d_n"] > 0)
-        new_state = (step.filter(~F.col("_close") & (known | live))
-                     .select(*keys, "win_start_ms",
-                             F.col("_a_n").alias("acc_n"), F.col("_a_sum").alias("acc_sum"),
-                             F.col("_a_min").alias("acc_min"), F.col("_a_max").alias("acc_max"),
-                             F.col("_p_n").cast("bigint").alias("pend_n"),
-                             F.col("_p_sum").cast("bigint").alias("pend_sum"),
-                             F.col("_p_min").alias("pend_min"), F.col("_p_max").alias("pend_max"),
-                             (F.coalesce(F.col("on_time"), F.lit(False)) | F.col("_fire_on_time")
-                              | (F.col("b_n").isNotNull() & W.isNotNull() & (W >= E))).alias("on_time"),
-                             (F.coalesce(F.col("acc_idx"), F.lit(0)) + count_fired(acc_keep)).alias("acc_idx"),
-                             (F.coalesce(F.col("acc_nonspec"), F.lit(0)) + count_nonspec(acc_keep))
-                             .alias("acc_nonspec"),
-                             (F.coalesce(F.col("dis_idx"), F.lit(0)) + count_fired(dis_keep)).alias("dis_idx"),
-                             (F.coalesce(F.col("dis_nonspec"), F.lit(0)) + count_nonspec(dis_keep))
-                             .alias("dis_nonspec")))
-        new_state = new_state.select(*[F.col(f.name).cast(f.dataType) for f in _state_schema(keys).fields])
-        new_state.write.mode("overwrite").parquet(f"{self.state}/v={batch_id}")
-        (step.agg(F.coalesce(F.sum(F.when(F.col("_dropped"), F.col("b_n"))), F.lit(0)).alias("dropped"))
-             .select(W2.alias("wm"), F.col("dropped").cast("bigint").alias("dropped"),
-                     F.lit(batch_id).cast("bigint").alias("batch_id"))
-             .coalesce(1).write.mode("overwrite").parquet(f"{self.state}/meta/v={batch_id}"))
+        state_cols = [
+            *keys, "win_start_ms",
+            F.col("_a_n").alias("acc_n"), F.col("_a_sum").alias("acc_sum"),
+            F.col("_a_min").alias("acc_min"), F.col("_a_max").alias("acc_max"),
+            F.col("_p_n").alias("pend_n"), F.col("_p_sum").alias("pend_sum"),
+            F.col("_p_min").alias("pend_min"), F.col("_p_max").alias("pend_max"),
+            (F.coalesce(F.col("on_time"), F.lit(False)) | F.col("_fire_on_time") | F.col("_seen_late"))
+            .alias("on_time"),
+            (F.coalesce(F.col("acc_idx"), F.lit(0)) + count_fired(acc_keep)).alias("acc_idx"),
+            (F.coalesce(F.col("acc_nonspec"), F.lit(0)) + count_nonspec(acc_keep)).alias("acc_nonspec"),
+            (F.coalesce(F.col("dis_idx"), F.lit(0)) + count_fired(dis_keep)).alias("dis_idx"),
+            (F.coalesce(F.col("dis_nonspec"), F.lit(0)) + count_nonspec(dis_keep)).alias("dis_nonspec")]
+        schema = _state_schema(keys)
+        self._state_cols = [c.cast(f.dataType).alias(f.name) if not isinstance(c, str) else
+                            F.col(c).cast(f.dataType).alias(f.name) for c, f in zip(state_cols, schema.fields)]
+        ev = F.col("event_ms")
+        self._group = [*[F.col(k).cast("string").alias(k) for k in keys],
+                       (ev - F.pmod(ev, F.lit(size))).alias("win_start_ms")]
+        self._aggs = [F.count(F.lit(1)).alias("b_n"), F.sum(self.value).cast("bigint").alias("b_sum"),
+                      F.min(self.value).cast("int").alias("b_min"),
+                      F.max(self.value).cast("int").alias("b_max"), F.max(ev).alias("b_mev")]
+
+    # -- one micro-batch -----------------------------------------------
+    def process(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if self._step_cols is None:
+            self._build()
+        keys = self.keys
+        agg = batch.groupBy(*self._group).agg(*self._aggs).persist()
+        prev_state, wm = self._prev(spark, batch_id)
+        # one small action: batch max event time and rows behind end + lateness
+        gone = F.lit(False) if wm is None else \
+            (F.lit(wm) >= F.col("win_start_ms") + F.lit(self.s.window_ms + self.s.lateness_ms))
+        bmax, dropped = agg.agg(F.max("b_mev"), F.sum(F.when(gone, F.col("b_n")).otherwise(0))).first()
+        wm2 = bmax if wm is None else (wm if bmax is None else max(wm, bmax))
+
+        j = (agg.join(prev_state, keys + ["win_start_ms"], "full_outer")
+             .withColumns({"_W": F.lit(wm).cast("bigint"), "_W2": F.lit(wm2).cast("bigint"),
+                           "_batch_id": F.lit(batch_id).cast("bigint")}))
+        step = j.select(*self._step_cols).select("*", self._panes_col).persist()
+
+        names = [*keys, "win_start_ms", "_batch_id", "_idx", "_ns", "_has_early"]
+        outs = [step.select(*pick).select(*names, F.posexplode("_f").alias("pos", "p")).select(*out)
+                for pick, out in self._fired]
+        # one job writes both pane kinds: out/batch_id=<id>/mode=<kind>/
+        (outs[0].unionByName(outs[1]).write.mode("overwrite").partitionBy("mode")
+         .parquet(f"{self.out}/batch_id={batch_id}"))
+        (step.filter(~F.col("_close") & F.col("_keep")).select(*self._state_cols)
+             .write.mode("overwrite").parquet(f"{self.state}/v={batch_id}"))
+        self._write_meta(spark, batch_id, {"wm": wm2, "dropped": int(dropped or 0), "batch_id": batch_id})
+        self._wm = {batch_id: wm2}
         step.unpersist()
         agg.unpersist()
         self._prune(spark, batch_id)

@@ -37,7 +37,7 @@ def test_pane_machine_sequence(spark, work):
     assert got == [("EARLY", 0, -1, 1), ("EARLY", 1, -1, 5), ("LATE", 2, 0, 9)]
     w2 = spark.read.parquet(f"{work}/out").filter("mode = 'accumulating'").filter("win_start_ms = 6000").orderBy("pane_idx")
     assert [(r.timing, r.sum) for r in w2.collect()] == [("EARLY", 7), ("ON_TIME", 7)]
-    meta = spark.read.parquet(f"{work}/state/meta").orderBy("batch_id").collect()
+    meta = spark.read.json(f"{work}/state/meta").orderBy("batch_id").collect()
     assert [m.wm for m in meta] == [1000, 9000, 9000, 300000, 300000, 300000]
     assert sum(m.dropped for m in meta) == 2
     # the closed windows left the state
@@ -149,7 +149,7 @@ def test_pane_machine_restart_from_checkpoint(spark, work):
     acc = spark.read.parquet(f"{work}/out").filter("mode = 'accumulating' and win_start_ms = 0")
     got = [(r.timing, r.pane_idx, r.sum) for r in acc.orderBy("pane_idx").collect()]
     assert got == [("EARLY", 0, 1), ("EARLY", 1, 6), ("ON_TIME", 2, 6), ("LATE", 3, 15)]
-    meta = spark.read.parquet(f"{work}/state/meta").orderBy("batch_id").collect()
+    meta = spark.read.json(f"{work}/state/meta").orderBy("batch_id").collect()
     assert [m.wm for m in meta] == [1000, 9000, 9000, 300000, 300000, 300000]
 
 
@@ -185,7 +185,7 @@ def test_stream_panes_equal_live_replay(spark, work, late_count):
         assert got == exp, mode
     timings = {r.timing for r in out.select("timing").distinct().collect()}
     assert timings == {"EARLY", "ON_TIME", "LATE"}
-    assert sum(r.dropped for r in spark.read.parquet(f"{work}/state/meta").collect()) > 0
+    assert sum(r.dropped for r in spark.read.json(f"{work}/state/meta").collect()) > 0
 
 
 def test_pane_machine_late_count_buffers_until_close(spark, work):
@@ -217,3 +217,4 @@ def test_local_first_copies_and_state_retention(spark, work):
         m.process(rows, b)
     import os
     assert sorted(d for d in os.listdir(f"{work}/state") if d.startswith("v=")) == ["v=2", "v=3"]
+    assert sorted(f for f in os.listdir(f"{work}/state/meta") if not f.startswith(".")) == ["v=2.json", "v=3.json"]
