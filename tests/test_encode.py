@@ -68,3 +68,20 @@ def test_detail_rows_no_firing(spark):
     parts = d.line.split(",")
     assert len(parts) == 16 and parts[9] == "PaneInfo.NO_FIRING" and parts[14] == "UNKNOWN"
     assert parts[8].startswith("[2024-01-01T00:00:00.000Z..")
+
+
+def test_typed_by_schema_fail_mode_raises(spark):
+    df = spark.createDataFrame([("a,1",), ("b,x",)], "line string")
+    schema = T.StructType([T.StructField("s", T.StringType()), T.StructField("i", T.IntegerType())])
+    ok = enc.typed_by_schema(df.limit(1), schema, mode="fail").collect()
+    assert ok[0].i == 1
+    with pytest.raises(Exception, match="bad record: bad_i"):
+        enc.typed_by_schema(df, schema, mode="fail").collect()
+
+
+def test_json_document_iso_timestamps(spark):
+    df = spark.createDataFrame([(1700000000123, "t", "n", 7, "ivy", 42, 1700000001000, "druid")],
+                               "event_ts long, thread_id string, thread_name string, seq int, dim1 string,"
+                               " metrics1 int, process_ts long, dim1_val string")
+    r = enc.json_document(df, ms_as="iso").collect()[0]
+    assert r.doc.startswith('{"@timestamp":"2023-11-14T22:13:20.123Z"')
