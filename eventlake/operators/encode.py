@@ -130,13 +130,6 @@ def json_document(df: DataFrame, ms_as: str = "millis") -> DataFrame:
 _STATS = ("num_records", "sum", "max", "min", "avg")
 
 
-def _cells(row_key: Column, family: str, cell_ts: Column, items: list[tuple[str, Column]]) -> Column:
-    return F.explode(F.array(*[
-        F.struct(row_key.alias("row_key"), F.lit(family).alias("family"), F.lit(q).alias("qualifier"),
-                 cell_ts.alias("cell_ts"), v.cast("string").alias("value"))
-        for q, v in items]))
-
-
 def tall_encode(panes: DataFrame, key: str = "dim1") -> DataFrame:
     """Accumulating panes -> tall cells. Row key ``key#(Long.MAX-process_ts)#win_start``
     (newest first under a key prefix; the window start keeps two windows

@@ -3,7 +3,6 @@ checkpoint folder the cluster names in ``spark.checkpoint.dir``."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -57,10 +56,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     checkpoints."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/eventlake/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_dir_of(path: str) -> str | None:
-    """Filesystem path for ``file:`` / plain paths (tests only)."""
-    if path.startswith("file:"):
-        path = path[5:]
-    return path if os.path.isabs(path) else None

@@ -85,3 +85,14 @@ def test_json_document_iso_timestamps(spark):
                                " metrics1 int, process_ts long, dim1_val string")
     r = enc.json_document(df, ms_as="iso").collect()[0]
     assert r.doc.startswith('{"@timestamp":"2023-11-14T22:13:20.123Z"')
+
+
+def test_warehouse_schema_file_loader():
+    from eventlake.schemas import from_warehouse_json
+    doc = {"BigQuery Schema": [{"name": "event_ts", "type": "TIMESTAMP", "mode": "NULLABLE"},
+                               {"name": "seq", "type": "INTEGER"}, {"name": "is_first", "type": "BOOLEAN"}]}
+    st = from_warehouse_json(doc)
+    assert [(f.name, f.dataType.simpleString()) for f in st.fields] == [
+        ("event_ts", "timestamp"), ("seq", "bigint"), ("is_first", "boolean")]
+    with pytest.raises(ValueError):
+        from_warehouse_json({"BigQuery Schema": [{"name": "x", "type": "GEOGRAPHY"}]})
