@@ -55,4 +55,7 @@ FIXTURE_DIM = [("click", "rogue"), ("view", "warrior"), ("purchase", "druid"), (
 
 
 def fixture_dimension(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(FIXTURE_DIM, DIMENSION)
+    """The test lookup as a local relation (built through Arrow), so the
+    optimizer knows its exact size."""
+    import pandas as pd
+    return spark.createDataFrame(pd.DataFrame(FIXTURE_DIM, columns=DIMENSION.fieldNames()), DIMENSION)
