@@ -18,8 +18,12 @@ def plan(df) -> str:
 def test_enrich_broadcasts_checked_dimension(spark):
     valid = fx.enriched(spark, SF001)
     assert "BroadcastHashJoin" in plan(valid)
-    e = enrich(valid.drop("dim1_val"), fixture_dimension(spark), Settings(broadcast_max_rows=2))
-    assert "SortMergeJoin" in plan(e)  # above the row bound: no broadcast hint
+    # a dimension whose size Spark cannot see (RDD-backed): above the row
+    # bound there is no hint, so the join shuffles
+    dim = spark.createDataFrame([(k, v) for k, v in [("click", "rogue"), ("view", "warrior"),
+                                                     ("purchase", "druid")]], "dim1 string, dim1_val string")
+    e = enrich(valid.drop("dim1_val"), dim, Settings(broadcast_max_rows=2))
+    assert "SortMergeJoin" in plan(e)
 
 
 def test_window_stats_partial_aggregation(spark):
