@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 
 from eventlake.settings import Settings
 
+from eventlake.functions.shipping import ship_by_value
+
+# Functions of this module run inside Python workers: pickle them by value
+# so executors need no installed copy of the package.
+ship_by_value(__name__)
+
 
 def dedup_key(settings: Settings = Settings()):
     return F.coalesce(F.col("attributes").getItem(settings.id_attr), F.col("message_id"))

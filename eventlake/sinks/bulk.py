@@ -29,6 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
+from eventlake.functions.shipping import ship_by_value
+
+# Functions of this module run inside Python workers: pickle them by value
+# so executors need no installed copy of the package.
+ship_by_value(__name__)
+
 # Fixed value: the bulk action line preceding every document.
 INDEX_ACTION = '{ "index" : {} }'
 
