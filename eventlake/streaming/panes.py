@@ -79,6 +79,7 @@ class PaneMachine:
         self.keys = list(keys)
         self.value = value
         self.keep_versions = max(2, keep_versions)
+        self.rows_per_partition = 200_000
         self._step_cols = None
         self._wm: dict = {}
 
@@ -112,13 +113,14 @@ class PaneMachine:
         if st is None:
             st = spark.createDataFrame([], _state_schema(self.keys))
         if batch_id - 1 in self._wm:
-            wm = self._wm[batch_id - 1]
+            wm, rows = self._wm[batch_id - 1]
         elif batch_id > 0:  # restart: the previous watermark comes from storage
-            meta = spark.read.schema("wm long").json(f"{self.state}/meta/v={batch_id - 1}.json").first()
-            wm = meta["wm"] if meta is not None else None
+            meta = (spark.read.schema("wm long, state_rows long")
+                    .json(f"{self.state}/meta/v={batch_id - 1}.json").first())
+            wm, rows = (meta["wm"], meta["state_rows"] or 0) if meta is not None else (None, 0)
         else:
-            wm = None
-        return st, wm
+            wm, rows = None, 0
+        return st, wm, rows
 
     # -- expressions (built once; per-batch values enter as columns) -----
     def _build(self) -> None:
@@ -247,14 +249,21 @@ class PaneMachine:
             self._build()
         keys = self.keys
         agg = batch.groupBy(*self._group).agg(*self._aggs).persist()
-        prev_state, wm = self._prev(spark, batch_id)
-        # one small action: batch max event time and rows behind end + lateness
+        prev_state, wm, prev_rows = self._prev(spark, batch_id)
+        # one small action: batch max event time, rows behind end + lateness,
+        # windows touched
         gone = F.lit(False) if wm is None else \
             (F.lit(wm) >= F.col("win_start_ms") + F.lit(self.s.window_ms + self.s.lateness_ms))
-        bmax, dropped = agg.agg(F.max("b_mev"), F.sum(F.when(gone, F.col("b_n")).otherwise(0))).first()
+        bmax, dropped, n_agg = agg.agg(F.max("b_mev"), F.sum(F.when(gone, F.col("b_n")).otherwise(0)),
+                                       F.count(F.lit(1))).first()
         wm2 = bmax if wm is None else (wm if bmax is None else max(wm, bmax))
+        # size the state join from known row counts (a persisted plan keeps its
+        # shuffle partitioning, so AQE would not shrink or grow it)
+        cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        n = max(1, min(cap, -(-(int(n_agg) + int(prev_rows)) // self.rows_per_partition)))
+        on = keys + ["win_start_ms"]
 
-        j = (agg.join(prev_state, keys + ["win_start_ms"], "full_outer")
+        j = (agg.repartition(n, *on).join(prev_state.repartition(n, *on), on, "full_outer")
              .withColumns({"_W": F.lit(wm).cast("bigint"), "_W2": F.lit(wm2).cast("bigint"),
                            "_batch_id": F.lit(batch_id).cast("bigint")}))
         step = j.select(*self._step_cols).select("*", self._panes_col).persist()
@@ -265,10 +274,12 @@ class PaneMachine:
         # one job writes both pane kinds: out/batch_id=<id>/mode=<kind>/
         (outs[0].unionByName(outs[1]).write.mode("overwrite").partitionBy("mode")
          .parquet(f"{self.out}/batch_id={batch_id}"))
-        (step.filter(~F.col("_close") & F.col("_keep")).select(*self._state_cols)
-             .write.mode("overwrite").parquet(f"{self.state}/v={batch_id}"))
-        self._write_meta(spark, batch_id, {"wm": wm2, "dropped": int(dropped or 0), "batch_id": batch_id})
-        self._wm = {batch_id: wm2}
+        new_state = step.filter(~F.col("_close") & F.col("_keep")).select(*self._state_cols)
+        new_state.write.mode("overwrite").parquet(f"{self.state}/v={batch_id}")
+        state_rows = new_state.count()  # over the persisted step: sizes the next batch's join
+        self._write_meta(spark, batch_id, {"wm": wm2, "dropped": int(dropped or 0), "batch_id": batch_id,
+                                           "state_rows": state_rows})
+        self._wm = {batch_id: (wm2, state_rows)}
         step.unpersist()
         agg.unpersist()
         self._prune(spark, batch_id)
