@@ -46,7 +46,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = tempfile.mkdtemp(prefix="eventlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 
