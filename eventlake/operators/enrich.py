@@ -28,13 +28,26 @@ def broadcast_ok(dim: DataFrame, max_rows: int) -> bool:
     return dim.limit(max_rows + 1).count() <= max_rows
 
 
+def duplicate_keys(dim: DataFrame, key: str = "dim1", limit: int = 10) -> list:
+    """Up to ``limit`` keys that occur more than once in the dimension."""
+    return [r[0] for r in dim.groupBy(key).count().filter(F.col("count") > 1).limit(limit).collect()]
+
+
 def enrich(df: DataFrame, dim: DataFrame, settings: Settings = Settings(),
-           key: str = "dim1", value: str = "dim1_val", strategy: str = "auto") -> DataFrame:
+           key: str = "dim1", value: str = "dim1_val", strategy: str = "auto",
+           on_duplicate: str = "resolve") -> DataFrame:
     """Append ``dim1_val`` (case-sensitive exact match; missing -> default).
 
     strategy: ``auto`` (size-checked broadcast), ``broadcast``, ``shuffle``.
+    on_duplicate: ``resolve`` (one value per key, see ``unique_dimension``) or
+    ``error`` (a lookup map rejects duplicate keys: raise ``ValueError``).
     """
-    d = unique_dimension(dim.select(key, value), key, value).withColumnRenamed(value, "_dim_val")
+    if on_duplicate == "error":
+        dups = duplicate_keys(dim, key)
+        if dups:
+            raise ValueError(f"duplicate dimension keys: {dups}")
+    cols = [key, value] + (["updated_at"] if "updated_at" in dim.columns else [])
+    d = unique_dimension(dim.select(*cols), key, value).withColumnRenamed(value, "_dim_val")
     if strategy == "auto":
         strategy = "broadcast" if broadcast_ok(d, settings.broadcast_max_rows) else "shuffle"
     if strategy == "broadcast":

@@ -66,3 +66,13 @@ def test_assign_event_time(spark):
 def test_fixture_dimension_leaves_error_out(spark):
     keys = {r.dim1 for r in fixture_dimension(spark).collect()}
     assert keys == {"click", "view", "purchase", "signup"}
+
+
+def test_enrich_duplicate_keys(spark):
+    import pytest
+    v = spark.createDataFrame([("ivy",)], "dim1 string")
+    dim = spark.createDataFrame([("ivy", "druid", 1), ("ivy", "bard", 2)],
+                                "dim1 string, dim1_val string, updated_at int")
+    assert enrich(v, dim).first().dim1_val == "bard"  # latest update wins
+    with pytest.raises(ValueError, match="duplicate dimension keys"):
+        enrich(v, dim, on_duplicate="error")
