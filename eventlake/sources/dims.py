@@ -33,7 +33,10 @@ def read_dimension(spark: SparkSession, *, jdbc_url: str | None = None,
         df = spark.read.format(fmt).load(path)
     else:
         raise ValueError("give jdbc_url, table or path")
-    return df.select(F.col("dim1").cast("string"), F.col("dim1_val").cast("string"))
+    cols = [F.col("dim1").cast("string"), F.col("dim1_val").cast("string")]
+    if "updated_at" in df.columns:  # lets the lookup resolve duplicate keys: latest row wins
+        cols.append(F.col("updated_at"))
+    return df.select(*cols)
 
 
 def read_dimension_or_empty(spark: SparkSession, **kw) -> DataFrame:

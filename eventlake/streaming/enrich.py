@@ -30,7 +30,7 @@ class RefreshingDimension:
         now = time.monotonic()
         if self.df is None or now - self.loaded_at >= self.ttl_s:
             old = self.df
-            self.df = self.loader().select("dim1", "dim1_val").persist(StorageLevel.MEMORY_AND_DISK)
+            self.df = self.loader().persist(StorageLevel.MEMORY_AND_DISK)
             self.df.count()
             if old is not None:
                 old.unpersist()

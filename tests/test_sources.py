@@ -28,3 +28,14 @@ def test_kafka_frame_normalises(spark):
         "headers array<struct<key:string,value:binary>>, timestamp timestamp")
     r = kafka_to_messages(df).collect()[0]
     assert r.message_id == "t-0-5" and r.attributes == {"id": "m1", "timestamp": "1000"}
+
+
+def test_read_dimension_keeps_update_time_for_last_wins(spark, tmp_path):
+    from eventlake.operators.enrich import enrich
+    from eventlake.sources.dims import read_dimension
+    spark.createDataFrame([("ivy", "druid", 1), ("ivy", "bard", 2), ("oak", "rogue", 1)],
+                          "dim1 string, dim1_val string, updated_at int").write.parquet(str(tmp_path / "dim"))
+    dim = read_dimension(spark, path=str(tmp_path / "dim"))
+    assert "updated_at" in dim.columns
+    v = spark.createDataFrame([("ivy",), ("oak",)], "dim1 string")
+    assert {r.dim1: r.dim1_val for r in enrich(v, dim).collect()} == {"ivy": "bard", "oak": "rogue"}
