@@ -5,11 +5,26 @@ can express the result."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from eventlake.llm import packing, quality_rules
+from eventlake.llm import packing, quality_rules, sharding, topk
 from eventlake.llm.common import table
 
 
+def op2_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight shards, capacity = mean (rounded down or up): law ``rows``."""
+    placed = sharding.assign_shards(table(spark, sf_dir, "documents"), n_shards=8)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op3_histogram_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = F.col("embedding")
+    vectors = (table(spark, sf_dir, "embeddings").where(F.col("vec_id").isNotNull() & topk.usable(e))
+               .select(F.col("vec_id").cast("long").alias("id"), topk.quantized(e).alias("v")))
+    return topk.top_k(vectors, F.col("id") % 50 == 0, k=5)
+
+
 def op6_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -25,8 +40,25 @@ def op7_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_bounded_ring": op2_bounded_ring,
+    "op3_histogram_topk": op3_histogram_topk,
     "op6_power_of_two_packing": op6_power_of_two_packing,
     "op7_decision_list": op7_decision_list,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_histogram_topk": """
+WITH v AS (
+  SELECT vec_id AS id, min(list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  GROUP BY vec_id),
+s AS (
+  SELECT q.id AS query_id, c.id AS vec_id,
+    CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.id <> c.id AND len(q.v) = len(c.v)
+  WHERE q.id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""",
+}
