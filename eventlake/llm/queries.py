@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import packing, quality_rules, sharding, topk
+from eventlake.llm import near_dedup, packing, quality_rules, sharding, topk
 from eventlake.llm.common import table
 
 
@@ -25,6 +25,11 @@ def op3_histogram_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, F.col("id") % 50 == 0, k=5)
 
 
+def op4_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document with the smallest doc_id of its near-duplicate class."""
+    return near_dedup.near_duplicate_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
 def op6_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -42,6 +47,7 @@ def op7_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_bounded_ring": op2_bounded_ring,
     "op3_histogram_topk": op3_histogram_topk,
+    "op4_prob_minhash": op4_prob_minhash,
     "op6_power_of_two_packing": op6_power_of_two_packing,
     "op7_decision_list": op7_decision_list,
 }
