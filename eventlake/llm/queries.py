@@ -7,10 +7,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import near_dedup, packing, quality_rules, sharding, topk
+from eventlake.llm import near_dedup, packing, pii, quality_rules, sharding, topk
 from eventlake.llm.common import table
 
 
+#: surrogate key of the registered queries; a real corpus has its own, kept secret
+PII_KEY = "registered-query-key"
+
+
+def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_pii(table(spark, sf_dir, "documents"), PII_KEY).select("doc_id", "text", "n_entities")
+
+
 def op2_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eight shards, capacity = mean (rounded down or up): law ``rows``."""
     placed = sharding.assign_shards(table(spark, sf_dir, "documents"), n_shards=8)
@@ -45,6 +53,7 @@ def op7_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_surrogates": op1_surrogates,
     "op2_bounded_ring": op2_bounded_ring,
     "op3_histogram_topk": op3_histogram_topk,
     "op4_prob_minhash": op4_prob_minhash,
