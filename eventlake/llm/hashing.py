@@ -69,14 +69,19 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of every word (bytes other than space and \\t..\\r), in order."""
+def spans(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of every maximal run of bytes in the class ``inside`` (256 booleans), in order."""
     n = len(data)
     if not n:
         return (np.empty(0, np.int64),) * 3
-    word = ~_SPACE[data]
+    on = inside[data]
     first = np.zeros(n + 1, bool)
     first[offsets] = True
-    start = np.flatnonzero(word & np.concatenate([[True], ~word[:-1] | first[1:n]]))
-    end = np.flatnonzero(word & np.concatenate([~word[1:] | first[1:n], [True]])) + 1
+    start = np.flatnonzero(on & np.concatenate([[True], ~on[:-1] | first[1:n]]))
+    end = np.flatnonzero(on & np.concatenate([~on[1:] | first[1:n], [True]])) + 1
     return start, end, np.searchsorted(offsets, start, side="right") - 1
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words are runs of bytes other than space and \\t..\\r."""
+    return spans(data, offsets, ~_SPACE)

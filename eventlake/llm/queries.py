@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import near_dedup, packing, pii, quality_rules, sharding, topk
+from eventlake.llm import near_dedup, packing, pii, quality_rules, sharding, topk, toxicity
 from eventlake.llm.common import table
 
 
@@ -38,6 +38,15 @@ def op4_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicate_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
 
 
+def op5_classifier_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's category probabilities. The label table has two judgements,
+    so the chain is: low quality, toxic, and toxic in otherwise good text."""
+    docs, quality, toxic = table(spark, sf_dir, "documents"), F.col("quality"), F.col("toxic")
+    chain = toxicity.train(docs, table(spark, sf_dir, "labels"), {
+        "low_quality": quality == 0, "toxic_in_good_text": (toxic == 1) & (quality == 1), "toxic": toxic == 1})
+    return toxicity.score(docs, chain)
+
+
 def op6_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -57,6 +66,7 @@ QUERIES = {
     "op2_bounded_ring": op2_bounded_ring,
     "op3_histogram_topk": op3_histogram_topk,
     "op4_prob_minhash": op4_prob_minhash,
+    "op5_classifier_chain": op5_classifier_chain,
     "op6_power_of_two_packing": op6_power_of_two_packing,
     "op7_decision_list": op7_decision_list,
 }
