@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import near_dedup, packing, pii, quality_rules, sharding, topk, toxicity
+from eventlake.llm import mixing, near_dedup, packing, pii, quality_rules, sharding, topk, toxicity
 from eventlake.llm.common import table
 
 
@@ -61,6 +61,16 @@ def op7_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *quality_rules.BASE, "base_failed", "kept")
 
 
+def op8_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens, rate and copies for 90 % clean, 5 % low-quality and 5 % toxic tokens."""
+    quality, toxic = F.col("quality"), F.col("toxic")
+    domains = {"clean": (quality == 1) & (toxic == 0), "low_quality": (quality == 0) & (toxic == 0), "toxic": toxic == 1}
+    out, _ = mixing.mix_to_weights(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"),
+                                   domains, {"clean": 0.90, "low_quality": 0.05, "toxic": 0.05})
+    return out.select("doc_id", F.col(mixing.TOKENS).alias("tokens"),
+                      *[F.get(mixing.P, F.lit(k)).alias(f"p_{n}") for k, n in enumerate(domains)], "rate", "copies")
+
+
 QUERIES = {
     "op1_surrogates": op1_surrogates,
     "op2_bounded_ring": op2_bounded_ring,
@@ -68,6 +78,7 @@ QUERIES = {
     "op4_prob_minhash": op4_prob_minhash,
     "op5_classifier_chain": op5_classifier_chain,
     "op6_power_of_two_packing": op6_power_of_two_packing,
+    "op8_soft_mixing": op8_soft_mixing,
     "op7_decision_list": op7_decision_list,
 }
 
