@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import mixing, near_dedup, packing, pii, quality_rules, sharding, topk, toxicity
+from eventlake.llm import chunk_dedup, mixing, near_dedup, packing, pii, quality_rules, sharding, topk, toxicity
 from eventlake.llm.common import table
 
 
@@ -71,6 +71,11 @@ def op8_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                       *[F.get(mixing.P, F.lit(k)).alias(f"p_{n}") for k, n in enumerate(domains)], "rate", "copies")
 
 
+def op10_gear_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage that several documents share, wherever it stands."""
+    return chunk_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_surrogates": op1_surrogates,
     "op2_bounded_ring": op2_bounded_ring,
@@ -80,6 +85,7 @@ QUERIES = {
     "op6_power_of_two_packing": op6_power_of_two_packing,
     "op8_soft_mixing": op8_soft_mixing,
     "op7_decision_list": op7_decision_list,
+    "op10_gear_chunks": op10_gear_chunks,
 }
 
 ORACLE: dict[str, str] = {
