@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import chunk_dedup, mixing, near_dedup, packing, pii, quality_rules, sharding, topk, toxicity
+from eventlake.llm import chunk_dedup, html_template, mixing, near_dedup, packing, pii, quality_rules, sharding, topk, toxicity
 from eventlake.llm.common import table
 
 
@@ -71,6 +71,12 @@ def op8_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                       *[F.get(mixing.P, F.lit(k)).alias(f"p_{n}") for k, n in enumerate(domains)], "rate", "copies")
 
 
+def op9_template_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page, by the template of its host."""
+    return html_template.extract_main_text(table(spark, sf_dir, "pages")).withColumn(
+        "n_chars", F.length("text").cast("long"))
+
+
 def op10_gear_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every passage that several documents share, wherever it stands."""
     return chunk_dedup.repeated_spans(table(spark, sf_dir, "documents"))
@@ -85,6 +91,7 @@ QUERIES = {
     "op6_power_of_two_packing": op6_power_of_two_packing,
     "op8_soft_mixing": op8_soft_mixing,
     "op7_decision_list": op7_decision_list,
+    "op9_template_text": op9_template_text,
     "op10_gear_chunks": op10_gear_chunks,
 }
 
