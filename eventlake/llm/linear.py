@@ -138,6 +138,11 @@ def fit(r: Rows, y: np.ndarray, n_words: int, l2: float = 3e-4, steps: int = 300
     return Linear(m[0], m[1], m[2], mean, scale)
 
 
+def condition(c: Column | str) -> Column:
+    """A condition given as a column or as SQL text."""
+    return F.expr(c) if isinstance(c, str) else c
+
+
 def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, class, text) -> (id, class, keys, values, shares), one row per text."""
     for b in batches:

@@ -56,12 +56,12 @@ class Domains:
         return share / share.sum(axis=1, keepdims=True)
 
 
-def fit_domains(docs: DataFrame, labels: DataFrame, domains: dict[str, Column],
+def fit_domains(docs: DataFrame, labels: DataFrame, domains: dict[str, Column | str],
                 max_labelled: int = linear.MAX_LABELLED) -> Domains:
     """``domains``: name -> boolean over the label columns, disjoint; rows in none are unlabelled."""
     code = F.lit(None).cast("int")
     for j, c in reversed(list(enumerate(domains.values()))):
-        code = F.when(c, F.lit(j)).otherwise(code)
+        code = F.when(linear.condition(c), F.lit(j)).otherwise(code)
     words, rows, cls, _ = linear.training_rows(docs, labels, code, max_labelled)
     k = len(domains)
     if not len(cls):
@@ -146,7 +146,7 @@ def fit_rates(rows: DataFrame, weights: dict[str, float], anchor: str | None = N
     return mix
 
 
-def mix_to_weights(docs: DataFrame, labels: DataFrame, domains: dict[str, Column], weights: dict[str, float],
+def mix_to_weights(docs: DataFrame, labels: DataFrame, domains: dict[str, Column | str], weights: dict[str, float],
                    anchor: str | None = None, max_rate: float = 4.0, seed: int = 11) -> tuple[DataFrame, Mix]:
     """``docs`` plus ``rate`` and ``copies`` (0 or more) of every row, and the fit."""
     if list(domains) != list(weights):
@@ -158,7 +158,7 @@ def mix_to_weights(docs: DataFrame, labels: DataFrame, domains: dict[str, Column
     return out.withColumn("copies", F.floor(F.col("rate") + u).cast("int")), mix
 
 
-def sampled(docs: DataFrame, labels: DataFrame, domains: dict[str, Column], weights: dict[str, float],
+def sampled(docs: DataFrame, labels: DataFrame, domains: dict[str, Column | str], weights: dict[str, float],
             **options) -> DataFrame:
     """``docs`` with each row repeated or left out by its copies; columns as given."""
     keep = [c for c in docs.columns if c not in ("rate", "copies")]

@@ -141,7 +141,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, query_block: int = 5
     v = reliable(vectors.groupBy("id").agg(F.min("v").alias("v")))
     head = v.agg(F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") ** 2))).alias("norm"),
                  F.count("*").alias("n"), F.count_if(is_query).alias("nq")).first()
-    span = int(math.ceil((head["norm"] or 0.0) ** 2)) + 1  # no inner product lies outside +-span
+    # no inner product lies outside +-span; scores beyond 2**62 are out of range
+    span = min(int(math.ceil((head["norm"] or 0.0) ** 2)) + 1, 2**62 - 1)
     n_qb = max(1, math.ceil(head["nq"] / query_block))
     n_groups = max(1, math.ceil(head["n"] / (4 * candidate_block)))
     qb = F.pmod(F.xxhash64("id"), F.lit(n_qb)).cast("int")

@@ -81,12 +81,12 @@ def fit_chain(vocabulary: np.ndarray, rows: linear.Rows, labels: np.ndarray, ids
     return Chain(names, vocabulary, models, thresholds)
 
 
-def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column],
+def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column | str],
           max_labelled: int = linear.MAX_LABELLED) -> Chain:
-    """A chain for ``categories`` (name -> boolean over the label columns), in their order."""
+    """A chain for ``categories`` (name -> boolean over the label columns, a column or SQL), in their order."""
     names = list(categories)
     code = F.lit(0)
-    for j, c in enumerate(categories.values()):
+    for j, c in enumerate(map(linear.condition, categories.values())):
         code = code + F.when(c, F.lit(1 << j)).when(~c, F.lit(0))
     words, rows, cls, ids = linear.training_rows(docs, labels, code, max_labelled)
     return fit_chain(words, rows, np.column_stack([(cls >> j) & 1 for j in range(len(names))]), ids, names)
