@@ -191,11 +191,15 @@ def training_rows(docs: DataFrame, labels: DataFrame, cls: Column, max_labelled:
                .select("doc_id", F.col("e.keys").alias("key"), F.col("e.xs").alias("x"))
                .join(F.broadcast(book), "key").groupBy("doc_id")  # at most ``vocabulary`` keys
                .agg(F.sort_array(F.collect_set(F.struct("key", "x"))).alias("on")))
-    small = rows.select("doc_id", "cls", "shares").join(entries, "doc_id", "left")
-    got = small.dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
-    row = np.repeat(np.arange(len(got)), [len(r["on"] or []) for r in got])
-    key = np.array([e[0] for r in got for e in r["on"] or []], np.int64).view(np.uint64)
-    x = np.array([e[1] for r in got for e in r["on"] or []], float)
-    dense = np.array([r["shares"] for r in got], float).reshape(len(got), SHARES)
-    return (words, Rows(len(got), row, key, x, dense).within(words),
-            np.array([r["cls"] for r in got], int), np.array([r["doc_id"] for r in got], np.int64))
+    small = (rows.select("doc_id", "cls", "shares").join(entries, "doc_id", "left").dropDuplicates(["doc_id"])
+             .orderBy("doc_id").toArrow())  # columns, not row objects: some 16 bytes an entry
+    on = small["on"].combine_chunks().fill_null([]) if small.num_rows else pa.array([], pa.list_(pa.struct([("key", pa.int64()), ("x", pa.float64())])))
+    sizes = pc.list_value_length(on).to_numpy(zero_copy_only=False)
+    flat = on.flatten()
+    row = np.repeat(np.arange(small.num_rows), sizes)
+    key = flat.field("key").to_numpy(zero_copy_only=False).view(np.uint64)
+    x = flat.field("x").to_numpy(zero_copy_only=False)
+    dense = small["shares"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(small.num_rows, SHARES) \
+        if small.num_rows else np.zeros((0, SHARES))
+    return (words, Rows(small.num_rows, row, key, x, dense).within(words),
+            small["cls"].to_numpy().astype(int), small["doc_id"].to_numpy().astype(np.int64))
