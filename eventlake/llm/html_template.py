@@ -283,18 +283,15 @@ def deduce_templates(pages: DataFrame) -> DataFrame:
 
 
 def main_text(page: str, container: str | None, fixed: frozenset, root: Path) -> str:
-    """The text of the page's main slots, blocks joined by an empty line."""
+    """The text of the page's main slots, blocks joined by an empty line. Fixed texts
+    stay on a page that has nothing else there (all pages of the host are copies)."""
     blocks, seen = parse(page, root)
     if container is None or not any(p.key == container for p in seen):
         container = _own_container(blocks, seen)
-    out = []
-    for path, raw, links in blocks:
-        if path.boiler or not _under(path, container):
-            continue
-        text = clean(raw)
-        if text and not (fixed and text_hash(text) in fixed):
-            out.append(text)
-    return "\n\n".join(out)
+    texts = [clean(raw) for path, raw, _ in blocks if not path.boiler and _under(path, container)]
+    texts = [t for t in texts if t]
+    own = [t for t in texts if text_hash(t) not in fixed] if fixed else texts
+    return "\n\n".join(own or texts)
 
 
 def _under(path: Path, container: str) -> bool:

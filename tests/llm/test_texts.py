@@ -169,6 +169,12 @@ def test_main_text_of_several_templates(spark):
         assert got == {i: "\n\n".join(w) for i, w in want.items()}
 
 
+def test_copies_of_one_page_keep_their_text(spark):
+    html = page("<nav><a href='/'>menu</a></nav><article><h1>T</h1><p>one</p><p>two</p></article>")
+    df = spark.createDataFrame([(i, f"http://h/{i}", html) for i in range(15)], "page_id long, url string, html string")
+    assert {r.text for r in html_template.extract_main_text(df).collect()} == {"T\n\none\n\ntwo"}
+
+
 def test_main_text_odd_rows(spark):
     rows = [(1, None, None), (2, "u", ""), (3, "http://y/", "plain <b>te</b>xt &lt;only&gt;"), (None, "http://y/", "<p>" + "long word " * 50_000),
             (4, "http://z", "<nav>menu</nav>"), (5, "http://z", "<article>a</p></div><!-- <p>no</p> -->b<!-- open"), (5, "http://z", "<article>a</p></div>b"),
