@@ -6,13 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.settings import Settings
-
-from eventlake.functions.shipping import ship_by_value
-
-# Functions of this module run inside Python workers: pickle them by value
-# so executors need no installed copy of the package.
-ship_by_value(__name__)
+from eventlake.settings import Settings, parse_duration
 
 
 def dedup_key(settings: Settings = Settings()):
@@ -21,8 +15,9 @@ def dedup_key(settings: Settings = Settings()):
 
 def dedup_by_id(messages: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Batch: keep the first delivery (earliest publish_ts, then message_id)
-    per id. One hash aggregate with map-side partial aggregation, so a hot
-    id never lands as a whole group in one task."""
+    per id. The aggregate keeps one whole message per id before the shuffle, so a
+    hot id never lands as a whole group in one task; as the kept struct is not of
+    fixed width, Spark plans it as a sort aggregate."""
     cols = messages.columns
     keyed = messages.withColumn("_dedup_key", dedup_key(settings))
     first = (keyed.groupBy("_dedup_key")
@@ -30,31 +25,14 @@ def dedup_by_id(messages: DataFrame, settings: Settings = Settings()) -> DataFra
     return first.select("_m.*")
 
 
-def local_first_copies(df: DataFrame, key_col: str) -> DataFrame:
-    """Keep the first row per key within each input partition (no shuffle).
-    Stateless, so it also runs inside a stream: when one id's copies are a
-    large share of a micro-batch, at most one copy per partition reaches the
-    shuffle of the stateful dedup."""
-    def run(batches):
-        seen = set()
-        for pdf in batches:
-            pdf = pdf.drop_duplicates(subset=[key_col])
-            pdf = pdf[~pdf[key_col].isin(seen)]
-            seen.update(pdf[key_col].tolist())
-            if len(pdf):
-                yield pdf
-    return df.mapInPandas(run, df.schema)
-
-
-def dedup_stream(messages: DataFrame, settings: Settings = Settings(),
-                 time_col: str = "event_time", horizon: str = "10 minutes",
-                 local_first: bool = True) -> DataFrame:
-    """Streaming: drop redeliveries seen within the watermark horizon
-    (bounded state). ``local_first`` removes copies inside each partition
-    before the stateful operator's shuffle."""
-    m = messages.withColumn("_dedup_key", dedup_key(settings))
-    if local_first:
-        m = local_first_copies(m, "_dedup_key")
-    return (m.withWatermark(time_col, horizon)
+def dedup_stream(messages: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Streaming: drop redeliveries seen within ``dedup_horizon`` of processing
+    time (bounded state). The operator's clock is the time a message is seen, not
+    its event time, so a message is never dropped for being late. Use it as a
+    query of its own in front of event-time operators: a query has one watermark,
+    and theirs is on the event time."""
+    horizon = f"{parse_duration(settings.dedup_horizon)} milliseconds"
+    m = messages.withColumn("_dedup_key", dedup_key(settings)).withColumn("_seen", F.current_timestamp())
+    return (m.withWatermark("_seen", horizon)
             .dropDuplicatesWithinWatermark(["_dedup_key"])
-            .drop("_dedup_key"))
+            .drop("_dedup_key", "_seen"))

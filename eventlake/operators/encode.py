@@ -39,8 +39,15 @@ def detail_rows(enriched: DataFrame, settings: Settings = Settings(),
 
 
 def csv_line(df: DataFrame, fields=DETAIL_FIELDS, delimiter: str = ",", out: str = "line") -> DataFrame:
-    """Positional CSV text of the given columns (booleans as true/false)."""
-    return df.withColumn(out, F.concat_ws(delimiter, *[F.col(c).cast("string") for c in fields]))
+    """Positional CSV text of the given columns (booleans as true/false, nulls as
+    empty fields, so later columns keep their place)."""
+    return df.withColumn(out, F.concat_ws(delimiter, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in fields]))
+
+
+def typed_records(detail: DataFrame, schema: T.StructType = DETAIL) -> DataFrame:
+    """Detail rows as records of ``schema``, column by column: no text in between, so
+    nulls and values that hold a delimiter stay what they are."""
+    return detail.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 # ------------------------------------------------------------- typed records
@@ -71,8 +78,9 @@ def typed_by_schema(df: DataFrame, schema: T.StructType = DETAIL, text_col: str
             checks.append(F.when(v.isNull(), F.lit(f"bad_{f.name}")))
     n = len(schema.fields)
     error = F.coalesce(F.when(F.size(F.col("_p")) < n, F.lit("too_few_fields")), *checks)
-    if mode == "fail":
-        error = F.when(error.isNotNull(), F.raise_error(F.concat(F.lit("bad record: "), error)))
+    if mode == "fail":  # in every typed column, so that pruning one does not prune the check
+        fail = F.raise_error(F.concat(F.lit("bad record: "), error))
+        typed = [F.when(error.isNotNull(), fail).otherwise(t).alias(f.name) for t, f in zip(typed, schema.fields)]
     keep = [c for c in df.columns if c not in schema.fieldNames()]
     return d.select(*keep, *typed, error.alias("error"))
 
@@ -107,6 +115,16 @@ def warehouse_row(df: DataFrame, text_col: str = "line", delimiter: str = ",",
     return out.withColumn("event_date", F.to_date(F.col("event_ts")))
 
 
+def warehouse_record(detail: DataFrame, truncate_seconds: bool = True) -> DataFrame:
+    """The same row from typed detail columns."""
+    def ts(c: str) -> Column:
+        ms = F.col(c).cast("bigint")
+        return F.timestamp_seconds((ms / F.lit(1000)).cast("bigint")) if truncate_seconds else F.timestamp_millis(ms)
+    times = {DETAIL_FIELDS[i] for i in (0, 6, 15)}
+    out = detail.select(*[(ts(c) if c in times else F.col(c)).alias(c) for c in DETAIL_FIELDS])
+    return out.withColumn("event_date", F.to_date(F.col("event_ts")))
+
+
 # ------------------------------------------------------------------ documents
 
 
@@ -170,26 +188,35 @@ def wide_encode(panes: DataFrame, key: str = "dim1") -> DataFrame:
 
 def wide_rows(cells: DataFrame) -> DataFrame:
     """Wide cells -> one row per row key with a ``qualifier -> value`` map
-    (a row holds 5 cells per pane of one window: bounded)."""
-    return cells.groupBy("row_key").agg(
+    (a row holds 5 cells per pane of one window: bounded). Of a cell written
+    again the latest counts."""
+    return latest_cells(cells).groupBy("row_key").agg(
         F.map_from_entries(F.collect_list(F.struct("qualifier", "value"))).alias("cells"))
 
 
-def read_wide_total(rows: DataFrame) -> DataFrame:
-    """Recombine discarded panes of each wide row: total count and sum, min of
-    mins, max of maxes, avg = sum/count."""
-    e = rows.select("row_key", F.explode("cells").alias("q", "v"))
-    e = e.select("row_key", F.split(F.col("q"), "#").getItem(0).alias("stat"), F.col("v"))
+def latest_cells(cells: DataFrame) -> DataFrame:
+    """One value per (row_key, qualifier): the one with the latest cell timestamp."""
+    return cells.groupBy("row_key", "qualifier").agg(
+        F.max_by("value", F.struct("cell_ts", "value")).alias("value"))
+
+
+def read_wide_total(cells: DataFrame) -> DataFrame:
+    """Recombine the discarded panes of each wide row from its cells: total count
+    and sum, min of mins, max of maxes, avg = sum/count. The key may hold ``#``:
+    the row key is split from its right end."""
+    e = latest_cells(cells).select("row_key", F.substring_index("qualifier", "#", 1).alias("stat"),
+                                   F.col("value").alias("v"))
     num = F.col("v").cast("bigint")
     g = e.groupBy("row_key").agg(
         F.sum(F.when(F.col("stat") == "num_records", num)).alias("num_records"),
         F.sum(F.when(F.col("stat") == "sum", num)).alias("sum"),
         F.max(F.when(F.col("stat") == "max", num)).cast("int").alias("max"),
         F.min(F.when(F.col("stat") == "min", num)).cast("int").alias("min"))
-    k = F.split(F.col("row_key"), "#")
+    tail = F.substring_index("row_key", "#", -2)
     return g.select(
-        k.getItem(0).alias("dim1"), k.getItem(1).cast("bigint").alias("win_start_ms"),
-        k.getItem(2).cast("bigint").alias("win_end_ms"),
+        F.expr("substring(row_key, 1, length(row_key) - length(substring_index(row_key, '#', -2)) - 1)").alias("dim1"),
+        F.substring_index(tail, "#", 1).cast("bigint").alias("win_start_ms"),
+        F.substring_index(tail, "#", -1).cast("bigint").alias("win_end_ms"),
         "num_records", "sum", "max", "min", float_avg(F.col("sum"), F.col("num_records")).alias("avg"))
 
 

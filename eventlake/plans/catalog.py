@@ -157,7 +157,7 @@ def q_wide_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_read_wide_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = enc.wide_encode(panes.pane_replay_discarding(fx.enriched(spark, sf_dir), S))
-    return enc.read_wide_total(enc.wide_rows(cells))
+    return enc.read_wide_total(cells)
 
 
 def q_bulk_batches(spark: SparkSession, sf_dir: str) -> DataFrame:

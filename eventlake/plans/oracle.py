@@ -23,8 +23,8 @@ msg AS (
 )"""
 
 DIM = """
-dim(dim1, dim1_val) AS (VALUES ('click', 'rogue'), ('view', 'warrior'),
-                               ('purchase', 'druid'), ('signup', 'priest'))"""
+dim(dim1, dim1_val) AS (VALUES ('click', 'navigation'), ('purchase', 'checkout'),
+                               ('signup', 'account'), ('view', 'catalog'))"""
 
 ENR = f"""
 {MSG.strip()},
@@ -319,30 +319,78 @@ SELECT message_id, event_ts, dim1, dim1_val, metrics1 FROM enr
 ORDER BY event_ts DESC, seq DESC LIMIT 10"""
 
 
-# Streams whose final output is deterministic. Append mode emits a window
-# once the watermark (max event time - (lateness + window size)) reaches its end.
+# Streams. The messages arrive in slices of 6150 minutes, counted from 10 minutes
+# before the midnight ahead of the first arrival; ``wm_before`` of a slice is the
+# greatest event time of the slices before it. A row counts in its window unless
+# wm_before has reached the window's end + allowed lateness.
+_SLICE = ("((arrival_us - ((SELECT min(arrival_us) FROM msg) - (SELECT min(arrival_us) FROM msg) % 86400000000) "
+          "+ 600000000) // 369000000000)")
+
+
+def _sliced(src: str, lateness: int) -> str:
+    return f"""
+sl AS (SELECT {src}.*, {_SLICE} AS b, (event_ts // {W6H}) * {W6H} AS win_start_ms,
+              (event_ts // {W6H}) * {W6H} + {W6H} AS win_end_ms FROM {src}),
+slw AS (SELECT b, max(max(event_ts)) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS wm_before
+        FROM sl GROUP BY b),
+counted AS (SELECT sl.*, slw.wm_before FROM sl JOIN slw USING (b)
+            WHERE slw.wm_before IS NULL OR slw.wm_before < sl.win_end_ms + {lateness})"""
+
+
+_UPDATE = f"""
+  SELECT dim1, win_start_ms, win_start_ms + {W6H} AS win_end_ms, acc_n AS num_records, acc_s AS sum,
+         acc_mx AS max, acc_mn AS min, {_favg('acc_s', 'acc_n')} AS avg, b AS batch_id
+  FROM (SELECT dim1, win_start_ms, b, sum(n) OVER w AS acc_n, CAST(sum(s) OVER w AS BIGINT) AS acc_s,
+               min(mn) OVER w AS acc_mn, max(mx) OVER w AS acc_mx
+        FROM (SELECT dim1, win_start_ms, b, count(*) AS n, sum(metrics1) AS s, min(metrics1) AS mn, max(metrics1) AS mx
+              FROM counted GROUP BY ALL) pb
+        WINDOW w AS (PARTITION BY dim1, win_start_ms ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) acc"""
+
+# A window is final once the greatest event time has reached its end + lateness.
+_APPEND = f"""
+  SELECT dim1, win_start_ms, win_end_ms, count(*) AS num_records, CAST(sum(metrics1) AS BIGINT) AS sum,
+         max(metrics1) AS max, min(metrics1) AS min, {_favg('sum(metrics1)', 'count(*)')} AS avg
+  FROM counted WHERE win_end_ms + {L30M} <= (SELECT max(event_ts) FROM sl) GROUP BY dim1, win_start_ms, win_end_ms"""
+
 ORACLE.update({
     "stream_dedup": f"""
 WITH {MSG.strip()}
-SELECT message_id,
+SELECT message_id AS id,
        concat_ws(',', CAST(event_ts AS VARCHAR), thread_id, thread_name, CAST(seq AS VARCHAR),
-                 dim1, CAST(metrics1 AS VARCHAR)) AS payload,
-       event_ts AS event_ms, arrival_ms AS publish_ms
+                 dim1, CAST(metrics1 AS VARCHAR)) AS payload
 FROM msg""",
 
+    # the lookup has two more rows from the third slice on
     "stream_enrich_refreshing": f"""
 WITH {ENR.strip()}
-SELECT message_id, dim1, dim1_val, metrics1, event_ts AS event_ms FROM enr""",
+SELECT message_id, dim1, metrics1, event_ts AS event_ms,
+       CASE WHEN {_SLICE} >= 2 AND dim1 = 'error' THEN 'support'
+            WHEN {_SLICE} >= 2 AND dim1 = 'click' THEN 'landing' ELSE dim1_val END AS dim1_val
+FROM enr""",
+
+    "stream_update_stats": f"WITH {ENR.strip()}, {_sliced('enr', L30M).strip()} {_UPDATE}",
+
+    "stream_append_stats": f"WITH {ENR.strip()}, {_sliced('enr', L30M).strip()} {_APPEND}",
 
-    "stream_append_stats": f"""
+    # redelivered copies never count twice: the same statistics as without them
+    "stream_dedup_stats": f"""
+WITH {ENR.strip()}, {_sliced('enr', L30M).strip()}
+SELECT *, 'update' AS mode FROM ({_UPDATE}) u
+UNION ALL SELECT *, CAST(-1 AS BIGINT) AS batch_id, 'append' AS mode FROM ({_APPEND}) a""",
+
+    "stream_per_trigger_stats": f"""
 WITH {ENR.strip()},
-w AS (
-  SELECT dim1, (event_ts // {W6H}) * {W6H} AS win_start_ms, (event_ts // {W6H}) * {W6H} + {W6H} AS win_end_ms,
-         count(*) AS num_records, CAST(sum(metrics1) AS BIGINT) AS sum, max(metrics1) AS max,
-         min(metrics1) AS min,
-         CAST(CAST(sum(metrics1) AS FLOAT) / CAST(count(*) AS FLOAT) AS FLOAT) AS avg
-  FROM enr GROUP BY 1, 2, 3)
-SELECT w.* FROM w WHERE win_end_ms <= (SELECT max(event_ts) FROM enr) - {L30M + W6H}""",
+x AS (SELECT enr.*, {_SLICE} AS b FROM enr)
+SELECT dim1, count(*) AS num_records, CAST(sum(metrics1) AS BIGINT) AS sum, max(metrics1) AS max,
+       min(metrics1) AS min, {_favg('sum(metrics1)', 'count(*)')} AS avg, b AS batch_id
+FROM x GROUP BY dim1, b""",
+
+    # no lateness: a dead letter counts if the dead letters before its slice have not reached its window's end
+    "stream_error_windows": f"""
+WITH {MSG.strip()}, bad AS (SELECT * FROM msg WHERE event_id % 50 IN (0, 7, 17, 33, 41)),
+{_sliced('bad', 0).strip()}
+SELECT win_start_ms, win_end_ms, count(*) AS n_rows FROM counted
+WHERE win_end_ms <= (SELECT max(event_ts) FROM sl) GROUP BY win_start_ms, win_end_ms""",
 })
 
 
@@ -424,69 +472,70 @@ FROM panes""",
 })
 
 
-# The stream replays the messages as 6 equal arrival slices (one micro-batch
-# each); its pane machine must give the live panes of that batching.
-_SLICE = ("((arrival_us - (SELECT min(arrival_us) FROM msg)) * 6) "
-          "// ((SELECT max(arrival_us) FROM msg) - (SELECT min(arrival_us) FROM msg) + 1)")
+# Panes of the stream, late firing count 3. A slice is much longer than the
+# lateness, so a window gets late rows from one slice at most: they fire at once if
+# there are three, else with the closing pane (the last one) when the greatest
+# event time reaches end + lateness.
+LATE_COUNT = 3
 
 ORACLE["stream_panes"] = f"""
-WITH {ENR.strip()},
-{live_sql(_SLICE).strip()},
-allp AS (SELECT * FROM pp UNION ALL SELECT * FROM ot WHERE b IS NOT NULL),
+WITH {ENR.strip()}, {_sliced('enr', L30M).strip()},
+wa AS (SELECT b, max(max(event_ts)) OVER (ORDER BY b) AS wm_after FROM sl GROUP BY b),
+t AS (SELECT *, CASE WHEN wm_before >= win_end_ms THEN 'LATE' ELSE 'EARLY' END AS timing FROM counted),
+pp AS (SELECT dim1, win_start_ms, win_end_ms, b, timing, 0 AS ord, count(*) AS n, CAST(sum(metrics1) AS BIGINT) AS s,
+              min(metrics1) AS mn, max(metrics1) AS mx FROM t GROUP BY ALL),
+fired AS (SELECT pp.*, timing = 'LATE' AND n < {LATE_COUNT} AS last FROM pp
+          WHERE timing = 'EARLY' OR n >= {LATE_COUNT} OR win_end_ms + {L30M} <= (SELECT max(event_ts) FROM sl)),
+ot AS (SELECT o.dim1, o.win_start_ms, o.win_end_ms,
+              (SELECT min(wa.b) FROM wa WHERE wa.wm_after >= o.win_end_ms) AS b,
+              'ON_TIME' AS timing, 1 AS ord, CAST(0 AS BIGINT) AS n, CAST(0 AS BIGINT) AS s,
+              CAST(NULL AS INTEGER) AS mn, CAST(NULL AS INTEGER) AS mx, false AS last
+       FROM (SELECT DISTINCT dim1, win_start_ms, win_end_ms FROM pp WHERE timing = 'EARLY') o),
+allp AS (SELECT * FROM fired UNION ALL SELECT * FROM ot WHERE b IS NOT NULL),
 acc AS ({_pane_rows("allp")}),
-dis AS ({_pane_rows("pp")})
-SELECT dim1, win_start_ms, win_end_ms, b AS batch_id, timing, pane_idx, pane_nonspeculative_idx, is_first,
-       is_last, acc_n AS num_records, acc_s AS sum, acc_mx AS max, acc_mn AS min,
+dis AS ({_pane_rows("fired")})
+SELECT dim1, win_start_ms, win_end_ms, timing, pane_idx, pane_nonspeculative_idx, is_first,
+       last AS is_last, acc_n AS num_records, acc_s AS sum, acc_mx AS max, acc_mn AS min,
        {_favg('acc_s', 'acc_n')} AS avg, 'accumulating' AS mode
 FROM acc
 UNION ALL
-SELECT dim1, win_start_ms, win_end_ms, b AS batch_id, timing, pane_idx, pane_nonspeculative_idx, is_first,
-       is_last, n AS num_records, s AS sum, mx AS max, mn AS min, {_favg('s', 'n')} AS avg,
+SELECT dim1, win_start_ms, win_end_ms, timing, pane_idx, pane_nonspeculative_idx, is_first,
+       last AS is_last, n AS num_records, s AS sum, mx AS max, mn AS min, {_favg('s', 'n')} AS avg,
        'discarding' AS mode
 FROM dis"""
 
 
-# Update mode: every micro-batch re-emits the running totals of the windows
-# it touched (no row is behind the watermark for this data).
-ORACLE["stream_update_stats"] = f"""
-WITH {ENR.strip()},
-x AS (SELECT enr.*, {_SLICE} AS b, (event_ts // {W6H}) * {W6H} AS win_start_ms FROM enr),
-pb AS (SELECT dim1, win_start_ms, b, count(*) AS n, sum(metrics1) AS s, min(metrics1) AS mn,
-              max(metrics1) AS mx FROM x GROUP BY ALL),
-acc AS (
-  SELECT dim1, win_start_ms, b,
-         sum(n) OVER w AS acc_n, CAST(sum(s) OVER w AS BIGINT) AS acc_s,
-         min(mn) OVER w AS acc_mn, max(mx) OVER w AS acc_mx
-  FROM pb WINDOW w AS (PARTITION BY dim1, win_start_ms ORDER BY b
-                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
-SELECT dim1, win_start_ms, win_start_ms + {W6H} AS win_end_ms, acc_n AS num_records, acc_s AS sum,
-       acc_mx AS max, acc_mn AS min, {_favg('acc_s', 'acc_n')} AS avg, b AS batch_id
-FROM acc"""
-
-
-ORACLE["stream_per_trigger_stats"] = f"""
-WITH {ENR.strip()},
-x AS (SELECT enr.*, {_SLICE} AS b FROM enr)
-SELECT dim1, count(*) AS num_records, CAST(sum(metrics1) AS BIGINT) AS sum, max(metrics1) AS max,
-       min(metrics1) AS min, {_favg('sum(metrics1)', 'count(*)')} AS avg, b AS batch_id
-FROM x GROUP BY dim1, b"""
-
-
-# Fan-out over the faulty messages: rows landed per sink.
+# Fan-out over the faulty messages in one run: what every sink holds.
 _DEAD = "event_id % 50 IN (0, 7, 17, 33, 41)"
 
 ORACLE["stream_fanout_sinks"] = f"""
 WITH {ENR.strip()},
-enrv AS (SELECT * FROM enr WHERE NOT ({_DEAD})),
-{live_sql(_SLICE, "enrv").strip()},
-allp AS (SELECT * FROM pp UNION ALL SELECT * FROM ot WHERE b IS NOT NULL),
-acc AS ({_pane_rows("allp")}),
-dis AS ({_pane_rows("pp")})
-SELECT 'csv' AS sink, (SELECT count(*) FROM enrv) AS n_rows
-UNION ALL SELECT 'records', (SELECT count(*) FROM enrv)
-UNION ALL SELECT 'warehouse', (SELECT count(*) FROM enrv)
-UNION ALL SELECT 'docs_ndjson_lines', 2 * (SELECT count(*) FROM enrv)
-UNION ALL SELECT 'errors', (SELECT count(*) FROM msg WHERE {_DEAD})
-UNION ALL SELECT 'panes', (SELECT count(*) FROM acc) + (SELECT count(*) FROM dis)
-UNION ALL SELECT 'tall', 14 * (SELECT count(*) FROM acc)
-UNION ALL SELECT 'wide', 5 * (SELECT count(*) FROM dis)"""
+good AS (SELECT * FROM enr WHERE NOT ({_DEAD})),
+d AS (SELECT *, (event_ts // {W6H}) * {W6H} AS ws FROM good),
+w AS (SELECT dim1, ws, count(*) AS n, CAST(sum(metrics1) AS BIGINT) AS s, max(metrics1) AS mx, min(metrics1) AS mn
+      FROM d GROUP BY dim1, ws),
+p AS (SELECT 'EARLY' AS timing FROM w UNION ALL
+      SELECT 'ON_TIME' FROM w WHERE ws + {W6H} <= (SELECT max(event_ts) FROM good))
+SELECT 'csv' AS sink, CAST(event_ts AS VARCHAR) AS key,
+       concat_ws(',', event_ts, thread_id, thread_name, seq, dim1, metrics1, process_ts, dim1_val,
+                 {_win_str('ws', f'ws + {W6H}')}, 'PaneInfo.NO_FIRING', '0', '0', 'true', 'true', 'UNKNOWN', event_ts) AS value
+FROM d
+UNION ALL SELECT 'records', CAST(seq AS VARCHAR),
+       concat_ws('|', event_ts, dim1, metrics1, dim1_val, {_iso('ws')} || '-' || {_iso(f'ws + {W6H}')}) FROM d
+UNION ALL SELECT 'warehouse', CAST(seq AS VARCHAR),
+       concat_ws('|', CAST(CAST({_ts_s('event_ts')} AS DATE) AS VARCHAR), dim1_val, metrics1) FROM d
+UNION ALL SELECT 'docs', CAST(seq AS VARCHAR),
+       CAST(json_object('@timestamp', event_ts, 'thread_id', thread_id, 'thread_name', thread_name,
+                        'seq', CAST(seq AS BIGINT), 'dim1', dim1, 'metrics1', CAST(metrics1 AS BIGINT),
+                        'process_ts', process_ts, 'dim1_val', dim1_val) AS VARCHAR) FROM d
+UNION ALL SELECT 'errors', CAST(NULL AS VARCHAR),
+       CASE event_id % 50
+         WHEN 0 THEN concat_ws(',', event_ts, thread_id, thread_name)
+         WHEN 7 THEN ' ' || event_ts || ' ,' || concat_ws(',', thread_id, thread_name, seq, dim1, metrics1)
+         WHEN 17 THEN concat_ws(',', event_ts, thread_id, thread_name, seq, dim1) || ',n/a'
+         WHEN 33 THEN 'Failed to extract pubsub payload'
+         ELSE 'x17,' || concat_ws(',', thread_id, thread_name, seq, dim1, metrics1) END
+FROM msg WHERE {_DEAD}
+UNION ALL SELECT 'panes', timing, CAST(count(*) AS VARCHAR) FROM p GROUP BY timing
+UNION ALL SELECT 'tall', 'cells', CAST(count(*) AS VARCHAR) FROM p
+UNION ALL SELECT 'wide', dim1 || '|' || ws, concat_ws('|', n, s, mx, mn) FROM w"""

@@ -1,132 +1,177 @@
 """Registered streaming queries. Each replays the fixture messages (derived
-by Spark from ``events``) as arrival-ordered micro-batch files in the shared
-checkpoint folder, runs the stream to completion with ``availableNow`` and
-returns the written result as a batch DataFrame (rows-only check; exact
-behaviour is tested in ``tests/test_streaming.py``)."""
+by Spark from ``events``) in slices of arrival time from the shared checkpoint
+folder, one ``availableNow`` run per slice on the same checkpoint, and returns the
+written result as a batch DataFrame."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventlake.functions.time import epoch_ms
+from eventlake.operators import encode as enc
 from eventlake.plans import fixtures as fx
 from eventlake.schemas import MESSAGE
 from eventlake.session import prepare, scratch_path
-from eventlake.sources.dims import fixture_dimension
-from eventlake.streaming.replay import arrival_batches, stage_batches
-from eventlake.streaming.stats import start_dedup_query, start_stats_query, valid_enriched
+from eventlake.sources.dims import fixture_dimension, read_dimension
+from eventlake.streaming import stats as st
+from eventlake.streaming.enrich import RefreshingDimension, start_refreshing_enrich_query
+from eventlake.streaming.fanout import FanOut
+from eventlake.streaming.panes import start_pane_query
+from eventlake.streaming.replay import SLICE, Steps, arrival_slices, replay, run, stage_slices
 
-N_BATCHES = 6
 S = fx.FIXTURE
+#: Minutes of arrival time per slice, and how much before midnight the first slice
+#: begins. With 6-hour windows and 30 minutes of lateness, the second slice begins
+#: 20 minutes behind a window's end (late rows), the third 50 (dropped rows).
+SLICE_MINUTES, SHIFT_MINUTES = 6150, 10
+LATE_COUNT = 3
 
 
-def _staged_messages(spark: SparkSession, sf_dir: str, name: str, redeliver: bool = False,
-                     faulty: bool = False):
+def _staged(spark: SparkSession, sf_dir: str, name: str, messages=fx.messages) -> tuple[str, list[int]]:
     prepare(spark)
     root = scratch_path(spark, name)
-    if redeliver:
-        m = fx.redelivered_messages(spark, sf_dir)
-    elif faulty:
-        m = fx.faulty_messages(spark, sf_dir)
-    else:
-        m = fx.messages(spark, sf_dir)
-    stage_batches(arrival_batches(m, N_BATCHES), f"{root}/src", "_batch")
-    stream = (spark.readStream.schema(MESSAGE).option("maxFilesPerTrigger", "1")
-              .parquet(f"{root}/src/*"))
-    return root, stream
+    m = arrival_slices(messages(spark, sf_dir), SLICE_MINUTES, SHIFT_MINUTES)
+    return root, stage_slices(m, f"{root}/src")
 
 
-def _run(q) -> None:
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(f"stream failed: {q.exception()}")
+def _valid(stream: DataFrame) -> DataFrame:
+    return st.valid_enriched(stream, fixture_dimension(stream.sparkSession), S, process_ts=fx.batch_process_ts())[0]
+
+
+def _dense_batches(df: DataFrame) -> DataFrame:
+    """``batch_id`` counts the micro-batches that wrote rows (few of them)."""
+    ids = df.select("batch_id").distinct()
+    dense = ids.select("batch_id", (F.row_number().over(Window.orderBy("batch_id")) - 1).cast("bigint").alias("_b"))
+    return df.join(F.broadcast(dense), "batch_id").drop("batch_id").withColumnRenamed("_b", "batch_id")
+
+
+def _stats(spark: SparkSession, sf_dir: str, name: str, mode: str) -> DataFrame:
+    root, slices = _staged(spark, sf_dir, name)
+    replay(spark, f"{root}/src", slices, MESSAGE,
+           lambda s: st.start_stats_query(_valid(s), f"{root}/out", f"{root}/ckpt", S, mode=mode))
+    return spark.read.parquet(f"{root}/out")
 
 
 def q_stream_update_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root, stream = _staged_messages(spark, sf_dir, "stream_update_stats")
-    valid, _ = valid_enriched(stream, fixture_dimension(spark), S, process_ts=fx.batch_process_ts())
-    _run(start_stats_query(valid, f"{root}/out", f"{root}/ckpt", S, mode="update"))
-    return spark.read.parquet(f"{root}/out").withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    return _dense_batches(_stats(spark, sf_dir, "stream_update_stats", "update"))
 
 
 def q_stream_append_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root, stream = _staged_messages(spark, sf_dir, "stream_append_stats")
-    valid, _ = valid_enriched(stream, fixture_dimension(spark), S, process_ts=fx.batch_process_ts())
-    _run(start_stats_query(valid, f"{root}/out", f"{root}/ckpt", S, mode="append"))
-    return spark.read.parquet(f"{root}/out").drop("batch_id")
+    """Windows still open when the input ends are not emitted: append mode waits for the watermark."""
+    return _stats(spark, sf_dir, "stream_append_stats", "append").drop("batch_id")
 
 
 def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root, stream = _staged_messages(spark, sf_dir, "stream_dedup", redeliver=True)
-    _run(start_dedup_query(stream, f"{root}/out", f"{root}/ckpt", S))
+    """One copy of every message, late ones too (which copy of a slice stays is open)."""
+    root, slices = _staged(spark, sf_dir, "stream_dedup", fx.redelivered_messages)
+    replay(spark, f"{root}/src", slices, MESSAGE,
+           lambda s: st.start_dedup_query(s, f"{root}/out", f"{root}/ckpt", S))
     return spark.read.parquet(f"{root}/out").select(
-        "message_id", "payload", epoch_ms(F.col("event_time")).alias("event_ms"),
-        epoch_ms(F.col("publish_ts")).alias("publish_ms"))
+        F.col("attributes").getItem(S.id_attr).alias("id"), F.col("payload").cast("string").alias("payload"))
+
+
+def q_stream_dedup_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Redelivered and late messages: dedup into a message table, then window stats
+    of that table in update and in append mode."""
+    root, slices = _staged(spark, sf_dir, "stream_dedup_stats", fx.redelivered_messages)
+
+    def stats(mode: str):
+        def start(_: DataFrame):
+            clean = spark.readStream.schema(MESSAGE).parquet(f"{root}/messages")
+            return st.start_stats_query(_valid(clean), f"{root}/{mode}", f"{root}/ckpt_{mode}", S, mode=mode)
+        return start
+
+    replay(spark, f"{root}/src", slices, MESSAGE, Steps(
+        lambda s: st.start_dedup_query(s, f"{root}/messages", f"{root}/ckpt", S), stats("update"), stats("append")))
+    update = _dense_batches(spark.read.parquet(f"{root}/update")).withColumn("mode", F.lit("update"))
+    append = spark.read.parquet(f"{root}/append").drop("batch_id")
+    return update.unionByName(append.withColumn("mode", F.lit("append")).withColumn("batch_id", F.lit(-1).cast("bigint")))
+
+
+def q_stream_error_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dead letters per window with the default trigger: one result when the watermark
+    passes the window's end, no lateness."""
+    root, slices = _staged(spark, sf_dir, "stream_error_windows", fx.faulty_messages)
+
+    def start(s: DataFrame):
+        _, dead = st.valid_enriched(s, fixture_dimension(spark), S, process_ts=fx.batch_process_ts())
+        return st.start_error_window_query(dead, f"{root}/out", f"{root}/ckpt", S)
+
+    replay(spark, f"{root}/src", slices, MESSAGE, start)
+    return spark.read.parquet(f"{root}/out").drop("batch_id")
 
 
 def q_stream_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from eventlake.streaming.panes import start_pane_query
-    root, stream = _staged_messages(spark, sf_dir, "stream_panes")
-    valid, _ = valid_enriched(stream, fixture_dimension(spark), S, process_ts=fx.batch_process_ts())
-    _run(start_pane_query(valid, f"{root}/out", f"{root}/state", f"{root}/ckpt", S))
-    return spark.read.parquet(f"{root}/out").drop("process_ts") \
-        .withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    root, slices = _staged(spark, sf_dir, "stream_panes")
+    replay(spark, f"{root}/src", slices, MESSAGE, lambda s: start_pane_query(
+        _valid(s), f"{root}/out", f"{root}/ckpt", S.with_(late_firing_count=LATE_COUNT)))
+    return spark.read.parquet(f"{root}/out").where("mode <> 'dropped'").drop("process_ts", "batch_id")
 
 
-STREAM_QUERIES = {
-    "stream_update_stats": q_stream_update_stats,
-    "stream_append_stats": q_stream_append_stats,
-    "stream_dedup": q_stream_dedup,
-    "stream_panes": q_stream_panes,
-}
+def q_stream_per_trigger_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Global window, repeated trigger, discarding: stats of each micro-batch."""
+    root, slices = _staged(spark, sf_dir, "stream_per_trigger_stats")
+    replay(spark, f"{root}/src", slices, MESSAGE,
+           lambda s: st.start_per_trigger_query(_valid(s), f"{root}/out", f"{root}/ckpt"))
+    return _dense_batches(spark.read.parquet(f"{root}/out"))
 
 
 def q_stream_enrich_refreshing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lookup re-read every micro-batch (TTL 0) from a dimension table in the
-    shared folder."""
-    from eventlake.sources.dims import read_dimension
-    from eventlake.streaming.enrich import RefreshingDimension, start_refreshing_enrich_query
-    root, stream = _staged_messages(spark, sf_dir, "stream_enrich_refreshing")
-    fixture_dimension(spark).write.mode("overwrite").parquet(f"{root}/dim")
+    """The lookup changes between slices and is re-read every micro-batch (TTL 0):
+    from the third slice on, ``error`` is known and ``click`` has a newer value."""
+    root, slices = _staged(spark, sf_dir, "stream_enrich_refreshing")
     dim = RefreshingDimension(lambda: read_dimension(spark, path=f"{root}/dim"), ttl_s=0)
-    _run(start_refreshing_enrich_query(stream, dim, f"{root}/out", f"{root}/ckpt", S,
-                                       process_ts=fx.batch_process_ts()))
+    done = []
+
+    def start(s: DataFrame):
+        if not done:
+            (fixture_dimension(spark).withColumn("updated_at", F.lit(1)).write.parquet(f"{root}/dim"))
+        if len(done) == 2:
+            (spark.createDataFrame([("error", "support", 1), ("click", "landing", 2)], "dim1 string, dim1_val string, updated_at int")
+             .write.mode("append").parquet(f"{root}/dim"))
+        done.append(1)
+        return start_refreshing_enrich_query(s, dim, f"{root}/out", f"{root}/ckpt", S, process_ts=fx.batch_process_ts())
+
+    replay(spark, f"{root}/src", slices, MESSAGE, start)
     return spark.read.parquet(f"{root}/out").drop("batch_id", "dim_version")
 
 
 def q_stream_fanout_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows landed per sink after replaying the stream through every sink."""
-    from eventlake.streaming.fanout import start_fanout_query
-    root, stream = _staged_messages(spark, sf_dir, "stream_fanout_sinks", faulty=True)
-    _run(start_fanout_query(stream, f"{root}/sinks", f"{root}/ckpt", fixture_dimension(spark), S,
-                            process_ts=fx.batch_process_ts()))
+    """What every sink holds after one run over the faulty messages: (sink, key, value)."""
+    prepare(spark)
+    root = scratch_path(spark, "stream_fanout_sinks")
+    fx.faulty_messages(spark, sf_dir).write.parquet(f"{root}/src")
+    FanOut(spark.readStream.schema(MESSAGE).parquet(f"{root}/src"), f"{root}/sinks", fixture_dimension(spark), S,
+           process_ts=fx.batch_process_ts()).run()
     r = f"{root}/sinks"
 
-    def n(df: DataFrame, sink: str) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(sink).alias("sink"), "n_rows")
-
-    return (n(spark.read.text(f"{r}/csv"), "csv")
-            .unionByName(n(spark.read.parquet(f"{r}/records"), "records"))
-            .unionByName(n(spark.read.parquet(f"{r}/warehouse"), "warehouse"))
-            .unionByName(n(spark.read.text(f"{r}/docs/*/*.ndjson"), "docs_ndjson_lines"))
-            .unionByName(n(spark.read.text(f"{r}/errors"), "errors"))
-            .unionByName(n(spark.read.parquet(f"{r}/panes"), "panes"))
-            .unionByName(n(spark.read.parquet(f"{r}/tall"), "tall"))
-            .unionByName(n(spark.read.parquet(f"{r}/wide"), "wide")))
-
+    def rows(df: DataFrame, sink: str, key, value) -> DataFrame:
+        return df.select(F.lit(sink).alias("sink"), key.cast("string").alias("key"), value.cast("string").alias("value"))
 
-def q_stream_per_trigger_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Global window, repeated trigger, discarding: stats of each micro-batch."""
-    from eventlake.streaming.stats import start_per_trigger_query
-    root, stream = _staged_messages(spark, sf_dir, "stream_per_trigger_stats")
-    valid, _ = valid_enriched(stream, fixture_dimension(spark), S, process_ts=fx.batch_process_ts())
-    _run(start_per_trigger_query(valid, f"{root}/out", f"{root}/ckpt"))
-    return spark.read.parquet(f"{root}/out").withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    text = lambda *c: F.concat_ws("|", *[F.coalesce(F.col(x).cast("string"), F.lit("-")) for x in c])
+    docs = spark.read.text(f"{r}/docs/*/*.ndjson").where(~F.col("value").startswith('{"index"'))
+    panes = spark.read.parquet(f"{r}/panes").where("mode = 'accumulating'")
+    wide = enc.read_wide_total(spark.read.parquet(f"{r}/wide"))
+    tall = spark.read.parquet(f"{r}/tall").where("qualifier = 'num_records'")
+    return (rows(spark.read.text(f"{r}/csv"), "csv", F.substring_index("value", ",", 1), F.col("value"))
+            .union(rows(spark.read.parquet(f"{r}/records"), "records", F.col("seq"), text("event_ts", "dim1", "metrics1", "dim1_val", "window_id")))
+            .union(rows(spark.read.parquet(f"{r}/warehouse"), "warehouse", F.col("seq"), text("event_date", "dim1_val", "metrics1")))
+            .union(rows(docs, "docs", F.get_json_object("value", "$.seq"), F.col("value")))
+            .union(rows(spark.read.text(f"{r}/errors"), "errors", F.lit(None).cast("string"), F.col("value")))
+            .union(rows(panes.groupBy("timing").agg(F.count("*").alias("n")), "panes", F.col("timing"), F.col("n")))
+            .union(rows(tall.groupBy(F.lit("cells").alias("k")).agg(F.count("*").alias("n")), "tall", F.col("k"), F.col("n")))
+            .union(rows(wide, "wide", text("dim1", "win_start_ms"), text("num_records", "sum", "max", "min"))))
 
 
-STREAM_QUERIES.update({
+STREAM_QUERIES = {
+    "stream_update_stats": q_stream_update_stats,
+    "stream_append_stats": q_stream_append_stats,
+    "stream_dedup": q_stream_dedup,
+    "stream_dedup_stats": q_stream_dedup_stats,
+    "stream_error_windows": q_stream_error_windows,
+    "stream_panes": q_stream_panes,
     "stream_per_trigger_stats": q_stream_per_trigger_stats,
     "stream_enrich_refreshing": q_stream_enrich_refreshing,
     "stream_fanout_sinks": q_stream_fanout_sinks,
-})
+}

@@ -41,9 +41,12 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder. On a cluster it is named in
-    ``spark.checkpoint.dir``; only when unset (local tests) we pick one."""
+    ``spark.checkpoint.dir``, and it is an error if it is not; a local master
+    gets a folder of its own."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="eventlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     sc = spark.sparkContext
@@ -55,6 +58,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint folder (never a
     machine-local temp dir), for written intermediate tables and stream
-    checkpoints."""
+    checkpoints. It is deleted when the session ends."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/eventlake/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/eventlake/{name}-{uuid.uuid4().hex[:12]}"
+    p, fs = hadoop_path(spark, path)
+    fs.deleteOnExit(p)
+    return path
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(path, file system) of the Hadoop API; a path without a scheme is on the
+    default file system, whatever that is."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(p), fs
+
+
+def clear_path(spark: SparkSession, path: str) -> str:
+    """Delete a folder (a replayed batch writes it anew) and return its full URI."""
+    p, fs = hadoop_path(spark, path)
+    fs.delete(p, True)
+    return p.toString()

@@ -63,14 +63,15 @@ class Settings:
     bulk_max_attempts: int = 6
     bulk_max_retry_ms: int = 60_000
     bulk_initial_backoff_ms: int = 5_000
-    # broadcast guard for the dimension lookup (rows); above it the join shuffles
-    broadcast_max_rows: int = 2_000_000
+    # broadcast guard for the dimension lookup (bytes, by the plan's statistics); above it the join shuffles
+    broadcast_max_bytes: int = 64 * 1024 * 1024
+    # how long (processing time) an id is remembered for redeliveries
+    dedup_horizon: str = "10m"
     # warehouse
     truncate_seconds: bool = True
-    extra: dict = field(default_factory=dict)
 
     def __post_init__(self):
-        for name in ("window_size", "allowed_lateness", "early_firing_period"):
+        for name in ("window_size", "allowed_lateness", "early_firing_period", "dedup_horizon"):
             parse_duration(getattr(self, name))
         if self.late_firing_count < 1:
             raise ValueError("late_firing_count must be >= 1")

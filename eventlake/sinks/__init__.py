@@ -1,7 +1,7 @@
 """Sinks: windowed files, warehouse table, key/value cell tables, bulk
-document index. All are batch writers; streams call them from
-``foreachBatch`` with the batch id so a replayed batch overwrites its own
-output (idempotent)."""
+document index. Files and tables of a stream go through Spark's own file sink
+(``start_files``); the bulk and cell sinks are called from ``foreachBatch`` and
+write anew what a replayed batch wrote."""
 
 from eventlake.sinks.files import write_avro, write_windowed_text
 from eventlake.sinks.tables import write_cells, write_warehouse

@@ -24,12 +24,14 @@ import time
 from dataclasses import dataclass
 from typing import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from eventlake.functions.shipping import ship_by_value
+from eventlake.session import clear_path
 
 # Functions of this module run inside Python workers: pickle them by value
 # so executors need no installed copy of the package.
@@ -65,6 +67,20 @@ def body_of(batch) -> str:
 # ------------------------------------------------------------------ planning
 
 
+def cut_points(lens: np.ndarray, max_docs: int, max_bytes: int) -> list[int]:
+    """Ends of the full batches in a run of document lengths: a batch ends with the
+    document that brings it to ``max_docs`` documents or ``max_bytes`` bytes. One
+    search in the running sum per batch."""
+    sums, ends, at = np.cumsum(lens), [], 0
+    while True:
+        before = int(sums[at - 1]) if at else 0
+        end = min(at + max_docs, int(np.searchsorted(sums, before + max_bytes)) + 1)
+        if end > len(lens):
+            return ends
+        ends.append(end)
+        at = end
+
+
 def bulk_batches(docs: DataFrame, doc_col: str = "doc", max_docs: int = 1000,
                  max_bytes: int = 5 * 1024 * 1024, id_col: str | None = None,
                  with_body: bool = False) -> DataFrame:
@@ -87,17 +103,14 @@ def bulk_batches(docs: DataFrame, doc_col: str = "doc", max_docs: int = 1000,
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
         pid = TaskContext.get().partitionId()
-        out, no = [], 0
+        no = 0
 
-        def emit(n, size, extra, body=None):
+        def frame(recs):
             nonlocal no
-            rec = {"partition_id": pid, "batch_no": no, "n_docs": n, "doc_bytes": size,
-                   "body_bytes": size + extra}
-            if with_body:
-                rec["body"] = body
-                rec["body_bytes"] = len(body.encode("utf-8"))
-            out.append(rec)
-            no += 1
+            out = [{"partition_id": pid, "batch_no": no + k, "n_docs": n, "doc_bytes": size, "body_bytes": total,
+                    **({"body": body} if with_body else {})} for k, (n, size, total, body) in enumerate(recs)]
+            no += len(out)
+            return pd.DataFrame(out)
 
         if with_body:
             def rows():
@@ -105,23 +118,22 @@ def bulk_batches(docs: DataFrame, doc_col: str = "doc", max_docs: int = 1000,
                     ids = pdf[id_col] if id_col else [None] * len(pdf)
                     yield from zip(pdf[doc_col], ids)
             for batch, size in iter_batches(rows(), max_docs, max_bytes):
-                emit(len(batch), size, 0, body_of(batch))
+                body = body_of(batch)
+                yield frame([(len(batch), size, len(body.encode("utf-8")), body)])
         else:
-            n = size = extra = 0
+            left_len, left_all = np.empty(0, np.int64), np.empty(0, np.int64)
             for pdf in it:
-                lens = pdf["_len"].to_numpy()
-                alens = pdf["_alen"].to_numpy() if id_col else None
-                for i in range(len(lens)):
-                    n += 1
-                    size += int(lens[i])
-                    extra += (int(alens[i]) if alens is not None else plain_action) + 2
-                    if n >= max_docs or size >= max_bytes:
-                        emit(n, size, extra)
-                        n = size = extra = 0
-            if n:
-                emit(n, size, extra)
-        if out:
-            yield pd.DataFrame(out)
+                lens = np.concatenate([left_len, pdf["_len"].to_numpy(np.int64)])
+                extra = pdf["_alen"].to_numpy(np.int64) if id_col else np.full(len(pdf), plain_action, np.int64)
+                total = np.concatenate([left_all, pdf["_len"].to_numpy(np.int64) + extra + 2])
+                ends = cut_points(lens, max_docs, max_bytes)
+                if ends:
+                    starts = [0, *ends[:-1]]
+                    yield frame([(e - s, int(lens[s:e].sum()), int(total[s:e].sum()), None) for s, e in zip(starts, ends)])
+                    lens, total = lens[ends[-1]:], total[ends[-1]:]
+                left_len, left_all = lens, total
+            if len(left_len):
+                yield frame([(len(left_len), int(left_len.sum()), int(left_all.sum()), None)])
 
     return docs.select(*cols).mapInPandas(run, schema)
 
@@ -129,7 +141,7 @@ def bulk_batches(docs: DataFrame, doc_col: str = "doc", max_docs: int = 1000,
 # ------------------------------------------------------------- item errors
 
 BULK_RESPONSE = ("struct<took:long, errors:boolean, items:array<struct<index:struct<"
-                 "_index:string, _id:string, status:int, error:struct<type:string, reason:string>>>>>")
+                 "_index:string, _id:string, status:int, error:struct<type:string, reason:string, caused_by:struct<type:string, reason:string>>>>>>")
 
 
 def bulk_item_errors(responses: DataFrame, response_col: str = "response") -> DataFrame:
@@ -166,6 +178,8 @@ def _write_text(uri: str, name: str, text: str) -> None:
     """Write one file under a folder URI (local path, hdfs://, s3://, gs://
     ... whatever pyarrow's filesystem layer resolves)."""
     from pyarrow import fs
+    if uri.startswith("file:/") and not uri.startswith("file://"):  # Hadoop's form of a local URI
+        uri = "file://" + uri[len("file:"):]
     filesystem, base = fs.FileSystem.from_uri(uri if "://" in uri else os.path.abspath(uri))
     filesystem.create_dir(base, recursive=True)
     with filesystem.open_output_stream(f"{base.rstrip('/')}/{name}") as f:
@@ -215,14 +229,14 @@ class BulkDocsWriter(DataSourceArrowWriter):
     def write(self, iterator):
         from pyspark import TaskContext
         o = self.o
-        pid = TaskContext.get().partitionId()
+        pid = TaskContext.get().partitionId() if TaskContext.get() else 0
         doc_col, id_col = o.get("doc_col", "doc"), o.get("id_col")
         max_docs, max_bytes = int(o.get("max_docs", "1000")), int(o.get("max_bytes", str(5 << 20)))
         attempts = int(o.get("max_attempts", "6"))
         max_retry_ms = int(o.get("max_retry_ms", "60000"))
         backoff_ms = int(o.get("initial_backoff_ms", "5000"))
         transport = self._transport()
-        dead_path = o.get("dead_letter_path")
+        dead_path = o["dead_letter_path"]
 
         def rows():
             for rb in iterator:
@@ -231,7 +245,6 @@ class BulkDocsWriter(DataSourceArrowWriter):
                 yield from zip(d, ids)
 
         n_batches = n_docs = n_failed = n_retries = 0
-        dead = []
         for no, (batch, _) in enumerate(iter_batches(rows(), max_docs, max_bytes)):
             body = body_of(batch)
             name = f"part-{pid:05d}-batch-{no:06d}"
@@ -246,17 +259,20 @@ class BulkDocsWriter(DataSourceArrowWriter):
                 n_retries += 1
                 time.sleep(wait / 1000)
                 wait *= 2
+            dead = []  # the rejects of one request at most
             for pos, it in enumerate(resp.get("items", [])):
-                st = (it.get("index") or {}).get("status", 0)
-                if st >= 300:
-                    n_failed += 1
-                    dead.append(json.dumps({"batch": name, "item_pos": pos, "status": st,
-                                            "error": (it.get("index") or {}).get("error"),
+                item = it.get("index") or {}
+                if item.get("status", 0) >= 300:
+                    error = item.get("error") or {}
+                    dead.append(json.dumps({"batch": name, "item_pos": pos, "doc_id": item.get("_id"), "status": item["status"],
+                                            "error_type": error.get("type"), "error_reason": error.get("reason"),
+                                            "caused_by": (error.get("caused_by") or {}).get("reason"),
                                             "doc": batch[pos][0] if pos < len(batch) else None}))
+            if dead:
+                n_failed += len(dead)
+                _write_text(dead_path, name + ".jsonl", "\n".join(dead) + "\n")
             n_batches += 1
             n_docs += len(batch)
-        if dead and dead_path:
-            _write_text(dead_path, f"part-{pid:05d}.jsonl", "\n".join(dead) + "\n")
         return BulkCommit(pid, n_batches, n_docs, n_failed, n_retries)
 
     def commit(self, messages):
@@ -286,8 +302,18 @@ def register(spark) -> None:
 
 def write_bulk_docs(docs: DataFrame, settings, **options) -> None:
     """Send documents through the bulk sink with the settings' batch and
-    retry limits (options: transport, path | url+index, id_col, ...)."""
+    retry limits (options: transport, path | url+index, id_col, ...). Rejected
+    documents go to ``dead_letter_path`` (``<path>_dead`` unless given; required
+    without a path). Both folders are cleared first, so a replay leaves no file of
+    an earlier attempt; paths without a scheme are on the default file system."""
     register(docs.sparkSession)
+    if options.get("path") and not options.get("dead_letter_path"):
+        options["dead_letter_path"] = options["path"].rstrip("/") + "_dead"
+    if not options.get("dead_letter_path"):
+        raise ValueError("dead_letter_path is required: rejected documents must land somewhere")
+    for name in ("path", "dead_letter_path"):
+        if options.get(name):
+            options[name] = clear_path(docs.sparkSession, options[name])
     opts = {"max_docs": settings.bulk_max_docs, "max_bytes": settings.bulk_max_bytes,
             "max_attempts": settings.bulk_max_attempts, "max_retry_ms": settings.bulk_max_retry_ms,
             "initial_backoff_ms": settings.bulk_initial_backoff_ms, **options}

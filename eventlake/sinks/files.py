@@ -30,25 +30,37 @@ def _window_layout(df: DataFrame, settings: Settings, key_cols: list[str]) -> Da
 PARTS = ["YYYY", "MM", "DD", "HH", "window_id", "shard"]
 
 
+def windowed_lines(df: DataFrame, settings: Settings = Settings(), text_col: str = "line",
+                   key_cols: list[str] | None = None) -> DataFrame:
+    """``text_col`` plus the folder columns, for batch writers and stream sinks alike."""
+    return _window_layout(df, settings, key_cols or [text_col]).select(text_col, *PARTS)
+
+
 def write_windowed_text(df: DataFrame, root: str, settings: Settings = Settings(),
-                        text_col: str = "line", key_cols: list[str] | None = None,
-                        batch_id: int | None = None) -> None:
+                        text_col: str = "line", key_cols: list[str] | None = None) -> None:
     """Write ``text_col`` lines, one folder per window and shard. Needs
     ``win_start_ms`` / ``win_end_ms`` columns."""
-    keys = key_cols or [text_col]
-    out = _window_layout(df, settings, keys).select(text_col, *PARTS)
-    path = root if batch_id is None else f"{root.rstrip('/')}/batch_id={batch_id}"
-    (out.hint("rebalance", *PARTS).write.mode("overwrite" if batch_id is not None else "append")
-        .partitionBy(*PARTS).text(path))
+    out = windowed_lines(df, settings, text_col, key_cols)
+    out.hint("rebalance", *PARTS).write.mode("append").partitionBy(*PARTS).text(root)
 
 
 def write_avro(df: DataFrame, root: str, settings: Settings = Settings(), fmt: str = "avro",
-               key_cols: list[str] | None = None, batch_id: int | None = None) -> None:
+               key_cols: list[str] | None = None) -> None:
     """Record files with snappy compression, same layout as the text sink.
     ``fmt='avro'`` needs the spark-avro package; ``parquet``/``orc`` work
     everywhere."""
     keys = key_cols or [c for c in df.columns if c not in ("win_start_ms", "win_end_ms")][:1]
     out = _window_layout(df, settings, keys)
-    path = root if batch_id is None else f"{root.rstrip('/')}/batch_id={batch_id}"
-    (out.hint("rebalance", *PARTS).write.mode("overwrite" if batch_id is not None else "append")
-        .format(fmt).option("compression", "snappy").partitionBy(*PARTS).save(path))
+    (out.hint("rebalance", *PARTS).write.mode("append")
+        .format(fmt).option("compression", "snappy").partitionBy(*PARTS).save(root))
+
+
+def start_files(df: DataFrame, root: str, checkpoint: str, fmt: str = "parquet", parts: list[str] | None = None,
+                trigger: dict | None = None):
+    """A stream into partitioned files by Spark's own file sink: its log makes the
+    files of a replayed micro-batch count once, without a folder per batch."""
+    w = (df.writeStream.outputMode("append").format(fmt).option("checkpointLocation", checkpoint)
+         .option("path", root).partitionBy(*(parts or PARTS)))
+    if fmt in ("avro", "parquet", "orc"):
+        w = w.option("compression", "snappy")
+    return w.trigger(**(trigger or {"availableNow": True})).start()

@@ -6,17 +6,14 @@ from pyspark.sql import DataFrame
 
 
 def write_warehouse(rows: DataFrame, path: str | None = None, table: str | None = None,
-                    fmt: str = "parquet", batch_id: int | None = None) -> None:
+                    fmt: str = "parquet") -> None:
     """Append warehouse rows partitioned by ``event_date`` (DAY partitioning on
-    event_ts; readers get partition pruning on date filters). With a batch id
-    the rows go under ``batch_id=<id>`` and a replayed batch overwrites them."""
-    w = rows.hint("rebalance", "event_date").write.format(fmt)
+    event_ts; readers get partition pruning on date filters)."""
+    w = rows.hint("rebalance", "event_date").write.format(fmt).mode("append").partitionBy("event_date")
     if table:
-        w.mode("append").partitionBy("event_date").saveAsTable(table)
-    elif batch_id is not None:
-        w.mode("overwrite").partitionBy("event_date").save(f"{path.rstrip('/')}/batch_id={batch_id}")
+        w.saveAsTable(table)
     else:
-        w.mode("append").partitionBy("event_date").save(path)
+        w.save(path)
 
 
 def write_cells(cells: DataFrame, path: str, fmt: str = "parquet", batch_id: int | None = None) -> None:

@@ -11,7 +11,7 @@ from eventlake.schemas import DIMENSION
 
 log = logging.getLogger(__name__)
 
-DIM_QUERY = "select dim1, dim1_val from t_dim1"
+DIM_QUERY = "select dim1, dim1_val, updated_at from t_dim1"
 
 
 def read_dimension(spark: SparkSession, *, jdbc_url: str | None = None,
@@ -52,9 +52,9 @@ def read_dimension_or_empty(spark: SparkSession, **kw) -> DataFrame:
         return spark.createDataFrame([], DIMENSION)
 
 
-# Test lookup (event_type -> class); 'error' is left out on
-# purpose so the not-found default occurs.
-FIXTURE_DIM = [("click", "rogue"), ("view", "warrior"), ("purchase", "druid"), ("signup", "priest")]
+# Test lookup (event type -> area of the site); 'error' is left out on purpose
+# so the not-found default occurs.
+FIXTURE_DIM = [("click", "navigation"), ("purchase", "checkout"), ("signup", "account"), ("view", "catalog")]
 
 
 def fixture_dimension(spark: SparkSession) -> DataFrame:

@@ -29,10 +29,13 @@ def read_message_stream(spark: SparkSession, path: str, fmt: str = "parquet",
 
 
 def kafka_to_messages(kafka_df: DataFrame) -> DataFrame:
-    """Kafka source frame (``includeHeaders=true``) -> message schema."""
+    """Kafka source frame (``includeHeaders=true``) -> message schema. Kafka
+    allows a header key to repeat; the last one counts."""
+    given = F.coalesce(F.col("headers"), F.array())
+    last = F.filter(given, lambda h, i: ~F.exists(
+        F.slice(given, i + 2, F.size(given)), lambda later: later["key"] == h["key"]))
     headers = F.map_from_entries(F.transform(
-        F.coalesce(F.col("headers"), F.array()),
-        lambda h: F.struct(h["key"].alias("key"), h["value"].cast("string").alias("value"))))
+        last, lambda h: F.struct(h["key"].alias("key"), h["value"].cast("string").alias("value"))))
     return kafka_df.select(
         F.concat_ws("-", F.col("topic"), F.col("partition").cast("string"),
                     F.col("offset").cast("string")).alias("message_id"),
@@ -52,8 +55,8 @@ def messages_from_events(events: DataFrame, settings: Settings = Settings()) ->
     thread_id = F.col("user_id").cast("string")
     payload = F.concat_ws(
         settings.csv_delimiter, ev_ms.cast("string"), thread_id,
-        F.concat(F.lit("thread-"), thread_id), F.col("event_id").cast("int").cast("string"),
-        F.col("event_type"), F.floor(F.col("value")).cast("int").cast("string"))
+        F.concat(F.lit("thread-"), thread_id), F.col("event_id").cast("string"),
+        F.col("event_type"), F.floor(F.col("value")).cast("string"))
     delay_min = F.pmod(F.col("event_id") * F.lit(7919), F.lit(97))
     return events.select(
         F.col("event_id").cast("string").alias("message_id"),

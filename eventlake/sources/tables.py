@@ -5,30 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-SMALL_SCAN_SPLITS = 16
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Source-parallelism guard: a scan with few splits (e.g. one file with a
-    single row group, where all but one split are empty) runs its per-row work
-    in one task. When the scan has fewer splits than the cluster has cores and
-    at most ``SMALL_SCAN_SPLITS`` of them (so at most a couple of GB at the
-    default 128 MB split size), spread its rows round-robin over all cores.
-    Inputs with more splits are never reshuffled, so at scale this adds no
-    shuffle."""
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        n = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. Spark Connect: no RDD view; keep the scan as is
-        return df
-    if n < target and n <= SMALL_SCAN_SPLITS:
-        return df.repartition(target)
-    return df
-
-
-def load_table(spark: SparkSession, sf_dir: str, name: str, parallel: bool = True) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if parallel else df
+def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The scan as it is: the session's split size alone decides its tasks."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def read_text(spark: SparkSession, path: str) -> DataFrame:

@@ -1,4 +1,4 @@
 """Structured Streaming: message streams, built-in windowed aggregation with
 watermarks (update = accumulating early results, append = final results),
-redelivery removal, the exact pane machine and fan-out sinks (both run in
-``foreachBatch``, idempotent per batch id)."""
+redelivery removal, panes on ``transformWithState``, a refreshing lookup and one
+query per sink."""

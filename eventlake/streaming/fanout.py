@@ -1,72 +1,109 @@
-"""All sinks from one stream: each micro-batch is parsed once (persisted),
-then written to every sink -- detail CSV files per window, record files,
-the day-partitioned warehouse table, JSON documents through the bulk sink,
-dead-letter CSV files per window, and the pane machine with its tall
-(accumulating) and wide (discarding) cell tables. Every write is keyed by
-the batch id, so a replayed batch overwrites its own output."""
+"""All sinks of the pipeline as streaming queries over shared tables.
+
+Messages -> (dedup) message table -> (parse) routed table, partitioned into valid
+rows and dead letters -> one query per sink: detail CSV and record files per window,
+the day-partitioned warehouse, JSON documents through the bulk sink, dead-letter
+files per window, and the panes with their tall (accumulating) and wide
+(discarding) cells. A message is parsed once; every table is written by Spark's
+exactly-once file sink, so sinks can lag, fail and restart on their own. Records
+and warehouse rows come from typed columns, never from CSV text.
+"""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventlake.functions.time import epoch_ms
 from eventlake.operators import encode as enc
 from eventlake.operators.enrich import enrich
-from eventlake.operators.parse import parse_messages, split_routes
-from eventlake.schemas import DETAIL
+from eventlake.operators.parse import NO_PAYLOAD_TEXT, parse_messages
+from eventlake.schemas import MESSAGE
+from eventlake.session import hadoop_path
 from eventlake.settings import Settings
 from eventlake.sinks.bulk import write_bulk_docs
-from eventlake.sinks.files import write_avro, write_windowed_text
-from eventlake.sinks.tables import write_cells, write_warehouse
-from eventlake.streaming.panes import PaneMachine
+from eventlake.sinks.files import PARTS, start_files, windowed_lines, _window_layout
+from eventlake.sinks.tables import write_cells
+from eventlake.streaming.panes import start_pane_query
+from eventlake.streaming.replay import run
+from eventlake.streaming.stats import start_dedup_query
 
 
-def _with_window_ms(df: DataFrame, settings: Settings, time_col: str) -> DataFrame:
+def with_window_ms(df: DataFrame, settings: Settings, time_col: str = "event_time") -> DataFrame:
     ms = epoch_ms(F.col(time_col))
     start = ms - F.pmod(ms, F.lit(settings.window_ms))
     return df.withColumn("win_start_ms", start).withColumn("win_end_ms", start + F.lit(settings.window_ms))
 
 
 class FanOut:
-    def __init__(self, root: str, dim: DataFrame, settings: Settings = Settings(),
-                 process_ts: Column | None = None, record_format: str = "parquet"):
-        self.root = root.rstrip("/")
-        self.dim = dim
-        self.s = settings
-        self.process_ts = process_ts
-        self.fmt = record_format
-        self.panes = PaneMachine(f"{self.root}/panes", f"{self.root}/pane_state", settings)
-
-    def process(self, batch: DataFrame, batch_id: int) -> None:
+    """``steps()`` gives the queries in the order of their tables; ``run()`` runs each
+    once over what is there; ``start(trigger)`` starts them all side by side."""
+
+    def __init__(self, messages: DataFrame, root: str, dim: DataFrame, settings: Settings = Settings(),
+                 process_ts: Column | None = None, record_format: str = "parquet", dedup: bool = True):
+        self.messages, self.root, self.dim, self.s = messages, root.rstrip("/"), dim, settings
+        self.process_ts, self.fmt, self.dedup = process_ts, record_format, dedup
+        self.spark: SparkSession = messages.sparkSession
+
+    def _ckpt(self, name: str) -> str:
+        return f"{self.root}/checkpoints/{name}"
+
+    def _table(self, name: str, schema: T.StructType) -> DataFrame:
+        path, fs = hadoop_path(self.spark, f"{self.root}/{name}")
+        fs.mkdirs(path)
+        return self.spark.readStream.schema(schema).parquet(f"{self.root}/{name}")
+
+    def _parsed(self) -> DataFrame:
+        src = self._table("messages", MESSAGE) if self.dedup else self.messages
+        p = parse_messages(src, self.s, process_ts=self.process_ts)
+        return p.drop("attributes").withColumn("route", F.when(F.col("error").isNull(), F.lit("valid")).otherwise(F.lit("dead")))
+
+    def _routed(self, route: str) -> DataFrame:
+        return self._table("routed", self._parsed().schema).where(F.col("route") == route)
+
+    def valid(self) -> DataFrame:
+        return enrich(self._routed("valid").drop("raw", "error", "route"), self.dim, self.s)
+
+    def dead(self) -> DataFrame:
+        return self._routed("dead").select("message_id", "event_time", "publish_ts",
+                                           F.coalesce("raw", F.lit(NO_PAYLOAD_TEXT)).alias("payload"), F.col("error").alias("reason"))
+
+    def steps(self, trigger: dict | None = None) -> list:
         s, root = self.s, self.root
-        parsed = parse_messages(batch, s, process_ts=self.process_ts).persist(StorageLevel.MEMORY_AND_DISK)
-        valid, dead = split_routes(parsed)
-        e = enrich(valid, self.dim, s).persist(StorageLevel.MEMORY_AND_DISK)
-        detail = _with_window_ms(enc.csv_line(enc.detail_rows(e, s), delimiter=s.csv_delimiter), s, "event_time")
-        write_windowed_text(detail, f"{root}/csv", s, "line", ["message_id"], batch_id)
-        rec = enc.typed_by_schema(detail, DETAIL, "line", s.csv_delimiter)
-        write_avro(rec.select(*DETAIL.fieldNames(), "win_start_ms", "win_end_ms"), f"{root}/records", s,
-                   self.fmt, ["seq"], batch_id)
-        write_warehouse(enc.warehouse_row(detail.select("line"), "line", s.csv_delimiter, s.truncate_seconds),
-                        f"{root}/warehouse", batch_id=batch_id)
-        write_bulk_docs(enc.json_document(e).select("doc", "message_id"), s, transport="file",
-                        path=f"{root}/docs/batch_id={batch_id}", id_col="message_id",
-                        dead_letter_path=f"{root}/docs_dead/batch_id={batch_id}")
-        errs = _with_window_ms(dead, s, "event_time").withColumnRenamed("payload", "line")
-        write_windowed_text(errs, f"{root}/errors", s, "line", ["message_id"], batch_id)
-        self.panes.process(e.withColumn("event_ms", epoch_ms(F.col("event_time"))), batch_id)
-        p = batch.sparkSession.read.parquet(f"{root}/panes/batch_id={batch_id}")
-        write_cells(enc.tall_encode(p.filter(F.col("mode") == "accumulating")), f"{root}/tall", batch_id=batch_id)
-        write_cells(enc.wide_encode(p.filter(F.col("mode") == "discarding")), f"{root}/wide", batch_id=batch_id)
-        e.unpersist()
-        parsed.unpersist()
-
-
-def start_fanout_query(messages: DataFrame, root: str, checkpoint: str, dim: DataFrame,
-                       settings: Settings = Settings(), process_ts: Column | None = None,
-                       record_format: str = "parquet", trigger: dict | None = None):
-    f = FanOut(root, dim, settings, process_ts, record_format)
-    w = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(f.process)
-    return w.trigger(**(trigger or {"availableNow": True})).start()
+
+        def detail() -> DataFrame:
+            return with_window_ms(enc.detail_rows(self.valid(), s), s)
+
+        def docs(batch: DataFrame, batch_id: int) -> None:
+            write_bulk_docs(enc.json_document(batch).select("doc", "message_id"), s, transport="file", id_col="message_id",
+                            path=f"{root}/docs/batch_id={batch_id}", dead_letter_path=f"{root}/docs_dead/batch_id={batch_id}")
+
+        def cells(panes: DataFrame, batch_id: int) -> None:
+            write_cells(enc.tall_encode(panes.where("mode = 'accumulating'")), f"{root}/tall", batch_id=batch_id)
+            write_cells(enc.wide_encode(panes.where("mode = 'discarding'")), f"{root}/wide", batch_id=batch_id)
+
+        records = lambda: _window_layout(detail(), s, ["seq"])
+        out = [lambda: start_dedup_query(self.messages, f"{root}/messages", self._ckpt("dedup"), s, trigger)] if self.dedup else []
+        return out + [
+            lambda: start_files(self._parsed(), f"{root}/routed", self._ckpt("parse"), parts=["route"], trigger=trigger),
+            lambda: start_files(windowed_lines(enc.csv_line(detail(), delimiter=s.csv_delimiter), s, "line", ["message_id"]),
+                                f"{root}/csv", self._ckpt("csv"), "text", trigger=trigger),
+            lambda: start_files(records().select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in enc.DETAIL.fields], *PARTS),
+                                f"{root}/records", self._ckpt("records"), self.fmt, trigger=trigger),
+            lambda: start_files(enc.warehouse_record(detail(), s.truncate_seconds), f"{root}/warehouse",
+                                self._ckpt("warehouse"), parts=["event_date"], trigger=trigger),
+            lambda: start_files(windowed_lines(with_window_ms(self.dead(), s).withColumnRenamed("payload", "line"), s, "line",
+                                               ["message_id"]), f"{root}/errors", self._ckpt("errors"), "text", trigger=trigger),
+            lambda: (self.valid().writeStream.option("checkpointLocation", self._ckpt("docs")).foreachBatch(docs)
+                     .trigger(**(trigger or {"availableNow": True})).start()),
+            lambda: start_pane_query(self.valid().withColumn("event_ms", epoch_ms(F.col("event_time"))), f"{root}/panes",
+                                     self._ckpt("panes"), s, trigger=trigger, sink=cells),
+        ]
+
+    def run(self) -> None:
+        for step in self.steps():
+            run(step())
+
+    def start(self, trigger: dict) -> list:
+        return [step() for step in self.steps(trigger)]

@@ -1,295 +1,185 @@
-"""Exact pane machine for streams: early / on-time / late firings, allowed
-lateness, late firing count, closing behaviour FIRE_IF_NON_EMPTY, and both
-accumulating and discarding panes with pane metadata.
-
-It runs in ``foreachBatch``. Per micro-batch:
-
-1. the batch rows are partially aggregated per (keys, window) -- a hot key
-   costs one partial row per task, never a task holding all its rows;
-2. the small aggregate is full-outer-joined with the state of open windows
-   (a versioned parquet table ``state/v=<batch_id>`` in the shared folder);
-3. with W = watermark before the batch (max event time of earlier batches):
-   rows of a window with W >= end + lateness are DROPPED, W >= end gives a
-   LATE pane (fired once ``late_firing_count`` rows are buffered), otherwise
-   an EARLY pane; then the watermark advances to W' and windows with
-   W' >= end fire ON_TIME (accumulating panes re-emit the running total;
-   a discarding pane would be empty and is skipped), and windows with
-   W' >= end + lateness close (buffered late rows fire as the last pane) and
-   leave the state;
-4. panes go to ``out/batch_id=<id>/mode={accumulating,discarding}`` and the new
-   state to ``state/v=<id>``, all with overwrite: a replayed batch id
-   recomputes from ``v=<id-1>`` and replaces its own output (exactly once).
-   The watermark and dropped-row count go to ``state/meta/v=<id>.json``.
-
-Every step after (1) touches only per-window rows, whose number is bounded by
-keys x open windows, not by the data volume.
+"""Panes of tumbling windows on the engine's own state: early, on-time and late
+firings, allowed lateness, late firing count, closing behaviour
+FIRE_IF_NON_EMPTY, accumulating and discarding panes with pane metadata.
+
+The rows of a micro-batch are first folded per task into partial aggregates of
+(keys, window), so a hot key is a few rows per task. The partials go to
+``transformWithState`` keyed by (keys, window): the pane counters live in its state
+store (RocksDB), its event-time timers fire the on-time pane at the window's end and
+close the window at end + lateness, and checkpoints, restarts and state cleanup are
+Spark's. With W the watermark (the greatest event time of earlier batches) rows of a
+window with W >= end + lateness are dropped (and counted in a ``DROPPED`` row that
+carries no pane), W >= end makes a late pane once ``late_firing_count`` rows are
+buffered, anything else an early pane. An on-time pane without new rows is emitted
+for accumulating panes only; buffered late rows leave with the closing pane.
 """
 
 from __future__ import annotations
 
-import json
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from eventlake.functions.shipping import ship_by_value
 from eventlake.operators.aggregates import float_avg
 from eventlake.settings import Settings
 
-STATE = T.StructType([
-    T.StructField("acc_n", T.LongType()), T.StructField("acc_sum", T.LongType()),
-    T.StructField("acc_min", T.IntegerType()), T.StructField("acc_max", T.IntegerType()),
-    T.StructField("pend_n", T.LongType()), T.StructField("pend_sum", T.LongType()),
-    T.StructField("pend_min", T.IntegerType()), T.StructField("pend_max", T.IntegerType()),
-    T.StructField("on_time", T.BooleanType()),
-    T.StructField("acc_idx", T.LongType()), T.StructField("acc_nonspec", T.LongType()),
-    T.StructField("dis_idx", T.LongType()), T.StructField("dis_nonspec", T.LongType()),
-])
-
-
-def _state_schema(keys) -> T.StructType:
-    return T.StructType([T.StructField(k, T.StringType()) for k in keys]
-                        + [T.StructField("win_start_ms", T.LongType())] + STATE.fields)
-
-
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        df = spark.read.parquet(path)
-        df.schema
-        return df
-    except Exception:  # noqa: BLE001 - first batch: no previous version
-        return None
-
-
-def _add(a_n, a_s, a_mn, a_mx, b_n, b_s, b_mn, b_mx):
-    return (F.coalesce(a_n, F.lit(0)) + F.coalesce(b_n, F.lit(0)),
-            F.coalesce(a_s, F.lit(0)) + F.coalesce(b_s, F.lit(0)),
-            F.least(a_mn, b_mn), F.greatest(a_mx, b_mx))
-
-
-class PaneMachine:
-    """Call ``process(batch_df, batch_id)`` from ``foreachBatch``. The batch
-    must hold ``keys``, ``event_ms`` and the value column."""
-
-    def __init__(self, out_path: str, state_path: str, settings: Settings = Settings(),
-                 keys=("dim1",), value: str = "metrics1", keep_versions: int = 10):
-        self.out = out_path.rstrip("/")
-        self.state = state_path.rstrip("/")
-        self.s = settings
-        self.keys = list(keys)
-        self.value = value
-        self.keep_versions = max(2, keep_versions)
-        self.rows_per_partition = 200_000
-        self._step_cols = None
-        self._wm: dict = {}
-
-    def _fs(self, spark: SparkSession, path: str):
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _write_meta(self, spark: SparkSession, batch_id: int, meta: dict) -> None:
-        """Per-batch metadata (watermark after the batch, rows dropped) as one
-        small JSON file through the Hadoop FileSystem API -- no Spark job."""
-        p, fs = self._fs(spark, f"{self.state}/meta/v={batch_id}.json")
-        out = fs.create(p, True)
-        out.write(bytearray(json.dumps(meta).encode("utf-8")))
-        out.close()
-
-    def _prune(self, spark: SparkSession, batch_id: int) -> None:
-        """Retention: drop the state version that fell out of the window of
-        ``keep_versions`` (a restart replays at most the last batch, which
-        needs only the previous version)."""
-        old = batch_id - self.keep_versions
-        if old < 0:
+MODES = ("accumulating", "discarding")
+
+
+def _fold(keys: list[str], value: str, size: int):
+    """Partial aggregates of a task's rows per (keys, window)."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            b["win_start_ms"] = b["event_ms"] // size * size
+            g = b.groupby([*keys, "win_start_ms"], dropna=False, sort=False)[value]
+            yield g.agg(n="size", s="sum", mn="min", mx="max").reset_index()[[*keys, "win_start_ms", "n", "s", "mn", "mx"]]
+
+    return run
+
+
+class PaneProcessor(StatefulProcessor):
+    """State of one (keys, window): running totals, buffered late rows, pane counters."""
+
+    def __init__(self, keys: list[str], size: int, lateness: int, late_count: int, number: str):
+        self.keys, self.size, self.lateness, self.late_count, self.number = keys, size, lateness, late_count, number
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        x = self.number
+        self.totals = handle.getValueState(
+            "totals", f"n long, s {x}, mn {x}, mx {x}, pn long, ps {x}, pmn {x}, pmx {x}, on_time boolean, "
+                      "acc_idx long, acc_ns long, dis_idx long, dis_ns long")
+
+    def _load(self) -> dict:
+        names = ("n", "s", "mn", "mx", "pn", "ps", "pmn", "pmx", "on_time", "acc_idx", "acc_ns", "dis_idx", "dis_ns")
+        if self.totals.exists():
+            return dict(zip(names, self.totals.get()))
+        return dict(zip(names, (0, 0, None, None, 0, 0, None, None, False, 0, 0, 0, 0)))
+
+    @staticmethod
+    def _add(st: dict, pre: str, n, s, mn, mx) -> None:
+        st[pre + "n"], st[pre + "s"] = st[pre + "n"] + n, st[pre + "s"] + s
+        st[pre + "mn"] = mn if st[pre + "mn"] is None else min(st[pre + "mn"], mn)
+        st[pre + "mx"] = mx if st[pre + "mx"] is None else max(st[pre + "mx"], mx)
+
+    def _fire(self, st: dict, key: tuple, timing: str, delta: tuple | None, last: bool) -> list[tuple]:
+        """The rows of one firing. ``delta``: (n, s, mn, mx) new since the last one, None if nothing is."""
+        if delta is not None:
+            self._add(st, "", *delta)
+        out = []
+        for mode, idx, ns, stats in (("accumulating", "acc_idx", "acc_ns", (st["n"], st["s"], st["mn"], st["mx"])),
+                                     ("discarding", "dis_idx", "dis_ns", delta)):
+            if stats is None:
+                continue
+            out.append((*key, timing, st[idx], -1 if timing == "EARLY" else st[ns], st[idx] == 0, last, *stats, mode))
+            st[idx] += 1
+            st[ns] += timing != "EARLY"
+        return out
+
+    def _frame(self, rows: list[tuple]) -> Iterator[pd.DataFrame]:
+        if rows:
+            yield pd.DataFrame(rows, columns=[*self.keys, "win_start_ms", "timing", "pane_idx", "pane_nonspeculative_idx",
+                                              "is_first", "is_last", "num_records", "sum", "min", "max", "mode"])
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        n, s, mn, mx = 0, 0, None, None
+        for b in rows:
+            n, s = n + int(b["n"].sum()), s + b["s"].sum().item()
+            lo, hi = b["mn"].min().item(), b["mx"].max().item()
+            mn, mx = lo if mn is None else min(mn, lo), hi if mx is None else max(mx, hi)
+        w, end = timerValues.getCurrentWatermarkInMs(), int(key[-1]) + self.size
+        key = tuple(k.item() if hasattr(k, "item") else k for k in key)
+        if w >= end + self.lateness:
+            yield from self._frame([(*key, "DROPPED", 0, 0, False, False, n, s, mn, mx, "dropped")])
             return
-        for path in (f"{self.state}/v={old}", f"{self.state}/meta/v={old}.json"):
-            p, fs = self._fs(spark, path)
-            fs.delete(p, True)
-
-    # -- state ---------------------------------------------------------
-    def _prev(self, spark: SparkSession, batch_id: int):
-        st = _read_or_none(spark, f"{self.state}/v={batch_id - 1}") if batch_id > 0 else None
-        if st is None:
-            st = spark.createDataFrame([], _state_schema(self.keys))
-        if batch_id - 1 in self._wm:
-            wm, rows = self._wm[batch_id - 1]
-        elif batch_id > 0:  # restart: the previous watermark comes from storage
-            meta = (spark.read.schema("wm long, state_rows long")
-                    .json(f"{self.state}/meta/v={batch_id - 1}.json").first())
-            wm, rows = (meta["wm"], meta["state_rows"] or 0) if meta is not None else (None, 0)
+        st, out = self._load(), []
+        if not self.totals.exists():
+            if w < end:
+                self.handle.registerTimer(end)
+            self.handle.registerTimer(end + self.lateness)
+        if w < end:
+            out = self._fire(st, key, "EARLY", (n, s, mn, mx), False)
         else:
-            wm, rows = None, 0
-        return st, wm, rows
-
-    # -- expressions (built once; per-batch values enter as columns) -----
-    def _build(self) -> None:
-        s, keys = self.s, self.keys
-        size, late_ms, n_late = s.window_ms, s.lateness_ms, s.late_firing_count
-        W, W2 = F.col("_W"), F.col("_W2")
-        E = F.col("win_start_ms") + F.lit(size)
-        in_b = F.col("b_n").isNotNull()
-        dropped = in_b & W.isNotNull() & (W >= E + F.lit(late_ms))
-        live = in_b & ~dropped
-        is_late = live & W.isNotNull() & (W >= E)
-        is_early = live & ~is_late
-        known = F.col("acc_n").isNotNull() | F.col("pend_n").isNotNull()
-
-        # buffered late rows after this batch
-        pn, ps, pmn, pmx = _add(F.col("pend_n"), F.col("pend_sum"), F.col("pend_min"), F.col("pend_max"),
-                                F.when(is_late, F.col("b_n")), F.when(is_late, F.col("b_sum")),
-                                F.when(is_late, F.col("b_min")), F.when(is_late, F.col("b_max")))
-        fire_late = is_late & (pn >= F.lit(n_late))
-        # running totals after the in-batch pane
-        take = is_early | fire_late
-        d_n = F.when(is_early, F.col("b_n")).when(fire_late, pn)
-        d_s = F.when(is_early, F.col("b_sum")).when(fire_late, ps)
-        d_mn = F.when(is_early, F.col("b_min")).when(fire_late, pmn)
-        d_mx = F.when(is_early, F.col("b_max")).when(fire_late, pmx)
-        an, as_, amn, amx = _add(F.col("acc_n"), F.col("acc_sum"), F.col("acc_min"), F.col("acc_max"),
-                                 F.when(take, d_n), F.when(take, d_s), F.when(take, d_mn), F.when(take, d_mx))
-        self._step_cols = [
-            "*",
-            is_early.alias("_early"), fire_late.alias("_fire_late"), dropped.alias("_dropped"),
-            (known | live).alias("_keep"),
-            d_n.alias("_d_n"), d_s.alias("_d_sum"), d_mn.alias("_d_min"), d_mx.alias("_d_max"),
-            an.alias("_a_n"), as_.alias("_a_sum"), amn.alias("_a_min"), amx.alias("_a_max"),
-            F.when(fire_late, F.lit(0)).otherwise(pn).alias("_p_n"),
-            F.when(fire_late, F.lit(0)).otherwise(ps).alias("_p_sum"),
-            F.when(fire_late, F.lit(None)).otherwise(pmn).cast("int").alias("_p_min"),
-            F.when(fire_late, F.lit(None)).otherwise(pmx).cast("int").alias("_p_max"),
-            # window was open (seen before its end) and the watermark now passed the end
-            ((F.coalesce(F.col("on_time"), F.lit(False)) == F.lit(False))
-             & (is_early | (known & ~is_late)) & W2.isNotNull() & (W2 >= E)).alias("_fire_on_time"),
-            (W2.isNotNull() & (W2 >= E + F.lit(late_ms))).alias("_close"),
-            (in_b & W.isNotNull() & (W >= E)).alias("_seen_late"),
-        ]
-        fire_close = F.col("_close") & (F.col("_p_n") > 0)
-        empty = F.lit(None).cast("bigint")
-
-        def pane(timing: str, fire: Column, dn, dsum, dmin, dmax, an_, asum, amin, amax, last: Column):
-            return F.struct(F.lit(timing).alias("timing"), fire.alias("fire"), last.alias("is_last"),
-                            dn.cast("bigint").alias("d_n"), dsum.cast("bigint").alias("d_sum"),
-                            dmin.cast("int").alias("d_min"), dmax.cast("int").alias("d_max"),
-                            an_.cast("bigint").alias("a_n"), asum.cast("bigint").alias("a_sum"),
-                            amin.cast("int").alias("a_min"), amax.cast("int").alias("a_max"))
-
-        cn, cs, cmn, cmx = _add(F.col("_a_n"), F.col("_a_sum"), F.col("_a_min"), F.col("_a_max"),
-                                F.col("_p_n"), F.col("_p_sum"), F.col("_p_min"), F.col("_p_max"))
-        a = (F.col("_a_n"), F.col("_a_sum"), F.col("_a_min"), F.col("_a_max"))
-        no_last = F.lit(False)
-        self._panes_col = F.array(
-            pane("EARLY", F.col("_early"), F.col("_d_n"), F.col("_d_sum"), F.col("_d_min"), F.col("_d_max"),
-                 *a, no_last),
-            pane("LATE", F.col("_fire_late"), F.col("_d_n"), F.col("_d_sum"), F.col("_d_min"), F.col("_d_max"),
-                 *a, no_last),
-            pane("ON_TIME", F.col("_fire_on_time"), empty, empty, empty, empty, *a, no_last),
-            pane("LATE", fire_close, F.col("_p_n"), F.col("_p_sum"), F.col("_p_min"), F.col("_p_max"),
-                 cn, cs, cmn, cmx, F.lit(True)),
-        ).alias("_panes")
-
-        ts = F.unix_millis(F.current_timestamp())
-        acc_keep = lambda p: p["fire"]
-        dis_keep = lambda p: p["fire"] & (p["d_n"] > 0)
-        self._fired = []
-        for mode, idx_c, ns_c, keep in (("accumulating", "acc_idx", "acc_nonspec", acc_keep),
-                                        ("discarding", "dis_idx", "dis_nonspec", dis_keep)):
-            f = F.filter("_panes", keep)
-            pick = [*keys, "win_start_ms", "_batch_id", F.col(idx_c).alias("_idx"), F.col(ns_c).alias("_ns"),
-                    f.alias("_f"), F.exists(f, lambda p: p["timing"] == "EARLY").alias("_has_early")]
-            idx = F.coalesce(F.col("_idx"), F.lit(0)) + F.col("pos")
-            # non-EARLY panes fired before this one in the batch: an EARLY
-            # pane, when present, is always the first
-            ns = F.when(F.col("p.timing") == "EARLY", F.lit(-1)).otherwise(
-                F.coalesce(F.col("_ns"), F.lit(0)) + F.col("pos") - F.when(F.col("_has_early"), 1).otherwise(0))
-            pre = "p.a_" if mode == "accumulating" else "p.d_"
-            n_col, s_col = F.col(pre + "n"), F.col(pre + "sum")
-            out = [*keys, "win_start_ms", (F.col("win_start_ms") + F.lit(size)).alias("win_end_ms"),
-                   F.col("_batch_id").alias("batch_id"), ts.alias("process_ts"),
-                   F.col("p.timing").alias("timing"), idx.cast("bigint").alias("pane_idx"),
-                   ns.cast("bigint").alias("pane_nonspeculative_idx"),
-                   (idx == 0).alias("is_first"), F.col("p.is_last").alias("is_last"),
-                   n_col.alias("num_records"), s_col.alias("sum"),
-                   F.col(pre + "max").alias("max"), F.col(pre + "min").alias("min"),
-                   float_avg(s_col, n_col).alias("avg"), F.lit(mode).alias("mode")]
-            self._fired.append((pick, out))
-
-        def count_fired(cond):
-            return F.size(F.filter("_panes", cond))
-
-        def count_nonspec(cond):
-            return F.size(F.filter("_panes", lambda p: cond(p) & (p["timing"] != "EARLY")))
-
-        state_cols = [
-            *keys, "win_start_ms",
-            F.col("_a_n").alias("acc_n"), F.col("_a_sum").alias("acc_sum"),
-            F.col("_a_min").alias("acc_min"), F.col("_a_max").alias("acc_max"),
-            F.col("_p_n").alias("pend_n"), F.col("_p_sum").alias("pend_sum"),
-            F.col("_p_min").alias("pend_min"), F.col("_p_max").alias("pend_max"),
-            (F.coalesce(F.col("on_time"), F.lit(False)) | F.col("_fire_on_time") | F.col("_seen_late"))
-            .alias("on_time"),
-            (F.coalesce(F.col("acc_idx"), F.lit(0)) + count_fired(acc_keep)).alias("acc_idx"),
-            (F.coalesce(F.col("acc_nonspec"), F.lit(0)) + count_nonspec(acc_keep)).alias("acc_nonspec"),
-            (F.coalesce(F.col("dis_idx"), F.lit(0)) + count_fired(dis_keep)).alias("dis_idx"),
-            (F.coalesce(F.col("dis_nonspec"), F.lit(0)) + count_nonspec(dis_keep)).alias("dis_nonspec")]
-        schema = _state_schema(keys)
-        self._state_cols = [c.cast(f.dataType).alias(f.name) if not isinstance(c, str) else
-                            F.col(c).cast(f.dataType).alias(f.name) for c, f in zip(state_cols, schema.fields)]
-        ev = F.col("event_ms")
-        self._group = [*[F.col(k).cast("string").alias(k) for k in keys],
-                       (ev - F.pmod(ev, F.lit(size))).alias("win_start_ms")]
-        self._aggs = [F.count(F.lit(1)).alias("b_n"), F.sum(self.value).cast("bigint").alias("b_sum"),
-                      F.min(self.value).cast("int").alias("b_min"),
-                      F.max(self.value).cast("int").alias("b_max"), F.max(ev).alias("b_mev")]
-
-    # -- one micro-batch -----------------------------------------------
-    def process(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if self._step_cols is None:
-            self._build()
-        keys = self.keys
-        agg = batch.groupBy(*self._group).agg(*self._aggs).persist()
-        prev_state, wm, prev_rows = self._prev(spark, batch_id)
-        # one small action: batch max event time, rows behind end + lateness,
-        # windows touched
-        gone = F.lit(False) if wm is None else \
-            (F.lit(wm) >= F.col("win_start_ms") + F.lit(self.s.window_ms + self.s.lateness_ms))
-        bmax, dropped, n_agg = agg.agg(F.max("b_mev"), F.sum(F.when(gone, F.col("b_n")).otherwise(0)),
-                                       F.count(F.lit(1))).first()
-        wm2 = bmax if wm is None else (wm if bmax is None else max(wm, bmax))
-        # size the state join from known row counts (a persisted plan keeps its
-        # shuffle partitioning, so AQE would not shrink or grow it)
-        cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        n = max(1, min(cap, -(-(int(n_agg) + int(prev_rows)) // self.rows_per_partition)))
-        on = keys + ["win_start_ms"]
-
-        j = (agg.repartition(n, *on).join(prev_state.repartition(n, *on), on, "full_outer")
-             .withColumns({"_W": F.lit(wm).cast("bigint"), "_W2": F.lit(wm2).cast("bigint"),
-                           "_batch_id": F.lit(batch_id).cast("bigint")}))
-        step = j.select(*self._step_cols).select("*", self._panes_col).persist()
-
-        names = [*keys, "win_start_ms", "_batch_id", "_idx", "_ns", "_has_early"]
-        outs = [step.select(*pick).select(*names, F.posexplode("_f").alias("pos", "p")).select(*out)
-                for pick, out in self._fired]
-        # one job writes both pane kinds: out/batch_id=<id>/mode=<kind>/
-        (outs[0].unionByName(outs[1]).write.mode("overwrite").partitionBy("mode")
-         .parquet(f"{self.out}/batch_id={batch_id}"))
-        new_state = step.filter(~F.col("_close") & F.col("_keep")).select(*self._state_cols)
-        new_state.write.mode("overwrite").parquet(f"{self.state}/v={batch_id}")
-        state_rows = new_state.count()  # over the persisted step: sizes the next batch's join
-        self._write_meta(spark, batch_id, {"wm": wm2, "dropped": int(dropped or 0), "batch_id": batch_id,
-                                           "state_rows": state_rows})
-        self._wm = {batch_id: (wm2, state_rows)}
-        step.unpersist()
-        agg.unpersist()
-        self._prune(spark, batch_id)
-
-
-def start_pane_query(valid: DataFrame, out_path: str, state_path: str, checkpoint: str,
-                     settings: Settings = Settings(), keys=("dim1",), value: str = "metrics1",
-                     trigger: dict | None = None, keep_versions: int = 10):
-    machine = PaneMachine(out_path, state_path, settings, keys, value, keep_versions)
-    cols = [*keys, "event_ms", value]
-    w = (valid.select(*cols).writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(machine.process))
+            st["on_time"] = True
+            self._add(st, "p", n, s, mn, mx)
+            if st["pn"] >= self.late_count:
+                out = self._fire(st, key, "LATE", self._take(st), False)
+        self._store(st)
+        yield from self._frame(out)
+
+    @staticmethod
+    def _take(st: dict) -> tuple:
+        got = (st["pn"], st["ps"], st["pmn"], st["pmx"])
+        st.update(pn=0, ps=0, pmn=None, pmx=None)
+        return got
+
+    def _store(self, st: dict) -> None:
+        self.totals.update(tuple(st.values()))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if not self.totals.exists():
+            return
+        st, end = self._load(), int(key[-1]) + self.size
+        key = tuple(k.item() if hasattr(k, "item") else k for k in key)
+        at = expiredTimerInfo.getExpiryTimeInMs()
+        if at < end + self.lateness:
+            out = [] if st["on_time"] else self._fire(st, key, "ON_TIME", None, False)
+            st["on_time"] = True
+            self._store(st)
+        else:
+            out = []
+            if not st["on_time"]:  # both timers are due; the on-time pane comes first
+                out = self._fire(st, key, "ON_TIME", None, False)
+            if st["pn"]:
+                out += self._fire(st, key, "LATE", self._take(st), True)
+            self.totals.clear()
+        yield from self._frame(out)
+
+    def close(self) -> None:
+        pass
+
+
+def pane_stream(valid: DataFrame, settings: Settings = Settings(), keys=("dim1",), value: str = "metrics1",
+                time_col: str = "event_time") -> DataFrame:
+    """The panes of a stream of rows with ``keys``, ``value`` (any integral or
+    fractional type), ``event_ms`` and the event time. Keys keep their type."""
+    ship_by_value(__name__)
+    keys = list(keys)
+    integral = isinstance(valid.schema[value].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    number = "long" if integral else "double"
+    named = ", ".join(f"`{k}` {valid.schema[k].dataType.simpleString()}" for k in keys)
+    rows = (valid.withWatermark(time_col, "0 seconds")
+            .select(*keys, "event_ms", F.col(value).cast(number).alias(value), time_col)
+            .where(F.col(value).isNotNull()).drop(time_col))
+    parts = rows.mapInPandas(_fold(keys, value, settings.window_ms),
+                             f"{named}, win_start_ms long, n long, s {number}, mn {number}, mx {number}")
+    panes = parts.groupBy(*keys, "win_start_ms").transformWithStateInPandas(
+        PaneProcessor(keys, settings.window_ms, settings.lateness_ms, settings.late_firing_count, number),
+        f"{named}, win_start_ms long, timing string, pane_idx long, pane_nonspeculative_idx long, is_first boolean, "
+        f"is_last boolean, num_records long, sum {number}, min {number}, max {number}, mode string",
+        "Append", "EventTime")
+    return panes.select(*keys, "win_start_ms", (F.col("win_start_ms") + settings.window_ms).alias("win_end_ms"),
+                        F.unix_millis(F.current_timestamp()).alias("process_ts"), "timing", "pane_idx",
+                        "pane_nonspeculative_idx", "is_first", "is_last", "num_records", "sum", "max", "min",
+                        float_avg(F.col("sum"), F.col("num_records")).alias("avg"), "mode")
+
+
+def start_pane_query(valid: DataFrame, out_path: str, checkpoint: str, settings: Settings = Settings(),
+                     keys=("dim1",), value: str = "metrics1", trigger: dict | None = None, sink=None):
+    """Write the panes under ``out_path/batch_id=<id>/mode=<accumulating|discarding|dropped>``
+    (a replayed batch overwrites its own); ``sink(panes, batch_id)`` may take them further."""
+    panes = pane_stream(valid, settings, keys, value)
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        path = f"{out_path.rstrip('/')}/batch_id={batch_id}"
+        df.write.mode("overwrite").partitionBy("mode").parquet(path)
+        if sink is not None:
+            sink(df.sparkSession.read.schema(df.schema).option("basePath", path).parquet(path), batch_id)
+
+    w = panes.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
     return w.trigger(**(trigger or {"availableNow": True})).start()

@@ -6,32 +6,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.functions.time import epoch_ms
-from eventlake.operators.aggregates import window_stats
+from eventlake.operators.aggregates import window_bounds, window_stats
 from eventlake.operators.dedup import dedup_stream
 from eventlake.operators.enrich import enrich
-from eventlake.operators.parse import event_time_from_attributes, parse_messages, split_routes
-from eventlake.settings import Settings
+from eventlake.operators.parse import parse_messages, split_routes
+from eventlake.settings import Settings, spark_interval
 
 
 def watermark_delay_ms(settings: Settings) -> int:
-    """Spark drops a row older than (max event time - delay) and evicts a
-    window once the watermark passes its end. delay = lateness + window size
-    never drops a row the allowed-lateness rule keeps (row time >= window
-    start); windows are then kept up to one window size longer than the
-    exact rule, which the pane machine enforces precisely."""
-    return settings.lateness_ms + settings.window_ms
+    """A windowed aggregate compares the *window end* with the watermark, so a
+    delay of the allowed lateness is the exact rule: a row counts until the
+    greatest event time seen reaches its window's end + lateness."""
+    return settings.lateness_ms
 
 
 def valid_enriched(messages: DataFrame, dim: DataFrame, settings: Settings = Settings(),
-                   process_ts: Column | None = None, dedup: bool = False) -> tuple[DataFrame, DataFrame]:
+                   process_ts: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """messages (batch or stream) -> (enriched valid rows with event_ms and
-    arrival_ms, dead letters)."""
-    if dedup:
-        m = messages.withColumn("event_time", event_time_from_attributes(settings))
-        m = dedup_stream(m, settings, horizon=f"{watermark_delay_ms(settings)} milliseconds").drop("event_time")
-    else:
-        m = messages
-    valid, dead = split_routes(parse_messages(m, settings, process_ts=process_ts))
+    arrival_ms, dead letters). Redeliveries are removed before, by
+    ``start_dedup_query``."""
+    valid, dead = split_routes(parse_messages(messages, settings, process_ts=process_ts))
     e = enrich(valid, dim, settings)
     e = e.withColumn("event_ms", epoch_ms(F.col("event_time"))) \
          .withColumn("arrival_ms", epoch_ms(F.col("publish_ts")))
@@ -66,13 +60,10 @@ def start_stats_query(valid: DataFrame, out_path: str, checkpoint: str,
 
 def start_dedup_query(messages: DataFrame, out_path: str, checkpoint: str,
                       settings: Settings = Settings(), trigger: dict | None = None):
-    """Drop redelivered messages (same id attribute) within the watermark
-    horizon and append the survivors as parquet."""
-    m = messages.withColumn("event_time", event_time_from_attributes(settings))
-    d = dedup_stream(m, settings, horizon=f"{watermark_delay_ms(settings)} milliseconds")
-    w = (d.select("message_id", F.col("payload").cast("string").alias("payload"), "event_time",
-                  "publish_ts")
-         .writeStream.outputMode("append").format("parquet")
+    """Drop redelivered messages (same id attribute) and append the others, late
+    ones too, to a message table that the next query reads as its source."""
+    d = dedup_stream(messages, settings)
+    w = (d.writeStream.outputMode("append").format("parquet")
          .option("checkpointLocation", checkpoint).option("path", out_path))
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
@@ -92,3 +83,19 @@ def start_per_trigger_query(valid: DataFrame, out_path: str, checkpoint: str, ke
 
     w = valid.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
     return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def start_error_window_query(dead: DataFrame, out_path: str, checkpoint: str, settings: Settings = Settings(),
+                             trigger: dict | None = None):
+    """Dead letters per window: one row when the watermark (no delay) passes the
+    window's end, none after it. The dead-letter files have every message."""
+    counts = (dead.withWatermark("event_time", "0 seconds")
+              .groupBy(F.window("event_time", spark_interval(settings.window_size)).alias("window"))
+              .agg(F.count("*").alias("n_rows")))
+
+    def sink(df: DataFrame, batch_id: int):
+        (df.select(*window_bounds(), "n_rows").write.mode("overwrite")
+           .parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}"))
+
+    w = counts.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(sink)
+    return w.trigger(**(trigger or {"availableNow": True})).start()

@@ -60,3 +60,77 @@ def test_bulk_item_errors(spark):
     df = spark.createDataFrame([(1, resp)], "request_no int, response string")
     got = [(r.item_pos, r.doc_id, r.status, r.error_type) for r in bulk_item_errors(df).orderBy("item_pos").collect()]
     assert got == [(1, "b", 400, "mapper_parsing_exception"), (2, "c", 429, "es_rejected_execution_exception")]
+
+
+class Fake:
+    """An index in this process: answers from a list, remembers the bodies."""
+
+    def __init__(self, answers):
+        self.answers, self.bodies = list(answers), []
+
+    def post(self, body, name):
+        self.bodies.append((name, body))
+        return self.answers.pop(0) if self.answers else {"errors": False, "items": []}
+
+
+def _write(monkeypatch, tmp_path, answers, n=3, **options):
+    import pyarrow as pa
+    from eventlake.sinks import bulk
+    fake = Fake(answers)
+    waits = []
+    writer = bulk.BulkDocsWriter({"max_docs": "2", "initial_backoff_ms": "10", "dead_letter_path": str(tmp_path / "dead"), **options})
+    monkeypatch.setattr(writer, "_transport", lambda: fake)
+    monkeypatch.setattr(bulk.time, "sleep", waits.append)
+    rows = pa.RecordBatch.from_pydict({"doc": [f'{{"k":{i}}}' for i in range(n)]})
+    return fake, waits, lambda: writer.write(iter([rows]))
+
+
+BUSY = {"errors": True, "items": [{"index": {"status": 429}}, {"index": {"status": 201}}]}
+
+
+def test_throttled_batch_is_sent_again_with_longer_waits(monkeypatch, tmp_path):
+    fake, waits, go = _write(monkeypatch, tmp_path, [BUSY, BUSY])
+    commit = go()
+    assert [b for _, b in fake.bodies[:3]] == [fake.bodies[0][1]] * 3  # the whole body each time
+    assert waits == [0.01, 0.02] and commit.n_retries == 2 and commit.n_docs == 3 and commit.n_batches == 2
+
+
+def test_throttled_batch_is_given_up(monkeypatch, tmp_path):
+    import pytest
+    _, waits, go = _write(monkeypatch, tmp_path, [BUSY] * 9, max_attempts="3")
+    with pytest.raises(OSError, match="still throttled after 3 attempts"):
+        go()
+    assert len(waits) == 2
+    _, waits, go = _write(monkeypatch, tmp_path, [BUSY] * 9, max_retry_ms="25")
+    with pytest.raises(OSError, match="still throttled"):
+        go()
+
+
+def test_rejected_items_become_dead_letters(monkeypatch, tmp_path):
+    bad = {"errors": True, "items": [{"index": {"status": 201}}, {"index": {"_id": "b", "status": 400, "error": {
+        "type": "mapper", "reason": "no", "caused_by": {"type": "number", "reason": "x is not one"}}}}]}
+    _, _, go = _write(monkeypatch, tmp_path, [bad])
+    assert go().n_failed == 1
+    lines = [json.loads(x) for f in glob.glob(str(tmp_path / "dead" / "*")) for x in open(f)]
+    assert [(x["item_pos"], x["doc_id"], x["status"], x["caused_by"], x["doc"]) for x in lines] == \
+        [(1, "b", 400, "x is not one", '{"k":1}')]
+
+
+def test_replay_with_fewer_partitions_leaves_no_stale_file(spark, tmp_path):
+    docs = spark.range(40).select(F.to_json(F.struct(F.col("id"))).alias("doc"))
+    for parts in (4, 1):
+        write_bulk_docs(docs.repartition(parts), Settings(), transport="file", path=str(tmp_path / "b"))
+    lines = [x for f in glob.glob(str(tmp_path / "b" / "*.ndjson")) for x in open(f)]
+    assert len(lines) == 80
+
+
+def test_byte_limit_cuts_batches(spark):
+    import numpy as np
+    from eventlake.sinks.bulk import cut_points
+    lens = np.array([10, 10, 25, 1, 40, 3, 3, 3])
+    assert [len(b) for b, _ in iter_batches(iter([("x" * n, None) for n in lens]), 3, 30)] == [3, 2, 3]
+    assert cut_points(lens, 3, 30) == [3, 5, 8]
+    assert cut_points(lens, 100, 1000) == []
+    docs = spark.range(100).select(F.lit("y" * 50).alias("doc")).coalesce(1)
+    got = bulk_batches(docs, max_docs=1000, max_bytes=500).orderBy("batch_no").collect()
+    assert [(r.batch_no, r.n_docs, r.doc_bytes) for r in got] == [(k, 10, 500) for k in range(10)]

@@ -35,7 +35,7 @@ def test_avro_schema_roundtrip():
 
 
 def test_warehouse_row_truncates_and_null_tail(spark):
-    df = spark.createDataFrame([("1700000000999,t,n,7,ivy,42,1700000001999,druid",)], "line string")
+    df = spark.createDataFrame([("1700000000999,t,n,7,teal,42,1700000001999,cool",)], "line string")
     r = enc.warehouse_row(df).collect()[0]
     assert r.event_ts.timestamp() == 1700000000 and r.process_ts.timestamp() == 1700000001
     assert r.window is None and r.pane_idx is None and r.is_first is None
@@ -43,12 +43,12 @@ def test_warehouse_row_truncates_and_null_tail(spark):
 
 
 def test_json_document(spark):
-    df = spark.createDataFrame([(1700000000000, "t", "n", 7, "ivy", 42, 1700000001000, "druid")],
+    df = spark.createDataFrame([(1700000000000, "t", "n", 7, "teal", 42, 1700000001000, "cool")],
                                "event_ts long, thread_id string, thread_name string, seq int, dim1 string,"
                                " metrics1 int, process_ts long, dim1_val string")
     r = enc.json_document(df).collect()[0]
     assert r.doc == ('{"@timestamp":1700000000000,"thread_id":"t","thread_name":"n","seq":7,'
-                     '"dim1":"ivy","metrics1":42,"process_ts":1700000001000,"dim1_val":"druid"}')
+                     '"dim1":"teal","metrics1":42,"process_ts":1700000001000,"dim1_val":"cool"}')
     assert r.n_bytes == len(r.doc.encode())
 
 
@@ -80,7 +80,7 @@ def test_typed_by_schema_fail_mode_raises(spark):
 
 
 def test_json_document_iso_timestamps(spark):
-    df = spark.createDataFrame([(1700000000123, "t", "n", 7, "ivy", 42, 1700000001000, "druid")],
+    df = spark.createDataFrame([(1700000000123, "t", "n", 7, "teal", 42, 1700000001000, "cool")],
                                "event_ts long, thread_id string, thread_name string, seq int, dim1 string,"
                                " metrics1 int, process_ts long, dim1_val string")
     r = enc.json_document(df, ms_as="iso").collect()[0]
@@ -96,3 +96,37 @@ def test_warehouse_schema_file_loader():
         ("event_ts", "timestamp"), ("seq", "bigint"), ("is_first", "boolean")]
     with pytest.raises(ValueError):
         from_warehouse_json({"BigQuery Schema": [{"name": "x", "type": "GEOGRAPHY"}]})
+
+
+def test_nulls_and_commas_keep_their_columns(spark):
+    from eventlake.operators.encode import csv_line, typed_records, warehouse_record
+    from eventlake.schemas import DETAIL, DETAIL_FIELDS
+    row = [1700000000000, "t", "n", 7, None, None, 1700000001000, "a, b", "[w)", "p", 0, 0, True, True, "UNKNOWN", 1700000000000]
+    df = spark.createDataFrame([tuple(row)], DETAIL)
+    assert csv_line(df).first().line.split(",")[4:6] == ["", ""]
+    assert tuple(typed_records(df).first()) == tuple(row)
+    w = warehouse_record(df).first()
+    assert w.dim1 is None and w.metrics1 is None and w.dim1_val == "a, b" and w.pane_timing == "UNKNOWN"
+    assert set(DETAIL_FIELDS) < set(w.asDict())
+
+
+def test_fail_mode_fails_whatever_is_selected(spark):
+    import pytest
+    from pyspark.sql import types as T
+    from eventlake.operators.encode import typed_by_schema
+    schema = T.StructType([T.StructField("x", T.IntegerType()), T.StructField("y", T.StringType())])
+    df = spark.createDataFrame([("oops,b",)], "line string")
+    for c in ("x", "y"):
+        with pytest.raises(Exception, match="bad record"):
+            typed_by_schema(df, schema, mode="fail").select(c).collect()
+
+
+def test_wide_totals_of_odd_keys_and_repeated_cells(spark):
+    from eventlake.operators.encode import read_wide_total, wide_rows
+    cell = lambda k, q, ts, v: (f"{k}#0#6000", "stats", q, ts, v)
+    rows = [cell("a#b", q, 1, v) for q, v in (("num_records#0", "2"), ("sum#0", "5"), ("max#0", "4"), ("min#0", "1"))]
+    rows += [cell("a#b", "sum#0", 2, "7"), cell("a#b", "num_records#1", 1, "1"), cell("a#b", "sum#1", 1, "1")]
+    cells = spark.createDataFrame(rows, "row_key string, family string, qualifier string, cell_ts long, value string")
+    r = read_wide_total(cells).first()
+    assert (r.dim1, r.win_start_ms, r.win_end_ms, r.num_records, r["sum"]) == ("a#b", 0, 6000, 3, 8)
+    assert wide_rows(cells).first().cells["sum#0"] == "7"

@@ -78,7 +78,7 @@ def test_panes_recombine_to_window_aggregate(spark):
              for r in window_stats(e, s).collect()}
     dis = pane_replay_discarding(e, s)
     tot = {(r.dim1, r.win_start_ms): (r.num_records, r.sum, r.min, r.max)
-           for r in enc.read_wide_total(enc.wide_rows(enc.wide_encode(dis))).collect()}
+           for r in enc.read_wide_total(enc.wide_encode(dis)).collect()}
     acc = pane_replay_accumulating(e, s).filter("is_last")
     last = {(r.dim1, r.win_start_ms): (r.num_records, r.sum, r.min, r.max) for r in acc.collect()}
     assert plain == tot == last

@@ -7,17 +7,17 @@ from eventlake.sources.dims import fixture_dimension
 
 from conftest import msg_rows
 
-IVY_DIM = [("oak", "rogue"), ("elm", "warrior"), ("ivy", "druid"), ("fir", "priest")]
+COLOUR_DIM = [("teal", "cool"), ("amber", "warm"), ("slate", "neutral")]
 
 EDGE = [
-    "1700000000000,t1,n1,7,ivy,42",
+    "1700000000000,t1,n1,7,teal,42",
     "1700000000000,t1,n1",
     "1700000000000,t1,n1,7",
     "1700000000000,t1,n1,7,unknown,42",
-    "1700000000000,t1,n1,7,IVY,42",
-    "1700000000000,t1,n1,7,ivy,x",
-    "1700000000000,t1,n1,7,ivy,99999999999",
-    "1700000000000,t1,n1,7,ivy,42,,",
+    "1700000000000,t1,n1,7,TEAL,42",
+    "1700000000000,t1,n1,7,teal,x",
+    "1700000000000,t1,n1,7,teal,99999999999",
+    "1700000000000,t1,n1,7,teal,42,,",
     b"a\xffb",
     None,
 ]
@@ -27,7 +27,7 @@ def _run(spark, strict=True):
     s = Settings(strict=strict)
     p = parse_messages(msg_rows(spark, EDGE), s, process_ts=F.col("event_ts") + 1000)
     valid, dead = split_routes(p)
-    dim = spark.createDataFrame(IVY_DIM, "dim1 string, dim1_val string")
+    dim = spark.createDataFrame(COLOUR_DIM, "dim1 string, dim1_val string")
     v = {r.message_id: r for r in enrich(valid, dim, s).collect()}
     d = {r.message_id: r for r in dead.collect()}
     return v, d
@@ -36,11 +36,11 @@ def _run(spark, strict=True):
 def test_strict_routes(spark):
     v, d = _run(spark, strict=True)
     assert set(v) == {"m0", "m3", "m4", "m7"}
-    assert v["m0"].dim1_val == "druid" and v["m0"].metrics1 == 42 and v["m0"].seq == 7
+    assert v["m0"].dim1_val == "cool" and v["m0"].metrics1 == 42 and v["m0"].seq == 7
     assert v["m0"].process_ts == 1700000001000
     assert v["m3"].dim1_val == "Not Found"
     assert v["m4"].dim1_val == "Not Found"  # case-sensitive
-    assert v["m7"].dim1_val == "druid" and v["m7"].metrics1 == 42  # trailing empties ignored
+    assert v["m7"].dim1_val == "cool" and v["m7"].metrics1 == 42  # trailing empties ignored
     assert d["m1"].reason == "too_few_fields" and d["m1"].payload == "1700000000000,t1,n1"
     assert d["m2"].reason == "too_few_fields"
     assert d["m5"].reason == "bad_metrics1"
@@ -70,9 +70,14 @@ def test_fixture_dimension_leaves_error_out(spark):
 
 def test_enrich_duplicate_keys(spark):
     import pytest
-    v = spark.createDataFrame([("ivy",)], "dim1 string")
-    dim = spark.createDataFrame([("ivy", "druid", 1), ("ivy", "bard", 2)],
+    v = spark.createDataFrame([("teal",)], "dim1 string")
+    dim = spark.createDataFrame([("teal", "cool", 1), ("teal", "cold", 2), ("teal", "old", None)],
                                 "dim1 string, dim1_val string, updated_at int")
-    assert enrich(v, dim).first().dim1_val == "bard"  # latest update wins
-    with pytest.raises(ValueError, match="duplicate dimension keys"):
-        enrich(v, dim, on_duplicate="error")
+    assert enrich(v, dim).first().dim1_val == "cold"  # latest update wins
+    assert enrich(v, dim.where("updated_at is null")).first().dim1_val == "old"  # known, though never dated
+    tied = dim.withColumn("updated_at", F.lit(1))
+    assert enrich(v, tied).first().dim1_val == "old"  # ties: the greater value
+    with pytest.raises(Exception, match="duplicate dimension key: teal"):
+        enrich(v, dim, on_duplicate="error").collect()
+    with pytest.raises(Exception, match="duplicate dimension key: teal"):
+        enrich(v, dim.drop("updated_at")).collect()

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from eventlake.operators.aggregates import latest_n_per_key, window_stats
-from eventlake.operators.enrich import enrich
+from eventlake.operators.enrich import enrich, plan_bytes
 from eventlake.plans import fixtures as fx
 from eventlake.settings import Settings
 from eventlake.sources.dims import fixture_dimension
@@ -18,12 +18,13 @@ def plan(df) -> str:
 def test_enrich_broadcasts_checked_dimension(spark):
     valid = fx.enriched(spark, SF001)
     assert "BroadcastHashJoin" in plan(valid)
-    # a dimension whose size Spark cannot see (RDD-backed): above the row
-    # bound there is no hint, so the join shuffles
-    dim = spark.createDataFrame([(k, v) for k, v in [("click", "rogue"), ("view", "warrior"),
-                                                     ("purchase", "druid")]], "dim1 string, dim1_val string")
-    e = enrich(valid.drop("dim1_val"), dim, Settings(broadcast_max_rows=2))
-    assert "SortMergeJoin" in plan(e)
+    # above the byte bound, or of unknown size (RDD-backed), there is no hint and
+    # the join shuffles
+    dim = spark.createDataFrame([("click", "a"), ("view", "b")], "dim1 string, dim1_val string")
+    assert "SortMergeJoin" in plan(enrich(valid.drop("dim1_val"), dim, Settings()))
+    assert plan_bytes(fx.fixture_dimension(spark)) < 1000
+    e = enrich(valid.drop("dim1_val"), fx.fixture_dimension(spark), Settings(broadcast_max_bytes=1))
+    assert e._jdf.queryExecution().analyzed().toString().count("ResolvedHint") == 1  # that of ``valid`` alone
 
 
 def test_window_stats_partial_aggregation(spark):
@@ -51,6 +52,6 @@ def test_pane_replay_reads_materialized_partials(spark):
 
 def test_filter_pushdown_on_source(spark):
     from eventlake.sources.tables import load_table
-    ev = load_table(spark, SF001, "events", parallel=False).filter(F.col("event_type") == "click")
+    ev = load_table(spark, SF001, "events").filter(F.col("event_type") == "click")
     p = plan(ev.select("event_id"))
     assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,click)]" in p

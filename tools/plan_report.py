@@ -12,7 +12,6 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
 from eventlake.session import build_session  # noqa: E402
 
 
@@ -27,6 +26,9 @@ def summarize(plan: str) -> dict:
         "broadcast_joins": len(re.findall(r"BroadcastHashJoin", plan)),
         "smj": len(re.findall(r"SortMergeJoin", plan)),
         "partial_aggs": len(re.findall(r"functions=\[partial_", plan)),
+        "hash": len(re.findall(r"(?<!Object)HashAggregate", plan.split("Initial Plan")[0])),
+        "sort": len(re.findall(r"SortAggregate", plan.split("Initial Plan")[0])),
+        "object": len(re.findall(r"ObjectHashAggregate", plan.split("Initial Plan")[0])),
         "group_limit": "WindowGroupLimit" in plan,
         "python": len(re.findall(r"MapInPandas|ArrowEvalPython|BatchEvalPython|FlatMapGroupsInPandas", plan)),
         "checkpointed_input": "Scan ExistingRDD" in plan or "LogicalRDD" in plan,
@@ -36,18 +38,18 @@ def summarize(plan: str) -> dict:
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session()
-    qs = {k: v for k, v in entry.queries().items() if not k.startswith("stream_")}
+    from eventlake.plans.catalog import QUERIES as qs
     lines = ["# PLANS", "",
              f"Physical plans of the registered batch queries after one run at `{sf_dir}` (AQE final plans),",
              "summarised by `tools/plan_report.py`. `exchanges` counts shuffles (hash/range/round-robin/single);",
-             "the round-robin one on a scan is the small-input parallelism guard (`sources.tables.spread`), which",
-             "does not occur on inputs with more than 16 splits. `SinglePartition` exchanges only feed the",
-             "tiny watermark table of the pane replay (when not materialized) or a global `max_by`.",
+             "`SinglePartition` exchanges only feed the tiny watermark table of the pane replay (when not",
+             "materialized) or a global `max_by`. Aggregates are counted apart: hash, sort (buffers of no fixed",
+             "width, such as a whole message) and object hash.",
              "`(checkpoint)`: the pane queries read the pane partials and the per-batch watermark table, each",
              "written once as a reliable checkpoint while the query is built (the partials job is the only pass",
              "over the rows: one scan and one partial-aggregate shuffle).", "",
-             "| query | scans | exchanges (single) | broadcast joins | partial aggs | group limit | python | read schema |",
-             "|---|---|---|---|---|---|---|---|"]
+             "| query | scans | exchanges (single) | broadcast joins | partial aggs | hash / sort / object aggs | group limit | python | read schema |",
+             "|---|---|---|---|---|---|---|---|---|"]
     for name, q in qs.items():
         df = q(spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
@@ -55,7 +57,7 @@ def main():
         s = summarize(plan)
         rs = "; ".join(x.replace("|", "/") for x in s["read_schemas"]) or "(checkpoint)"
         lines.append(f"| {name} | {s['scans']} | {s['exchanges']} ({s['single_partition']}) | "
-                     f"{s['broadcast_joins']} | {s['partial_aggs']} | {'yes' if s['group_limit'] else ''} | "
+                     f"{s['broadcast_joins']} | {s['partial_aggs']} | {s['hash']} / {s['sort']} / {s['object']} | {'yes' if s['group_limit'] else ''} | "
                      f"{s['python'] or ''} | `{rs}` |")
     out = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md")
     with open(out, "w") as f:
