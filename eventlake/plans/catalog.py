@@ -19,7 +19,8 @@ from eventlake.operators.parse import assign_event_time, route_counts, split_rou
 from eventlake.operators.wordcount import count_words
 from eventlake.plans import fixtures as fx
 from eventlake.schemas import DETAIL, WAREHOUSE
-from eventlake.sinks.bulk import bulk_batches, bulk_item_errors
+from eventlake.session import scratch_path
+from eventlake.sinks.bulk import BULK_DEAD_LETTER, bulk_batches, write_bulk_docs
 from eventlake.sources.tables import load_table
 
 S = fx.FIXTURE
@@ -171,8 +172,12 @@ def q_bulk_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_bulk_item_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = enc.json_document(fx.enriched(spark, sf_dir))
-    return bulk_item_errors(fx.simulated_bulk_responses(docs))
+    """Dead letters of the bulk writer: documents that a strict target rejects."""
+    root = scratch_path(spark, "bulk_item_errors")
+    docs = enc.json_document(fx.enriched(spark, sf_dir)).select("doc", "message_id")
+    write_bulk_docs(docs, S, transport="file", id_col="message_id", path=f"{root}/docs",
+                    dead_letter_path=f"{root}/dead", reject=f'"dim1_val":"{S.not_found}"')
+    return spark.read.schema(BULK_DEAD_LETTER).json(f"{root}/dead").select("doc_id", "status", "error_type", "doc")
 
 
 QUERIES = {

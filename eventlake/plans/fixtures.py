@@ -96,29 +96,3 @@ def enriched(spark: SparkSession, sf_dir: str, settings: Settings = FIXTURE) ->
     e = enrich(valid, fixture_dimension(spark), settings)
     return e.withColumn("event_ms", epoch_ms(F.col("event_time"))) \
             .withColumn("arrival_ms", epoch_ms(F.col("publish_ts")))
-
-
-BULK_REQUEST_DOCS = 1000
-
-
-def simulated_bulk_responses(docs: DataFrame) -> DataFrame:
-    """Bulk responses of a simulated index with a strict dimension mapping:
-    documents without a known dimension value are rejected (status 400),
-    the rest are created (201). Requests hold the documents of
-    ``seq div 1000`` (at most 1000 per request, ordered by seq), so each
-    response is built from a bounded group."""
-    item = F.struct(F.struct(
-        F.lit("events").alias("_index"), F.col("message_id").alias("_id"),
-        F.when(F.col("dim1_val") == F.lit(S_NOT_FOUND), 400).otherwise(201).alias("status"),
-        F.when(F.col("dim1_val") == F.lit(S_NOT_FOUND),
-               F.struct(F.lit("mapper_parsing_exception").alias("type"),
-                        F.concat(F.lit("unknown dimension value for "), F.col("dim1")).alias("reason")))
-         .alias("error")).alias("index"))
-    req = (docs.withColumn("request_no", F.floor(F.col("seq") / BULK_REQUEST_DOCS).cast("bigint"))
-           .groupBy("request_no")
-           .agg(F.sort_array(F.collect_list(F.struct(F.col("seq"), item.alias("it")))).alias("_its")))
-    items = F.transform(F.col("_its"), lambda x: x["it"])
-    return req.select("request_no", F.to_json(F.struct(
-        F.lit(1).cast("bigint").alias("took"),
-        F.exists(items, lambda i: i["index"]["status"] >= 300).alias("errors"),
-        items.alias("items"))).alias("response"))

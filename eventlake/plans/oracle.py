@@ -304,12 +304,11 @@ FROM docs""",
 
     "bulk_item_errors": f"""
 WITH {ENR.strip()}
-SELECT CAST(seq // 1000 AS BIGINT) AS request_no,
-       CAST(row_number() OVER (PARTITION BY seq // 1000 ORDER BY seq) - 1 AS INTEGER) AS item_pos,
-       message_id AS doc_id, 400 AS status, 'mapper_parsing_exception' AS error_type,
-       'unknown dimension value for ' || dim1 AS error_reason
-FROM enr
-QUALIFY dim1_val = 'Not Found'""",
+SELECT message_id AS doc_id, 400 AS status, 'mapper_parsing_exception' AS error_type,
+       CAST(json_object('@timestamp', event_ts, 'thread_id', thread_id, 'thread_name', thread_name,
+                        'seq', CAST(seq AS BIGINT), 'dim1', dim1, 'metrics1', CAST(metrics1 AS BIGINT),
+                        'process_ts', process_ts, 'dim1_val', dim1_val) AS VARCHAR) AS doc
+FROM enr WHERE dim1_val = 'Not Found'""",
 })
 
 
@@ -319,12 +318,12 @@ SELECT message_id, event_ts, dim1, dim1_val, metrics1 FROM enr
 ORDER BY event_ts DESC, seq DESC LIMIT 10"""
 
 
-# Streams. The messages arrive in slices of 6150 minutes, counted from 10 minutes
+# Streams. The messages arrive in slices of 12270 minutes, counted from 10 minutes
 # before the midnight ahead of the first arrival; ``wm_before`` of a slice is the
 # greatest event time of the slices before it. A row counts in its window unless
 # wm_before has reached the window's end + allowed lateness.
 _SLICE = ("((arrival_us - ((SELECT min(arrival_us) FROM msg) - (SELECT min(arrival_us) FROM msg) % 86400000000) "
-          "+ 600000000) // 369000000000)")
+          "+ 600000000) // 736200000000)")
 
 
 def _sliced(src: str, lateness: int) -> str:

@@ -24,7 +24,7 @@ S = fx.FIXTURE
 #: Minutes of arrival time per slice, and how much before midnight the first slice
 #: begins. With 6-hour windows and 30 minutes of lateness, the second slice begins
 #: 20 minutes behind a window's end (late rows), the third 50 (dropped rows).
-SLICE_MINUTES, SHIFT_MINUTES = 6150, 10
+SLICE_MINUTES, SHIFT_MINUTES = 12270, 10
 LATE_COUNT = 3
 
 

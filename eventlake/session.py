@@ -76,7 +76,8 @@ def hadoop_path(spark: SparkSession, path: str):
 
 
 def clear_path(spark: SparkSession, path: str) -> str:
-    """Delete a folder (a replayed batch writes it anew) and return its full URI."""
+    """Empty a folder (a replayed batch writes it anew) and return its full URI."""
     p, fs = hadoop_path(spark, path)
     fs.delete(p, True)
+    fs.mkdirs(p)
     return p.toString()

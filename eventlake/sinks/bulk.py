@@ -144,6 +144,11 @@ BULK_RESPONSE = ("struct<took:long, errors:boolean, items:array<struct<index:str
                  "_index:string, _id:string, status:int, error:struct<type:string, reason:string, caused_by:struct<type:string, reason:string>>>>>>")
 
 
+# a line of the writer's dead letters
+BULK_DEAD_LETTER = ("batch string, item_pos int, doc_id string, status int, error_type string, error_reason string, "
+                    "caused_by string, doc string")
+
+
 def bulk_item_errors(responses: DataFrame, response_col: str = "response") -> DataFrame:
     """Parse bulk responses; one row per failed item (status >= 300) with its
     position in the request, id, status, error type and reason."""
@@ -187,13 +192,25 @@ def _write_text(uri: str, name: str, text: str) -> None:
 
 
 class _FileTransport:
-    def __init__(self, path: str):
-        self.path = path
+    """Bodies as files. ``reject`` (text) makes it strict like an index mapping: a
+    document that holds the text is answered with status 400 and not written."""
+
+    def __init__(self, path: str, reject: str | None = None):
+        self.path, self.reject = path, reject
 
     def post(self, body: str, name: str) -> dict:
-        _write_text(self.path, name + ".ndjson", body)
-        n = body.count("\n") // 2
-        return {"took": 0, "errors": False, "items": [{"index": {"status": 201}}] * n}
+        lines = body.splitlines()
+        items, kept = [], []
+        for action, doc in zip(lines[0::2], lines[1::2]):
+            item = {"_id": json.loads(action)["index"].get("_id"), "status": 201}
+            if self.reject is not None and self.reject in doc:
+                item |= {"status": 400, "error": {"type": "mapper_parsing_exception", "reason": "document holds " + self.reject}}
+            else:
+                kept += [action, doc]
+            items.append({"index": item})
+        if kept:
+            _write_text(self.path, name + ".ndjson", "\n".join(kept) + "\n")
+        return {"took": 0, "errors": any(i["index"]["status"] >= 300 for i in items), "items": items}
 
 
 class _HttpTransport:
@@ -222,7 +239,7 @@ class BulkDocsWriter(DataSourceArrowWriter):
     def _transport(self):
         o = self.o
         if o.get("transport", "file") == "file":
-            return _FileTransport(o["path"])
+            return _FileTransport(o["path"], o.get("reject"))
         return _HttpTransport(o["url"], o["index"], o.get("user"), o.get("password"),
                               float(o.get("timeout_s", "30")))
 
