@@ -21,17 +21,28 @@ get the same replacements; columns other than the text are returned as given
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.llm.common import let, reliable
 
-_MALE = r"Mr\.|Sir|Herr|Monsieur|Señor|г-н|κ\."
-_FEMALE = r"Mrs\.|Ms\.|Miss|Madam|Frau|Madame|Mademoiselle|Señora|Señorita|г-жа|κα"
+MALE = ["Mr.", "Sir", "Herr", "Monsieur", "Señor", "г-н", "κ."]
+FEMALE = ["Mrs.", "Ms.", "Miss", "Madam", "Frau", "Madame", "Mademoiselle", "Señora", "Señorita", "г-жа", "κα"]
+SECRET_WORDS = ["token", "secret", "password", "api"]
+
+
+def _any(titles: list[str]) -> str:
+    """The titles as given and in capitals, as one alternative."""
+    return "|".join(re.escape(v) for t in titles for v in dict.fromkeys((t, t.upper())))
+
+
+_MALE, _FEMALE = _any(MALE), _any(FEMALE)
 _NAME = r"\p{Lu}[\p{L}'’-]+"
 #: type -> pattern; the first that matches at a place wins
 PATTERNS = {
-    "person": rf"(?<![\p{{L}}])(?i:{_MALE}|{_FEMALE}) {_NAME}(?: {_NAME})?",
+    "person": rf"(?<![\p{{L}}])(?:{_MALE}|{_FEMALE}) {_NAME}(?: {_NAME})?",
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
     "secret": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])"
               r"|(?<=(?i:token|secret|password|api[_-]?key) {0,2}[=:] {0,2}[\"']?)[0-9A-Za-z_+/-]{12,}",
@@ -45,8 +56,6 @@ PATTERNS = {
 }
 #: \1 counts groups of the whole expression; the card pattern's is the only capturing one
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-#: what every entity has; texts without it skip the long expression
-HINT = rf"[0-9@]|=|:|(?i:{_MALE}|{_FEMALE})"
 
 _ALPHABETS = {"[a-z]": "abcdefghijklmnopqrstuvwxyz", "[A-Z]": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
               "[а-яё]": "абвгдежзиклмнопрстуфхцчшэюя", "[А-ЯЁ]": "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ",
@@ -62,7 +71,16 @@ _ENDINGS = {"latin": {"given_m": "n rd s lo".split(), "given_f": "na la ra ne".s
 
 
 def has_entity(text: Column) -> Column:
-    return F.coalesce(text.rlike(HINT) & text.rlike(ENTITY), F.lit(False))
+    """Whether ``ENTITY`` matches. Cheap searches come first: an entity has a digit or
+    ``@``, or follows a title, or a secret word; other texts skip the long expression."""
+    hint = text.rlike("[0-9@]")
+    for t in [*MALE, *FEMALE]:
+        for v in dict.fromkeys((t, t.upper())):
+            hint = hint | F.contains(text, F.lit(v + " "))
+    for w in SECRET_WORDS:
+        for v in (w, w.upper(), w.capitalize()):
+            hint = hint | F.contains(text, F.lit(v))
+    return F.coalesce(hint & text.rlike(ENTITY), F.lit(False))
 
 
 def _pick(options: list[str], h: Column) -> Column:
@@ -156,7 +174,7 @@ def _kind(entity: Column) -> Column:
 def _parts(kind: Column, e: Column) -> Column:
     """An entity as pieces (prefix, kind, norm, shown form): names word by word, others whole."""
     s = lambda p, k, n, raw: F.struct(p.alias("prefix"), k.alias("kind"), n.alias("norm"), raw.alias("raw"))
-    given = F.when(e.rlike(f"^(?i:{_FEMALE}) "), F.lit("given_f")).otherwise(F.lit("given_m"))
+    given = F.when(e.rlike(f"^(?:{_FEMALE}) "), F.lit("given_f")).otherwise(F.lit("given_m"))
     norm = (F.when(kind == "email", F.lower(e)).when(kind.isin("card", "iban"), F.regexp_replace(e, "[ -]", "")).otherwise(e))
 
     def person(w: Column) -> Column:
