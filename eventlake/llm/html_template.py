@@ -9,8 +9,11 @@ template. What the template leaves open are its slots, the text of blocks. The m
 slots are those under one container of the template: its ``article`` or ``main``
 element, else the innermost element that holds most of the host's running text.
 Menus, headers, footers, side bars, notices, adverts, forms and comments are told
-by their element, role, class or id; a block text that every page of a larger
-host has belongs to the template itself.
+by their element, or by a whole token of role, class or id ("site-footer", but not
+"no-sidebar"); only such elements below the container count, so the container and
+what it lies in are never boilerplate by name, nor are body, main and an outer
+article. A block text that every page of a larger host has belongs to the template
+itself.
 
 In Spark: each task folds its pages into one row per (host, token) - support,
 occurrences, a commutative 64-bit fingerprint of the occurrence vector, text
@@ -41,13 +44,15 @@ from eventlake.llm.common import reliable
 
 FIXED_PAGES = 10  # hosts with fewer pages have no fixed texts
 BROADCAST_HOSTS = 20_000
+HIDDEN_SHARE = 9  # an element named as boilerplate is the container if it has over nine tenths of the text
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTR = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes".split())
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark meter q rp rt ruby s samp "
-             "small span strike strong sub sup time tt u var wbr br".split())
+             "small span strike strong sub sup time tt u var wbr br math mfrac mi mn mo mover mroot mrow ms mspace msqrt mstyle msub "
+             "msubsup msup mtext munder munderover semantics".split())
 #: an opening tag closes these open ones, up to the nearest of the second set
 CLOSES = {**{t: ({"p"}, {"body", "div", "td", "li", "article", "section"}) for t in
              "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul figure details".split()},
@@ -56,28 +61,40 @@ CLOSES = {**{t: ({"p"}, {"body", "div", "td", "li", "article", "section"}) for t
           "th": ({"td", "th", "p"}, {"tr", "table"}), "option": ({"option"}, {"select"}), "body": ({"head"}, {"html"})}
 #: elements and words of classes, ids and roles that never hold main text
 BOILER_TAGS = set("nav footer aside form script style noscript template button select textarea iframe svg canvas object "
-                  "dialog menu head title input label datalist math audio video map".split())
+                  "dialog menu head title input label datalist audio video map".split())
 BOILER_WORDS = set("ad ads adv advert adverts advertisement advertising adslot banner promo promoted promotion sponsor sponsored "
                    "sidebar aside menu nav navbar navigation breadcrumb breadcrumbs cookie cookies consent gdpr notice notices alert "
                    "notification popup modal overlay newsletter subscribe subscription signup login share sharing social related "
                    "recommended recommendations comment comments reply replies disqus footer masthead topbar toolbar search "
                    "pagination pager widget copyright legal skip toc complementary contentinfo hidden outbrain taboola".split())
+#: words that may stand beside those in a name without changing what it names
+PLACE_WORDS = set("area bar block bottom box container global inner left links list main mobile outer page primary region right "
+                  "secondary section site slot top unit wrap wrapper".split())
+
+
+def _names(mark: str, words: set[str]) -> bool:
+    """Whether a class, id or role names one of ``words``: all of its parts do, or say where it stands."""
+    parts = [w for w in re.split(r"[^a-z0-9]+", mark) if w and not w.isdigit()]
+    return any(w in words for w in parts) and all(w in words or w in BOILER_WORDS or w in PLACE_WORDS for w in parts)
 
 
 class Path:
-    """A chain of elements: its key, whether it is boilerplate, and whether it lies in an article or main element."""
+    """A chain of elements: its key, whether it lies in an article or main element, the depth of the innermost boilerplate
+    element on it (``cut``; 0 is none), and whether one of these is so by its tag (``hard``)."""
 
-    __slots__ = ("key", "parent", "tag", "boiler", "inside", "kids", "depth")
+    __slots__ = ("key", "parent", "tag", "cut", "hard", "inside", "kids", "depth")
 
     def __init__(self, parent: Path | None, tag: str, marks: tuple[str, ...]):
         self.parent, self.tag, self.kids = parent, tag, {}
         self.key = (parent.key + "/" if parent else "") + ".".join((tag, *marks))
         self.depth = parent.depth + 1 if parent else 0
-        words = {w for m in marks for w in re.split(r"[^a-z0-9]+", m) if w}
         inside = parent is not None and parent.inside
         self.inside = inside or tag in ("article", "main") or "main" in marks
-        self.boiler = bool(parent and parent.boiler) or tag in BOILER_TAGS or (tag == "header" and not inside) or bool(
-            words & BOILER_WORDS) or ("header" in words and not inside)
+        hard = tag in BOILER_TAGS or (tag == "header" and not inside)
+        named = tag not in ("html", "body", "main") and not (tag == "article" and not inside) and any(
+            _names(m, BOILER_WORDS) or not inside and _names(m, {"header"}) for m in marks)
+        self.hard = hard or bool(parent and parent.hard)
+        self.cut = self.depth if hard or named else parent.cut if parent else 0
 
     def child(self, tag: str, marks: tuple[str, ...]) -> Path:
         kid = self.kids.get((tag, marks))
@@ -183,12 +200,12 @@ def hash_bytes(b: bytes) -> int:
 
 
 def _weights(blocks) -> Counter:
-    """Running text (no boilerplate, not all links) under every path, ancestors included."""
+    """Running text (not all links) under every path, ancestors included, without that in boilerplate below the path."""
     out: Counter = Counter()
     for path, raw, links in blocks:
-        if not path.boiler and not links:
+        if not path.hard and not links:
             n, p = len(raw), path
-            while p is not None:
+            while p is not None and p.depth >= path.cut:
                 out[p] += n
                 p = p.parent
     return out
@@ -213,18 +230,18 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 s[1] += n
                 s[2] += _mix(key, n)
                 s[3] += weights.get(path, 0)
-            texts = {text_hash(clean(raw)) for path, raw, _ in blocks if not path.boiler}
+            texts = {text_hash(clean(raw)) for path, raw, _ in blocks if not path.hard}
             common[host] = common[host] & texts if host in common else texts
-        rows = [(h, p.key, p.parent.key if p.parent else "", p.depth, bool(p.boiler), s[0], s[1], _signed(s[2]), s[3], None)
+        rows = [(h, p.key, p.parent.key if p.parent else "", p.depth, p.cut > 0, p.hard, s[0], s[1], _signed(s[2]), s[3], None)
                 for (h, p), s in sums.items()]
         # texts that all pages of this batch have; only such can be in all pages of the host
-        rows += [(h, None, None, 0, False, pages[h], 0, 0, 0, t) for h, ts in common.items() for t in ts]
+        rows += [(h, None, None, 0, False, False, pages[h], 0, 0, 0, t) for h, ts in common.items() for t in ts]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _FOLD_TYPES)], names=_FOLD_NAMES)
 
 
-_FOLD_NAMES = ["host", "path", "parent", "depth", "boiler", "support", "occurrences", "vector", "weight", "fixed"]
-_FOLD_TYPES = [pa.string(), pa.string(), pa.string(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
-_FOLD_SCHEMA = ("host string, path string, parent string, depth int, boiler boolean, support long, occurrences long, "
+_FOLD_NAMES = ["host", "path", "parent", "depth", "boiler", "hard", "support", "occurrences", "vector", "weight", "fixed"]
+_FOLD_TYPES = [pa.string(), pa.string(), pa.string(), pa.int32(), pa.bool_(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+_FOLD_SCHEMA = ("host string, path string, parent string, depth int, boiler boolean, hard boolean, support long, occurrences long, "
                 "vector long, weight long, fixed long")
 
 
@@ -254,7 +271,7 @@ def deduce_templates(pages: DataFrame) -> DataFrame:
     folded = reliable(pages.select("host", "key", "html").mapInArrow(_fold, _FOLD_SCHEMA))
     tokens = (folded.where("path is not null").groupBy("host", "path")
               .agg(F.first("parent").alias("parent"), F.first("depth").alias("depth"),
-                   F.first("boiler").alias("boiler"), F.sum("support").alias("support"),
+                   F.first("boiler").alias("boiler"), F.first("hard").alias("hard"), F.sum("support").alias("support"),
                    F.sum("occurrences").alias("occurrences"), F.sum(F.col("vector").cast("decimal(20,0)")).alias("vector"),
                    F.sum("weight").alias("weight")))
     n_pages = tokens.where("path = ''").select("host", F.col("support").alias("pages"), F.col("weight").alias("all_weight"))
@@ -267,15 +284,21 @@ def deduce_templates(pages: DataFrame) -> DataFrame:
     valid = placed.groupBy("host", "class").agg((F.count_distinct(outside) <= 1).alias("valid"))
     template = placed.join(valid, ["host", "class"])
     # the container: once or more in most pages, in a valid class or main by name; article, then main, then
-    # the innermost element with most of the running text
-    ok = ((F.col("support") * 2 >= F.col("pages")) & ~F.col("boiler") & (F.col("path") != "") & (F.col("weight") > 0))
+    # the innermost element with most of the running text. Inside what a name calls boilerplate it has to be
+    # single and outweigh all text outside (see ``_hidden``)
+    ok = ((F.col("support") * 2 >= F.col("pages")) & ~F.col("hard") & (F.col("path") != "") & (F.col("weight") > 0))
     last = F.regexp_extract("path", r"([^/.]*)[^/]*$", 1)
     named = F.when(last == "article", 3).when((last == "main") | F.col("path").rlike(r"\.main[^/]*$"), 2).otherwise(0)
     most = (F.col("weight") * 10 >= F.col("all_weight") * 7) & F.col("valid")
-    best = (template.where(ok & ((named > 0) | most))
+    single = F.col("occurrences") == F.col("support")
+    tagged = last.isin("article", "main")
+    hidden = (F.when(tagged & single & (F.col("weight") > F.col("all_weight")), F.when(last == "article", 5).otherwise(4))
+              .when(single & F.col("valid") & (F.col("weight") > F.col("all_weight") * HIDDEN_SHARE), 1))
+    rank = F.when(F.col("boiler"), hidden).when((named > 0) | most, named)
+    best = (template.where(ok).withColumn("rank", rank).where("rank is not null")
             .groupBy("host").agg(F.max(F.struct(
-                named.alias("named"), F.when(named > 0, F.col("weight")).otherwise(F.col("depth")).alias("worth"),
-                F.col("path"))).alias("best")).select("host", F.col("best.path").alias("container")))
+                "rank", F.when(F.col("rank") > 0, F.col("weight")).otherwise(F.col("depth")).alias("worth"),
+                "depth", F.col("path"))).alias("best")).select("host", F.col("best.path").alias("container")))
     fixed = (folded.where("fixed is not null").groupBy("host", "fixed").agg(F.sum("support").alias("n"))
              .join(n_pages, "host").where((F.col("n") == F.col("pages")) & (F.col("pages") >= FIXED_PAGES))
              .groupBy("host").agg(F.collect_list("fixed").alias("fixed")))
@@ -286,34 +309,43 @@ def main_text(page: str, container: str | None, fixed: frozenset, root: Path) ->
     """The text of the page's main slots, blocks joined by an empty line. Fixed texts
     stay on a page that has nothing else there (all pages of the host are copies)."""
     blocks, seen = parse(page, root)
-    if container is None or not any(p.key == container for p in seen):
-        container = _own_container(blocks, seen)
-    texts = [clean(raw) for path, raw, _ in blocks if not path.boiler and _under(path, container)]
+    top = next((p for p in seen if p.key == container), None) if container is not None else None
+    top = top or _own_container(blocks, seen) or root
+    texts = [clean(raw) for path, raw, _ in blocks if path.cut <= top.depth and _under(path, top)]
     texts = [t for t in texts if t]
     own = [t for t in texts if text_hash(t) not in fixed] if fixed else texts
     return "\n\n".join(own or texts)
 
 
-def _under(path: Path, container: str) -> bool:
-    if not container:
-        return True
-    while path is not None and path.depth >= 1:
-        if path.key == container:
-            return True
+def _under(path: Path | None, top: Path) -> bool:
+    while path is not None and path.depth > top.depth:
         path = path.parent
-    return False
+    return path is top
 
 
-def _own_container(blocks, seen) -> str:
-    """As for a host, from one page alone; "" is the whole page."""
+def _own_container(blocks, seen) -> Path | None:
+    """As for a host, from one page alone; none is the whole page."""
     weights = _weights(blocks)
+    if hidden := _hidden(weights, seen, ("article", "main"), 1):
+        return hidden
     for tag in ("article", "main"):
-        named = [p for p in seen if p.tag == tag and not p.boiler]
+        named = [p for p in seen if p.tag == tag and not p.cut]
         if named:
-            return max(named, key=lambda p: (weights.get(p, 0), p.key)).key
-    total = max(weights.values(), default=0)
-    most = [p for p, n in weights.items() if n * 10 >= total * 7]
-    return max(most, key=lambda p: (p.depth, p.key)).key if most else ""
+            return max(named, key=lambda p: (weights.get(p, 0), p.key))
+    if hidden := _hidden(weights, seen, None, HIDDEN_SHARE):
+        return hidden
+    clear = {p: n for p, n in weights.items() if not p.cut}
+    total = max(clear.values(), default=0)
+    most = [p for p, n in clear.items() if n * 10 >= total * 7 and p.depth]
+    return max(most, key=lambda p: (p.depth, p.key)) if most else None
+
+
+def _hidden(weights, seen, tags: tuple[str, ...] | None, share: int) -> Path | None:
+    """The container inside an element that a name calls boilerplate, where the page has little else: it stands once
+    (comments and teasers are several) and has more than ``share`` times the text outside of such elements."""
+    clear = max((n for p, n in weights.items() if not p.cut), default=0)
+    found = [p for p, n in weights.items() if p.cut and not p.hard and seen[p] == 1 and n > clear * share and (tags is None or p.tag in tags)]
+    return max(found, key=lambda p: (p.tag == "article" if tags else 0, weights[p], p.depth, p.key)) if found else None
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

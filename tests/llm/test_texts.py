@@ -186,3 +186,20 @@ def test_main_text_odd_rows(spark):
     assert [g for g in got if g[0]] == [(1, ""), (2, ""), (3, "plain text <only>"), (4, ""), (5, "ab"), (5, "ab"), (6, "a < b c")]
     assert len(got[0][1]) == 10 * 50_000 - 1
     assert html_template.extract_main_text(df.limit(0)).count() == 0
+
+
+def test_names_do_not_take_the_article(spark):
+    text = "the article has a good many words"
+    art = f"<article><p>{text}</p><p>x <math><mi>y</mi></math></p></article>"
+    side = "<div class='sidebar'>s</div><div id='site-footer'>f</div>"
+    bodies = {
+        "no-sidebar": f"<div class='no-sidebar'>{art}{side}</div>", "overflow": f"<div class='overflow-hidden'>{art}</div>{side}",
+        "has-sidebar": f"<main class='has-sidebar'>{art}</main>{side}", "result": art.replace("<article", "<article class='search-result'") + side,
+        "own-name": art.replace("<article", "<article class='widget'") + side, "main-name": f"<main class='hidden'>{art}</main>{side}",
+        "ancestor": f"<p>Top</p><div class='hidden'>{art}{side}</div>", "in-main": f"<main><h1>H</h1><div class='search'>{art}</div></main>",
+        "inside": art.replace("</article>", "<article class='comment'>c</article><div class='share-box'>s</div></article>"),
+        "no-tags": f"<div class='widget'><div>{art.replace('article>', 'section>')}</div>{side}</div>"}
+    rows = [(10 * i + j, f"http://{name}/{j}", page(body)) for i, (name, body) in enumerate(bodies.items()) for j in range(2)]
+    rows += [(900, "http://body/", f"<html><body class='sidebar' style='visibility: hidden'>{art}{side}</body></html>")]
+    got = html_template.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.url: r.text for r in got} == {u: f"{text}\n\nx y" for _, u, _ in rows}
