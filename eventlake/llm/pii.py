@@ -8,7 +8,9 @@ mail under the reserved ``.example`` domain, names by script and gender. A
 dictionary of all entities holds the draws; a surrogate that two entities share,
 or that is itself an entity of the corpus, is drawn again for all but the first
 of them until none is left, so different entities stay different. Names are
-mapped word by word: "Mr. Ada Byron" and "Mrs. Byron" keep one surname.
+mapped word by word: "Mr. Ada Byron" and "Mrs. Byron" keep one surname. A name is
+found by its title; in a text with titled names their words are replaced wherever
+they stand, also without a title. In other texts untitled names are not found.
 
 All of it is DataFrame operations. Only the entities of texts that have any are
 shuffled with their places, not the texts' other content; texts without entities
@@ -30,26 +32,34 @@ from eventlake.llm.common import let, reliable
 
 MALE = ["Mr.", "Sir", "Herr", "Monsieur", "Señor", "г-н", "κ."]
 FEMALE = ["Mrs.", "Ms.", "Miss", "Madam", "Frau", "Madame", "Mademoiselle", "Señora", "Señorita", "г-жа", "κα"]
+NEUTRAL = ["Dr.", "Prof.", "Doctor", "Professor"]
+PARTICLES = "van|von|der|den|de|del|della|di|da|dos|du|la|le|ten|ter|zu|zur|bin|ibn|al|el"
 SECRET_WORDS = ["token", "secret", "password", "api"]
 
 
+def _forms(title: str) -> list[str]:
+    """A title as given, in capitals, and (Latin ones) without its dot."""
+    return list(dict.fromkeys((title, title.upper(), title.rstrip(".") if title.isascii() else title)))
+
+
 def _any(titles: list[str]) -> str:
-    """The titles as given and in capitals, as one alternative."""
-    return "|".join(re.escape(v) for t in titles for v in dict.fromkeys((t, t.upper())))
+    return "|".join(re.escape(v) for t in titles for v in _forms(t))
 
 
-_MALE, _FEMALE = _any(MALE), _any(FEMALE)
-_NAME = r"\p{Lu}[\p{L}'’-]+"
+_FEMALE, _TITLES = _any(FEMALE), _any([*MALE, *FEMALE, *NEUTRAL])
+#: hyphens and apostrophes only between letters, and not that of a possessive
+_NAME = r"\p{Lu}(?:\p{L}|[-'’](?=\p{L})(?!s(?!\p{L})))+"
 #: type -> pattern; the first that matches at a place wins
 PATTERNS = {
-    "person": rf"(?<![\p{{L}}])(?:{_MALE}|{_FEMALE}) {_NAME}(?: {_NAME})?",
+    "person": rf"(?<![\p{{L}}])(?:(?:{_TITLES}) )+(?:(?:{PARTICLES}) )*{_NAME}(?: (?:(?:{PARTICLES}) )*{_NAME})*",
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
     "secret": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])"
               r"|(?<=(?i:token|secret|password|api[_-]?key) {0,2}[=:] {0,2}[\"']?)[0-9A-Za-z_+/-]{12,}",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])",
     "card": r"(?<![0-9])(?:[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{13,19})(?![0-9])",
     "phone": r"(?<![0-9])(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{4}(?![0-9])"
-             r"|(?<![0-9])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])"
+             r"|(?<![0-9])\+(?=(?:[ .()-]{0,2}[0-9]){8})[0-9]{1,3}(?:[ .-]?(?:[0-9]{1,4}|\([0-9]{1,4}\))){2,}(?![0-9])"
+             r"|(?<![0-9])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,}(?![0-9])"
              r"|(?<![0-9.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})(?!\.?[0-9])",
@@ -72,14 +82,14 @@ _ENDINGS = {"latin": {"given_m": "n rd s lo".split(), "given_f": "na la ra ne".s
 
 def has_entity(text: Column) -> Column:
     """Whether ``ENTITY`` matches. Cheap searches come first: an entity has a digit or
-    ``@``, or follows a title, or a secret word; other texts skip the long expression."""
-    hint = text.rlike("[0-9@]")
-    for t in [*MALE, *FEMALE]:
-        for v in dict.fromkeys((t, t.upper())):
+    ``@``, or 32 hexadecimal letters, or follows a title, or a secret word in any case;
+    other texts skip the long expression."""
+    hint = text.rlike("[0-9@]|[a-f]{32}|[A-F]{32}")
+    for t in [*MALE, *FEMALE, *NEUTRAL]:
+        for v in _forms(t):
             hint = hint | F.contains(text, F.lit(v + " "))
     for w in SECRET_WORDS:
-        for v in (w, w.upper(), w.capitalize()):
-            hint = hint | F.contains(text, F.lit(v))
+        hint = hint | F.contains(F.lower(text), F.lit(w))
     return F.coalesce(hint & text.rlike(ENTITY), F.lit(False))
 
 
@@ -171,20 +181,43 @@ def _kind(entity: Column) -> Column:
     return out.otherwise(F.lit("secret"))  # the only pattern that needs what stands before it
 
 
+NAMES = ("given_m", "given_f", "surname")
+_LEADING = f"^(?:(?:{_TITLES}) )+"
+
+
+def _name_words(person: Column) -> Column:
+    """The words of a name with their kinds: the last one is the surname."""
+    given = F.when(person.rlike(f"^(?:(?:{_TITLES}) )*(?:{_FEMALE}) "), F.lit("given_f")).otherwise(F.lit("given_m"))
+    found = F.regexp_extract_all(F.regexp_replace(person, _LEADING, ""), F.lit(_NAME), 0)
+    return F.transform(found, lambda w, i: F.struct(
+        w.alias("word"), F.when(i == F.size(found) - 1, F.lit("surname")).otherwise(given).alias("kind")))
+
+
+def _known_names(text: Column) -> Column:
+    """(word, kind) of all titled names of a text, longer words first; a word that is both is a surname."""
+    persons = F.regexp_extract_all(text, F.lit(PATTERNS["person"]), 0)
+    words = F.array_distinct(F.flatten(F.transform(persons, _name_words)))
+    return F.transform(F.sort_array(F.transform(words, lambda x: F.struct(
+        F.length(x["word"]).alias("n"), x["kind"].alias("kind"), x["word"].alias("word"))), asc=False),
+        lambda x: F.struct(x["word"].alias("word"), x["kind"].alias("kind")))
+
+
+def _with_names(names: Column) -> Column:
+    """``ENTITY``, or one of the names as a word of its own, as written, capitalised or in capitals."""
+    forms = F.array_distinct(F.flatten(F.transform(names, lambda x: F.array(x["word"], F.initcap(x["word"]), F.upper(x["word"])))))
+    return F.when(F.size(names) == 0, F.lit(ENTITY)).otherwise(
+        F.concat(F.lit(ENTITY + r"|(?<!\p{L})(?:"), F.array_join(forms, "|"), F.lit(r")(?!\p{L})")))
+
+
 def _parts(kind: Column, e: Column) -> Column:
     """An entity as pieces (prefix, kind, norm, shown form): names word by word, others whole."""
     s = lambda p, k, n, raw: F.struct(p.alias("prefix"), k.alias("kind"), n.alias("norm"), raw.alias("raw"))
-    given = F.when(e.rlike(f"^(?:{_FEMALE}) "), F.lit("given_f")).otherwise(F.lit("given_m"))
-    norm = (F.when(kind == "email", F.lower(e)).when(kind.isin("card", "iban"), F.regexp_replace(e, "[ -]", "")).otherwise(e))
-
-    def person(w: Column) -> Column:
-        first = F.concat(F.element_at(w, 1), F.lit(" "))
-        last = F.element_at(w, -1)
-        return (F.when(F.size(w) > 2, F.array(s(first, given, F.lower(F.element_at(w, 2)), F.element_at(w, 2)),
-                                              s(F.lit(" "), F.lit("surname"), F.lower(last), last)))
-                .otherwise(F.array(s(first, F.lit("surname"), F.lower(last), last))))
+    norm = (F.when(kind.isin("email", *NAMES), F.lower(e)).when(kind.isin("card", "iban"), F.regexp_replace(e, "[ -]", "")).otherwise(e))
 
-    return F.when(kind == "person", let(F.split(e, " "), person)).otherwise(F.array(s(F.lit(""), kind, norm, e)))
+    between = F.split(F.regexp_replace(e, _LEADING, ""), _NAME)
+    person = F.transform(_name_words(e), lambda x, i: s(
+        F.concat(F.when(i == 0, F.regexp_extract(e, _LEADING, 0)).otherwise(F.lit("")), F.get(between, i)), x["kind"], F.lower(x["word"]), x["word"]))
+    return F.when(kind == "person", person).otherwise(F.array(s(F.lit(""), kind, norm, e)))
 
 
 def _shown(raw: Column, kind: Column, sur: Column) -> Column:
@@ -221,13 +254,17 @@ def replace_pii(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` with the entities of ``text`` replaced, plus ``n_entities``."""
     columns = [c for c in docs.columns if c != "n_entities"]
     docs = docs.select(*columns)
-    found = F.regexp_extract_all(F.col(text), F.lit(ENTITY), 0)
-    some = docs.where(has_entity(F.col(text))).withColumn("__key", F.md5(F.col(text)))
+    some = (docs.where(has_entity(F.col(text))).withColumn("__key", F.md5(F.col(text)))
+            .withColumn("__names", _known_names(F.col(text))))
+    found = F.regexp_extract_all(F.col(text), _with_names(F.col("__names")), F.lit(0))
+    # the kind of a name that stands without a title
+    bare = F.get(F.filter("names", lambda x: F.lower(x["word"]) == F.lower(F.col("e"))), F.lit(0))["kind"]
     clean = docs.where(~has_entity(F.col(text))).withColumn("n_entities", F.lit(0).cast("long"))
 
-    places = (some.select("__key", found.alias("e")).groupBy("__key").agg(F.first("e").alias("e"))
-              .select("__key", F.posexplode("e").alias("at", "e"))
-              .withColumn("kind", _kind(F.col("e"))))
+    places = (some.select("__key", F.struct(found.alias("e"), F.col("__names").alias("names")).alias("x"))
+              .groupBy("__key").agg(F.first("x").alias("x"))
+              .select("__key", F.posexplode("x.e").alias("at", "e"), F.col("x.names").alias("names"))
+              .withColumn("kind", F.coalesce(bare, _kind(F.col("e")))))
     places = reliable(places.select("__key", "at", F.posexplode(_parts(F.col("kind"), F.col("e"))).alias("part", "p"))
                       .select("__key", "at", "part", "p.*"))
     book = draw_surrogates(places.select("kind", "norm").distinct(), key)
@@ -242,6 +279,6 @@ def replace_pii(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
 
     done = (some.join(whole, "__key")
             .withColumn("n_entities", F.size("__new").cast("long"))
-            .withColumn(text, let(F.split(F.col(text), ENTITY, -1), rebuilt))
+            .withColumn(text, let(F.split(F.col(text), _with_names(F.col("__names")), -1), rebuilt))
             .select(*columns, "n_entities"))
     return done.unionByName(clean)

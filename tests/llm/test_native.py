@@ -32,6 +32,23 @@ def test_surrogates_keep_type_form_and_coreference(spark):
     assert secret != "abcdefabcdef1234" and name != "Иванов"
 
 
+def test_surrogates_leave_no_part_of_an_entity(spark):
+    texts = ["Mrs. Anna Maria Schmidt saw Dr. Jane Roe, Mr Smith and Herr Ludwig van Beethoven.",
+             "Mr. Ada Byron came. Ada Byron left; BYRON's hat, Byronic.", "call +33 1 23 45 67 89 or +49 30 12 34 56 78.",
+             "passWord=correcthorsebattery", "x " + "abcdef" * 6 + " y",
+             "Mr. O'Neill-Roe's car; O'Neill-Roe left."]
+    out = [r.text for r in pii.replace_pii(spark.createDataFrame(list(enumerate(texts)), DOCS), "k").orderBy("doc_id").collect()]
+    assert not re.search("Anna|Maria|Schmidt|Jane|Roe|Smith|Ludwig|Beethoven", out[0])
+    assert re.fullmatch(r"Mrs\. \w+ \w+ \w+ saw Dr\. \w+ \w+, Mr \w+ and Herr \w+ van \w+\.", out[0])
+    m = re.fullmatch(r"Mr\. (\w+) (\w+) came\. (\w+) (\w+) left; (\w+)'s hat, Byronic\.", out[1])
+    assert m and m[1] == m[3] != "Ada" and m[2] == m[4] != "Byron" and m[5] == m[2].upper()
+    assert re.fullmatch(r"call \+33 \d \d\d \d\d \d\d \d\d or \+49 \d\d \d\d \d\d \d\d \d\d\.", out[2])
+    assert "23 45 67 89" not in out[2] and "56 78" not in out[2]
+    assert "correcthorse" not in out[3] and out[3].startswith("passWord=") and "abcdefabcdef" not in out[4]
+    m = re.fullmatch(r"Mr\. (\w+)'s car; (\w+) left\.", out[5])
+    assert m and m[1] == m[2]
+
+
 def test_surrogates_are_distinct_and_keyed(spark):
     # a small space (3 + 2 + 4 digits is large, octets are not) with many entities forces redraws
     rows = [(i, f"10.{i // 250}.{i % 250}.7") for i in range(3000)]
