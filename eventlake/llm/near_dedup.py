@@ -1,7 +1,8 @@
 """MinHash near-duplicate detection with ProbMinHash.
 
-A text is the weighted set of its five-word shingles, weight 1 + ln(count). In
-ProbMinHash every shingle is a Poisson process whose rate is its weight; its
+A text is the set of its five-word shingles, each of weight 1: links are verified on
+sets, and weights by count would pull apart texts that repeat their shingles a
+different number of times. In ProbMinHash every shingle is a Poisson process whose rate is its weight; its
 arrivals fall on random registers, a register keeps the shingle that arrived
 first, and a shingle stops as soon as its next arrival lies behind the latest
 first arrival of all registers. Two texts agree in a register with the
@@ -108,10 +109,10 @@ def _signatures(bands: int, rows: int):
             for a, z, data, offsets in text_slices(b.column(2)):
                 n = z - a
                 sh, row, n_words, digest = shingles_of(data, offsets)
-                sh, row, count = _unique(sh, row)
+                sh, row, _ = _unique(sh, row)
                 live = np.flatnonzero(n_words > 0)
                 rank = np.cumsum(n_words > 0) - 1
-                sig = prob_min_hash(sh, 1.0 + np.log(count), rank[row], len(live), bands * rows)
+                sig = prob_min_hash(sh, np.ones(len(sh)), rank[row], len(live), bands * rows)
                 key = np.zeros((len(live), bands), np.uint64)
                 for j in range(rows):
                     key = splitmix(key ^ sig.reshape(len(live), bands, rows)[:, :, j])

@@ -87,6 +87,19 @@ def test_classes_equal_brute_force(spark):
     assert got == brute_classes(rows)
 
 
+def test_repeated_blocks_do_not_hide_a_link(spark):
+    rng, rows = random.Random(12), []
+    for k in range(120):
+        block, tail = sentence(rng, 50), sentence(rng, 54).split()
+        rows.append((2 * k, f"{block} {' '.join(tail)}"))
+        tail[25], tail[-4] = sentence(rng, 1), sentence(rng, 1)
+        rows.append((2 * k + 1, f"{' '.join([block] * 60)} {' '.join(tail)}"))
+    a, b = shingles(rows[0][1]), shingles(rows[1][1])
+    assert 0.8 <= len(a & b) / len(a | b) < 0.82
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicate_classes(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == brute_classes(rows)
+
+
 def test_bucket_rest_finds_links_that_no_pivot_has(spark):
     # a pivot far from two texts that are near each other, all in one bucket
     def node(i, comp, elements):
