@@ -7,7 +7,9 @@ domains' expected token totals, and the totals should equal the targets. The
 gradient is taken in the metric that whitens the totals (the K x K matrix
 sum t p p'), so a few steps suffice, and each step needs one distributed sum of K
 numbers. Rates start at 1 and change by the posterior, not by the length, so a
-document is never preferred for being long; they stay in [0, ``max_rate``].
+document is never preferred for being long; they are nonnegative, and bounded above
+only where the caller gives a ``max_rate``. Targets that stay out of reach are warned
+of, with the totals reached.
 
 Targets: the weights, times a total that leaves the ``anchor`` domain (the one with
 the most expected tokens unless named) at its present size. Copies of a document:
@@ -21,6 +23,7 @@ fade out; an empty table stays empty; input columns are returned as given."""
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,6 +39,7 @@ from eventlake.llm.common import reliable
 from eventlake.llm.hashing import text_slices, word_spans
 
 P, TOKENS = "__posterior", "__tokens"
+PATIENCE = 3
 
 
 @dataclass
@@ -105,21 +109,25 @@ class Mix:
     targets: list[float]
     totals: list[float]
     before: list[float]
+    reached: bool = True
 
     def rate(self) -> Column:
         """rate <- clip(rate - p . v) for every step v, from 1."""
         r = F.lit(1.0)
         for v in self.steps:
             change = sum((F.get(P, F.lit(k)) * x for k, x in enumerate(v)), F.lit(0.0))
-            r = F.least(F.greatest(r - change, F.lit(0.0)), F.lit(float(self.max_rate)))
+            r = F.greatest(r - change, F.lit(0.0))
+            if np.isfinite(self.max_rate):
+                r = F.least(r, F.lit(float(self.max_rate)))
         return r
 
 
-def fit_rates(rows: DataFrame, weights: dict[str, float], anchor: str | None = None, max_rate: float = 4.0,
-              max_steps: int = 25, tolerance: float = 1e-4) -> Mix:
+def fit_rates(rows: DataFrame, weights: dict[str, float], anchor: str | None = None, max_rate: float = float("inf"),
+              max_steps: int = 200, tolerance: float = 1e-4) -> Mix:
     """``rows``: the tokens and posteriors of all documents. Stops when no total is
-    further than ``tolerance`` times the sum of targets from its target, or when a
-    step changes nothing more (targets out of reach of the rates' bounds)."""
+    further than ``tolerance`` times the sum of targets from its target, or when
+    ``PATIENCE`` steps bring no total nearer (targets out of reach of the rates'
+    bounds); then the steps up to the nearest totals hold."""
     k = len(weights)
     names, w = list(weights), np.array(list(weights.values()), float)
     t = F.col(TOKENS).cast("double")
@@ -133,21 +141,25 @@ def fit_rates(rows: DataFrame, weights: dict[str, float], anchor: str | None = N
     targets = w / w[a] * s[a]
     g = np.array([[first[f"g{i}_{j}"] for j in range(k)] for i in range(k)])
     inverse = np.linalg.pinv(g, rcond=1e-9)
-    mix, total, last = Mix([], max_rate, targets.tolist(), s.tolist(), s.tolist()), s, np.inf
-    while len(mix.steps) < max_steps:
-        off = np.abs(total - targets).max() / targets.sum()
-        if off < tolerance or last - off < 1e-9:
-            break
-        last = off
+    mix, total = Mix([], max_rate, targets.tolist(), s.tolist(), s.tolist()), s
+    off = best = np.abs(total - targets).max() / targets.sum()
+    n_best = 0
+    while off >= tolerance and len(mix.steps) < max_steps and len(mix.steps) - n_best < PATIENCE:
         mix.steps.append((inverse @ (total - targets)).tolist())
         got = rows.agg(*[F.sum(t * mix.rate() * p[j]).alias(f"s{j}") for j in range(k)]).first()
         total = np.array([got[f"s{j}"] for j in range(k)])
-    mix.totals = total.tolist()
+        off = np.abs(total - targets).max() / targets.sum()
+        if off < best - 1e-9:
+            best, n_best, mix.totals = off, len(mix.steps), total.tolist()
+    del mix.steps[n_best:]
+    mix.reached = bool(best < tolerance)
+    if not mix.reached:
+        warnings.warn(f"mixing targets not reached: {dict(zip(names, mix.totals))} of {dict(zip(names, mix.targets))}", stacklevel=2)
     return mix
 
 
 def mix_to_weights(docs: DataFrame, labels: DataFrame, domains: dict[str, Column | str], weights: dict[str, float],
-                   anchor: str | None = None, max_rate: float = 4.0, seed: int = 11) -> tuple[DataFrame, Mix]:
+                   anchor: str | None = None, max_rate: float = float("inf"), seed: int = 11) -> tuple[DataFrame, Mix]:
     """``docs`` plus ``rate`` and ``copies`` (0 or more) of every row, and the fit."""
     if list(domains) != list(weights):
         raise ValueError("domains and weights must name the same domains in the same order")

@@ -128,6 +128,17 @@ def test_rates_equal_brute_force_least_squares(spark):
     assert np.abs(got - want).max() < 1e-2
 
 
+def test_scarce_domains_meet_their_targets(spark):
+    # a domain with half a percent of the tokens shall have five
+    rows = [(100, [0.98, 0.02] if i % 200 else [0.05, 0.95]) for i in range(2000)]
+    df = spark.createDataFrame(rows, f"{mixing.TOKENS} long, {mixing.P} array<double>")
+    mix = mixing.fit_rates(df, {"clean": 0.93, "toxic": 0.07})
+    assert mix.reached and max(r[0] for r in df.select(mix.rate()).collect()) > 4
+    assert np.abs(np.array(mix.totals) - mix.targets).max() / sum(mix.targets) < 1e-4
+    with pytest.warns(UserWarning, match="not reached"):
+        assert not mixing.fit_rates(df, {"clean": 0.5, "toxic": 0.5}, max_rate=1.0).reached
+
+
 def test_mixing_odd_rows(spark, odd_docs, no_docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     w = {"clean": 1.0, "low": 1.0, "toxic": 1.0}
