@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -20,9 +21,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.driver.memory", "16g")
-         .config("spark.sql.streaming.stateStore.providerClass",
-                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"))
+         .config("spark.driver.memory", "16g"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -31,6 +30,26 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession):
+    """Streams started inside keep their state in RocksDB, which ``transformWithState``
+    needs. A stream takes the session's settings when it starts and its checkpoint
+    remembers them, so the setting is put back afterwards and no other query sees it."""
+    before = spark.conf.get(STATE_PROVIDER, None)
+    spark.conf.set(STATE_PROVIDER, ROCKSDB)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_PROVIDER)
+        else:
+            spark.conf.set(STATE_PROVIDER, before)
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin the session settings the operators rely on: UTC time zone (all
     event times are epoch milliseconds rendered in UTC)."""

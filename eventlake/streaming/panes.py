@@ -26,6 +26,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from eventlake.functions.shipping import ship_by_value
 from eventlake.operators.aggregates import float_avg
+from eventlake.session import rocksdb_state
 from eventlake.settings import Settings
 
 MODES = ("accumulating", "discarding")
@@ -182,4 +183,5 @@ def start_pane_query(valid: DataFrame, out_path: str, checkpoint: str, settings:
             sink(df.sparkSession.read.schema(df.schema).option("basePath", path).parquet(path), batch_id)
 
     w = panes.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
-    return w.trigger(**(trigger or {"availableNow": True})).start()
+    with rocksdb_state(valid.sparkSession):
+        return w.trigger(**(trigger or {"availableNow": True})).start()
