@@ -62,13 +62,16 @@ def op7_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's tokens, rate and copies for 90 % clean, 5 % low-quality and 5 % toxic tokens."""
+    """Every document's tokens, rate and copies for 90 % clean, 5 % low-quality and 5 % toxic
+    tokens, with the greatest miss of a total as a share of all targets."""
     quality, toxic = F.col("quality"), F.col("toxic")
     domains = {"clean": (quality == 1) & (toxic == 0), "low_quality": (quality == 0) & (toxic == 0), "toxic": toxic == 1}
-    out, _ = mixing.mix_to_weights(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"),
-                                   domains, {"clean": 0.90, "low_quality": 0.05, "toxic": 0.05})
+    out, mix = mixing.mix_to_weights(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"),
+                                     domains, {"clean": 0.90, "low_quality": 0.05, "toxic": 0.05}, drop=("text",))
+    p = F.col(mixing.P)
     return out.select("doc_id", F.col(mixing.TOKENS).alias("tokens"),
-                      *[F.get(mixing.P, F.lit(k)).alias(f"p_{n}") for k, n in enumerate(domains)], "rate", "copies")
+                      *[F.get(p, F.lit(k)).alias(f"p_{n}") for k, n in enumerate(domains)], "rate", "copies",
+                      F.lit(mix.miss()).alias("miss"))
 
 
 def op9_template_text(spark: SparkSession, sf_dir: str) -> DataFrame:

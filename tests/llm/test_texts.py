@@ -120,9 +120,10 @@ def brute_rates(t, p, target, steps=20_000):
 def test_rates_equal_brute_force_least_squares(spark):
     rng = np.random.default_rng(3)
     t, p = rng.integers(5, 500, 80).astype(float), rng.dirichlet([0.3, 0.3, 0.3], 80)
-    rows = spark.createDataFrame([(int(a), [float(x) for x in b]) for a, b in zip(t, p)], f"{mixing.TOKENS} long, {mixing.P} array<double>")
+    rows = spark.createDataFrame([(i, int(a), [float(x) for x in b]) for i, (a, b) in enumerate(zip(t, p))],
+                                 f"i int, {mixing.TOKENS} long, {mixing.P} array<double>")
     mix = mixing.fit_rates(rows, {"a": 0.5, "b": 0.3, "c": 0.2}, anchor="a", max_rate=1e9, tolerance=1e-10, max_steps=60)
-    got = np.array([r[0] for r in rows.select(mix.rate()).collect()])
+    got = np.array([r[0] for r in rows.join(mix.rates, mixing.P).orderBy("i").select(mixing.RATE).collect()])
     s = (p * t[:, None]).sum(axis=0)
     want = brute_rates(t, p, np.array([0.5, 0.3, 0.2]) / 0.5 * s[0], 3000)
     assert np.abs(got - want).max() < 1e-2
@@ -133,10 +134,28 @@ def test_scarce_domains_meet_their_targets(spark):
     rows = [(100, [0.98, 0.02] if i % 200 else [0.05, 0.95]) for i in range(2000)]
     df = spark.createDataFrame(rows, f"{mixing.TOKENS} long, {mixing.P} array<double>")
     mix = mixing.fit_rates(df, {"clean": 0.93, "toxic": 0.07})
-    assert mix.reached and max(r[0] for r in df.select(mix.rate()).collect()) > 4
+    assert mix.reached and max(r[mixing.RATE] for r in mix.rates.collect()) > 4
     assert np.abs(np.array(mix.totals) - mix.targets).max() / sum(mix.targets) < 1e-4
     with pytest.warns(UserWarning, match="not reached"):
-        assert not mixing.fit_rates(df, {"clean": 0.5, "toxic": 0.5}, max_rate=1.0).reached
+        mix = mixing.fit_rates(df, {"clean": 0.5, "toxic": 0.5}, max_rate=1.0)
+    assert not mix.reached and mix.miss() > 0.1 and mix.steps <= mixing.MAX_STEPS
+
+
+def test_bounded_rates_reach_targets_within_headroom(spark):
+    # rates of at most 1 can only take away: a toxic share of 8 % falls to 2 %, clean text stays but for 2 %
+    rng = np.random.default_rng(5)
+    rows = [(int(rng.integers(20, 400)), [1 - x, x]) for x in [*rng.beta(1, 60, 1900), *rng.beta(60, 2, 160)]]
+    df = spark.createDataFrame([(t, [float(x) for x in p]) for t, p in rows], f"{mixing.TOKENS} long, {mixing.P} array<double>")
+    mix = mixing.fit_rates(df, {"clean": 0.98, "toxic": 0.02}, anchor="clean", max_rate=1.0, headroom=0.02)
+    assert mix.reached and mix.steps <= 20
+    rates = [r for r in mix.rates.collect()]
+    assert all(0 <= r[mixing.RATE] <= 1 for r in rates)
+    assert min(r[mixing.RATE] for r in rates if r[mixing.P][1] < 0.1) > 0.8
+
+
+def test_scoring_classes_share_a_rate():
+    p = mixing.on_grid(np.random.default_rng(1).dirichlet([0.2, 1, 3], 500))
+    assert np.allclose(p.sum(axis=1), 1) and np.allclose(p * mixing.GRID, np.round(p * mixing.GRID))
 
 
 def test_mixing_odd_rows(spark, odd_docs, no_docs):
