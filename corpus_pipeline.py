@@ -15,8 +15,10 @@ from eventlake.llm.common import table
 from eventlake.llm.queries import PII_KEY
 from eventlake.session import scratch_path
 
-#: token shares after mixing; toxic text fades to 2 % and nothing is repeated
+#: token shares after mixing; toxic text fades to 2 % and nothing is repeated, so that
+#: rates of 1 at most can reach the targets, clean tokens may lose ``HEADROOM`` of their total
 WEIGHTS = {"clean": 0.98, "toxic": 0.02}
+HEADROOM = 0.02
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +45,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Toxic text down to its target weight; rates stop at 1, so no document is repeated."""
     domains = {"clean": F.col("toxic") == 0, "toxic": F.col("toxic") == 1}
-    return mixing.sampled(docs, table(spark, sf_dir, "labels"), domains, WEIGHTS, anchor="clean", max_rate=1.0)
+    return mixing.sampled(docs, table(spark, sf_dir, "labels"), domains, WEIGHTS, anchor="clean", max_rate=1.0,
+                          headroom=HEADROOM)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
