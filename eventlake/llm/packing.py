@@ -7,9 +7,10 @@ and none needs padding; equal lengths form the buckets that a trainer batches
 from (``write_buckets`` lays them out as one folder per length).
 
 The tokens come from a public tokenizer file, read by every worker from
-``tokenizer_path``. BPE works on single words, so a worker tokenizes each
-different word once and looks up the rest. One pass, no shuffle; memory per
-task is one batch of texts plus the bounded word cache.
+``tokenizer_path``. BPE works on single words, so a batch's words are dictionary
+encoded as arrays, each different word is tokenized once per worker, and the ids of
+the texts are gathered from the words' ids by array operations. One pass, no
+shuffle; memory per task is one batch of texts plus the bounded word cache.
 
 Defined results: a null text is empty; an empty text has the end id alone;
 repeated rows are packed each for itself; a row's other columns are not read.
@@ -26,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.functions.shipping import ship_by_value
+from eventlake.llm.hashing import text_slices, word_spans
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long"
 
@@ -41,17 +43,20 @@ class WordTokenizer:
 
     The file lowers case and drops white space, and its pre-tokenizer never
     crosses white space, so the ids of a text are those of its words in order.
-    Words outside printable Latin-1 go through the whole tokenizer."""
+    Words outside printable Latin-1 go through the whole tokenizer, as do whole
+    texts that contain the string of a special token, which may span words."""
 
     def __init__(self, path: str, cache_words: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
         self.model = self.whole.model
+        self.special = [t.content.encode() for t in self.whole.get_added_tokens_decoder().values()]
         self.limit = cache_words
-        self.words: dict[str, list[int]] = {}
         self.parts: dict[str, list[int]] = {}
+        # words met: number by bytes; ids of word k are flat[at[k]:at[k] + size[k]]
+        self.words: dict[str, int] = {}
+        self.flat, self.at, self.size = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
         # byte-level alphabet: printable bytes stand for themselves, the others for 256, 257, ...
         keep = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in keep]
@@ -67,58 +72,98 @@ class WordTokenizer:
         return ids
 
     def word(self, w: str) -> list[int]:
-        if len(self.words) >= self.limit:
-            self.words.clear()
-        if not w:
-            ids = []
-        elif _PLAIN.fullmatch(w):
-            ids = [i for p in _PARTS.findall(w.lower()) for i in self.part(p)]
-        else:
-            ids = self.whole.encode(w, add_special_tokens=False).ids
-        self.words[w] = ids
-        return ids
+        if _PLAIN.fullmatch(w):
+            return [i for p in _PARTS.findall(w.lower()) for i in self.part(p)]
+        return self.whole.encode(w, add_special_tokens=False).ids
 
-    def ids(self, text: str) -> np.ndarray:
-        got, out = self.words.get, []
-        for w in text.replace("\n", " ").split(" "):
-            ids = got(w)
-            out += self.word(w) if ids is None else ids
-        return np.array(out, dtype="<u4")
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """The numbers of different ``words``; new ones are tokenized."""
+        if len(self.words) + len(words) > self.limit:
+            self.words.clear()
+            self.flat, self.at, self.size = self.flat[:0], self.at[:0], self.size[:0]
+        known = len(self.words)
+        out = np.array([self.words.setdefault(w, len(self.words)) for w in words], np.int64)
+        new = [self.word(words[k]) for k in np.flatnonzero(out >= known)]
+        if new:
+            size = np.array([len(x) for x in new], np.int64)
+            flat = np.fromiter((i for x in new for i in x), np.uint32, int(size.sum()))
+            self.at = np.concatenate([self.at, len(self.flat) + np.cumsum(size) - size])
+            self.size, self.flat = np.concatenate([self.size, size]), np.concatenate([self.flat, flat])
+        return out
+
+    def batch(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, ids per text) of texts that lie in ``data`` at ``offsets``."""
+        start, end, row = word_spans(data, offsets)
+        raw = data.tobytes()
+        odd = [i for i in range(len(offsets) - 1)
+               if any(s in raw[offsets[i]:offsets[i + 1]] for s in self.special)] if any(s in raw for s in self.special) else []
+        if odd:
+            keep = ~np.isin(row, odd)
+            start, end, row = start[keep], end[keep], row[keep]
+        coded = words_of(data, start, end).dictionary_encode()
+        number = self.numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        ids, size = gather(self.flat, self.at[number], self.size[number])
+        per_text = np.bincount(row, weights=size, minlength=len(offsets) - 1).astype(np.int64)
+        if odd:
+            cut = np.cumsum(per_text)[odd]
+            extra = [self.whole.encode(raw[offsets[i]:offsets[i + 1]].decode(), add_special_tokens=False).ids for i in odd]
+            ids = np.insert(ids, np.repeat(cut, [len(x) for x in extra]), [i for x in extra for i in x])
+            per_text[odd] = [len(x) for x in extra]
+        return ids, per_text
+
+
+def words_of(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The spans of ``data`` as strings."""
+    size = end - start
+    flat, _ = gather(data, start, size)
+    offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+    return pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(offsets), pa.py_buffer(flat))
+
+
+def gather(values: np.ndarray, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs ``values[at:at + size]`` one after another, and their sizes."""
+    first = np.cumsum(size) - size
+    return values[np.repeat(at - first, size) + np.arange(int(size.sum()))], size
 
 
 def piece_lengths(n: int, max_length: int) -> list[int]:
     """``n`` as multiples of ``max_length`` (a power of two), then its lower binary digits."""
-    out = [max_length] * (n // max_length)
-    rest, p = n % max_length, max_length >> 1
+    return cut(np.array([n]), max_length)[1].tolist()
+
+
+def cut(total: np.ndarray, max_length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(document, length) of the pieces of documents with ``total`` tokens, in the documents' order, longest first."""
+    doc = np.arange(len(total))
+    docs, lengths, p = [np.repeat(doc, total // max_length)], [], max_length >> 1
+    lengths.append(np.full(len(docs[0]), max_length, np.int64))
     while p:
-        if rest & p:
-            out.append(p)
+        on = doc[total & p > 0]
+        docs.append(on)
+        lengths.append(np.full(len(on), p, np.int64))
         p >>= 1
-    return out
+    docs, lengths = np.concatenate(docs), np.concatenate(lengths)
+    order = np.argsort(docs, kind="stable")
+    return docs[order], lengths[order]
 
 
 def _pack(path: str, end_id: int, max_length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = None
-        schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
-                            ("ids", pa.binary()), ("doc_tokens", pa.int64())])
         for b in batches:
             tok = tok or WordTokenizer(path)
-            rows: list[tuple] = []
-            held = 0
-            for i in range(b.num_rows):
-                doc, text = b.column(0)[i].as_py(), b.column(1)[i].as_py()
-                ids = np.append(tok.ids(text or ""), np.uint32(end_id)).astype("<u4").tobytes()
-                total, at = len(ids) // 4, 0
-                for n in piece_lengths(total, max_length):
-                    rows.append((doc, at, n, ids[4 * at:4 * (at + n)], total))
-                    at += n
-                held += total
-                if held > 2_000_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
-                    rows, held = [], 0
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+            for a, z, data, offsets in text_slices(b.column(1)):
+                ids, per_text = tok.batch(data, offsets)
+                ids = np.insert(ids, np.cumsum(per_text), end_id).astype("<u4")
+                total = per_text + 1
+                doc, length = cut(total, max_length)
+                at = np.cumsum(length) - length
+                begin = (np.cumsum(total) - total)[doc]
+                stops = np.append(at, len(ids)) * 4
+                binary = pa.LargeBinaryArray.from_buffers(
+                    pa.large_binary(), len(length), [None, pa.py_buffer(stops), pa.py_buffer(ids)]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(a, z - a).take(pa.array(doc)), pa.array(at - begin), pa.array(length), binary,
+                     pa.array(total[doc])], names=["doc_id", "start", "length", "ids", "doc_tokens"])
 
     return run
 

@@ -61,9 +61,8 @@ def test_chain_odd_rows(spark, odd_docs, no_docs):
 
 def test_pieces_are_the_tokenizer_s_ids(spark, odd_docs):
     from tokenizers import Tokenizer
-    tok = Tokenizer.from_file(WORDS)
-    tok.encode_special_tokens = True
-    texts = ["It's NOT 12½ µm; İstanbul ΣΑΣ ς x y été <|endoftext|> 中文字 a\x1cb \x85c d­ 'S 's", "…“quoted”—dash", "",
+    tok = Tokenizer.from_file(WORDS)  # with its defaults: special tokens written out in a text become their ids
+    texts = ["a <|endoftext|><|startoftext|> b<|endoftext|>", "plain one", "x <|ENDOFTEXT|> <| y", "It's NOT 12½ µm; İstanbul ΣΑΣ ς x y été <|endoftext|> 中文字 a\x1cb \x85c d­ 'S 's", "…“quoted”—dash", "",
              "word " * 3000, "über straße\nnaïve\tçà\r\nfin"]
     df = spark.createDataFrame(list(enumerate(texts, 100)), DOCS).unionByName(odd_docs.select("doc_id", "text").where("doc_id < 7"))
     rows = packing.pack_power_of_two(df, WORDS).collect()
