@@ -7,7 +7,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import chunk_dedup, html_template, mixing, near_dedup, packing, pii, quality_rules, sharding, topk, toxicity
+from eventlake.llm import (chunk_dedup, html_template, mixing, near_dedup, packing, pii, quality_rules, sharding, token_align,
+                           topk, toxicity)
 from eventlake.llm.common import table
 
 
@@ -85,6 +86,14 @@ def op10_gear_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.repeated_spans(table(spark, sf_dir, "documents"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two public tokenizers aligned over the bytes of every document."""
+    import public_tokenizers
+
+    return token_align.alignment_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                         public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_surrogates": op1_surrogates,
     "op2_bounded_ring": op2_bounded_ring,
@@ -96,6 +105,7 @@ QUERIES = {
     "op7_decision_list": op7_decision_list,
     "op9_template_text": op9_template_text,
     "op10_gear_chunks": op10_gear_chunks,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLE: dict[str, str] = {
