@@ -55,7 +55,7 @@ _CUT[[32, 9, 10]] = True
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 #: white space outside ASCII, and the separators U+001C to U+001F
-_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -     　]".encode("utf-8").decode("utf-8"))
+_ODD_SPACE = re.compile("[\\x1c-\\x1f\\x85\\xa0\\u1680\\u180e\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -181,8 +181,7 @@ def align(sides: Sides, data: np.ndarray, offsets: np.ndarray) -> Aligned:
     if not sides.cuts:
         cut[:] = False
     raw = data.tobytes()
-    if cut.any() and _ODD_SPACE.search(text := raw.decode()):
-        del text
+    if cut.any() and _ODD_SPACE.search(raw.decode()):
         for i in range(n):
             if _ODD_SPACE.search(raw[offsets[i]:offsets[i + 1]].decode()):
                 cut[offsets[i]:offsets[i + 1]] = False
