@@ -7,8 +7,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import (chunk_dedup, html_template, mixing, near_dedup, packing, pii, quality_rules, sharding, token_align,
-                           topk, toxicity)
+from eventlake.llm import (chunk_dedup, collocations, html_template, mixing, near_dedup, packing, pii, quality_rules, sharding,
+                           token_align, topk, toxicity)
 from eventlake.llm.common import table
 
 
@@ -86,6 +86,11 @@ def op10_gear_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.repeated_spans(table(spark, sf_dir, "documents"))
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every language's first 2000 phrases of 2 or 3 words."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two public tokenizers aligned over the bytes of every document."""
     import public_tokenizers
@@ -105,6 +110,7 @@ QUERIES = {
     "op7_decision_list": op7_decision_list,
     "op9_template_text": op9_template_text,
     "op10_gear_chunks": op10_gear_chunks,
+    "op12_phrase_collocations": op12_phrase_collocations,
     "op13_token_alignment": op13_token_alignment,
 }
 
@@ -123,4 +129,41 @@ s AS (
   WHERE q.id % 50 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""",
+
+    "op12_phrase_collocations": r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS doc,
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents WHERE text IS NOT NULL),
+p AS (SELECT lang, doc, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+q AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS ws FROM p),
+g AS (
+  SELECT lang, len(ws) AS n, ws, unnest(range(1, len(ws) + 1)) AS i FROM q),
+f AS (
+  SELECT lang, k, phrase, count(*) AS f FROM (
+    SELECT lang, 1 AS k, ws[i] AS phrase FROM g
+    UNION ALL SELECT lang, 2, ws[i] || ' ' || ws[i + 1] FROM g WHERE i + 1 <= n
+    UNION ALL SELECT lang, 3, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] FROM g WHERE i + 2 <= n) u
+  GROUP BY ALL HAVING count(*) >= 10),
+tot AS (SELECT lang, count(*) AS n FROM g GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1),
+cuts AS (
+  SELECT lang, k, phrase, a, 1 AS cut, ws[1] AS lp, array_to_string(ws[2:], ' ') AS rp FROM c
+  UNION ALL SELECT lang, k, phrase, a, 2, ws[1] || ' ' || ws[2], ws[3] FROM c WHERE k = 3),
+s AS (
+  SELECT cuts.*, x.f AS l, y.f AS r,
+    (1000000::HUGEINT * a::HUGEINT * a::HUGEINT) // (x.f::HUGEINT * y.f::HUGEINT) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = lp JOIN f y ON y.lang = cuts.lang AND y.phrase = rp),
+low AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (
+  SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, a, ws[1] || ' ' || ws[2] AS phrase FROM c WHERE k = 3
+    UNION ALL SELECT lang, a, ws[2] || ' ' || ws[3] FROM c WHERE k = 3) u
+  GROUP BY ALL),
+kept AS (
+  SELECT low.* FROM low LEFT JOIN inside USING (lang, phrase)
+  WHERE inside.longer IS NULL OR 100 * inside.longer < 50 * low.a),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, tot.n AS n, CAST(score AS BIGINT) AS score
+FROM r JOIN tot USING (lang) WHERE rank <= 2000""".replace("\\x", "\x"),
 }
