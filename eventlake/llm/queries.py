@@ -165,5 +165,5 @@ kept AS (
   WHERE inside.longer IS NULL OR 100 * inside.longer < 50 * low.a),
 r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
 SELECT lang, rank, phrase, a, l, r, tot.n AS n, CAST(score AS BIGINT) AS score
-FROM r JOIN tot USING (lang) WHERE rank <= 2000""".replace("\\x", "\x"),
+FROM r JOIN tot USING (lang) WHERE rank <= 2000""",
 }
