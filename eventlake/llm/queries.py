@@ -7,8 +7,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import (chunk_dedup, collocations, html_template, mixing, near_dedup, packing, pii, quality_rules, sharding,
-                           token_align, topk, toxicity)
+from eventlake.llm import (chunk_dedup, collocations, html_template, mixing, near_dedup, packing, pii, quality_rules, secrets,
+                           sharding, token_align, topk, toxicity)
 from eventlake.llm.common import table
 
 
@@ -86,6 +86,11 @@ def op10_gear_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.repeated_spans(table(spark, sf_dir, "documents"))
 
 
+def op11_guess_cost_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fixed shapes, and values in credential context that cost 10^9 guesses or more."""
+    return secrets.digest_rows(secrets.find_secrets(table(spark, sf_dir, "documents")))
+
+
 def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every language's first 2000 phrases of 2 or 3 words."""
     return collocations.collocations(table(spark, sf_dir, "documents"))
@@ -110,6 +115,7 @@ QUERIES = {
     "op7_decision_list": op7_decision_list,
     "op9_template_text": op9_template_text,
     "op10_gear_chunks": op10_gear_chunks,
+    "op11_guess_cost_secrets": op11_guess_cost_secrets,
     "op12_phrase_collocations": op12_phrase_collocations,
     "op13_token_alignment": op13_token_alignment,
 }
