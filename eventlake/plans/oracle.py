@@ -504,6 +504,83 @@ SELECT dim1, win_start_ms, win_end_ms, timing, pane_idx, pane_nonspeculative_idx
 FROM dis"""
 
 
+# Early panes by age: windows of 10 days per user, slices of 6480 minutes, a delay of 144
+# hours. Per window the slices are gone through in order. A slice's rows come first,
+# at the clock of the slice's end and the watermark of the slices before; then the
+# watermark moves on and the timers fire.
+W240H, E144H, EARLY_SLICE_MS = 864000000, 518400000, 388800000
+
+ORACLE["stream_early_delay"] = f"""
+WITH RECURSIVE {ENR.strip()},
+lim AS (SELECT (min(arrival_us) // 86400000000) * 86400000 - 600000 AS t0 FROM enr),
+sl AS (SELECT enr.*, (arrival_ms - t0) // {EARLY_SLICE_MS} AS b, (event_ts // {W240H}) * {W240H} AS ws FROM enr, lim),
+bs AS (SELECT b, max(event_ts) AS top, row_number() OVER (ORDER BY b) AS i FROM sl GROUP BY b),
+wm AS (SELECT b, i, coalesce(max(top) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS w0,
+              max(top) OVER (ORDER BY b) AS w1 FROM bs),
+g AS (SELECT thread_id, ws, i, count(*) AS n, CAST(sum(metrics1) AS BIGINT) AS s, min(metrics1) AS mn, max(metrics1) AS mx,
+             max(event_ts) AS last FROM sl JOIN wm USING (b) GROUP BY ALL),
+kw AS (SELECT DISTINCT thread_id, ws, ws + {W240H} AS we FROM g),
+clk AS (SELECT i, w0, w1, t0 + (b + 1) * {EARLY_SLICE_MS} AS clock FROM wm, lim),
+step AS (
+  SELECT thread_id, ws, we, 0::BIGINT AS i, 0::BIGINT AS en, 0::BIGINT AS es, NULL::BIGINT AS emn, NULL::BIGINT AS emx,
+         NULL::BIGINT AS opened, NULL::BIGINT AS due, false AS known, false AS done,
+         NULL::STRUCT(t VARCHAR, ord INTEGER, n BIGINT, s BIGINT, mn BIGINT, mx BIGINT)[] AS fired
+  FROM kw
+  UNION ALL
+  SELECT thread_id, ws, we, i,
+         CASE WHEN sent THEN 0 ELSE an END, CASE WHEN sent THEN 0 ELSE asum END,
+         CASE WHEN sent THEN NULL ELSE amn END, CASE WHEN sent THEN NULL ELSE amx END,
+         CASE WHEN sent THEN NULL ELSE aop END, CASE WHEN sent THEN NULL ELSE adue END,
+         known2, done OR ends OR (late AND known2),
+         list_filter([
+           CASE WHEN by_age THEN {{'t': 'EARLY', 'ord': 0, 'n': an, 's': asum, 'mn': amn, 'mx': amx}} END,
+           CASE WHEN by_timer THEN {{'t': 'EARLY', 'ord': 1, 'n': an, 's': asum, 'mn': amn, 'mx': amx}} END,
+           CASE WHEN ends THEN {{'t': 'ON_TIME', 'ord': 2, 'n': CASE WHEN by_age THEN 0 ELSE an END,
+                                 's': CASE WHEN by_age THEN 0 ELSE asum END, 'mn': CASE WHEN by_age THEN NULL ELSE amn END,
+                                 'mx': CASE WHEN by_age THEN NULL ELSE amx END}} END,
+           CASE WHEN late THEN {{'t': 'LATE', 'ord': 3, 'n': rn, 's': rs, 'mn': rmn, 'mx': rmx}} END], lambda x: x IS NOT NULL)
+  FROM (
+    SELECT *, by_age OR by_timer OR ends AS sent FROM (
+      SELECT *, NOT by_age AND an > 0 AND w1 < we AND adue <= w1 AS by_timer,
+             known2 AND NOT done AND w0 < we AND w1 >= we AS ends
+      FROM (
+        SELECT *, early AND clock - aop >= {E144H} AS by_age, known OR early OR late AS known2
+        FROM (
+          SELECT p.thread_id, p.ws, p.we, c.i, p.known, p.done, c.w0, c.w1, c.clock, g.n AS rn, g.s AS rs, g.mn AS rmn, g.mx AS rmx,
+                 g.n IS NOT NULL AND c.w0 < p.we AS early,
+                 g.n IS NOT NULL AND c.w0 >= p.we AND c.w0 < p.we + {L30M} AS late,
+                 p.en + CASE WHEN g.n IS NOT NULL AND c.w0 < p.we THEN g.n ELSE 0 END AS an,
+                 p.es + CASE WHEN g.n IS NOT NULL AND c.w0 < p.we THEN g.s ELSE 0 END AS asum,
+                 CASE WHEN g.n IS NOT NULL AND c.w0 < p.we THEN least(p.emn, g.mn) ELSE p.emn END AS amn,
+                 CASE WHEN g.n IS NOT NULL AND c.w0 < p.we THEN greatest(p.emx, g.mx) ELSE p.emx END AS amx,
+                 coalesce(p.opened, CASE WHEN g.n IS NOT NULL AND c.w0 < p.we THEN c.clock END) AS aop,
+                 coalesce(p.due, CASE WHEN g.n IS NOT NULL AND c.w0 < p.we THEN greatest(c.w0, g.last) + {E144H} END) AS adue
+          FROM step p JOIN clk c ON c.i = p.i + 1
+          LEFT JOIN g ON g.thread_id = p.thread_id AND g.ws = p.ws AND g.i = c.i) x1) x2) x3) x4),
+panes AS (SELECT thread_id, ws, we, i, unnest(fired, recursive := true) FROM step WHERE fired IS NOT NULL),
+modes AS (
+  SELECT *, 'accumulating' AS mode FROM panes UNION ALL SELECT *, 'discarding' FROM panes WHERE n > 0),
+num AS (
+  SELECT thread_id, ws AS win_start_ms, we AS win_end_ms, t AS timing, mode, n, s, mn, mx,
+         CAST(row_number() OVER w - 1 AS BIGINT) AS pane_idx,
+         CAST(CASE WHEN t = 'EARLY' THEN -1
+              ELSE sum(CASE WHEN t <> 'EARLY' THEN 1 ELSE 0 END) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - 1 END
+              AS BIGINT) AS pane_nonspeculative_idx,
+         row_number() OVER w = 1 AS is_first, false AS is_last,
+         CAST(sum(n) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS acc_n,
+         CAST(sum(s) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS acc_s,
+         min(mn) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS acc_mn,
+         max(mx) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS acc_mx
+  FROM modes WINDOW w AS (PARTITION BY mode, thread_id, ws ORDER BY i, ord))
+SELECT thread_id, win_start_ms, win_end_ms, timing, pane_idx, pane_nonspeculative_idx, is_first, is_last,
+       CASE WHEN mode = 'accumulating' THEN acc_n ELSE n END AS num_records,
+       CASE WHEN mode = 'accumulating' THEN acc_s ELSE s END AS sum,
+       CASE WHEN mode = 'accumulating' THEN acc_mx ELSE mx END AS max,
+       CASE WHEN mode = 'accumulating' THEN acc_mn ELSE mn END AS min,
+       CASE WHEN mode = 'accumulating' THEN {_favg('acc_s', 'acc_n')} ELSE {_favg('s', 'n')} END AS avg, mode
+FROM num"""
+
+
 # Fan-out over the faulty messages in one run: what every sink holds.
 _DEAD = "event_id % 50 IN (0, 7, 17, 33, 41)"
 

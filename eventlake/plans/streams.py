@@ -28,10 +28,17 @@ SLICE_MINUTES, SHIFT_MINUTES = 12270, 10
 LATE_COUNT = 3
 
 
-def _staged(spark: SparkSession, sf_dir: str, name: str, messages=fx.messages) -> tuple[str, list[int]]:
+#: Windows, slices and early delay of the query about the age of early panes: two slices
+#: lie within the delay, the third does not.
+EARLY = S.with_(window_size="240h", early_firing_period="144h")
+EARLY_SLICE_MINUTES = 6480
+
+
+def _staged(spark: SparkSession, sf_dir: str, name: str, messages=fx.messages,
+            minutes: int = SLICE_MINUTES) -> tuple[str, list[int]]:
     prepare(spark)
     root = scratch_path(spark, name)
-    m = arrival_slices(messages(spark, sf_dir), SLICE_MINUTES, SHIFT_MINUTES)
+    m = arrival_slices(messages(spark, sf_dir), minutes, SHIFT_MINUTES)
     return root, stage_slices(m, f"{root}/src")
 
 
@@ -109,6 +116,19 @@ def q_stream_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out").where("mode <> 'dropped'").drop("process_ts", "batch_id")
 
 
+def q_stream_early_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Early panes by their age, per user (many have rows in few slices only, so the
+    timer fires their panes). The clock of a row is the end of its slice."""
+    root, slices = _staged(spark, sf_dir, "stream_early_delay", minutes=EARLY_SLICE_MINUTES)
+    first = spark.read.schema(MESSAGE).parquet(f"{root}/src").agg(F.min(F.unix_micros("publish_ts"))).first()[0] or 0
+    begin = first // 86_400_000_000 * 86_400_000 - SHIFT_MINUTES * 60_000
+    length = EARLY_SLICE_MINUTES * 60_000
+    clock = F.lit(begin) + (F.floor((F.col("arrival_ms") - F.lit(begin)) / F.lit(length)) + 1) * F.lit(length)
+    replay(spark, f"{root}/src", slices, MESSAGE, lambda s: start_pane_query(
+        _valid(s), f"{root}/out", f"{root}/ckpt", EARLY, keys=("thread_id",), clock=clock))
+    return spark.read.parquet(f"{root}/out").where("mode <> 'dropped'").drop("process_ts", "batch_id")
+
+
 def q_stream_per_trigger_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Global window, repeated trigger, discarding: stats of each micro-batch."""
     root, slices = _staged(spark, sf_dir, "stream_per_trigger_stats")
@@ -171,6 +191,7 @@ STREAM_QUERIES = {
     "stream_dedup_stats": q_stream_dedup_stats,
     "stream_error_windows": q_stream_error_windows,
     "stream_panes": q_stream_panes,
+    "stream_early_delay": q_stream_early_delay,
     "stream_per_trigger_stats": q_stream_per_trigger_stats,
     "stream_enrich_refreshing": q_stream_enrich_refreshing,
     "stream_fanout_sinks": q_stream_fanout_sinks,

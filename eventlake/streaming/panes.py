@@ -12,6 +12,15 @@ window with W >= end + lateness are dropped (and counted in a ``DROPPED`` row th
 carries no pane), W >= end makes a late pane once ``late_firing_count`` rows are
 buffered, anything else an early pane. An on-time pane without new rows is emitted
 for accumulating panes only; buffered late rows leave with the closing pane.
+
+*Early firings.* Without a ``clock`` every micro-batch fires its early rows, so the
+trigger interval is the early period. With a ``clock`` (processing time of a row in
+ms, the same for all rows of a micro-batch) an early pane fires by its age: the
+first row opens the pane, further rows join it, and it fires in the first
+micro-batch that brings the key a row at ``early_firing_period`` or more after the
+opening. A key without further rows does not wait for one: a timer fires its pane once
+the watermark has moved on by the period from where the pane opened. What the pane
+holds when the window ends leaves on time.
 """
 
 from __future__ import annotations
@@ -19,7 +28,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -38,29 +47,36 @@ def _fold(keys: list[str], value: str, size: int):
         for b in batches:
             b["win_start_ms"] = b["event_ms"] // size * size
             g = b.groupby([*keys, "win_start_ms"], dropna=False, sort=False)[value]
-            yield g.agg(n="size", s="sum", mn="min", mx="max").reset_index()[[*keys, "win_start_ms", "n", "s", "mn", "mx"]]
+            out = g.agg(n="size", s="sum", mn="min", mx="max").reset_index()
+            at = b.groupby([*keys, "win_start_ms"], dropna=False, sort=False)[["event_ms", "clock_ms"]].max().reset_index(drop=True)
+            yield out.assign(last=at["event_ms"], clock=at["clock_ms"])[[*keys, "win_start_ms", "n", "s", "mn", "mx", "last", "clock"]]
 
     return run
 
 
+#: state of a window: totals; pending late rows (p) and early rows (e); counters; when the early pane opened, when it is due
+_STATE = ("n", "s", "mn", "mx", "pn", "ps", "pmn", "pmx", "en", "es", "emn", "emx", "on_time",
+          "acc_idx", "acc_ns", "dis_idx", "dis_ns", "opened", "due")
+
+
 class PaneProcessor(StatefulProcessor):
-    """State of one (keys, window): running totals, buffered late rows, pane counters."""
+    """State of one (keys, window): running totals, buffered early and late rows, pane counters."""
 
-    def __init__(self, keys: list[str], size: int, lateness: int, late_count: int, number: str):
+    def __init__(self, keys: list[str], size: int, lateness: int, late_count: int, number: str, early: int = 0):
         self.keys, self.size, self.lateness, self.late_count, self.number = keys, size, lateness, late_count, number
+        self.early = early
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        x = self.number
-        self.totals = handle.getValueState(
-            "totals", f"n long, s {x}, mn {x}, mx {x}, pn long, ps {x}, pmn {x}, pmx {x}, on_time boolean, "
-                      "acc_idx long, acc_ns long, dis_idx long, dis_ns long")
+        kinds = dict.fromkeys(_STATE, "long") | {"on_time": "boolean"} | {
+            p + c: self.number for p in ("", "p", "e") for c in ("s", "mn", "mx")}
+        self.totals = handle.getValueState("totals", ", ".join(f"{c} {kinds[c]}" for c in _STATE))
 
     def _load(self) -> dict:
-        names = ("n", "s", "mn", "mx", "pn", "ps", "pmn", "pmx", "on_time", "acc_idx", "acc_ns", "dis_idx", "dis_ns")
         if self.totals.exists():
-            return dict(zip(names, self.totals.get()))
-        return dict(zip(names, (0, 0, None, None, 0, 0, None, None, False, 0, 0, 0, 0)))
+            return dict(zip(_STATE, self.totals.get()))
+        return dict.fromkeys(_STATE, 0) | dict.fromkeys(
+            ("mn", "mx", "pmn", "pmx", "emn", "emx", "opened", "due")) | {"on_time": False}
 
     @staticmethod
     def _add(st: dict, pre: str, n, s, mn, mx) -> None:
@@ -88,56 +104,74 @@ class PaneProcessor(StatefulProcessor):
                                               "is_first", "is_last", "num_records", "sum", "min", "max", "mode"])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        n, s, mn, mx = 0, 0, None, None
+        n, s, mn, mx, last, clock = 0, 0, None, None, None, None
         for b in rows:
             n, s = n + int(b["n"].sum()), s + b["s"].sum().item()
             lo, hi = b["mn"].min().item(), b["mx"].max().item()
             mn, mx = lo if mn is None else min(mn, lo), hi if mx is None else max(mx, hi)
+            last, clock = max(last or 0, int(b["last"].max())), max(clock or 0, int(b["clock"].max()))
         w, end = timerValues.getCurrentWatermarkInMs(), int(key[-1]) + self.size
         key = tuple(k.item() if hasattr(k, "item") else k for k in key)
         if w >= end + self.lateness:
             yield from self._frame([(*key, "DROPPED", 0, 0, False, False, n, s, mn, mx, "dropped")])
             return
-        st, out = self._load(), []
-        if not self.totals.exists():
+        known, st, out = self.totals.exists(), self._load(), []
+        if not known:
             if w < end:
                 self.handle.registerTimer(end)
             self.handle.registerTimer(end + self.lateness)
         if w < end:
-            out = self._fire(st, key, "EARLY", (n, s, mn, mx), False)
+            self._add(st, "e", n, s, mn, mx)
+            if st["opened"] is None:
+                st["opened"], st["due"] = clock, max(w, last) + self.early
+                if self.early and st["due"] < end:
+                    self.handle.registerTimer(st["due"])
+            if clock - st["opened"] >= self.early:
+                out = self._early(st, key)
         else:
+            if known and not st["on_time"]:  # the watermark passed the end in this very micro-batch
+                out = self._fire(st, key, "ON_TIME", self._take(st, "e"), False)
             st["on_time"] = True
             self._add(st, "p", n, s, mn, mx)
             if st["pn"] >= self.late_count:
-                out = self._fire(st, key, "LATE", self._take(st), False)
+                out += self._fire(st, key, "LATE", self._take(st, "p"), False)
         self._store(st)
         yield from self._frame(out)
 
+    def _early(self, st: dict, key: tuple) -> list[tuple]:
+        st["opened"] = st["due"] = None
+        return self._fire(st, key, "EARLY", self._take(st, "e"), False)
+
     @staticmethod
-    def _take(st: dict) -> tuple:
-        got = (st["pn"], st["ps"], st["pmn"], st["pmx"])
-        st.update(pn=0, ps=0, pmn=None, pmx=None)
-        return got
+    def _take(st: dict, pre: str) -> tuple | None:
+        """What is buffered under ``pre``; None if nothing is."""
+        got = tuple(st[pre + c] for c in ("n", "s", "mn", "mx"))
+        st |= {pre + "n": 0, pre + "s": 0, pre + "mn": None, pre + "mx": None}
+        return got if got[0] else None
 
     def _store(self, st: dict) -> None:
-        self.totals.update(tuple(st.values()))
+        self.totals.update(tuple(st[c] for c in _STATE))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if not self.totals.exists():
             return
         st, end = self._load(), int(key[-1]) + self.size
         key = tuple(k.item() if hasattr(k, "item") else k for k in key)
-        at = expiredTimerInfo.getExpiryTimeInMs()
-        if at < end + self.lateness:
-            out = [] if st["on_time"] else self._fire(st, key, "ON_TIME", None, False)
+        at, out = expiredTimerInfo.getExpiryTimeInMs(), []
+        if at < end:  # an early pane is due, unless it has fired or the window has ended
+            if st["due"] == at and timerValues.getCurrentWatermarkInMs() < end:
+                out = self._early(st, key)
+                self._store(st)
+            yield from self._frame(out)
+            return
+        if not st["on_time"]:  # both later timers may be due; the on-time pane comes first
+            out = self._fire(st, key, "ON_TIME", self._take(st, "e"), False)
             st["on_time"] = True
+        if at < end + self.lateness:
             self._store(st)
         else:
-            out = []
-            if not st["on_time"]:  # both timers are due; the on-time pane comes first
-                out = self._fire(st, key, "ON_TIME", None, False)
             if st["pn"]:
-                out += self._fire(st, key, "LATE", self._take(st), True)
+                out += self._fire(st, key, "LATE", self._take(st, "p"), True)
             self.totals.clear()
         yield from self._frame(out)
 
@@ -145,22 +179,30 @@ class PaneProcessor(StatefulProcessor):
         pass
 
 
+def processing_clock() -> Column:
+    """The micro-batch's processing time in ms."""
+    return F.unix_millis(F.current_timestamp())
+
+
 def pane_stream(valid: DataFrame, settings: Settings = Settings(), keys=("dim1",), value: str = "metrics1",
-                time_col: str = "event_time") -> DataFrame:
+                time_col: str = "event_time", clock: Column | None = None) -> DataFrame:
     """The panes of a stream of rows with ``keys``, ``value`` (any integral or
-    fractional type), ``event_ms`` and the event time. Keys keep their type."""
+    fractional type), ``event_ms`` and the event time. Keys keep their type. With a
+    ``clock`` early panes fire ``early_firing_period`` after they opened."""
     ship_by_value(__name__)
     keys = list(keys)
     integral = isinstance(valid.schema[value].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
     number = "long" if integral else "double"
     named = ", ".join(f"`{k}` {valid.schema[k].dataType.simpleString()}" for k in keys)
     rows = (valid.withWatermark(time_col, "0 seconds")
-            .select(*keys, "event_ms", F.col(value).cast(number).alias(value), time_col)
+            .select(*keys, "event_ms", F.col(value).cast(number).alias(value), time_col,
+                    (F.lit(0) if clock is None else clock).cast("long").alias("clock_ms"))
             .where(F.col(value).isNotNull()).drop(time_col))
     parts = rows.mapInPandas(_fold(keys, value, settings.window_ms),
-                             f"{named}, win_start_ms long, n long, s {number}, mn {number}, mx {number}")
+                             f"{named}, win_start_ms long, n long, s {number}, mn {number}, mx {number}, last long, clock long")
     panes = parts.groupBy(*keys, "win_start_ms").transformWithStateInPandas(
-        PaneProcessor(keys, settings.window_ms, settings.lateness_ms, settings.late_firing_count, number),
+        PaneProcessor(keys, settings.window_ms, settings.lateness_ms, settings.late_firing_count, number,
+                      0 if clock is None else settings.early_ms),
         f"{named}, win_start_ms long, timing string, pane_idx long, pane_nonspeculative_idx long, is_first boolean, "
         f"is_last boolean, num_records long, sum {number}, min {number}, max {number}, mode string",
         "Append", "EventTime")
@@ -171,10 +213,10 @@ def pane_stream(valid: DataFrame, settings: Settings = Settings(), keys=("dim1",
 
 
 def start_pane_query(valid: DataFrame, out_path: str, checkpoint: str, settings: Settings = Settings(),
-                     keys=("dim1",), value: str = "metrics1", trigger: dict | None = None, sink=None):
+                     keys=("dim1",), value: str = "metrics1", trigger: dict | None = None, sink=None, clock: Column | None = None):
     """Write the panes under ``out_path/batch_id=<id>/mode=<accumulating|discarding|dropped>``
     (a replayed batch overwrites its own); ``sink(panes, batch_id)`` may take them further."""
-    panes = pane_stream(valid, settings, keys, value)
+    panes = pane_stream(valid, settings, keys, value, clock=clock)
 
     def write(df: DataFrame, batch_id: int) -> None:
         path = f"{out_path.rstrip('/')}/batch_id={batch_id}"
