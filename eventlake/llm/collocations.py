@@ -46,8 +46,8 @@ from eventlake.session import scratch_path
 MIN_COUNT, LONGEST, TOP = 10, 3, 2000
 TRIE_BYTES = 24_000_000  # candidate text of one shard
 FILTER_BITS = 1 << 27
-HELD = 3_000_000  # different hashes a task holds before it passes them on
-SEEN = 1_000_000  # phrases a task remembers to have spelled out
+HELD = 1_000_000  # different hashes a task holds before it passes them on
+SEEN = 500_000  # phrases a task remembers to have spelled out
 
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[ord(c) for c in ".,;:!?"] + [*range(10, 14)]] = True
@@ -99,7 +99,7 @@ class Pieces:
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[Pieces]:
     for b in batches:
-        for i, j, data, offsets in text_slices(b.column(1)):
+        for i, j, data, offsets in text_slices(b.column(1), 1_000_000):
             yield Pieces(data, offsets, b.column(0).slice(i, j - i))
 
 
@@ -138,8 +138,10 @@ class Summed:
     def rest(self) -> Iterator[pa.RecordBatch]:
         if self.keys:
             key, n = self.merged()
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), self.k, np.int32)), pa.array(key.view(np.int64)), pa.array(n)],
-                                             names=["k", "h", "n"])
+            for i in range(0, len(key), 100_000):
+                part = key[i:i + 100_000].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), self.k, np.int32)), pa.array(part),
+                                                  pa.array(n[i:i + 100_000])], names=["k", "h", "n"])
         self.keys, self.counts, self.held = [], [], 0
 
 
