@@ -30,6 +30,7 @@ null; other columns are not read; an empty table gives an empty one."""
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -48,7 +49,9 @@ from eventlake.session import scratch_path
 
 PAIRS_AT_ONCE = 8_000_000
 B_IDS = 1 << 24  # a pair is one number: A id * B_IDS + B id
-CACHE = 500_000  # chunks a worker keeps
+CACHE, KEPT = 150_000, 50_000  # chunks a worker holds at most, and those in most use that it keeps then
+AT_ONCE = 5_000  # chunks given to a tokenizer together
+SLICE = 500_000  # bytes of text aligned together
 
 _CUT = np.zeros(256, bool)
 _CUT[[32, 9, 10]] = True
@@ -70,6 +73,7 @@ class Sides:
     """Both tokenizers, and for each id of either the bytes that it spells."""
 
     def __init__(self, a_path: str, b_path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -89,7 +93,7 @@ class Sides:
         self.cuts = not any(re.search("[^▁\\s][▁\t\n]|[▁\\s][\t\n]", p) for p in pieces)
         self.known: dict[str, int] = {}
         self.tokens = [Runs(), Runs()]
-        self.spells = np.empty(0, bool)
+        self.spells, self.uses = np.empty(0, bool), np.empty(0, np.int64)
 
     def encode(self, chunks: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of chunks that begin with white space, on both sides."""
@@ -99,22 +103,32 @@ class Sides:
         b = [ids or [self.space] if c[0] == " " else ids[1:] for c, ids in zip(chunks, b)]
         return a, b
 
-    def numbers(self, chunks: list[str]) -> np.ndarray:
-        """The numbers of different ``chunks``; new ones are tokenized."""
+    def numbers(self, chunks: list[str], uses: np.ndarray) -> np.ndarray:
+        """The numbers of different ``chunks`` that occur ``uses`` times; new ones are tokenized."""
         if len(self.known) + len(chunks) > CACHE:
-            self.known.clear()
-            self.tokens, self.spells = [Runs(), Runs()], self.spells[:0]
+            self._forget()
         before = len(self.known)
         out = np.array([self.known.setdefault(c, len(self.known)) for c in chunks], np.int64)
         new = [chunks[k] for k in np.flatnonzero(out >= before)]
-        if new:
-            a, b = self.encode(new)
+        for i in range(0, len(new), AT_ONCE):
+            some = new[i:i + AT_ONCE]
+            a, b = self.encode(some)
             self.tokens[0].add(a)
             self.tokens[1].add(b)
-            ok = [self.a_bytes.join(x) == c.encode() == self.b_bytes.join(y) for c, x, y in zip(new, a, b)]
+            ok = [self.a_bytes.join(x) == c.encode() == self.b_bytes.join(y) for c, x, y in zip(some, a, b)]
             self.spells = np.concatenate([self.spells, np.array(ok, bool)])
+        self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
+        self.uses[out] += uses
         return out
 
+    def _forget(self) -> None:
+        """Keep the chunks in most use."""
+        keep = np.sort(np.argsort(-self.uses, kind="stable")[:KEPT])
+        names = list(self.known)
+        self.known = {names[k]: i for i, k in enumerate(keep)}
+        self.tokens = [t.take(keep) for t in self.tokens]
+        self.spells, self.uses = self.spells[keep], self.uses[keep] // 2
+
 
 class Spelling:
     """The bytes of every id."""
@@ -138,6 +152,12 @@ class Runs:
         self.at = np.concatenate([self.at, len(self.flat) + np.cumsum(size) - size])
         self.size, self.flat = np.concatenate([self.size, size]), np.concatenate([self.flat, flat])
 
+    def take(self, keep: np.ndarray) -> Runs:
+        out = Runs()
+        out.flat, out.size = gather(self.flat, self.at[keep], self.size[keep])
+        out.at = np.cumsum(out.size) - out.size
+        return out
+
 
 @dataclass
 class Tokens:
@@ -188,7 +208,8 @@ def align(sides: Sides, data: np.ndarray, offsets: np.ndarray) -> Aligned:
     cut[offsets[:-1]] = True
     start = np.flatnonzero(cut)
     coded = words_of(data, start, np.append(start[1:], len(data))).dictionary_encode()
-    number = sides.numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+    of = coded.indices.to_numpy()
+    number = sides.numbers(coded.dictionary.to_pylist(), np.bincount(of, minlength=len(coded.dictionary)))[of]
     doc = np.searchsorted(offsets, start, side="right") - 1
     good = (np.bincount(doc, weights=~sides.spells[number], minlength=n) == 0) & (size > 0)
     on = good[doc]
@@ -259,7 +280,7 @@ def _over_slices(a_path: str, b_path: str, rows: Callable[[Aligned, pa.Array], p
         sides = None
         for batch in batches:
             sides = sides or Sides(a_path, b_path)
-            for i, j, data, offsets in text_slices(batch.column(1)):
+            for i, j, data, offsets in text_slices(batch.column(1), SLICE):
                 yield rows(align(sides, data, offsets), batch.column(0).slice(i, j - i))
 
     return run
