@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from eventlake.functions.time import epoch_ms
 from eventlake.operators import aggregates as agg
 from eventlake.operators import encode as enc
-from eventlake.operators import panes
 from eventlake.operators.dedup import dedup_by_id, dedup_key
 from eventlake.operators.parse import assign_event_time, route_counts, split_routes
 from eventlake.operators.wordcount import count_words
@@ -97,12 +96,13 @@ def q_typed_by_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_typed_warehouse_row(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = enc.warehouse_row(_detail_lines(spark, sf_dir), "line", S.csv_delimiter, S.truncate_seconds)
+    """Warehouse rows from the typed detail columns (``typed_by_schema`` has the way through text)."""
+    w = enc.warehouse_record(enc.detail_rows(fx.enriched(spark, sf_dir), S), S.truncate_seconds)
     return w.select(*WAREHOUSE.fieldNames(), F.col("event_date").cast("string").alias("event_date"))
 
 
 def q_warehouse_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = enc.warehouse_row(_detail_lines(spark, sf_dir), "line", S.csv_delimiter, S.truncate_seconds)
+    w = enc.warehouse_record(enc.detail_rows(fx.enriched(spark, sf_dir), S), S.truncate_seconds)
     return (w.groupBy(F.col("event_date").cast("string").alias("event_date"))
             .agg(F.count(F.lit(1)).alias("n_rows")))
 
@@ -122,45 +122,6 @@ def q_windowed_path(spark: SparkSession, sf_dir: str) -> DataFrame:
         "path", F.col("num_records").alias("n_rows"))
 
 
-def q_lateness_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return panes.lateness_audit(fx.enriched(spark, sf_dir), S)
-
-
-_PANE_COLS = ["dim1", "win_start_ms", "win_end_ms", "b", "process_ts", "timing", "pane_idx",
-              "pane_nonspeculative_idx", "is_first", "is_last", "num_records", "sum", "max",
-              "min", "avg"]
-
-
-def q_pane_replay_discarding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return panes.pane_replay_discarding(fx.enriched(spark, sf_dir), S).select(*_PANE_COLS)
-
-
-def q_pane_replay_accumulating(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return panes.pane_replay_accumulating(fx.enriched(spark, sf_dir), S).select(*_PANE_COLS)
-
-
-def q_pane_replay_live_discarding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Panes as a running stream emits them (no end of input)."""
-    return panes.pane_replay_discarding(fx.enriched(spark, sf_dir), S, live=True).select(*_PANE_COLS)
-
-
-def q_pane_replay_live_accumulating(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return panes.pane_replay_accumulating(fx.enriched(spark, sf_dir), S, live=True).select(*_PANE_COLS)
-
-
-def q_tall_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enc.tall_encode(panes.pane_replay_accumulating(fx.enriched(spark, sf_dir), S))
-
-
-def q_wide_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enc.wide_encode(panes.pane_replay_discarding(fx.enriched(spark, sf_dir), S))
-
-
-def q_read_wide_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = enc.wide_encode(panes.pane_replay_discarding(fx.enriched(spark, sf_dir), S))
-    return enc.read_wide_total(cells)
-
-
 def q_bulk_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bulk requests the document sink sends: totals are independent of how
     the rows are partitioned; every batch respects the limits."""
@@ -197,14 +158,6 @@ QUERIES = {
     "warehouse_daily": q_warehouse_daily,
     "json_document": q_json_document,
     "windowed_path": q_windowed_path,
-    "lateness_audit": q_lateness_audit,
-    "pane_replay_discarding": q_pane_replay_discarding,
-    "pane_replay_accumulating": q_pane_replay_accumulating,
-    "pane_replay_live_discarding": q_pane_replay_live_discarding,
-    "pane_replay_live_accumulating": q_pane_replay_live_accumulating,
-    "tall_encode": q_tall_encode,
-    "wide_encode": q_wide_encode,
-    "read_wide_total": q_read_wide_total,
     "bulk_batches": q_bulk_batches,
     "bulk_item_errors": q_bulk_item_errors,
 }

@@ -134,44 +134,6 @@ E30M = 1800000
 L30M = 1800000
 LMAX = 9223372036854775807
 
-PANES_SQL = f"""
-bm AS (SELECT arrival_ms // {E30M} AS b, max(event_ts) AS bmax FROM enr GROUP BY 1),
-wm AS (
-  SELECT b,
-         max(bmax) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS wm_before,
-         CASE WHEN b = max(b) OVER () THEN {LMAX}
-              ELSE max(bmax) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS wm_after
-  FROM bm),
-r AS (
-  SELECT enr.*, (event_ts // {W6H}) * {W6H} AS win_start_ms, (event_ts // {W6H}) * {W6H} + {W6H} AS win_end_ms,
-         arrival_ms // {E30M} AS b
-  FROM enr),
-t AS (
-  SELECT r.*, CASE WHEN wm.wm_before >= r.win_end_ms + {L30M} THEN 'DROPPED'
-                   WHEN wm.wm_before >= r.win_end_ms THEN 'LATE'
-                   WHEN wm.wm_after >= r.win_end_ms THEN 'ON_TIME'
-                   ELSE 'EARLY' END AS timing
-  FROM r JOIN wm USING (b)),
-pp AS (
-  SELECT dim1, win_start_ms, win_end_ms, b, timing, count(*) AS n, CAST(sum(metrics1) AS BIGINT) AS s,
-         min(metrics1) AS mn, max(metrics1) AS mx
-  FROM t WHERE timing <> 'DROPPED' GROUP BY ALL),
-panes AS (
-  SELECT pp.*, (b + 1) * {E30M} AS process_ts,
-         CAST(row_number() OVER w - 1 AS BIGINT) AS pane_idx,
-         CAST(CASE WHEN timing = 'EARLY' THEN -1
-              ELSE sum(CASE WHEN timing <> 'EARLY' THEN 1 ELSE 0 END)
-                   OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - 1 END AS BIGINT)
-           AS pane_nonspeculative_idx,
-         row_number() OVER w = 1 AS is_first,
-         b = max(b) OVER (PARTITION BY dim1, win_start_ms) AS is_last,
-         sum(n) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS acc_n,
-         CAST(sum(s) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS acc_s,
-         min(mn) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS acc_mn,
-         max(mx) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS acc_mx
-  FROM pp WINDOW w AS (PARTITION BY dim1, win_start_ms ORDER BY b))"""
-
-
 def _favg(s: str, n: str) -> str:
     return f"CAST(CAST({s} AS FLOAT) / CAST({n} AS FLOAT) AS FLOAT)"
 
@@ -184,9 +146,6 @@ def _pane_text() -> str:
             " || CAST(pane_nonspeculative_idx AS VARCHAR) ELSE '' END || '}'")
 
 
-_PANE_SELECT = ("dim1, win_start_ms, win_end_ms, b, process_ts, timing, pane_idx, "
-                "pane_nonspeculative_idx, is_first, is_last")
-
 ORACLE.update({
     "typed_by_schema": f"""
 WITH {ENR.strip()},
@@ -228,67 +187,6 @@ SELECT 'err/' || strftime(make_timestamp(e * 1000), '%Y/%m/%d/%H') || '/events'
        || {_iso('s')} || '-' || {_iso('e')} || '-pane-0-last-00-of-01.csv' AS path,
        n_rows
 FROM w""",
-
-    "lateness_audit": f"""
-WITH {ENR.strip()},
-{PANES_SQL.strip()}
-SELECT win_start_ms, win_end_ms, timing, count(*) AS n_rows FROM t GROUP BY 1, 2, 3""",
-
-    "pane_replay_discarding": f"""
-WITH {ENR.strip()},
-{PANES_SQL.strip()}
-SELECT {_PANE_SELECT}, n AS num_records, s AS sum, mx AS max, mn AS min, {_favg('s', 'n')} AS avg
-FROM panes""",
-
-    "pane_replay_accumulating": f"""
-WITH {ENR.strip()},
-{PANES_SQL.strip()}
-SELECT {_PANE_SELECT}, acc_n AS num_records, acc_s AS sum, acc_mx AS max, acc_mn AS min,
-       {_favg('acc_s', 'acc_n')} AS avg
-FROM panes""",
-
-    "tall_encode": f"""
-WITH {ENR.strip()},
-{PANES_SQL.strip()},
-k AS (SELECT *, dim1 || '#' || CAST({LMAX} - process_ts AS VARCHAR) || '#' || CAST(win_start_ms AS VARCHAR)
-               AS row_key FROM panes)
-SELECT row_key, family, qualifier, process_ts AS cell_ts, value FROM (
-  SELECT row_key, process_ts, 'stats' AS family, 'num_records' AS qualifier, CAST(acc_n AS VARCHAR) AS value FROM k
-  UNION ALL SELECT row_key, process_ts, 'stats', 'sum', CAST(acc_s AS VARCHAR) FROM k
-  UNION ALL SELECT row_key, process_ts, 'stats', 'max', CAST(acc_mx AS VARCHAR) FROM k
-  UNION ALL SELECT row_key, process_ts, 'stats', 'min', CAST(acc_mn AS VARCHAR) FROM k
-  UNION ALL SELECT row_key, process_ts, 'stats', 'avg', CAST({_favg('acc_s', 'acc_n')} AS VARCHAR) FROM k
-  UNION ALL SELECT row_key, process_ts, 'window_info', 'window', {_win_str('win_start_ms', 'win_end_ms')} FROM k
-  UNION ALL SELECT row_key, process_ts, 'window_info', 'pane', {_pane_text()} FROM k
-  UNION ALL SELECT row_key, process_ts, 'window_info', 'pane_idx', CAST(pane_idx AS VARCHAR) FROM k
-  UNION ALL SELECT row_key, process_ts, 'window_info', 'pane_nonspeculative_idx',
-                   CAST(pane_nonspeculative_idx AS VARCHAR) FROM k
-  UNION ALL SELECT row_key, process_ts, 'window_info', 'is_first', CAST(is_first AS VARCHAR) FROM k
-  UNION ALL SELECT row_key, process_ts, 'window_info', 'is_last', CAST(is_last AS VARCHAR) FROM k
-  UNION ALL SELECT row_key, process_ts, 'window_info', 'timing', timing FROM k
-  UNION ALL SELECT row_key, process_ts, 'window_info', 'win_start_ts', CAST(win_start_ms AS VARCHAR) FROM k
-  UNION ALL SELECT row_key, process_ts, 'window_info', 'win_end_ts', CAST(win_end_ms AS VARCHAR) FROM k
-) c""",
-
-    "wide_encode": f"""
-WITH {ENR.strip()},
-{PANES_SQL.strip()},
-k AS (SELECT *, dim1 || '#' || CAST(win_start_ms AS VARCHAR) || '#' || CAST(win_end_ms AS VARCHAR) AS row_key,
-             '#' || CAST(pane_idx AS VARCHAR) AS sfx FROM panes)
-SELECT row_key, 'stats' AS family, qualifier, process_ts AS cell_ts, value FROM (
-  SELECT row_key, process_ts, 'num_records' || sfx AS qualifier, CAST(n AS VARCHAR) AS value FROM k
-  UNION ALL SELECT row_key, process_ts, 'sum' || sfx, CAST(s AS VARCHAR) FROM k
-  UNION ALL SELECT row_key, process_ts, 'max' || sfx, CAST(mx AS VARCHAR) FROM k
-  UNION ALL SELECT row_key, process_ts, 'min' || sfx, CAST(mn AS VARCHAR) FROM k
-  UNION ALL SELECT row_key, process_ts, 'avg' || sfx, CAST({_favg('s', 'n')} AS VARCHAR) FROM k
-) c""",
-
-    "read_wide_total": f"""
-WITH {ENR.strip()},
-{PANES_SQL.strip()}
-SELECT dim1, win_start_ms, win_end_ms, sum(n) AS num_records, CAST(sum(s) AS BIGINT) AS sum,
-       max(mx) AS max, min(mn) AS min, {_favg('sum(s)', 'sum(n)')} AS avg
-FROM panes GROUP BY 1, 2, 3""",
 })
 
 
@@ -393,45 +291,10 @@ WHERE win_end_ms <= (SELECT max(event_ts) FROM sl) GROUP BY win_start_ms, win_en
 })
 
 
-# Live pane replay: rows of the batch that crosses the window end stay EARLY;
-# an open window (one with an EARLY pane) fires an empty ON_TIME pane at the
-# first batch whose watermark reaches its end; the input never ends.
-def live_sql(batch: str = f"arrival_ms // {E30M}", src: str = "enr") -> str:
-    return f"""
-bm AS (SELECT {batch} AS b, max(event_ts) AS bmax FROM {src} GROUP BY 1),
-wm AS (
-  SELECT b,
-         max(bmax) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS wm_before,
-         max(bmax) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS wm_after
-  FROM bm),
-r AS (
-  SELECT {src}.*, (event_ts // {W6H}) * {W6H} AS win_start_ms, (event_ts // {W6H}) * {W6H} + {W6H} AS win_end_ms,
-         {batch} AS b
-  FROM {src}),
-t AS (
-  SELECT r.*, CASE WHEN wm.wm_before >= r.win_end_ms + {L30M} THEN 'DROPPED'
-                   WHEN wm.wm_before >= r.win_end_ms THEN 'LATE'
-                   ELSE 'EARLY' END AS timing
-  FROM r JOIN wm USING (b)),
-pp AS (
-  SELECT dim1, win_start_ms, win_end_ms, b, timing, 0 AS ord, count(*) AS n, CAST(sum(metrics1) AS BIGINT) AS s,
-         min(metrics1) AS mn, max(metrics1) AS mx
-  FROM t WHERE timing <> 'DROPPED' GROUP BY ALL),
-ot AS (
-  SELECT o.dim1, o.win_start_ms, o.win_end_ms,
-         (SELECT min(wm.b) FROM wm WHERE wm.wm_after >= o.win_end_ms) AS b,
-         'ON_TIME' AS timing, 1 AS ord, CAST(0 AS BIGINT) AS n, CAST(0 AS BIGINT) AS s,
-         CAST(NULL AS INTEGER) AS mn, CAST(NULL AS INTEGER) AS mx
-  FROM (SELECT DISTINCT dim1, win_start_ms, win_end_ms FROM pp WHERE timing = 'EARLY') o)"""
-
-
-LIVE_SQL = live_sql()
-
-
 def _pane_rows(src: str) -> str:
     """Pane indexes and running totals over the panes in ``src``."""
     return f"""
-  SELECT {src}.*, (b + 1) * {E30M} AS process_ts,
+  SELECT {src}.*,
          CAST(row_number() OVER w - 1 AS BIGINT) AS pane_idx,
          CAST(CASE WHEN timing = 'EARLY' THEN -1
               ELSE sum(CASE WHEN timing <> 'EARLY' THEN 1 ELSE 0 END)
@@ -445,63 +308,111 @@ def _pane_rows(src: str) -> str:
   FROM {src} WINDOW w AS (PARTITION BY dim1, win_start_ms ORDER BY b, ord)"""
 
 
-def _live_panes(with_on_time: bool) -> str:
-    src = "SELECT * FROM pp UNION ALL SELECT * FROM ot WHERE b IS NOT NULL" if with_on_time else \
-        "SELECT * FROM pp"
-    return f"""
-allp AS ({src}),
-panes AS ({_pane_rows("allp")})"""
-
-
-ORACLE.update({
-    "pane_replay_live_discarding": f"""
-WITH {ENR.strip()},
-{LIVE_SQL.strip()},
-{_live_panes(False).strip()}
-SELECT {_PANE_SELECT}, n AS num_records, s AS sum, mx AS max, mn AS min, {_favg('s', 'n')} AS avg
-FROM panes""",
-
-    "pane_replay_live_accumulating": f"""
-WITH {ENR.strip()},
-{LIVE_SQL.strip()},
-{_live_panes(True).strip()}
-SELECT {_PANE_SELECT}, acc_n AS num_records, acc_s AS sum, acc_mx AS max, acc_mn AS min,
-       {_favg('acc_s', 'acc_n')} AS avg
-FROM panes""",
-})
-
-
 # Panes of the stream, late firing count 3. A slice is much longer than the
 # lateness, so a window gets late rows from one slice at most: they fire at once if
 # there are three, else with the closing pane (the last one) when the greatest
 # event time reaches end + lateness.
 LATE_COUNT = 3
 
-ORACLE["stream_panes"] = f"""
-WITH {ENR.strip()}, {_sliced('enr', L30M).strip()},
+
+def _pane_ctes(late_count: int, closed: bool = False) -> str:
+    """``acc`` and ``dis``, the accumulating and discarding panes. ``closed``: the input ends, so
+    every window's end and closing are reached."""
+    closing = "true" if closed else f"win_end_ms + {L30M} <= (SELECT max(event_ts) FROM sl)"
+    after = "(SELECT max(b) + 1 FROM wa)" if closed else "NULL"
+    return f"""
 wa AS (SELECT b, max(max(event_ts)) OVER (ORDER BY b) AS wm_after FROM sl GROUP BY b),
 t AS (SELECT *, CASE WHEN wm_before >= win_end_ms THEN 'LATE' ELSE 'EARLY' END AS timing FROM counted),
 pp AS (SELECT dim1, win_start_ms, win_end_ms, b, timing, 0 AS ord, count(*) AS n, CAST(sum(metrics1) AS BIGINT) AS s,
               min(metrics1) AS mn, max(metrics1) AS mx FROM t GROUP BY ALL),
-fired AS (SELECT pp.*, timing = 'LATE' AND n < {LATE_COUNT} AS last FROM pp
-          WHERE timing = 'EARLY' OR n >= {LATE_COUNT} OR win_end_ms + {L30M} <= (SELECT max(event_ts) FROM sl)),
+fired AS (SELECT pp.*, timing = 'LATE' AND n < {late_count} AS last FROM pp
+          WHERE timing = 'EARLY' OR n >= {late_count} OR {closing}),
 ot AS (SELECT o.dim1, o.win_start_ms, o.win_end_ms,
-              (SELECT min(wa.b) FROM wa WHERE wa.wm_after >= o.win_end_ms) AS b,
+              coalesce((SELECT min(wa.b) FROM wa WHERE wa.wm_after >= o.win_end_ms), {after}) AS b,
               'ON_TIME' AS timing, 1 AS ord, CAST(0 AS BIGINT) AS n, CAST(0 AS BIGINT) AS s,
               CAST(NULL AS INTEGER) AS mn, CAST(NULL AS INTEGER) AS mx, false AS last
        FROM (SELECT DISTINCT dim1, win_start_ms, win_end_ms FROM pp WHERE timing = 'EARLY') o),
 allp AS (SELECT * FROM fired UNION ALL SELECT * FROM ot WHERE b IS NOT NULL),
-acc AS ({_pane_rows("allp")}),
-dis AS ({_pane_rows("fired")})
-SELECT dim1, win_start_ms, win_end_ms, timing, pane_idx, pane_nonspeculative_idx, is_first,
-       last AS is_last, acc_n AS num_records, acc_s AS sum, acc_mx AS max, acc_mn AS min,
-       {_favg('acc_s', 'acc_n')} AS avg, 'accumulating' AS mode
-FROM acc
-UNION ALL
-SELECT dim1, win_start_ms, win_end_ms, timing, pane_idx, pane_nonspeculative_idx, is_first,
-       last AS is_last, n AS num_records, s AS sum, mx AS max, mn AS min, {_favg('s', 'n')} AS avg,
-       'discarding' AS mode
-FROM dis"""
+acc AS (SELECT * REPLACE (last AS is_last) FROM ({_pane_rows("allp")}) x),
+dis AS (SELECT * REPLACE (last AS is_last) FROM ({_pane_rows("fired")}) x)"""
+
+
+_ACC = f"""dim1, win_start_ms, win_end_ms, timing, pane_idx, pane_nonspeculative_idx, is_first, is_last,
+       acc_n AS num_records, acc_s AS sum, acc_mx AS max, acc_mn AS min, {_favg('acc_s', 'acc_n')} AS avg"""
+_DIS = f"""dim1, win_start_ms, win_end_ms, timing, pane_idx, pane_nonspeculative_idx, is_first, is_last,
+       n AS num_records, s AS sum, mx AS max, mn AS min, {_favg('s', 'n')} AS avg"""
+_ENDS = "WITH " + ENR.strip() + ", " + _sliced("enr", L30M).strip() + ", "
+
+ORACLE.update({
+    "stream_panes": f"""{_ENDS} {_pane_ctes(LATE_COUNT)}
+SELECT {_ACC}, 'accumulating' AS mode FROM acc UNION ALL SELECT {_DIS}, 'discarding' AS mode FROM dis""",
+    "pane_replay_live_discarding": f"{_ENDS} {_pane_ctes(1)} SELECT {_DIS} FROM dis",
+    "pane_replay_live_accumulating": f"{_ENDS} {_pane_ctes(1)} SELECT {_ACC} FROM acc",
+    "pane_replay_discarding": f"{_ENDS} {_pane_ctes(LATE_COUNT, True)} SELECT {_DIS} FROM dis",
+    "pane_replay_accumulating": f"{_ENDS} {_pane_ctes(LATE_COUNT, True)} SELECT {_ACC} FROM acc",
+
+    # every row, fired, dropped or waiting
+    "lateness_audit": f"""{_ENDS}
+w AS (SELECT sl.*, slw.wm_before FROM sl JOIN slw USING (b))
+SELECT win_start_ms, win_end_ms, CASE WHEN wm_before >= win_end_ms + {L30M} THEN 'DROPPED'
+         WHEN wm_before >= win_end_ms THEN 'LATE' ELSE 'EARLY' END AS timing, count(*) AS n_rows
+FROM w GROUP BY ALL""",
+
+    "read_wide_total": f"""{_ENDS}
+x AS (SELECT 1)
+SELECT dim1, win_start_ms, win_end_ms, count(*) AS num_records, CAST(sum(metrics1) AS BIGINT) AS sum,
+       max(metrics1) AS max, min(metrics1) AS min, {_favg('sum(metrics1)', 'count(*)')} AS avg
+FROM counted GROUP BY dim1, win_start_ms, win_end_ms""",
+
+    "sink_wide_rows": f"""{_ENDS} {_pane_ctes(1)},
+q AS (SELECT dim1 || '#' || win_start_ms || '#' || win_end_ms AS row_key,
+             unnest(['avg', 'max', 'min', 'num_records', 'sum']) AS st, pane_idx FROM dis)
+SELECT row_key, CAST(count(*) AS INTEGER) AS n_cells,
+       array_to_string(list_sort(list('stats:' || st || '#' || pane_idx)), ',') AS qualifiers
+FROM q GROUP BY row_key""",
+
+    "wide_encode": f"""{_ENDS} {_pane_ctes(1, True)},
+k AS (SELECT *, dim1 || '#' || win_start_ms || '#' || win_end_ms AS row_key, win_end_ms + pane_idx AS process_ts,
+             '#' || pane_idx AS sfx FROM dis)
+SELECT row_key, 'stats' AS family, qualifier, process_ts AS cell_ts, value FROM (
+  SELECT row_key, process_ts, 'num_records' || sfx AS qualifier, CAST(n AS VARCHAR) AS value FROM k
+  UNION ALL SELECT row_key, process_ts, 'sum' || sfx, CAST(s AS VARCHAR) FROM k
+  UNION ALL SELECT row_key, process_ts, 'max' || sfx, CAST(mx AS VARCHAR) FROM k
+  UNION ALL SELECT row_key, process_ts, 'min' || sfx, CAST(mn AS VARCHAR) FROM k
+  UNION ALL SELECT row_key, process_ts, 'avg' || sfx, CAST({_favg('s', 'n')} AS VARCHAR) FROM k
+) c""",
+
+    "tall_encode": f"""{_ENDS} {_pane_ctes(1, True)},
+k AS (SELECT *, win_end_ms + pane_idx AS process_ts,
+             dim1 || '#' || ({LMAX} - win_end_ms - pane_idx) || '#' || win_start_ms AS row_key FROM acc)
+SELECT row_key, family, qualifier, process_ts AS cell_ts, value FROM (
+  SELECT row_key, process_ts, 'stats' AS family, 'num_records' AS qualifier, CAST(acc_n AS VARCHAR) AS value FROM k
+  UNION ALL SELECT row_key, process_ts, 'stats', 'sum', CAST(acc_s AS VARCHAR) FROM k
+  UNION ALL SELECT row_key, process_ts, 'stats', 'max', CAST(acc_mx AS VARCHAR) FROM k
+  UNION ALL SELECT row_key, process_ts, 'stats', 'min', CAST(acc_mn AS VARCHAR) FROM k
+  UNION ALL SELECT row_key, process_ts, 'stats', 'avg', CAST({_favg('acc_s', 'acc_n')} AS VARCHAR) FROM k
+  UNION ALL SELECT row_key, process_ts, 'window_info', 'window', {_win_str('win_start_ms', 'win_end_ms')} FROM k
+  UNION ALL SELECT row_key, process_ts, 'window_info', 'pane', {_pane_text()} FROM k
+  UNION ALL SELECT row_key, process_ts, 'window_info', 'pane_idx', CAST(pane_idx AS VARCHAR) FROM k
+  UNION ALL SELECT row_key, process_ts, 'window_info', 'pane_nonspeculative_idx',
+                   CAST(pane_nonspeculative_idx AS VARCHAR) FROM k
+  UNION ALL SELECT row_key, process_ts, 'window_info', 'is_first', CAST(is_first AS VARCHAR) FROM k
+  UNION ALL SELECT row_key, process_ts, 'window_info', 'is_last', CAST(is_last AS VARCHAR) FROM k
+  UNION ALL SELECT row_key, process_ts, 'window_info', 'timing', timing FROM k
+  UNION ALL SELECT row_key, process_ts, 'window_info', 'win_start_ts', CAST(win_start_ms AS VARCHAR) FROM k
+  UNION ALL SELECT row_key, process_ts, 'window_info', 'win_end_ts', CAST(win_end_ms AS VARCHAR) FROM k
+) c""",
+
+    # three shards per window and micro-batch, empty ones too; a window's micro-batches are its panes
+    "sink_named_files": f"""{_ENDS}
+f AS (SELECT *, (event_ts // 864000000) * 864000000 AS ws FROM sl),
+p AS (SELECT ws, b, row_number() OVER (PARTITION BY ws ORDER BY b) - 1 AS pane FROM f GROUP BY ws, b),
+c AS (SELECT ws, b, seq % 3 AS shard, count(*) AS n FROM f GROUP BY ALL)
+SELECT strftime(make_timestamp((p.ws + 864000000) * 1000), '%Y/%m/%d/%H') || '/events' || {_iso('p.ws')} || '-' || {_iso('p.ws + 864000000')}
+       || '-pane-' || pane || '-' || lpad(CAST(sh AS VARCHAR), 2, '0') || '-of-03.csv' AS path,
+       coalesce(c.n, 0) AS n_lines
+FROM p CROSS JOIN (SELECT unnest([0, 1, 2]) AS sh) x LEFT JOIN c ON c.ws = p.ws AND c.b = p.b AND c.shard = sh""",
+})
 
 
 # Early panes by age: windows of 10 days per user, slices of 6480 minutes, a delay of 144

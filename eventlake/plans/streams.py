@@ -16,8 +16,10 @@ from eventlake.session import prepare, scratch_path
 from eventlake.sources.dims import fixture_dimension, read_dimension
 from eventlake.streaming import stats as st
 from eventlake.streaming.enrich import RefreshingDimension, start_refreshing_enrich_query
-from eventlake.streaming.fanout import FanOut
-from eventlake.streaming.panes import start_pane_query
+from eventlake.streaming.fanout import FanOut, with_window_ms
+from eventlake.sinks.keyed import KeyedTable, window_day
+from eventlake.sinks.named import committed_files, start_named_files
+from eventlake.streaming.panes import start_pane_query, waiting_late_rows
 from eventlake.streaming.replay import SLICE, Steps, arrival_slices, replay, run, stage_slices
 
 S = fx.FIXTURE
@@ -32,6 +34,8 @@ LATE_COUNT = 3
 #: lie within the delay, the third does not.
 EARLY = S.with_(window_size="240h", early_firing_period="144h")
 EARLY_SLICE_MINUTES = 6480
+#: Slices and shards of the query about named files.
+FILE_SLICE_MINUTES, FILE_SHARDS = 12270, 3
 
 
 def _staged(spark: SparkSession, sf_dir: str, name: str, messages=fx.messages,
@@ -109,11 +113,119 @@ def q_stream_error_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out").drop("batch_id")
 
 
+END_KEY = "__end__"
+
+
+def _end_of_input(spark: SparkSession) -> DataFrame:
+    """A message far in the future under a key of its own: behind it every window closes."""
+    at = 253_402_300_000_000  # the year 9999, in ms
+    text = S.csv_delimiter.join([str(at), "0", "end", "0", END_KEY, "0"])
+    return spark.range(1).select(
+        F.lit("end").alias("message_id"), F.lit(text).cast("binary").alias("payload"),
+        F.create_map(F.lit(S.id_attr), F.lit("end"), F.lit(S.ts_attr), F.lit(str(at))).alias("attributes"),
+        F.timestamp_millis(F.lit(at)).alias("publish_ts"))
+
+
+def _panes(spark: SparkSession, sf_dir: str, name: str, late_count: int = 1, closed: bool = False) -> tuple[DataFrame, str]:
+    """The panes that the pane query wrote (dropped rows too), and its folder. ``closed``: the input
+    ends, so every window gets its on-time and closing panes."""
+    root, slices = _staged(spark, sf_dir, name)
+    if closed and slices:
+        slices = [*slices, slices[-1] + 1]
+        _end_of_input(spark).withColumn(SLICE, F.lit(slices[-1])).write.mode("append").partitionBy(SLICE).parquet(f"{root}/src")
+    replay(spark, f"{root}/src", slices, MESSAGE, lambda s: start_pane_query(
+        _valid(s), f"{root}/out", f"{root}/ckpt", S.with_(late_firing_count=late_count)))
+    return spark.read.parquet(f"{root}/out").where(F.col("dim1") != END_KEY), root
+
+
+def _fired(panes: DataFrame, mode: str | None = None) -> DataFrame:
+    out = panes.where("mode <> 'dropped'" if mode is None else F.col("mode") == mode)
+    return out.drop("process_ts", "batch_id") if mode is None else out.drop("process_ts", "batch_id", "mode")
+
+
+def _with_process_ts(panes: DataFrame) -> DataFrame:
+    """A processing time that a replay can repeat: one millisecond per pane behind the window's end."""
+    return panes.withColumn("process_ts", F.col("win_end_ms") + F.col("pane_idx"))
+
+
 def q_stream_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root, slices = _staged(spark, sf_dir, "stream_panes")
+    return _fired(_panes(spark, sf_dir, "stream_panes", LATE_COUNT)[0])
+
+
+def q_pane_replay_live_discarding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The discarding panes of a running stream, late rows firing one by one."""
+    return _fired(_panes(spark, sf_dir, "pane_replay_live_discarding")[0], "discarding")
+
+
+def q_pane_replay_live_accumulating(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fired(_panes(spark, sf_dir, "pane_replay_live_accumulating")[0], "accumulating")
+
+
+def q_pane_replay_discarding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The discarding panes of an input that ends: all windows close."""
+    return _fired(_panes(spark, sf_dir, "pane_replay_discarding", LATE_COUNT, closed=True)[0], "discarding")
+
+
+def q_pane_replay_accumulating(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fired(_panes(spark, sf_dir, "pane_replay_accumulating", LATE_COUNT, closed=True)[0], "accumulating")
+
+
+def q_lateness_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per window and timing: fired panes, dropped rows, and the late rows that still wait in
+    the state of the running stream for more of their kind."""
+    panes, root = _panes(spark, sf_dir, "lateness_audit", LATE_COUNT)
+    counted = panes.where("mode <> 'accumulating'").select("win_start_ms", "win_end_ms", "timing", "num_records")
+    return (counted.unionByName(waiting_late_rows(spark, f"{root}/ckpt", S)).where("num_records > 0")
+            .groupBy("win_start_ms", "win_end_ms", "timing").agg(F.sum("num_records").alias("n_rows")))
+
+
+def q_tall_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enc.tall_encode(_with_process_ts(_fired(_panes(spark, sf_dir, "tall_encode", closed=True)[0], "accumulating")))
+
+
+def q_wide_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enc.wide_encode(_with_process_ts(_fired(_panes(spark, sf_dir, "wide_encode", closed=True)[0], "discarding")))
+
+
+def q_read_wide_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide rows of a keyed table that every micro-batch of the pane query merged into, each
+    of them twice (as after a failure), added up again."""
+    root, slices = _staged(spark, sf_dir, "read_wide_total")
+    table = KeyedTable(spark, f"{root}/wide", window_day())
+
+    def merge(panes: DataFrame, batch_id: int) -> None:
+        cells = enc.wide_encode(panes.where("mode = 'discarding'"))
+        for _ in range(2):
+            table.merge(cells, batch_id)
+
     replay(spark, f"{root}/src", slices, MESSAGE, lambda s: start_pane_query(
-        _valid(s), f"{root}/out", f"{root}/ckpt", S.with_(late_firing_count=LATE_COUNT)))
-    return spark.read.parquet(f"{root}/out").where("mode <> 'dropped'").drop("process_ts", "batch_id")
+        _valid(s), f"{root}/out", f"{root}/ckpt", S, sink=merge))
+    return enc.read_wide_total(table.cells())
+
+
+def q_sink_wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keyed wide table itself: one row per window, a group of five cells per pane."""
+    root, slices = _staged(spark, sf_dir, "sink_wide_rows")
+    table = KeyedTable(spark, f"{root}/wide", window_day())
+    replay(spark, f"{root}/src", slices, MESSAGE, lambda s: start_pane_query(
+        _valid(s), f"{root}/out", f"{root}/ckpt", S,
+        sink=lambda panes, k: table.merge(enc.wide_encode(panes.where("mode = 'discarding'")), k)))
+    keys = F.array_sort(F.map_keys("cells"))
+    return table.rows().select("row_key", F.size("cells").alias("n_cells"), F.array_join(keys, ",").alias("qualifiers"))
+
+
+def q_sink_named_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detail lines as named files, three shards per window and micro-batch: every file's path and lines."""
+    root, slices = _staged(spark, sf_dir, "sink_named_files", minutes=FILE_SLICE_MINUTES)
+    s = S.with_(window_size="240h", num_shards=FILE_SHARDS)
+
+    def start(stream: DataFrame):
+        detail = enc.csv_line(with_window_ms(enc.detail_rows(_valid(stream), s), s), delimiter=s.csv_delimiter)
+        return start_named_files(detail.select("line", "win_start_ms", "win_end_ms", "seq"), f"{root}/files", f"{root}/ckpt", s,
+                                 shard=F.col("seq"))
+
+    replay(spark, f"{root}/src", slices, MESSAGE, start)
+    return committed_files(spark, f"{root}/files")
 
 
 def q_stream_early_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,6 +304,16 @@ STREAM_QUERIES = {
     "stream_error_windows": q_stream_error_windows,
     "stream_panes": q_stream_panes,
     "stream_early_delay": q_stream_early_delay,
+    "lateness_audit": q_lateness_audit,
+    "pane_replay_discarding": q_pane_replay_discarding,
+    "pane_replay_accumulating": q_pane_replay_accumulating,
+    "pane_replay_live_discarding": q_pane_replay_live_discarding,
+    "pane_replay_live_accumulating": q_pane_replay_live_accumulating,
+    "tall_encode": q_tall_encode,
+    "wide_encode": q_wide_encode,
+    "read_wide_total": q_read_wide_total,
+    "sink_wide_rows": q_sink_wide_rows,
+    "sink_named_files": q_sink_named_files,
     "stream_per_trigger_stats": q_stream_per_trigger_stats,
     "stream_enrich_refreshing": q_stream_enrich_refreshing,
     "stream_fanout_sinks": q_stream_fanout_sinks,

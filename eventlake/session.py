@@ -94,9 +94,15 @@ def hadoop_path(spark: SparkSession, path: str):
     return fs.makeQualified(p), fs
 
 
-def clear_path(spark: SparkSession, path: str) -> str:
-    """Empty a folder (a replayed batch writes it anew) and return its full URI."""
+def clear_own(spark: SparkSession, path: str, marker: str) -> str:
+    """An empty folder for a writer that leaves its ``marker`` in it: a folder with the marker is
+    emptied, a new or empty one gets it, any other is an error. Returns the full URI."""
     p, fs = hadoop_path(spark, path)
-    fs.delete(p, True)
+    sign = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, marker)
+    if fs.exists(p) and len(fs.listStatus(p)):
+        if not fs.exists(sign):
+            raise ValueError(f"{path} is not empty and was not written by this sink")
+        fs.delete(p, True)
     fs.mkdirs(p)
+    fs.create(sign, True).close()
     return p.toString()

@@ -12,26 +12,26 @@ with other statuses are reported, not lost: the writer writes them as
 dead-letter JSON lines.
 
 Transports: ``file`` (one NDJSON body per batch, named by partition and batch
-number -- a retried task overwrites its own files; used by tests) and
+number; staged per task attempt and moved when the write commits) and
 ``http`` (POST ``<url>/<index>/_bulk``). No server is started by this module.
+``write_bulk_docs`` is the batch sink, ``start_bulk_docs`` the streaming one.
 """
 
 from __future__ import annotations
 
 import json
-import os
 import time
-from dataclasses import dataclass
 from typing import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceStreamArrowWriter
 
 from eventlake.functions.shipping import ship_by_value
-from eventlake.session import clear_path
+from eventlake.session import clear_own, hadoop_path
+from eventlake.sinks.staged import STAGING, Epochs, Folder, Staged, attempt_id, clear_attempts
 
 # Functions of this module run inside Python workers: pickle them by value
 # so executors need no installed copy of the package.
@@ -39,6 +39,7 @@ ship_by_value(__name__)
 
 # Fixed value: the bulk action line preceding every document.
 INDEX_ACTION = '{ "index" : {} }'
+MARKER = "_bulkdocs"
 
 
 def action_line(doc_id: str | None) -> str:
@@ -165,41 +166,21 @@ def bulk_item_errors(responses: DataFrame, response_col: str = "response") -> Da
 # ------------------------------------------------------------------ writer
 
 
-@dataclass
-class BulkCommit(WriterCommitMessage):
-    partition_id: int
-    n_batches: int
-    n_docs: int
-    n_failed: int
-    n_retries: int
-
-
 def _retry_needed(resp: dict) -> bool:
     return bool(resp.get("errors")) and any(
         (it.get("index") or {}).get("status") == 429 for it in resp.get("items", []))
 
 
-def _write_text(uri: str, name: str, text: str) -> None:
-    """Write one file under a folder URI (local path, hdfs://, s3://, gs://
-    ... whatever pyarrow's filesystem layer resolves)."""
-    from pyarrow import fs
-    if uri.startswith("file:/") and not uri.startswith("file://"):  # Hadoop's form of a local URI
-        uri = "file://" + uri[len("file:"):]
-    filesystem, base = fs.FileSystem.from_uri(uri if "://" in uri else os.path.abspath(uri))
-    filesystem.create_dir(base, recursive=True)
-    with filesystem.open_output_stream(f"{base.rstrip('/')}/{name}") as f:
-        f.write(text.encode("utf-8"))
-
-
 class _FileTransport:
-    """Bodies as files. ``reject`` (text) makes it strict like an index mapping: a
-    document that holds the text is answered with status 400 and not written."""
+    """Bodies as files of a task attempt, moved to their place when the write commits. ``reject``
+    (text) makes it strict like an index mapping: a document that holds the text is answered with
+    status 400 and not written."""
 
-    def __init__(self, path: str, reject: str | None = None):
-        self.path, self.reject = path, reject
+    def __init__(self, path: str, staged: Staged, reject: str | None = None):
+        self.folder, self.staged, self.reject = Folder(path), staged, reject
 
     def post(self, body: str, name: str) -> dict:
-        lines = body.splitlines()
+        lines = body.split("\n")  # JSON escapes line feeds, but not the other line separators
         items, kept = [], []
         for action, doc in zip(lines[0::2], lines[1::2]):
             item = {"_id": json.loads(action)["index"].get("_id"), "status": 201}
@@ -209,7 +190,9 @@ class _FileTransport:
                 kept += [action, doc]
             items.append({"index": item})
         if kept:
-            _write_text(self.path, name + ".ndjson", "\n".join(kept) + "\n")
+            at = f"{STAGING}/{self.staged.attempt}/{name}.ndjson"
+            self.folder.write(at, ("\n".join(kept) + "\n").encode())
+            self.staged.files.append(("path", at, name + ".ndjson"))
         return {"took": 0, "errors": any(i["index"]["status"] >= 300 for i in items), "items": items}
 
 
@@ -232,14 +215,18 @@ class _HttpTransport:
             return json.loads(resp.read().decode("utf-8"))
 
 
-class BulkDocsWriter(DataSourceArrowWriter):
+class _Bulk:
+    """Requests are sent by the tasks as they go, each with retries. What lands in files (the
+    ``file`` transport's bodies, and dead letters with either transport) is staged per attempt and
+    moved by the commit; an index gets a replayed document again under the same id."""
+
     def __init__(self, options: dict):
         self.o = options
 
-    def _transport(self):
+    def _transport(self, staged: Staged):
         o = self.o
         if o.get("transport", "file") == "file":
-            return _FileTransport(o["path"], o.get("reject"))
+            return _FileTransport(o["path"], staged, o.get("reject"))
         return _HttpTransport(o["url"], o["index"], o.get("user"), o.get("password"),
                               float(o.get("timeout_s", "30")))
 
@@ -252,8 +239,8 @@ class BulkDocsWriter(DataSourceArrowWriter):
         attempts = int(o.get("max_attempts", "6"))
         max_retry_ms = int(o.get("max_retry_ms", "60000"))
         backoff_ms = int(o.get("initial_backoff_ms", "5000"))
-        transport = self._transport()
-        dead_path = o["dead_letter_path"]
+        staged = Staged(attempt_id(), counts=dict.fromkeys(("batches", "docs", "failed", "retries"), 0))
+        transport, dead_folder = self._transport(staged), Folder(o["dead_letter_path"])
 
         def rows():
             for rb in iterator:
@@ -261,7 +248,6 @@ class BulkDocsWriter(DataSourceArrowWriter):
                 ids = rb.column(rb.schema.get_field_index(id_col)).to_pylist() if id_col else [None] * len(d)
                 yield from zip(d, ids)
 
-        n_batches = n_docs = n_failed = n_retries = 0
         for no, (batch, _) in enumerate(iter_batches(rows(), max_docs, max_bytes)):
             body = body_of(batch)
             name = f"part-{pid:05d}-batch-{no:06d}"
@@ -273,7 +259,7 @@ class BulkDocsWriter(DataSourceArrowWriter):
                 elapsed = (time.monotonic() - start) * 1000
                 if attempt == attempts - 1 or elapsed + wait > max_retry_ms:
                     raise OSError(f"bulk batch {name}: still throttled after {attempt + 1} attempts")
-                n_retries += 1
+                staged.counts["retries"] += 1
                 time.sleep(wait / 1000)
                 wait *= 2
             dead = []  # the rejects of one request at most
@@ -286,21 +272,59 @@ class BulkDocsWriter(DataSourceArrowWriter):
                                             "caused_by": (error.get("caused_by") or {}).get("reason"),
                                             "doc": batch[pos][0] if pos < len(batch) else None}))
             if dead:
-                n_failed += len(dead)
-                _write_text(dead_path, name + ".jsonl", "\n".join(dead) + "\n")
-            n_batches += 1
-            n_docs += len(batch)
-        return BulkCommit(pid, n_batches, n_docs, n_failed, n_retries)
-
+                at = f"{STAGING}/{staged.attempt}/{name}.jsonl"
+                dead_folder.write(at, ("\n".join(dead) + "\n").encode())
+                staged.files.append(("dead_letter_path", at, name + ".jsonl"))
+            staged.counts["failed"] += len(dead)
+            staged.counts["batches"] += 1
+            staged.counts["docs"] += len(batch)
+        # a request sent again within the retries staged its file again under the same name
+        staged.files = list(dict.fromkeys(staged.files))
+        return staged
+
+    def _folders(self) -> list[Folder]:
+        return [Folder(self.o[x]) for x in ("dead_letter_path", "path") if self.o.get(x)]
+
+    def _move(self, messages, under: str = "") -> None:
+        folders = {x: Folder(self.o[x]) for x in ("path", "dead_letter_path") if self.o.get(x)}
+        for m in messages:
+            for where, staged, name in m.files if m is not None else ():
+                folders[where].move(staged, under + name)
+
+    def _clear(self, messages) -> None:
+        for f in self._folders():
+            clear_attempts(f, messages)
+
+
+class BulkDocsWriter(_Bulk, DataSourceArrowWriter):
     def commit(self, messages):
-        self.summary = [m for m in messages if m is not None]
+        self._move(messages)
+        self._clear(messages)
 
     def abort(self, messages):
-        pass
+        self._clear(messages)
+
+
+class BulkDocsStreamWriter(_Bulk, DataSourceStreamArrowWriter):
+    """An epoch's files land under ``epoch=<batch>``, its record comes last (in the folder of dead letters)."""
+
+    def commit(self, messages, batchId):
+        epochs = Epochs(Folder(self.o["dead_letter_path"]))
+        if not epochs.done(batchId):
+            if self.o.get("path"):
+                Folder(self.o["path"]).clear(f"epoch={batchId}")  # of a commit that was cut off
+            Folder(self.o["dead_letter_path"]).clear(f"epoch={batchId}")
+            self._move(messages, f"epoch={batchId}/")
+            total = {k: sum(m.counts[k] for m in messages if m is not None) for k in ("batches", "docs", "failed", "retries")}
+            epochs.record(batchId, total)
+        self._clear(messages)
+
+    def abort(self, messages, batchId):
+        self._clear(messages)
 
 
 class BulkDocsDataSource(DataSource):
-    """``df.write.format("bulkdocs").option("transport", "file").option("path", ...)``."""
+    """``df.write.format("bulkdocs").option("transport", "file").option("path", ...)``, and the same as a stream."""
 
     @classmethod
     def name(cls):
@@ -312,30 +336,49 @@ class BulkDocsDataSource(DataSource):
     def writer(self, schema, overwrite):
         return BulkDocsWriter(dict(self.options))
 
+    def streamWriter(self, schema, overwrite):
+        return BulkDocsStreamWriter(dict(self.options))
+
 
 def register(spark) -> None:
     spark.dataSource.register(BulkDocsDataSource)
 
 
-def write_bulk_docs(docs: DataFrame, settings, **options) -> None:
-    """Send documents through the bulk sink with the settings' batch and
-    retry limits (options: transport, path | url+index, id_col, ...). Rejected
-    documents go to ``dead_letter_path`` (``<path>_dead`` unless given; required
-    without a path). Both folders are cleared first, so a replay leaves no file of
-    an earlier attempt; paths without a scheme are on the default file system."""
-    register(docs.sparkSession)
+def _options(settings, options: dict) -> dict[str, str]:
+    """Options of the sink as text: the settings' limits, and the dead-letter folder (``<path>_dead`` unless given)."""
     if options.get("path") and not options.get("dead_letter_path"):
         options["dead_letter_path"] = options["path"].rstrip("/") + "_dead"
     if not options.get("dead_letter_path"):
         raise ValueError("dead_letter_path is required: rejected documents must land somewhere")
-    for name in ("path", "dead_letter_path"):
-        if options.get(name):
-            options[name] = clear_path(docs.sparkSession, options[name])
     opts = {"max_docs": settings.bulk_max_docs, "max_bytes": settings.bulk_max_bytes,
             "max_attempts": settings.bulk_max_attempts, "max_retry_ms": settings.bulk_max_retry_ms,
             "initial_backoff_ms": settings.bulk_initial_backoff_ms, **options}
-    w = docs.write.format("bulkdocs").mode("append")
-    for k, v in opts.items():
-        if v is not None:
-            w = w.option(k, str(v))
-    w.save()
+    return {k: str(v) for k, v in opts.items() if v is not None}
+
+
+def write_bulk_docs(docs: DataFrame, settings, **options) -> None:
+    """Send documents through the bulk sink with the settings' batch and
+    retry limits (options: transport, path | url+index, id_col, ...). Rejected
+    documents go to ``dead_letter_path`` (``<path>_dead`` unless given; required
+    without a path). A folder that an earlier write of this sink made is emptied first;
+    one with anything else in it is an error. Paths without a scheme are on the default file system."""
+    register(docs.sparkSession)
+    opts = _options(settings, options)
+    for name in ("path", "dead_letter_path"):
+        if opts.get(name):
+            opts[name] = clear_own(docs.sparkSession, opts[name], MARKER)
+    docs.write.format("bulkdocs").mode("append").options(**opts).save()
+
+
+def start_bulk_docs(docs: DataFrame, settings, checkpoint: str, trigger: dict | None = None, **options):
+    """A stream of documents through the bulk sink: files land per epoch and once, whatever is
+    killed and restarted; an index is idempotent by ``id_col``."""
+    register(docs.sparkSession)
+    opts = _options(settings, options)
+    for name in ("path", "dead_letter_path"):
+        if opts.get(name):
+            p, fs = hadoop_path(docs.sparkSession, opts[name])
+            fs.mkdirs(p)
+            opts[name] = p.toString()
+    w = docs.writeStream.format("bulkdocs").options(**opts).option("checkpointLocation", checkpoint).outputMode("append")
+    return w.trigger(**(trigger or {"availableNow": True})).start()

@@ -28,7 +28,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -227,3 +227,12 @@ def start_pane_query(valid: DataFrame, out_path: str, checkpoint: str, settings:
     w = panes.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
     with rocksdb_state(valid.sparkSession):
         return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def waiting_late_rows(spark: SparkSession, checkpoint: str, settings: Settings) -> DataFrame:
+    """Late rows that the pane query holds back until ``late_firing_count`` are there, per window, read
+    from the state at its last committed micro-batch: win_start_ms, win_end_ms, timing, num_records."""
+    state = (spark.read.format("statestore").option("stateVarName", "totals").load(checkpoint)
+             .select(F.col("key.win_start_ms").alias("win_start_ms"), F.col("value.pn").alias("num_records")))
+    return state.where("num_records > 0").select("win_start_ms", (F.col("win_start_ms") + settings.window_ms).alias("win_end_ms"),
+                                                 F.lit("LATE").alias("timing"), "num_records")

@@ -79,29 +79,29 @@ def _write(monkeypatch, tmp_path, answers, n=3, **options):
     fake = Fake(answers)
     waits = []
     writer = bulk.BulkDocsWriter({"max_docs": "2", "initial_backoff_ms": "10", "dead_letter_path": str(tmp_path / "dead"), **options})
-    monkeypatch.setattr(writer, "_transport", lambda: fake)
+    monkeypatch.setattr(writer, "_transport", lambda staged: fake)
     monkeypatch.setattr(bulk.time, "sleep", waits.append)
     rows = pa.RecordBatch.from_pydict({"doc": [f'{{"k":{i}}}' for i in range(n)]})
-    return fake, waits, lambda: writer.write(iter([rows]))
+    return fake, waits, writer, lambda: writer.write(iter([rows]))
 
 
 BUSY = {"errors": True, "items": [{"index": {"status": 429}}, {"index": {"status": 201}}]}
 
 
 def test_throttled_batch_is_sent_again_with_longer_waits(monkeypatch, tmp_path):
-    fake, waits, go = _write(monkeypatch, tmp_path, [BUSY, BUSY])
+    fake, waits, _, go = _write(monkeypatch, tmp_path, [BUSY, BUSY])
     commit = go()
     assert [b for _, b in fake.bodies[:3]] == [fake.bodies[0][1]] * 3  # the whole body each time
-    assert waits == [0.01, 0.02] and commit.n_retries == 2 and commit.n_docs == 3 and commit.n_batches == 2
+    assert waits == [0.01, 0.02] and commit.counts == {"batches": 2, "docs": 3, "failed": 0, "retries": 2}
 
 
 def test_throttled_batch_is_given_up(monkeypatch, tmp_path):
     import pytest
-    _, waits, go = _write(monkeypatch, tmp_path, [BUSY] * 9, max_attempts="3")
+    _, waits, _, go = _write(monkeypatch, tmp_path, [BUSY] * 9, max_attempts="3")
     with pytest.raises(OSError, match="still throttled after 3 attempts"):
         go()
     assert len(waits) == 2
-    _, waits, go = _write(monkeypatch, tmp_path, [BUSY] * 9, max_retry_ms="25")
+    _, waits, _, go = _write(monkeypatch, tmp_path, [BUSY] * 9, max_retry_ms="25")
     with pytest.raises(OSError, match="still throttled"):
         go()
 
@@ -109,9 +109,11 @@ def test_throttled_batch_is_given_up(monkeypatch, tmp_path):
 def test_rejected_items_become_dead_letters(monkeypatch, tmp_path):
     bad = {"errors": True, "items": [{"index": {"status": 201}}, {"index": {"_id": "b", "status": 400, "error": {
         "type": "mapper", "reason": "no", "caused_by": {"type": "number", "reason": "x is not one"}}}}]}
-    _, _, go = _write(monkeypatch, tmp_path, [bad])
-    assert go().n_failed == 1
-    lines = [json.loads(x) for f in glob.glob(str(tmp_path / "dead" / "*")) for x in open(f)]
+    _, _, writer, go = _write(monkeypatch, tmp_path, [bad])
+    staged = go()
+    assert staged.counts["failed"] == 1 and not glob.glob(str(tmp_path / "dead" / "*.jsonl"))
+    writer.commit([staged, None])
+    lines = [json.loads(x) for f in glob.glob(str(tmp_path / "dead" / "*.jsonl")) for x in open(f)]
     assert [(x["item_pos"], x["doc_id"], x["status"], x["caused_by"], x["doc"]) for x in lines] == \
         [(1, "b", 400, "x is not one", '{"k":1}')]
 
@@ -124,6 +126,81 @@ def test_replay_with_fewer_partitions_leaves_no_stale_file(spark, tmp_path):
     assert len(lines) == 80
 
 
+def test_folder_of_others_is_not_emptied(spark, tmp_path):
+    import pytest
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "mine.txt").write_text("keep")
+    with pytest.raises(ValueError, match="not written by this sink"):
+        write_bulk_docs(spark.range(1).select(F.lit("{}").alias("doc")), Settings(), transport="file", path=str(tmp_path / "b"))
+    assert (tmp_path / "b" / "mine.txt").read_text() == "keep"
+
+
+def test_line_separators_inside_documents(spark, tmp_path):
+    docs = [json.dumps({"t": f"a{c}b"}, ensure_ascii=False) for c in "\u2028\u2029\x85\x0b\x0c\x1c"]
+    write_bulk_docs(spark.createDataFrame([(d,) for d in docs], "doc string"), Settings(), transport="file", path=str(tmp_path / "b"))
+    lines = [x for f in glob.glob(str(tmp_path / "b" / "*.ndjson")) for x in open(f, newline="\n").read().split("\n")]
+    assert sorted(x for x in lines if "_id" not in x and '"t"' in x) == sorted(docs)
+
+
+def _stream_docs(spark, src, out, ckpt, source=None):
+    from eventlake.sinks import bulk
+    s = spark.readStream.schema("id long").parquet(src).select(F.to_json(F.struct("id")).alias("doc"), F.col("id").cast("string").alias("key"))
+    if source is None:
+        return bulk.start_bulk_docs(s, Settings(), ckpt, transport="file", path=out, id_col="key", reject='"id":7}')
+    spark.dataSource.register(source)
+    opts = bulk._options(Settings(), {"transport": "file", "path": out, "id_col": "key", "reject": '"id":7}'})
+    return s.writeStream.format("bulkdocs").options(**opts).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+
+
+def _ids(path):
+    return sorted(json.loads(x)["id"] for f in glob.glob(path) for x in open(f) if '"index"' not in x)
+
+
+def test_killed_and_restarted_stream_gives_each_document_once(spark, tmp_path):
+    import pytest
+    from eventlake.sinks import bulk
+
+    class CutOff(bulk.BulkDocsStreamWriter):
+        """Dies in the commit, after the first file was moved."""
+
+        def commit(self, messages, batchId):
+            for m in messages:
+                for where, staged, name in m.files[:1]:
+                    bulk.Folder(self.o[where]).move(staged, f"epoch={batchId}/{name}")
+            raise OSError("cut off")
+
+    class Source(bulk.BulkDocsDataSource):
+        def streamWriter(self, schema, overwrite):
+            return CutOff(dict(self.options))
+
+    src, out, ckpt = (str(tmp_path / x) for x in ("src", "out", "ckpt"))
+    spark.range(0, 30).repartition(3).write.parquet(src)
+    q = _stream_docs(spark, src, out, ckpt, Source)
+    with pytest.raises(Exception):
+        q.awaitTermination()
+    assert _ids(out + "/epoch=0/*.ndjson")  # some files of the epoch are there
+    _stream_docs(spark, src, out, ckpt).awaitTermination()
+    want = [i for i in range(30) if i != 7]
+    assert _ids(out + "/*/*.ndjson") == want
+    spark.range(30, 40).write.mode("append").parquet(src)
+    _stream_docs(spark, src, out, ckpt).awaitTermination()
+    assert _ids(out + "/*/*.ndjson") == [*want, *range(30, 40)]
+    dead = [json.loads(x)["doc_id"] for f in glob.glob(out + "_dead/*/*.jsonl") for x in open(f)]
+    assert dead == ["7"] and not glob.glob(out + "/_staging/*") + glob.glob(out + "_dead/_staging/*/*")
+
+
+def test_replayed_epoch_is_recorded_once(tmp_path):
+    import pyarrow as pa
+    from eventlake.sinks import bulk
+    o = {"path": str(tmp_path / "o"), "dead_letter_path": str(tmp_path / "d")}
+    rows = pa.RecordBatch.from_pydict({"doc": ['{"id":1}', '{"id":2}']})
+    for _ in range(2):  # the same epoch, written twice
+        w = bulk.BulkDocsStreamWriter(o)
+        w.commit([w.write(iter([rows]))], 4)
+    w.abort([w.write(iter([rows]))], 5)
+    assert _ids(o["path"] + "/*/*.ndjson") == [1, 2] and not glob.glob(o["path"] + "/_staging/*")
+
+
 def test_byte_limit_cuts_batches(spark):
     import numpy as np
     from eventlake.sinks.bulk import cut_points

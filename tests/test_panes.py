@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from eventlake.operators import encode as enc
 from eventlake.operators.aggregates import window_stats
-from eventlake.operators.panes import (classify_rows, lateness_audit, pane_replay_accumulating,
+from pane_model import (classify_rows, lateness_audit, pane_replay_accumulating,
                                        pane_replay_discarding)
 from eventlake.settings import Settings
 

@@ -45,7 +45,7 @@ def test_word_count_prunes_columns(spark):
 
 
 def test_pane_replay_reads_materialized_partials(spark):
-    from eventlake.operators.panes import pane_replay_accumulating
+    from pane_model import pane_replay_accumulating
     p = plan(pane_replay_accumulating(fx.enriched(spark, SF001), fx.FIXTURE))
     assert "FileScan" not in p  # rows were aggregated once into a checkpoint
 

@@ -64,7 +64,7 @@ def test_stream_panes_equal_live_replay(spark, work, late_count):
     same arrival rule. Some deliveries are held back by one batch (-> LATE under
     5-day lateness) or three (-> DROPPED)."""
     from conftest import SF001
-    from eventlake.operators.panes import pane_replay_accumulating, pane_replay_discarding
+    from pane_model import pane_replay_accumulating, pane_replay_discarding
     from eventlake.plans import fixtures as fx
     s = Settings.fixture().with_(early_firing_period="120h", allowed_lateness="120h", late_firing_count=late_count)
     held = (F.when(F.pmod(F.col("seq"), F.lit(11)) == 0, 3)
