@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.functions.shipping import ship_by_value
+from eventlake.llm.common import reliable
 from eventlake.llm.hashing import text_slices
 from eventlake.session import scratch_path
 
@@ -281,9 +282,19 @@ def _judged(shared, min_cost: float):
 
 
 def word_ranks(counts: DataFrame, most: int = MAX_WORDS) -> dict[str, int]:
-    """word -> rank of the ``most`` most frequent words in ``counts`` (word, n), a bounded list."""
-    top = counts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most).collect()
-    return {r["word"]: k for k, r in enumerate(top, 1)}
+    """word -> rank of the most frequent words in ``counts`` (word, n): all words of the classes of
+    frequency (sixteenths of an octave) that fit into ``most`` words as a whole."""
+    total = reliable(counts.groupBy("word").agg(F.sum("n").alias("n")))
+    total = total.withColumn("class", F.floor(16 * F.log2("n")))
+    least, room = None, most
+    for r in sorted(total.groupBy("class").count().collect(), reverse=True):  # some hundred classes
+        if r["count"] > room:
+            break
+        least, room = r["class"], room - r["count"]
+    if least is None:
+        return {}
+    top = total.where(F.col("class") >= least).select("word", "n").collect()  # at most ``most`` rows
+    return {r["word"]: k for k, r in enumerate(sorted(top, key=lambda r: (-r["n"], r["word"])), 1)}
 
 
 def find_secrets(docs: DataFrame, min_cost: float = MIN_COST, most_words: int = MAX_WORDS) -> DataFrame:
