@@ -274,8 +274,9 @@ def q_stream_fanout_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     root = scratch_path(spark, "stream_fanout_sinks")
     fx.faulty_messages(spark, sf_dir).write.parquet(f"{root}/src")
-    FanOut(spark.readStream.schema(MESSAGE).parquet(f"{root}/src"), f"{root}/sinks", fixture_dimension(spark), S,
-           process_ts=fx.batch_process_ts()).run()
+    fan = FanOut(spark.readStream.schema(MESSAGE).parquet(f"{root}/src"), f"{root}/sinks", fixture_dimension(spark), S,
+                 process_ts=fx.batch_process_ts())
+    fan.run()
     r = f"{root}/sinks"
 
     def rows(df: DataFrame, sink: str, key, value) -> DataFrame:
@@ -284,7 +285,7 @@ def q_stream_fanout_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = lambda *c: F.concat_ws("|", *[F.coalesce(F.col(x).cast("string"), F.lit("-")) for x in c])
     docs = spark.read.text(f"{r}/docs/*/*.ndjson").where(~F.col("value").startswith('{"index"'))
     panes = spark.read.parquet(f"{r}/panes").where("mode = 'accumulating'")
-    wide = enc.read_wide_total(spark.read.parquet(f"{r}/wide"))
+    wide = enc.read_wide_total(fan.wide().cells())
     tall = spark.read.parquet(f"{r}/tall").where("qualifier = 'num_records'")
     return (rows(spark.read.text(f"{r}/csv"), "csv", F.substring_index("value", ",", 1), F.col("value"))
             .union(rows(spark.read.parquet(f"{r}/records"), "records", F.col("seq"), text("event_ts", "dim1", "metrics1", "dim1_val", "window_id")))

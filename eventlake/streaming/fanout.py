@@ -22,8 +22,10 @@ from eventlake.operators.parse import NO_PAYLOAD_TEXT, parse_messages
 from eventlake.schemas import MESSAGE
 from eventlake.session import hadoop_path
 from eventlake.settings import Settings
-from eventlake.sinks.bulk import write_bulk_docs
+from eventlake.sinks.bulk import start_bulk_docs
 from eventlake.sinks.files import PARTS, start_files, windowed_lines, _window_layout
+from eventlake.sinks.keyed import KeyedTable, window_day
+from eventlake.sinks.named import start_named_files
 from eventlake.sinks.tables import write_cells
 from eventlake.streaming.panes import start_pane_query
 from eventlake.streaming.replay import run
@@ -41,7 +43,11 @@ class FanOut:
     once over what is there; ``start(trigger)`` starts them all side by side."""
 
     def __init__(self, messages: DataFrame, root: str, dim: DataFrame, settings: Settings = Settings(),
-                 process_ts: Column | None = None, record_format: str = "parquet", dedup: bool = True):
+                 process_ts: Column | None = None, record_format: str = "parquet", dedup: bool = True,
+                 named_files: bool = False):
+        """``named_files``: CSV and dead letters under the shard template's names instead of Spark's (the
+        names hold colons, which object stores take and HDFS does not)."""
+        self.named = named_files
         self.messages, self.root, self.dim, self.s = messages, root.rstrip("/"), dim, settings
         self.process_ts, self.fmt, self.dedup = process_ts, record_format, dedup
         self.spark: SparkSession = messages.sparkSession
@@ -69,34 +75,41 @@ class FanOut:
         return self._routed("dead").select("message_id", "event_time", "publish_ts",
                                            F.coalesce("raw", F.lit(NO_PAYLOAD_TEXT)).alias("payload"), F.col("error").alias("reason"))
 
+    def wide(self) -> KeyedTable:
+        """The wide rows: one per window, merged by row key."""
+        return KeyedTable(self.spark, f"{self.root}/wide", window_day())
+
     def steps(self, trigger: dict | None = None) -> list:
         s, root = self.s, self.root
 
         def detail() -> DataFrame:
             return with_window_ms(enc.detail_rows(self.valid(), s), s)
 
-        def docs(batch: DataFrame, batch_id: int) -> None:
-            write_bulk_docs(enc.json_document(batch).select("doc", "message_id"), s, transport="file", id_col="message_id",
-                            path=f"{root}/docs/batch_id={batch_id}", dead_letter_path=f"{root}/docs_dead/batch_id={batch_id}")
-
         def cells(panes: DataFrame, batch_id: int) -> None:
             write_cells(enc.tall_encode(panes.where("mode = 'accumulating'")), f"{root}/tall", batch_id=batch_id)
-            write_cells(enc.wide_encode(panes.where("mode = 'discarding'")), f"{root}/wide", batch_id=batch_id)
+            self.wide().merge(enc.wide_encode(panes.where("mode = 'discarding'")), batch_id)
+
+        def lines(rows: DataFrame, name: str):
+            if self.named:
+                return start_named_files(rows, f"{root}/{name}", self._ckpt(name), s, shard=F.xxhash64("message_id"), trigger=trigger)
+            return start_files(windowed_lines(rows, s, "line", ["message_id"]), f"{root}/{name}", self._ckpt(name), "text", trigger=trigger)
+
+        def csv() -> DataFrame:
+            return (enc.csv_line(detail(), delimiter=s.csv_delimiter)
+                    .select("line", "win_start_ms", "win_end_ms", "message_id"))
 
         records = lambda: _window_layout(detail(), s, ["seq"])
         out = [lambda: start_dedup_query(self.messages, f"{root}/messages", self._ckpt("dedup"), s, trigger)] if self.dedup else []
         return out + [
             lambda: start_files(self._parsed(), f"{root}/routed", self._ckpt("parse"), parts=["route"], trigger=trigger),
-            lambda: start_files(windowed_lines(enc.csv_line(detail(), delimiter=s.csv_delimiter), s, "line", ["message_id"]),
-                                f"{root}/csv", self._ckpt("csv"), "text", trigger=trigger),
+            lambda: lines(csv(), "csv"),
             lambda: start_files(records().select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in enc.DETAIL.fields], *PARTS),
                                 f"{root}/records", self._ckpt("records"), self.fmt, trigger=trigger),
             lambda: start_files(enc.warehouse_record(detail(), s.truncate_seconds), f"{root}/warehouse",
                                 self._ckpt("warehouse"), parts=["event_date"], trigger=trigger),
-            lambda: start_files(windowed_lines(with_window_ms(self.dead(), s).withColumnRenamed("payload", "line"), s, "line",
-                                               ["message_id"]), f"{root}/errors", self._ckpt("errors"), "text", trigger=trigger),
-            lambda: (self.valid().writeStream.option("checkpointLocation", self._ckpt("docs")).foreachBatch(docs)
-                     .trigger(**(trigger or {"availableNow": True})).start()),
+            lambda: lines(with_window_ms(self.dead(), s).withColumnRenamed("payload", "line"), "errors"),
+            lambda: start_bulk_docs(enc.json_document(self.valid()).select("doc", "message_id"), s, self._ckpt("docs"), trigger,
+                                    transport="file", id_col="message_id", path=f"{root}/docs"),
             lambda: start_pane_query(self.valid().withColumn("event_ms", epoch_ms(F.col("event_time"))), f"{root}/panes",
                                      self._ckpt("panes"), s, trigger=trigger, sink=cells),
         ]
