@@ -13,6 +13,7 @@ from eventlake.operators import encode as enc
 from eventlake.plans import fixtures as fx
 from eventlake.schemas import MESSAGE
 from eventlake.session import prepare, scratch_path
+from eventlake.sources.log import BUCKET, drain, read_message_log
 from eventlake.sources.dims import fixture_dimension, read_dimension
 from eventlake.streaming import stats as st
 from eventlake.streaming.enrich import RefreshingDimension, start_refreshing_enrich_query
@@ -126,15 +127,31 @@ def _end_of_input(spark: SparkSession) -> DataFrame:
         F.timestamp_millis(F.lit(at)).alias("publish_ts"))
 
 
+AS_IT_COMES = {"processingTime": "0 seconds"}
+
+
+def _log(spark: SparkSession, sf_dir: str, name: str, closed: bool = False) -> str:
+    """The fixture messages as a message log whose buckets are the slices. ``closed``: the input ends."""
+    prepare(spark)
+    root = scratch_path(spark, name)
+    m = arrival_slices(fx.messages(spark, sf_dir), SLICE_MINUTES, SHIFT_MINUTES).withColumnRenamed(SLICE, BUCKET)
+    m.write.partitionBy(BUCKET).parquet(f"{root}/log")
+    if closed:
+        _end_of_input(spark).withColumn(BUCKET, F.lit(1 << 20)).write.mode("append").partitionBy(BUCKET).parquet(f"{root}/log")
+    return root
+
+
+def _run_panes(spark: SparkSession, root: str, settings, sink=None) -> None:
+    """One pane query over the log, a micro-batch per bucket."""
+    messages = read_message_log(spark, f"{root}/log", f"{root}/ckpt")
+    drain(start_pane_query(_valid(messages), f"{root}/out", f"{root}/ckpt", settings, trigger=AS_IT_COMES, sink=sink))
+
+
 def _panes(spark: SparkSession, sf_dir: str, name: str, late_count: int = 1, closed: bool = False) -> tuple[DataFrame, str]:
     """The panes that the pane query wrote (dropped rows too), and its folder. ``closed``: the input
     ends, so every window gets its on-time and closing panes."""
-    root, slices = _staged(spark, sf_dir, name)
-    if closed and slices:
-        slices = [*slices, slices[-1] + 1]
-        _end_of_input(spark).withColumn(SLICE, F.lit(slices[-1])).write.mode("append").partitionBy(SLICE).parquet(f"{root}/src")
-    replay(spark, f"{root}/src", slices, MESSAGE, lambda s: start_pane_query(
-        _valid(s), f"{root}/out", f"{root}/ckpt", S.with_(late_firing_count=late_count)))
+    root = _log(spark, sf_dir, name, closed)
+    _run_panes(spark, root, S.with_(late_firing_count=late_count))
     return spark.read.parquet(f"{root}/out").where(F.col("dim1") != END_KEY), root
 
 
@@ -190,7 +207,7 @@ def q_wide_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_read_wide_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wide rows of a keyed table that every micro-batch of the pane query merged into, each
     of them twice (as after a failure), added up again."""
-    root, slices = _staged(spark, sf_dir, "read_wide_total")
+    root = _log(spark, sf_dir, "read_wide_total")
     table = KeyedTable(spark, f"{root}/wide", window_day())
 
     def merge(panes: DataFrame, batch_id: int) -> None:
@@ -198,18 +215,15 @@ def q_read_wide_total(spark: SparkSession, sf_dir: str) -> DataFrame:
         for _ in range(2):
             table.merge(cells, batch_id)
 
-    replay(spark, f"{root}/src", slices, MESSAGE, lambda s: start_pane_query(
-        _valid(s), f"{root}/out", f"{root}/ckpt", S, sink=merge))
+    _run_panes(spark, root, S, merge)
     return enc.read_wide_total(table.cells())
 
 
 def q_sink_wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The keyed wide table itself: one row per window, a group of five cells per pane."""
-    root, slices = _staged(spark, sf_dir, "sink_wide_rows")
+    root = _log(spark, sf_dir, "sink_wide_rows")
     table = KeyedTable(spark, f"{root}/wide", window_day())
-    replay(spark, f"{root}/src", slices, MESSAGE, lambda s: start_pane_query(
-        _valid(s), f"{root}/out", f"{root}/ckpt", S,
-        sink=lambda panes, k: table.merge(enc.wide_encode(panes.where("mode = 'discarding'")), k)))
+    _run_panes(spark, root, S, lambda panes, k: table.merge(enc.wide_encode(panes.where("mode = 'discarding'")), k))
     keys = F.array_sort(F.map_keys("cells"))
     return table.rows().select("row_key", F.size("cells").alias("n_cells"), F.array_join(keys, ",").alias("qualifiers"))
 
