@@ -7,9 +7,10 @@ are up to ``longest`` words inside a piece.
 *Candidates, Apriori-safe.* Level by level, 64-bit hashes of the phrases are counted
 per task and summed; a phrase takes part in the next level only if both phrases one
 word shorter may be frequent. That is asked of a bit table of fixed size made from the
-hashes with enough occurrences: it never denies a frequent phrase. Then the
-phrases whose hash has enough occurrences are spelled out, once per task, and made
-distinct: a superset of the frequent phrases (hashes may collide), and little more.
+hashes with enough occurrences: it never denies a frequent phrase. With the counts goes
+the smallest fingerprint of a text that holds the phrase; in a last pass the phrases with enough
+occurrences are spelled out by that text alone (asked of a bit table again, so now and then by
+another one too) and made distinct: the frequent phrases, and little more (hashes may collide).
 
 *Counting.* The candidates, single words included, are cut by their order into shards
 of at most about ``trie_bytes`` of text. Each shard becomes a double-array trie over
@@ -45,7 +46,7 @@ from eventlake.session import scratch_path
 
 MIN_COUNT, LONGEST, TOP = 10, 3, 2000
 TRIE_BYTES = 24_000_000  # candidate text of one shard
-FILTER_BITS = 1 << 27
+FILTER_BITS = 1 << 28
 HELD = 1_000_000  # different hashes a task holds before it passes them on
 SEEN = 500_000  # phrases a task remembers to have spelled out
 
@@ -84,6 +85,11 @@ class Pieces:
         self.langs = coded.dictionary.to_pylist()
         self.lang = coded.indices.to_numpy()[row] if n else np.empty(0, np.int64)
         self.sums = SpanHash(self.data, _SEED)
+        # a fingerprint of the text of every word
+        first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])) if n else np.empty(0, np.int64)
+        last = np.append(first[1:], n) - 1 if n else first
+        prints = (self.sums.of(self.start[first], self.end[last]) >> np.uint64(33)).astype(np.int64)
+        self.text = np.repeat(prints, last - first + 1)
         salt = np.array([splitmix(np.array([SpanHash(np.frombuffer(x.encode() + LANG_END, np.uint8), _SEED)
                                             .of(np.array([0]), np.array([len(x.encode()) + 1]))[0]]))[0]
                          for x in self.langs], np.uint64)
@@ -94,7 +100,15 @@ class Pieces:
         return np.flatnonzero(self.follow >= k - 1)
 
     def hashes(self, at: np.ndarray, k: int) -> np.ndarray:
-        return splitmix(self.sums.of(self.start[at], self.end[at + k - 1]) ^ self.salt[at])
+        """62 bits of a hash, and the number of words."""
+        h = splitmix(self.sums.of(self.start[at], self.end[at + k - 1]) ^ self.salt[at])
+        return (h << np.uint64(2)) | np.uint64(k)
+
+
+def held_by(h: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """A hash of a phrase's hash and a text's fingerprint."""
+    x = (h ^ (text.astype(np.uint64) * np.uint64(0x9E3779B1))) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return x ^ (x >> np.uint64(29))
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[Pieces]:
@@ -115,66 +129,68 @@ class Bits:
 
 
 class Summed:
-    """Hashes with counts, merged as they come; passed on when there are many."""
+    """Hashes with counts and the smallest fingerprint, merged as they come; passed on when there are many."""
 
-    def __init__(self, k: int):
-        self.k, self.keys, self.counts, self.held = k, [], [], 0
+    def __init__(self):
+        self.parts, self.held = [], 0
 
-    def add(self, h: np.ndarray) -> Iterator[pa.RecordBatch]:
-        key, n = np.unique(h, return_counts=True)
-        self.keys.append(key)
-        self.counts.append(n)
-        self.held += len(key)
+    def add(self, h: np.ndarray, text: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if not len(h):
+            return
+        self.parts.append(self.merged(h, np.ones(len(h), np.int64), text))
+        self.held += len(self.parts[-1][0])
         if self.held > HELD:
-            key, n = self.merged()
-            self.keys, self.counts, self.held = [key], [n], len(key)
+            self.parts = [self.merged(*(np.concatenate(x) for x in zip(*self.parts)))]
+            self.held = len(self.parts[0][0])
             if self.held > HELD // 2:
                 yield from self.rest()
 
-    def merged(self) -> tuple[np.ndarray, np.ndarray]:
-        key, at = np.unique(np.concatenate(self.keys), return_inverse=True)
-        return key, np.bincount(at, weights=np.concatenate(self.counts)).astype(np.int64)
+    @staticmethod
+    def merged(h: np.ndarray, n: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        order = np.argsort(h)
+        h = h[order]
+        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        return h[first], np.add.reduceat(n[order], first), np.minimum.reduceat(text[order], first)
 
     def rest(self) -> Iterator[pa.RecordBatch]:
-        if self.keys:
-            key, n = self.merged()
-            for i in range(0, len(key), 100_000):
-                part = key[i:i + 100_000].view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), self.k, np.int32)), pa.array(part),
-                                                  pa.array(n[i:i + 100_000])], names=["k", "h", "n"])
-        self.keys, self.counts, self.held = [], [], 0
+        if self.parts:
+            h, n, text = self.merged(*(np.concatenate(x) for x in zip(*self.parts)))
+            for i in range(0, len(h), 100_000):
+                z = i + 100_000
+                yield pa.RecordBatch.from_arrays([pa.array(h[i:z].view(np.int64)), pa.array(n[i:z]), pa.array(text[i:z], pa.int32())],
+                                                 names=["h", "n", "text"])
+        self.parts, self.held = [], 0
 
 
 def _hash_counts(sizes: list[int], shared):
     """Counts of the hashes of all phrases of ``sizes`` words whose parts one word shorter pass the filter."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, bits = {k: Summed(k) for k in sizes}, Bits(shared.value) if shared is not None else None
+        sums, bits = Summed(), Bits(shared.value) if shared is not None else None
         for p in _pieces(batches):
             for k in sizes:
                 at = p.phrases(k)
                 if bits is not None:
                     ok = np.zeros(len(p.start) + 1, bool)
                     part = p.phrases(k - 1)
-                    ok[part] = bits.has(p.hashes(part, k - 1))
+                    ok[part] = bits.has(p.hashes(part, k - 1) >> np.uint64(2))
                     at = at[ok[at] & ok[at + 1]]
-                yield from sums[k].add(p.hashes(at, k))
-        for s in sums.values():
-            yield from s.rest()
+                yield from sums.add(p.hashes(at, k), p.text[at])
+        yield from sums.rest()
 
     return run
 
 
 def _spelled(shared, longest: int):
-    """(language, phrase, hash) of every phrase whose hash passes its filter, once per task (about)."""
+    """(language, phrase, hash) of the frequent phrases that a text has to spell out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = [Bits(w) for w in shared.value]
+        bits = Bits(shared.value)
         seen: set[int] = set()
         for p in _pieces(batches):
             raw = None
             for k in range(1, longest + 1):
                 at = p.phrases(k)
                 h = p.hashes(at, k)
-                on = bits[k - 1].has(h)
+                on = bits.has(held_by(h, p.text[at]))
                 h, first = np.unique(h[on], return_index=True)
                 at = at[on][first]
                 new = np.array([x not in seen for x in h.tolist()], bool)
@@ -281,32 +297,36 @@ def _word_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], names=["lang", "n"])
 
 
-def _bit_table(frequent: DataFrame) -> np.ndarray:
-    """The bit table of the hashes in ``frequent``: at most FILTER_BITS / 64 rows reach the driver."""
-    at = F.col("h").bitwiseAND(F.lit(FILTER_BITS - 1))
-    rows = (frequent.select(F.shiftright(at, 6).alias("word"), F.expr("shiftleft(1L, int(h & 63))").alias("bit"))
+def _bit_table(hashes: DataFrame) -> np.ndarray:
+    """The bit table of the hashes ``x``: at most FILTER_BITS / 64 rows reach the driver."""
+    at = F.col("x").bitwiseAND(F.lit(FILTER_BITS - 1))
+    rows = (hashes.select(F.shiftright(at, 6).alias("word"), F.expr("shiftleft(1L, int(x & 63))").alias("bit"))
             .groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow())
     words = np.zeros(FILTER_BITS // 64, np.uint64)
     words[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
     return words
 
 
+def _owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        x = held_by(b.column(0).to_numpy(zero_copy_only=False).view(np.uint64), b.column(1).to_numpy(zero_copy_only=False))
+        yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64))], names=["x"])
+
+
 def candidates(texts: DataFrame, min_count: int, longest: int = LONGEST) -> DataFrame:
     """(lang, phrase): every phrase of 1 to ``longest`` words that may occur ``min_count`` times. ``texts``: lang, text."""
     spark = texts.sparkSession
     hashed = lambda sizes, shared: reliable(
-        texts.mapInArrow(_hash_counts(sizes, shared), "k int, h long, n long").groupBy("k", "h").agg(F.sum("n").alias("n"))
-        .where(F.col("n") >= min_count).select("k", "h"))
-    levels = [hashed([1, 2], None)]
-    tables = [_bit_table(levels[0].where(f"k = {k}")) for k in (1, 2)]
+        texts.mapInArrow(_hash_counts(sizes, shared), "h long, n long, text int")
+        .groupBy("h").agg(F.sum("n").alias("n"), F.min("text").alias("text")).where(F.col("n") >= min_count).select("h", "text"))
+    frequent = level = hashed([1, 2], None)
     for k in range(3, longest + 1):
-        levels.append(hashed([k], spark.sparkContext.broadcast(tables[-1])))
-        tables.append(_bit_table(levels[-1]))
-    frequent = levels[0]
-    for x in levels[1:]:
-        frequent = frequent.unionByName(x)
-    spelled = texts.mapInArrow(_spelled(spark.sparkContext.broadcast(tables), longest), "lang string, phrase string, h long")
-    return spelled.distinct().join(frequent.select("h").distinct(), "h", "left_semi").select("lang", "phrase")
+        shorter = level.where(F.col("h").bitwiseAND(F.lit(3)) == k - 1).select(F.shiftrightunsigned("h", 2).alias("x"))
+        level = hashed([k], spark.sparkContext.broadcast(_bit_table(shorter)))
+        frequent = frequent.unionByName(level)
+    owners = spark.sparkContext.broadcast(_bit_table(frequent.mapInArrow(_owners, "x long")))
+    spelled = texts.mapInArrow(_spelled(owners, longest), "lang string, phrase string, h long")
+    return spelled.distinct().join(frequent.select("h"), "h", "left_semi").select("lang", "phrase")
 
 
 def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
