@@ -403,6 +403,20 @@ SELECT row_key, family, qualifier, process_ts AS cell_ts, value FROM (
   UNION ALL SELECT row_key, process_ts, 'window_info', 'win_end_ts', CAST(win_end_ms AS VARCHAR) FROM k
 ) c""",
 
+    "sink_warehouse_failures": f"""
+WITH {ENR.strip()}
+SELECT seq, CASE WHEN seq % 50 IN (0, 7, 17, 33) THEN 'failed' ELSE 'rows' END AS route,
+       CASE seq % 50 WHEN 0 THEN 'type metrics1' WHEN 7 THEN 'required dim1' WHEN 17 THEN 'range metrics1' WHEN 33 THEN 'range metrics1'
+            ELSE concat_ws('|', CAST(CAST(make_timestamp(event_ts * 1000) AS DATE) AS VARCHAR), dim1, CAST(metrics1 AS VARCHAR)) END AS value
+FROM enr""",
+
+    "read_tall_latest": f"""{_ENDS} {_pane_ctes(1, True)},
+k AS (SELECT *, win_end_ms + pane_idx AS process_ts,
+             dim1 || '#' || ({LMAX} - win_end_ms - pane_idx) || '#' || win_start_ms AS row_key FROM acc),
+r AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY dim1 ORDER BY row_key) <= 10)
+SELECT row_key, 'num_records' AS qualifier, process_ts AS cell_ts, CAST(acc_n AS VARCHAR) AS value FROM r
+UNION ALL SELECT row_key, 'sum', process_ts, CAST(acc_s AS VARCHAR) FROM r""",
+
     # three shards per window and micro-batch, empty ones too; a window's micro-batches are its panes
     "sink_named_files": f"""{_ENDS}
 f AS (SELECT *, (event_ts // 864000000) * 864000000 AS ws FROM sl),

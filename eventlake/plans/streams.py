@@ -13,6 +13,8 @@ from eventlake.operators import encode as enc
 from eventlake.plans import fixtures as fx
 from eventlake.schemas import MESSAGE
 from eventlake.session import prepare, scratch_path
+from eventlake.sinks.tables import Rule, read_failed, read_warehouse_rows, start_warehouse
+from eventlake.sinks.tall import CELL, TallTable
 from eventlake.sources.log import BUCKET, drain, read_message_log
 from eventlake.sources.dims import fixture_dimension, read_dimension
 from eventlake.streaming import stats as st
@@ -242,6 +244,42 @@ def q_sink_named_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return committed_files(spark, f"{root}/files")
 
 
+def q_sink_warehouse_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Warehouse rows of a stream in which every tenth row or so breaks a rule of the target: what the
+    table holds, and what the failed inserts hold."""
+    root, slices = _staged(spark, sf_dir, "sink_warehouse_failures")
+    rules = [Rule("seq", "int", required=True), Rule("dim1", required=True), Rule("metrics1", "int", required=True, low=0, high=10**6),
+             Rule("event_ts", "bigint", required=True), Rule("dim1_val")]
+
+    def start(s: DataFrame):
+        k, text = F.pmod(F.col("seq"), F.lit(50)), F.col("metrics1").cast("string")
+        faulty = _valid(s).select(
+            "seq", F.when(k != 7, F.col("dim1")).alias("dim1"), "event_ts", "dim1_val",
+            F.when(k == 0, F.lit("n/a")).when(k == 17, F.lit("-5")).when(k == 33, F.lit("1000001")).otherwise(text).alias("metrics1"))
+        return start_warehouse(faulty, f"{root}/table", f"{root}/ckpt", rules, F.to_date(F.timestamp_millis("event_ts")))
+
+    replay(spark, f"{root}/src", slices, MESSAGE, start)
+    rows, failed = read_warehouse_rows(spark, f"{root}/table"), read_failed(spark, f"{root}/table")
+    text = lambda c: F.col(c).cast("string")
+    return (rows.select("seq", F.lit("rows").alias("route"), F.concat_ws("|", text("event_date"), "dim1", text("metrics1")).alias("value"))
+            .unionByName(failed.select(F.get_json_object("raw", "$.seq").cast("int").alias("seq"), F.lit("failed").alias("route"),
+                                       F.col("reason").alias("value"))))
+
+
+def q_read_tall_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest 10 tall rows of every key, each by a scan of its prefix."""
+    panes, root = _panes(spark, sf_dir, "read_tall_latest", closed=True)
+    tall = TallTable(spark, f"{root}/tall")
+    cells = enc.tall_encode(_with_process_ts(_fired(panes, "accumulating")))
+    tall.write(cells, 0)
+    keys = [r[0] for r in panes.select("dim1").distinct().orderBy("dim1").collect()]  # event types
+    parts = [tall.latest(k, 10).where("family = 'stats' and qualifier in ('num_records', 'sum')") for k in keys]
+    out = parts[0] if parts else spark.createDataFrame([], CELL)
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("row_key", "qualifier", "cell_ts", "value")
+
+
 def q_stream_early_delay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Early panes by their age, per user (many have rows in few slices only, so the
     timer fires their panes). The clock of a row is the end of its slice."""
@@ -329,6 +367,8 @@ STREAM_QUERIES = {
     "read_wide_total": q_read_wide_total,
     "sink_wide_rows": q_sink_wide_rows,
     "sink_named_files": q_sink_named_files,
+    "sink_warehouse_failures": q_sink_warehouse_failures,
+    "read_tall_latest": q_read_tall_latest,
     "stream_per_trigger_stats": q_stream_per_trigger_stats,
     "stream_enrich_refreshing": q_stream_enrich_refreshing,
     "stream_fanout_sinks": q_stream_fanout_sinks,

@@ -109,3 +109,31 @@ def test_replayed_epoch_of_a_stream_counts_once(tmp_path):
     assert sum("pane-0" in f for f in os.listdir(tmp_path)) == 3 and sum("pane-1" in f for f in os.listdir(tmp_path)) == 3
     w.abort([w.write(iter([rows]))], 2)
     assert len([f for f in os.listdir(tmp_path) if f.endswith(".csv")]) == 6
+
+
+def test_newest_rows_of_a_key_by_a_scan_of_its_prefix(spark, tmp_path):
+    from eventlake.functions.time import LONG_MAX
+    from eventlake.sinks.tall import CELL, TallTable
+    t = TallTable(spark, str(tmp_path / "t"), buckets=4)
+    rows = [(f"{k}#{LONG_MAX - ts}#0", "stats", "n", ts, f"{k}{ts}") for k in ("a", "a#b", "c") for ts in range(0, 40 * DAY, DAY)]
+    t.write(spark.createDataFrame(rows, CELL), 0)
+    t.write(spark.createDataFrame(rows[-1:], CELL), 1)
+    t.write(spark.createDataFrame(rows, CELL), 0)  # replayed
+    assert [r.value for r in t.latest("a", 3).collect()] == [f"a{39 * DAY - k * DAY}" for k in range(3)]
+    assert [r.value for r in t.latest("a#b", 1).collect()] == [f"a#b{39 * DAY}"]
+    assert t.latest("none", 3).count() == 0 and t.latest("a", 100).count() == 40
+    bucket = spark.range(1).select(t._bucket(F.lit("a"))).first()[0]
+    assert t._days(bucket)[0] == 39
+    newest = t.scan("a", t._days(bucket)[:1], bucket)
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(row_key,a#)" in plan and "LessThan(row_key,a$)" in plan
+    assert len(newest.inputFiles()) <= 2  # of the day, whatever the table's age
+
+
+def test_rows_that_the_target_refuses(spark):
+    from eventlake.sinks.tables import Rule, checked_rows
+    rules = [Rule("a", "int", required=True, low=0, high=9), Rule("b", "date"), Rule("c", required=True)]
+    rows = [("1", "2024-01-01", "x"), (None, "no", "x"), ("q", None, "x"), ("10", None, "x"), ("5", "no", "x"), ("5", None, None)]
+    out = checked_rows(spark.createDataFrame(rows, "a string, b string, c string"), rules).collect()
+    assert [r.reason for r in out] == [None, "required a", "type a", "range a", "type b", "required c"]
+    assert out[0].raw is None and out[0].a == 1 and out[4].raw == '{"a":"5","b":"no","c":"x"}'
