@@ -123,17 +123,16 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op3_histogram_topk": """
 WITH v AS (
-  SELECT vec_id AS id, min(list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))) AS v
+  SELECT row_number() OVER () AS row, vec_id AS id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-  GROUP BY vec_id),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
-  SELECT q.id AS query_id, c.id AS vec_id,
+  SELECT q.row AS query, q.id AS query_id, c.id AS vec_id,
     CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.id <> c.id AND len(q.v) = len(c.v)
+  FROM v q JOIN v c ON q.row <> c.row AND len(q.v) = len(c.v)
   WHERE q.id % 50 = 0),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""",
 
     "op12_phrase_collocations": r"""

@@ -13,8 +13,9 @@ Blocks bound the memory of a task: about ``query_block`` queries against
 a key of its own, so the work spreads over the cluster whatever the sizes.
 
 Defined results: vectors that are null, or hold null or non-finite components, and
-rows without an id take no part; an id that repeats counts once, with its
-smallest vector; vectors are compared with those of the same length only; a
+rows without an id take no part; every other row is a candidate of its own, and a query if its
+id is one, so rows that repeat an id are candidates of each other and queries with the same
+query_id; vectors are compared with those of the same length only; a
 query with fewer than k candidates returns all of them; other columns are not read.
 """
 
@@ -59,12 +60,12 @@ def _pack_candidates(block: int):
 def _packed(part: pd.DataFrame) -> dict:
     mat = np.array(part["v"].tolist(), dtype=np.int64).reshape(len(part), -1)
     small = mat.size == 0 or np.abs(mat).max() < 2**31
-    return {"ids": [part["id"].to_numpy(np.int64).tobytes()], "small": [bool(small)],
+    return {"ids": [part["id"].to_numpy(np.int64).tobytes()], "rows": [part["row"].to_numpy(np.int64).tobytes()], "small": [bool(small)],
             "mat": [mat.astype(np.int32 if small else np.int64).tobytes()]}
 
 
 def _pack_queries(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
-    return pd.DataFrame({"dim": [key[0]], "qb": [key[1]], **_packed(g.sort_values("id"))})
+    return pd.DataFrame({"dim": [key[0]], "qb": [key[1]], **_packed(g.sort_values("row"))})
 
 
 def _matrix(mat: bytes, small: bool, dim: int, n: int) -> np.ndarray:
@@ -80,23 +81,22 @@ def scores_of(q: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 
 def _each_pair(batches: Iterator[pa.RecordBatch]):
-    """(query ids, state, candidate ids, scores) of each joined pair of blocks; a
-    query's own candidate scores None, shown by the mask."""
+    """(query rows, query ids, state, candidate ids, scores, mask of the queries' own rows) of each joined pair of blocks."""
     for b in batches:
         for r in b.to_pylist():
-            qi, ci = np.frombuffer(r["qids"], np.int64), np.frombuffer(r["ids"], np.int64)
+            qr, qi, cr, ci = (np.frombuffer(r[x], np.int64) for x in ("qrows", "qids", "rows", "ids"))
             s = scores_of(_matrix(r["qmat"], r["qsmall"], r["dim"], len(qi)),
                           _matrix(r["mat"], r["small"], r["dim"], len(ci)))
-            own = qi[:, None] == ci[None, :]
-            state = {x["query_id"]: x for x in r["state"]}
-            yield qi, [state.get(int(q)) for q in qi], ci, s, own
+            own = qr[:, None] == cr[None, :]
+            state = {x["query"]: x for x in r["state"]}
+            yield qr, qi, [state.get(int(q)) for q in qr], ci, s, own
 
 
 def _histogram(k: int):
-    schema = pa.schema([("query_id", pa.int64()), ("bin", pa.int64()), ("n", pa.int64())])
+    schema = pa.schema([("query", pa.int64()), ("bin", pa.int64()), ("n", pa.int64())])
 
     def run(batches):
-        for qi, state, ci, s, own in _each_pair(batches):
+        for qr, _, state, _, s, own in _each_pair(batches):
             lo = np.array([x["lo"] if x else 0 for x in state], np.int64)[:, None]
             w = np.array([x["width"] if x else 0 for x in state], np.int64)[:, None]
             step = np.maximum(1, -(-w // BINS))
@@ -107,25 +107,25 @@ def _histogram(k: int):
             floor = np.partition(bins, bins.shape[1] - kk, axis=1)[:, bins.shape[1] - kk][:, None]
             row, col = np.nonzero(inside & (bins >= floor))
             cells, n = np.unique(np.stack([row, bins[row, col]]), axis=1, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(qi[cells[0]]), pa.array(cells[1]), pa.array(n.astype(np.int64))], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(qr[cells[0]]), pa.array(cells[1]), pa.array(n.astype(np.int64))], schema=schema)
 
     return run
 
 
 def _select(k: int):
-    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+    schema = pa.schema([("query", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
     def run(batches):
-        for qi, state, ci, s, own in _each_pair(batches):
+        for qr, qi, state, ci, s, own in _each_pair(batches):
             kth = np.array([x["lo"] if x else np.iinfo(np.int64).max for x in state], np.int64)[:, None]
             row, col = np.nonzero((s > kth) & ~own)
-            parts = [(qi[row], ci[col], s[row, col])]
+            parts = [(qr[row], qi[row], ci[col], s[row, col])]
             tie_row, tie_col = np.nonzero((s == kth) & ~own)
             order = np.lexsort((ci[tie_col], tie_row))
             tie_row, tie_col = tie_row[order], tie_col[order]
             first = np.arange(len(tie_row)) - np.searchsorted(tie_row, tie_row)
             tie_row, tie_col = tie_row[first < k], tie_col[first < k]
-            parts.append((qi[tie_row], ci[tie_col], s[tie_row, tie_col]))
+            parts.append((qr[tie_row], qi[tie_row], ci[tie_col], s[tie_row, tie_col]))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts)], schema=schema)
 
     return run
@@ -138,50 +138,50 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, query_block: int = 5
     v (array of long); ``is_query`` marks the query rows, all rows are candidates
     except a query's own."""
     ship_by_value(__name__)
-    v = reliable(vectors.groupBy("id").agg(F.min("v").alias("v")))
+    v = reliable(vectors.select("id", "v", F.monotonically_increasing_id().alias("row")))
     head = v.agg(F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") ** 2))).alias("norm"),
                  F.count("*").alias("n"), F.count_if(is_query).alias("nq")).first()
     # no inner product lies outside +-span; scores beyond 2**62 are out of range
     span = min(int(math.ceil((head["norm"] or 0.0) ** 2)) + 1, 2**62 - 1)
     n_qb = max(1, math.ceil(head["nq"] / query_block))
     n_groups = max(1, math.ceil(head["n"] / (4 * candidate_block)))
-    qb = F.pmod(F.xxhash64("id"), F.lit(n_qb)).cast("int")
-    qs = v.where(is_query).select("id", "v", F.size("v").alias("dim"), qb.alias("qb"))
+    qb = F.pmod(F.xxhash64("row"), F.lit(n_qb)).cast("int")
+    qs = v.where(is_query).select("id", "row", "v", F.size("v").alias("dim"), qb.alias("qb"))
     qblocks = reliable(qs.groupBy("dim", "qb").applyInPandas(
-        _pack_queries, "dim int, qb int, ids binary, small boolean, mat binary")
-        .select("dim", "qb", F.col("ids").alias("qids"), F.col("small").alias("qsmall"), F.col("mat").alias("qmat")))
+        _pack_queries, "dim int, qb int, ids binary, rows binary, small boolean, mat binary")
+        .select("dim", "qb", F.col("ids").alias("qids"), F.col("rows").alias("qrows"), F.col("small").alias("qsmall"), F.col("mat").alias("qmat")))
     cblocks = reliable(v.mapInPandas(_pack_candidates(candidate_block),
-                                     "dim int, ids binary, small boolean, mat binary")
-                       .withColumn("cg", F.pmod(F.xxhash64("ids"), F.lit(n_groups)).cast("int")))
-    state = qs.select("dim", "qb", F.col("id").alias("query_id"), F.lit(-span).cast("long").alias("lo"),
+                                     "dim int, ids binary, rows binary, small boolean, mat binary")
+                       .withColumn("cg", F.pmod(F.xxhash64("rows"), F.lit(n_groups)).cast("int")))
+    state = qs.select("dim", "qb", F.col("row").alias("query"), F.lit(-span).cast("long").alias("lo"),
                       F.lit(2 * span + 1).cast("long").alias("width"), F.lit(0).cast("long").alias("above"))
 
     def pairs(state: DataFrame) -> DataFrame:
-        packed = state.groupBy("dim", "qb").agg(F.collect_list(F.struct("query_id", "lo", "width")).alias("state"))
+        packed = state.groupBy("dim", "qb").agg(F.collect_list(F.struct("query", "lo", "width")).alias("state"))
         left = (qblocks.join(packed, ["dim", "qb"])
                 .withColumn("cg", F.explode(F.sequence(F.lit(0), F.lit(n_groups - 1)))))
         right = cblocks.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_qb - 1))))
         return left.join(right.hint("shuffle_hash"), ["dim", "qb", "cg"]).select(
-            "dim", "qids", "qsmall", "qmat", "state", "ids", "small", "mat")
+            "dim", "qids", "qrows", "qsmall", "qmat", "state", "ids", "rows", "small", "mat")
 
     width = 2 * span + 1
     while width > 1:
         step = max(1, -(-width // BINS))
-        hist = (pairs(state).mapInArrow(_histogram(k), "query_id long, bin long, n long")
-                .groupBy("query_id", "bin").agg(F.sum("n").alias("n")))
-        down = Window.partitionBy("query_id").orderBy(F.desc("bin"))
-        found = (hist.join(state, "query_id").withColumn("cum", F.col("above") + F.sum("n").over(down))
-                 .where(F.col("cum") >= k).groupBy("query_id")
+        hist = (pairs(state).mapInArrow(_histogram(k), "query long, bin long, n long")
+                .groupBy("query", "bin").agg(F.sum("n").alias("n")))
+        down = Window.partitionBy("query").orderBy(F.desc("bin"))
+        found = (hist.join(state, "query").withColumn("cum", F.col("above") + F.sum("n").over(down))
+                 .where(F.col("cum") >= k).groupBy("query")
                  .agg(F.max(F.struct("bin", "cum", "n")).alias("x")))
         # without a k-th score everything above the lowest possible one is kept
-        state = reliable(state.join(found, "query_id", "left").select(
-            "dim", "qb", "query_id",
+        state = reliable(state.join(found, "query", "left").select(
+            "dim", "qb", "query",
             F.when(F.col("x").isNull(), F.lit(-span - 1)).otherwise(F.col("lo") + F.col("x.bin") * step)
             .cast("long").alias("lo"),
             F.when(F.col("x").isNull(), F.lit(1)).otherwise(step).cast("long").alias("width"),
             F.coalesce(F.col("x.cum") - F.col("x.n"), F.lit(0)).cast("long").alias("above")))
         width = step
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (pairs(state).mapInArrow(_select(k), "query_id long, vec_id long, score long")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    return (pairs(state).mapInArrow(_select(k), "query long, query_id long, vec_id long, score long")
             .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

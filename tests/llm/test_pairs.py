@@ -12,12 +12,13 @@ from eventlake.llm.components import connected_components
 from tests.llm.conftest import DOCS, sentence
 
 
-def brute_topk(vecs, k, query):
-    out = set()
-    for q in vecs:
+def brute_topk(rows, k, query):
+    """Every row is a candidate, and a query if its id is one; results may repeat."""
+    out = Counter()
+    for i, (q, v) in enumerate(rows):
         if query(q):
-            best = sorted(((-int(np.dot(vecs[q], vecs[c])), c) for c in vecs if c != q and len(vecs[c]) == len(vecs[q])))[:k]
-            out |= {(q, i + 1, c, -s) for i, (s, c) in enumerate(best)}
+            best = sorted((-int(np.dot(v, w)), c) for j, (c, w) in enumerate(rows) if j != i and len(w) == len(v))[:k]
+            out.update((q, rank, c, -s) for rank, (s, c) in enumerate(best, 1))
     return out
 
 
@@ -26,13 +27,15 @@ def test_topk_equals_brute_force(spark):
     rows = [(i, [rng.uniform(-1, 1) for _ in range(6)]) for i in range(230)]
     rows += [(i, rows[7][1]) for i in range(300, 330)] + [(i, [0.25] * 3) for i in range(400, 403)]
     rows += [(500, None), (501, [None] * 6), (502, [float("nan")] * 6), (None, [0.5] * 6), (503, [float("inf")] * 6), (50, rows[50][1])]
+    rows += [(60, [rng.uniform(-1, 1) for _ in range(6)]) for _ in range(3)] + [(40, rows[40][1])] * 7  # ids that repeat
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     v = df.where(F.col("vec_id").isNotNull() & topk.usable(F.col("embedding"))).select(
         F.col("vec_id").alias("id"), topk.quantized(F.col("embedding")).alias("v"))
-    got = {tuple(r) for r in topk.top_k(v, F.col("id") % 20 == 0, k=5, query_block=7, candidate_block=16)
-           .select("query_id", "rank", "vec_id", "score").collect()}
-    vecs = {i: np.array([math.floor(256 * x) for x in e]) for i, e in rows[:263]}
-    assert got == brute_topk(vecs, 5, lambda i: i % 20 == 0)
+    got = Counter(tuple(r) for r in topk.top_k(v, F.col("id") % 20 == 0, k=5, query_block=7, candidate_block=16)
+                  .select("query_id", "rank", "vec_id", "score").collect())
+    good = [(i, np.array([math.floor(256 * x) for x in e])) for i, e in rows
+            if i is not None and e and all(x is not None and math.isfinite(x) for x in e)]
+    assert got == brute_topk(good, 5, lambda i: i % 20 == 0)
 
 
 def test_topk_large_values_and_empty(spark):
