@@ -5,20 +5,25 @@ bits, so it depends on the last 16 bytes). A chunk ends where the hash is the
 lowest of its neighbourhood, moved on to the next word start; so the cuts move
 with the content and an insertion changes only the chunks around it. Chunks are
 about 35 bytes; after 256 bytes without a lowest hash (text of short period) a cut is made
-anyway. Chunks with the same digest in more than one document are repeats. Runs
-of neighbouring repeats with at least ``min_words`` words are reported; edges of
-a shared passage that share a chunk with other text fall away, so ``min_words``
-lies well under the length of the passages to be found.
-
-Only chunk digests are shuffled: once to learn which are in several documents (a
-minimum and a maximum of ids, pre-aggregated, so a chunk that all documents hold
-is one row per task), once to find their places. Digests have 64 bits; a chance
-match is a single chunk and makes no run.
-
-Defined results: null and empty texts have no chunks; a document is an id, rows
-that repeat it do not make a repeat; rows with a null id count as documents named
-by a hash of their text; of a repeated chunk the document with the smallest id
-keeps it; other columns are not read."""
+anyway.
+
+A single chunk may well stand elsewhere by chance, so repeats are judged by windows of
+``WINDOW`` neighbouring chunks: a window whose digest stands at more than one place
+(row and position, so also twice in one document) is repeated, and its first place
+is in the document with the smallest id. Runs of windows that have an earlier place each are reported
+with ``kept`` false if they have at least ``min_words`` words; the places that
+come first, with ``kept`` true, if their whole run has. So the first document that holds a
+passage keeps all of it, even where shorter parts stand in still earlier ones. Edges of
+a passage that share a chunk with other text fall away, so ``min_words`` lies well under
+the length of the passages to be found.
+
+Window digests are computed once and written to the shared folder; they are shuffled once to
+count them (pre-aggregated, so one that all documents hold is one row per task) and once to
+find their places. Digests have 64 bits.
+
+Defined results: null and empty texts have no chunks, and texts of fewer chunks than a window no
+repeats; a document is an id, rows that repeat an id and a text count once; rows with a null id
+count as documents named by a hash of their text; other columns are not read."""
 
 from __future__ import annotations
 
@@ -32,12 +37,14 @@ from pyspark.sql import functions as F
 from eventlake.functions.shipping import ship_by_value
 from eventlake.llm import hashing
 from eventlake.llm.hashing import SpanHash, text_slices, word_spans
+from eventlake.session import scratch_path
 
 NEAR = 16  # bytes on either side over which a cut's hash is the lowest
 LONGEST = 256
 MIN_WORDS = 25
+WINDOW = 3  # neighbouring chunks that are compared together
 
-CHUNKS = "doc_id long, seq long, start long, size long, words long, digest long"
+WINDOWS = "doc_id long, text long, seq long, start long, end long, before long, upto long, digest long"
 
 
 def gear_hash(data: np.ndarray) -> np.ndarray:
@@ -104,54 +111,63 @@ def chunks_of(data: np.ndarray, offsets: np.ndarray):
     return start, end, wrow[b], nxt - b, SpanHash(data, 13).of(start, end)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text_hash, text) -> chunks. ``seq`` numbers the chunks of a text; its
-    upper bits tell texts of one id apart."""
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text_hash, text) -> windows of chunks: the number of the first chunk, bytes from and to,
+    words of the text before the window and up to its end, digest."""
+    names = [x.split()[0] for x in WINDOWS.split(", ")]
     for b in batches:
-        ids = b.column(0).to_numpy(zero_copy_only=False)
-        tag = (b.column(1).to_numpy(zero_copy_only=False) & 0x3FFFFF) << 40
+        ids, texts = (b.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
         for a, z, data, offsets in text_slices(b.column(2)):
             start, end, row, words, digest = chunks_of(data, offsets)
-            if not len(start):
+            if len(start) < WINDOW:
                 continue
             lo = np.searchsorted(row, np.arange(z - a))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[a + row]), pa.array(tag[a + row] + np.arange(len(row)) - lo[row]),
-                 pa.array(start - offsets[row]), pa.array(end - start), pa.array(words.astype(np.int64)),
-                 pa.array(digest.view(np.int64))],
-                names=["doc_id", "seq", "start", "size", "words", "digest"])
+            i = np.flatnonzero(row[:len(row) - WINDOW + 1] == row[WINDOW - 1:])
+            j = i + WINDOW - 1
+            mixed = digest[i]
+            for k in range(1, WINDOW):
+                mixed = hashing.splitmix(mixed * np.uint64(0x9E3779B97F4A7C15) ^ digest[i + k])
+            sums = np.concatenate([[0], np.cumsum(words)])
+            base = sums[lo[row[i]]]
+            cols = (ids[a + row[i]], texts[a + row[i]], i - lo[row[i]], start[i] - offsets[row[i]], end[j] - offsets[row[i]],
+                    sums[i] - base, sums[j + 1] - base, mixed.view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=names)
 
 
 def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Every run of repeated chunks in every document of ``docs`` (doc_id, text):
+    """Every run of repeated windows in every document of ``docs`` (doc_id, text):
     doc_id, start and length (bytes), words, first_doc_id (smallest id that has a
-    chunk of it) and kept (this document is the first that has it)."""
+    window of it) and kept (this is the first place)."""
     ship_by_value(__name__)
-    ship_by_value(hashing.__name__)
     text = F.col("text").cast("string")
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)).alias("doc_id"),
                        F.xxhash64(text).alias("text_hash"), text.alias("text"))
-    chunks = rows.mapInArrow(_chunks, CHUNKS)
-    shared = (chunks.select("digest", "doc_id").groupBy("digest")
-              .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last"))
-    found = chunks.join(shared.select("digest", "first"), "digest")
-    run = Window.partitionBy("doc_id").orderBy("seq")
-    found = found.select("doc_id", "seq", "start", "size", "words", "first").dropDuplicates(["doc_id", "seq"])
-    found = found.withColumn("run", F.col("seq") - F.row_number().over(run))
-    whole = Window.partitionBy("doc_id", "run")
-    found = found.withColumn("total", F.sum("words").over(whole)).where(F.col("total") >= min_words)
-    found = found.withColumn("kept", F.col("doc_id") == F.col("first"))
-    part = Window.partitionBy("doc_id", "run", "kept").orderBy("seq")
-    found = found.withColumn("piece", F.col("seq") - F.row_number().over(part))
-    return (found.groupBy("doc_id", "run", "kept", "piece")
-            .agg(F.min("start").alias("start"), F.max(F.col("start") + F.col("size")).alias("end"),
-                 F.sum("words").alias("words"), F.min("first").alias("first_doc_id"))
+    path = scratch_path(docs.sparkSession, "chunk-windows")
+    rows.mapInArrow(_windows, WINDOWS).write.parquet(path)
+    windows = docs.sparkSession.read.parquet(path)
+    shared = (windows.groupBy("digest").agg(F.count("*").alias("n"), F.min("doc_id").alias("first")).where("n > 1"))
+    found = windows.join(shared.select("digest", "first"), "digest")
+    # of rows with the same id and text one counts; the first place of a digest in its first document
+    found = found.groupBy("digest", "doc_id", "text", "seq").agg(
+        *[F.min(c).alias(c) for c in ("start", "end", "before", "upto", "first")])
+    places = found.groupBy("digest").agg(F.count("*").alias("n"), F.min(F.when(F.col("doc_id") == F.col("first"), F.struct(
+        "text", "seq"))).alias("place")).where("n > 1")
+    found = found.join(places.select("digest", "place"), "digest")
+    found = found.withColumn("kept", (F.col("doc_id") == F.col("first")) & (F.col("place") == F.struct("text", "seq"))).drop("place", "digest")
+    by = ["doc_id", "text"]
+    found = found.withColumn("run", F.col("seq") - F.row_number().over(Window.partitionBy(*by).orderBy("seq")))
+    whole = Window.partitionBy(*by, "run")
+    found = found.withColumn("total", F.max("upto").over(whole) - F.min("before").over(whole)).where(F.col("total") >= min_words)
+    found = found.withColumn("piece", F.col("seq") - F.row_number().over(Window.partitionBy(*by, "run", "kept").orderBy("seq")))
+    return (found.groupBy(*by, "run", "kept", "piece")
+            .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("first").alias("first_doc_id"),
+                 (F.max("upto") - F.min("before")).alias("words"))
+            .where(F.col("kept") | (F.col("words") >= min_words))
             .select("doc_id", "start", (F.col("end") - F.col("start")).alias("length"), "words", "first_doc_id", "kept"))
 
 
 def remove_repeats(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """``docs`` without the spans that are not ``kept``; of rows with one id, spans are
-    cut from all. Texts without such spans stay as they are; columns as given."""
+    """``docs`` without the spans that are not ``kept`` (they may overlap); of rows with one id, spans are cut from all. Texts without such spans stay as they are; columns as given."""
     gone = (spans.where(~F.col("kept")).groupBy("doc_id")
             .agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias("__gone"))
             .withColumnRenamed("doc_id", "__doc"))
@@ -159,7 +175,7 @@ def remove_repeats(docs: DataFrame, spans: DataFrame) -> DataFrame:
     raw = F.decode(F.col("text").cast("binary"), "ISO-8859-1")
     step = lambda a, g: F.struct(
         F.concat(a["s"], F.substring(raw, (a["at"] + 1).cast("int"), (g["start"] - a["at"]).cast("int"))).alias("s"),
-        (g["start"] + g["length"]).alias("at"))
+        F.greatest(a["at"], g["start"] + g["length"]).alias("at"))
     zero = F.struct(F.lit("").alias("s"), F.lit(0).cast("long").alias("at"))
     cut = F.aggregate("__gone", zero, step, lambda a: F.concat(
         a["s"], F.substring(raw, (a["at"] + 1).cast("int"), F.length(raw))))

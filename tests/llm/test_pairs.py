@@ -166,6 +166,68 @@ def test_repeated_passages_are_found_and_clean_texts_left_alone(spark):
         assert left[d] == want.decode()
 
 
+def test_first_document_of_a_whole_passage_keeps_all_of_it(spark):
+    rng = random.Random(21)
+    for _ in range(4):
+        passage = sentence(rng, 80).split()
+        own = lambda n: sentence(rng, n)
+        texts = {1: f"{own(30)} {' '.join(passage[30:50])} {own(30)}", 5: f"{own(40)} {' '.join(passage)} {own(40)}",
+                 9: f"{own(20)} {' '.join(passage)} {own(20)}", 12: own(200)}
+        df = spark.createDataFrame(list(texts.items()), DOCS)
+        spans = chunk_dedup.repeated_spans(df)
+        left = {r.doc_id: r.text for r in chunk_dedup.remove_repeats(df, spans).collect()}
+        assert all(left[d] == texts[d] for d in (1, 5, 12))
+        cut = set(texts[9].split()) - set(left[9].split())
+        assert len(set(passage) & cut) >= 60 and not cut - set(passage)
+
+
+def test_passage_twice_in_one_document(spark):
+    rng = random.Random(22)
+    passage, between = sentence(rng, 60), sentence(rng, 50)
+    text = f"{sentence(rng, 20)} {passage} {between} {passage} {sentence(rng, 20)}"
+    df = spark.createDataFrame([(3, text), (4, sentence(rng, 150))], DOCS)
+    spans = chunk_dedup.repeated_spans(df)
+    assert {(r.doc_id, r.kept) for r in spans.collect()} == {(3, True), (3, False)}
+    left = {r.doc_id: r.text for r in chunk_dedup.remove_repeats(df, spans).collect()}
+    assert left[3].startswith(text[:text.index(passage) + len(passage) + len(between)]) and left[3].count(passage) == 1
+
+
+def brute_repeats(texts, n):
+    """Word n-grams that stand at more than one place, with their places (document, word number)."""
+    at = {}
+    for d, t in texts.items():
+        w = t.split()
+        for i in range(len(w) - n + 1):
+            at.setdefault(tuple(w[i:i + n]), []).append((d, i))
+    return {g: p for g, p in at.items() if len(p) > 1}
+
+
+def test_against_brute_force(spark):
+    """Every passage of 51 words that stands twice is caught behind its first place but for its edges, every
+    passage stays somewhere, and words outside repeats of 10 words stay."""
+    rng = random.Random(23)
+    shared = [sentence(rng, rng.randint(51, 140)) for _ in range(25)]
+    texts = {d: " ".join(rng.choice([rng.choice(shared), sentence(rng, rng.randint(20, 90))]) for _ in range(rng.randint(1, 5))) for d in range(90)}
+    df = spark.createDataFrame(list(texts.items()), DOCS)
+    spans = chunk_dedup.repeated_spans(df)
+    gone = {d: set() for d in texts}
+    for r in spans.collect():
+        if not r.kept:
+            first = len(texts[r.doc_id].encode()[:r.start].decode().split())
+            gone[r.doc_id] |= set(range(first, first + r.words))
+    long, short = brute_repeats(texts, 51), brute_repeats(texts, 10)
+    for g, places in long.items():
+        for d, i in sorted(places)[1:]:
+            assert len(gone[d] & set(range(i + 8, i + 43))) >= 25, (d, i)
+    covered = {d: set() for d in texts}
+    for g, places in short.items():
+        for d, i in places:
+            covered[d] |= set(range(i, i + 10))
+    assert all(gone[d] <= covered[d] for d in texts)
+    left = {r.doc_id: r.text for r in chunk_dedup.remove_repeats(df, spans).collect()}
+    assert all(any(p in t for t in left.values()) for p in shared if any(p in t for t in texts.values()))
+
+
 def test_cuts_follow_the_content():
     rng = random.Random(6)
     body = sentence(rng, 400).encode()
@@ -188,7 +250,9 @@ def test_cuts_follow_the_content():
 
 def test_chunk_dedup_odd_rows(spark, odd_docs, no_docs):
     rows = chunk_dedup.repeated_spans(odd_docs).collect()
-    assert {r.doc_id for r in rows} == {5, 6} and {r.kept for r in rows if r.doc_id == 5} == {True}
+    # 5 and 6 are one word all over: the first place stays, the rest repeats it
+    assert {r.doc_id for r in rows} == {5, 6} and [r.kept for r in rows if r.doc_id == 5 and r.start == 0] == [True]
+    assert {r.kept for r in rows if r.doc_id == 6} == {False}
     out = chunk_dedup.remove_repeats(odd_docs, chunk_dedup.repeated_spans(odd_docs))
     assert out.columns == odd_docs.columns and out.count() == 10
     assert chunk_dedup.repeated_spans(no_docs).count() == 0
