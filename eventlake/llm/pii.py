@@ -46,7 +46,7 @@ def _any(titles: list[str]) -> str:
     return "|".join(re.escape(v) for t in titles for v in _forms(t))
 
 
-_FEMALE, _TITLES = _any(FEMALE), _any([*MALE, *FEMALE, *NEUTRAL])
+_FEMALE, _MALE, _TITLES = _any(FEMALE), _any(MALE), _any([*MALE, *FEMALE, *NEUTRAL])
 #: hyphens and apostrophes only between letters, and not that of a possessive
 _NAME = r"\p{Lu}(?:\p{L}|[-'’](?=\p{L})(?!s(?!\p{L})))+"
 #: type -> pattern; the first that matches at a place wins
@@ -75,9 +75,9 @@ _ALPHABETS = {"[a-z]": "abcdefghijklmnopqrstuvwxyz", "[A-Z]": "ABCDEFGHIJKLMNOPQ
 _SYLLABLES = {"latin": "ba be da do fe ga ha jo ka la le ma mi na no pe ra ro sa se ta te vi wa".split(),
               "cyrillic": "ба бе да до фе га за ка ла ле ма ми на но пе ра ро са се та те ви".split(),
               "greek": "βα δα δο φε γα κα λα λε μα μι να νο πε ρα ρο σα σε τα τε".split()}
-_ENDINGS = {"latin": {"given_m": "n rd s lo".split(), "given_f": "na la ra ne".split(), "surname": "son ler mann tti".split()},
-            "cyrillic": {"given_m": "н р й с".split(), "given_f": "на ла ра я".split(), "surname": "нко ук ян швили".split()},
-            "greek": {"given_m": "ος ης ων ας".split(), "given_f": "α η ια ινη".split(), "surname": "ίδης άκης ου ας".split()}}
+_ENDINGS = {"latin": {"given_m": "n rd s lo".split(), "given_f": "na la ra ne".split(), "given_n": "in ex ay is".split(), "surname": "son ler mann tti".split()},
+            "cyrillic": {"given_m": "н р й с".split(), "given_f": "на ла ра я".split(), "given_n": "ша ня".split(), "surname": "нко ук ян швили".split()},
+            "greek": {"given_m": "ος ης ων ας".split(), "given_f": "α η ια ινη".split(), "given_n": "ι ω".split(), "surname": "ίδης άκης ου ας".split()}}
 
 
 def has_entity(text: Column) -> Column:
@@ -146,14 +146,16 @@ def _name(norm: Column, kind: Column, seed: Column, attempt: Column) -> Column:
 
     out = None
     for script, cls in (("cyrillic", "[а-яё]"), ("greek", "[α-ωά-ώ]"), ("latin", "")):
-        for role in ("given_m", "given_f", "surname"):
+        for role in ("given_m", "given_f", "given_n", "surname"):
             cond = norm.rlike(cls) & (kind == role) if cls else kind == role
             out = F.when(cond, build(script, role)) if out is None else out.when(cond, build(script, role))
     return out
 
 
-def surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
-    """The draw number ``attempt`` for an entity."""
+def surrogate(kind: Column, norm: Column, attempt: Column, key: str, role: Column | None = None) -> Column:
+    """The draw number ``attempt`` for an entity. ``role``: the kind of name, where it is one."""
+    role = kind if role is None else role
+
     def draw(seed: Column) -> Column:
         octet = lambda i, lo, n: (F.pmod(F.xxhash64(seed, F.lit(i)), F.lit(n)) + lo).cast("string")
         local, domain = F.substring_index(norm, "@", 1), F.substring_index(norm, "@", -1)
@@ -165,7 +167,7 @@ def surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
                 .when(kind == "phone", F.concat(country, _alike(F.substr(norm, F.length(country) + 1), seed)))
                 .when(kind == "card", _card(norm, seed))
                 .when(kind == "iban", F.concat(F.substring(norm, 1, 2), _alike(F.substr(norm, F.lit(3)), seed)))
-                .when(kind.isin("given_m", "given_f", "surname"), _name(norm, kind, seed, attempt))
+                .when(role.isin(*GIVEN, "surname"), _name(norm, role, seed, attempt))
                 .when((kind == "secret") & norm.rlike("^[0-9a-f]+$"), _from_alphabet(norm, seed, "0123456789abcdef"))
                 .when((kind == "secret") & norm.rlike("^[0-9A-F]+$"), _from_alphabet(norm, seed, "0123456789ABCDEF"))
                 .otherwise(_alike(norm, seed)))
@@ -181,13 +183,15 @@ def _kind(entity: Column) -> Column:
     return out.otherwise(F.lit("secret"))  # the only pattern that needs what stands before it
 
 
-NAMES = ("given_m", "given_f", "surname")
+NAMES = ("given", "surname")
+GIVEN = ("given_m", "given_f", "given_n")
 _LEADING = f"^(?:(?:{_TITLES}) )+"
 
 
 def _name_words(person: Column) -> Column:
     """The words of a name with their kinds: the last one is the surname."""
-    given = F.when(person.rlike(f"^(?:(?:{_TITLES}) )*(?:{_FEMALE}) "), F.lit("given_f")).otherwise(F.lit("given_m"))
+    titled = lambda t: person.rlike(f"^(?:(?:{_TITLES}) )*(?:{t}) ")
+    given = F.when(titled(_FEMALE), F.lit("given_f")).when(titled(_MALE), F.lit("given_m")).otherwise(F.lit("given_n"))
     found = F.regexp_extract_all(F.regexp_replace(person, _LEADING, ""), F.lit(_NAME), 0)
     return F.transform(found, lambda w, i: F.struct(
         w.alias("word"), F.when(i == F.size(found) - 1, F.lit("surname")).otherwise(given).alias("kind")))
@@ -212,7 +216,7 @@ def _with_names(names: Column) -> Column:
 def _parts(kind: Column, e: Column) -> Column:
     """An entity as pieces (prefix, kind, norm, shown form): names word by word, others whole."""
     s = lambda p, k, n, raw: F.struct(p.alias("prefix"), k.alias("kind"), n.alias("norm"), raw.alias("raw"))
-    norm = (F.when(kind.isin("email", *NAMES), F.lower(e)).when(kind.isin("card", "iban"), F.regexp_replace(e, "[ -]", "")).otherwise(e))
+    norm = (F.when(kind.isin("email", *NAMES, *GIVEN), F.lower(e)).when(kind.isin("card", "iban"), F.regexp_replace(e, "[ -]", "")).otherwise(e))
 
     between = F.split(F.regexp_replace(e, _LEADING, ""), _NAME)
     person = F.transform(_name_words(e), lambda x, i: s(
@@ -223,7 +227,7 @@ def _parts(kind: Column, e: Column) -> Column:
 def _shown(raw: Column, kind: Column, sur: Column) -> Column:
     """The surrogate in the mention's own form: case, and the grouping of card numbers and IBANs."""
     cased = F.when(raw.rlike(r"\p{L}") & (F.upper(raw) == raw) & (kind != "secret") & (F.length(raw) > 1), F.upper(sur)) \
-        .when(kind.isin("given_m", "given_f", "surname"), F.initcap(sur)).otherwise(sur)
+        .when(kind.isin(*NAMES), F.initcap(sur)).otherwise(sur)
 
     def grouped(chars: Column) -> Column:
         # the n-th character that is not a separator comes from the surrogate
@@ -235,19 +239,29 @@ def _shown(raw: Column, kind: Column, sur: Column) -> Column:
 
 
 def draw_surrogates(entities: DataFrame, key: str) -> DataFrame:
-    """(kind, norm, sur) for distinct ``entities`` (kind, norm): no surrogate twice
-    in a kind, none that is an entity of its kind."""
-    book = entities.select("kind", "norm", F.lit(0).alias("attempt"))
+    """(kind, norm, sur) for distinct ``entities`` (kind, norm, and for names their role): no
+    surrogate twice in a kind, none that is an entity of its kind."""
+    role = F.col("role") if "role" in entities.columns else F.col("kind")
+    book = entities.select("kind", "norm", role.alias("role"), F.lit(0).alias("attempt"))
     real = entities.select("kind", F.col("norm").alias("sur"), F.lit(True).alias("real"))
     while True:
-        book = reliable(book.withColumn("sur", surrogate(F.col("kind"), F.col("norm"), F.col("attempt"), key)))
+        book = reliable(book.withColumn("sur", surrogate(F.col("kind"), F.col("norm"), F.col("attempt"), key, F.col("role"))))
         first = book.groupBy("kind", "sur").agg(F.min(F.struct("attempt", "norm")).alias("first"), F.count("*").alias("n"))
         clash = first.join(real, ["kind", "sur"], "left").where("n > 1 or real").select("kind", "sur", "first", "real")
         again = reliable(book.join(clash, ["kind", "sur"]).where("real or first.norm <> norm").select("kind", "norm"))
         if not again.limit(1).count():
             return book.select("kind", "norm", "sur")
         book = book.join(again.withColumn("again", F.lit(1)), ["kind", "norm"], "left").select(
-            "kind", "norm", (F.col("attempt") + F.coalesce("again", F.lit(0))).alias("attempt"))
+            "kind", "norm", "role", (F.col("attempt") + F.coalesce("again", F.lit(0))).alias("attempt"))
+
+
+def given_names(places: DataFrame) -> DataFrame:
+    """(norm, role) of all given names: the gender that most of the corpus' titles give the name, none where
+    no title tells; so a person is one whatever the title of a mention."""
+    n = lambda k: F.count_if(F.col("kind") == k)
+    return (places.where(F.col("kind").isin(*GIVEN)).groupBy("norm").agg(n("given_f").alias("f"), n("given_m").alias("m"))
+            .select("norm", F.when(F.col("f") > F.col("m"), F.lit("given_f")).when(F.col("m") > 0, F.lit("given_m"))
+                    .otherwise(F.lit("given_n")).alias("role")))
 
 
 def replace_pii(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -267,7 +281,10 @@ def replace_pii(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
               .withColumn("kind", F.coalesce(bare, _kind(F.col("e")))))
     places = reliable(places.select("__key", "at", F.posexplode(_parts(F.col("kind"), F.col("e"))).alias("part", "p"))
                       .select("__key", "at", "part", "p.*"))
-    book = draw_surrogates(places.select("kind", "norm").distinct(), key)
+    roles = given_names(places).withColumn("kind", F.lit("given"))
+    places = places.withColumn("kind", F.when(F.col("kind").isin(*GIVEN), F.lit("given")).otherwise(F.col("kind")))
+    book = draw_surrogates(places.select("kind", "norm").distinct().join(roles, ["kind", "norm"], "left")
+                           .withColumn("role", F.coalesce("role", "kind")), key)
     shown = F.concat("prefix", _shown(F.col("raw"), F.col("kind"), F.col("sur")))
     whole = (places.join(book, ["kind", "norm"]).groupBy("__key", "at")
              .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(F.col("part"), shown.alias("s")))),

@@ -60,11 +60,23 @@ def test_surrogates_are_distinct_and_keyed(spark):
     assert one != {r.doc_id: r.text for r in pii.replace_pii(df, "other").collect()}
 
 
+def test_one_person_has_one_surrogate_whatever_the_title(spark):
+    texts = ["Dr. Jane Roe met us. Later Mrs. Jane Roe left.", "Prof. Jane Miller and Mr. Karl Roe, then Dr. Karl Roe.", "Dr. Robin Finch came."]
+    out = [r.text for r in pii.replace_pii(spark.createDataFrame(list(enumerate(texts)), DOCS), "k").orderBy("doc_id").collect()]
+    a, b = re.fullmatch(r"Dr\. (\w+ \w+) met us\. Later Mrs\. (\w+ \w+) left\.", out[0]).groups()
+    assert a == b and a != "Jane Roe"
+    jane, karl, again = re.fullmatch(r"Prof\. (\w+) \w+ and Mr\. (\w+ \w+), then Dr\. (\w+ \w+)\.", out[1]).groups()
+    assert jane == a.split()[0] and karl == again and karl.split()[1] == a.split()[1]
+    ends = lambda w, role: w.lower().endswith(tuple(pii._ENDINGS["latin"][role]))
+    assert ends(jane, "given_f") and ends(karl.split()[0], "given_m")
+    assert ends(re.match(r"Dr\. (\w+)", out[2]).group(1), "given_n")
+
+
 def test_surrogate_clashes_are_drawn_again(spark, monkeypatch):
     entities = spark.createDataFrame([("ssn", f"000-00-{i:04d}") for i in range(60)], "kind string, norm string")
     real = pii.surrogate
-    few = lambda kind, norm, attempt, key: F.when(  # noqa: E731  the first draw hits few values, one of them real
-        attempt == 0, F.concat(F.lit("000-00-000"), F.substring(norm, -1, 1))).otherwise(real(kind, norm, attempt, key))
+    few = lambda kind, norm, attempt, key, role: F.when(  # noqa: E731  the first draw hits few values, one of them real
+        attempt == 0, F.concat(F.lit("000-00-000"), F.substring(norm, -1, 1))).otherwise(real(kind, norm, attempt, key, role))
     monkeypatch.setattr(pii, "surrogate", few)
     book = pii.draw_surrogates(entities, "k").collect()
     assert len({r.sur for r in book}) == 60 and not {r.sur for r in book} & {r.norm for r in book}
