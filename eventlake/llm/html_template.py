@@ -12,8 +12,9 @@ Menus, headers, footers, side bars, notices, adverts, forms and comments are tol
 by their element, or by a whole token of role, class or id ("site-footer", but not
 "no-sidebar"); only such elements below the container count, so the container and
 what it lies in are never boilerplate by name, nor are body, main and an outer
-article. A block text that every page of a larger host has belongs to the template
-itself.
+article. What an ``article`` or ``main`` container holds besides is main text, also if it stands on
+every page. In a container that only the classes tell, a block text that all pages with
+the container have belongs to the template itself.
 
 In Spark: each task folds its pages into one row per (host, token) - support,
 occurrences, a commutative 64-bit fingerprint of the occurrence vector, text
@@ -42,7 +43,6 @@ from eventlake.functions.shipping import ship_by_value
 from eventlake.llm import hashing
 from eventlake.llm.common import reliable
 
-FIXED_PAGES = 10  # hosts with fewer pages have no fixed texts
 BROADCAST_HOSTS = 20_000
 HIDDEN_SHARE = 9  # an element named as boilerplate is the container if it has over nine tenths of the text
 
@@ -222,7 +222,6 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, host in enumerate(hosts):
             blocks, seen = parse(b.column(2)[i].as_py() or "", root)
             weights, key = _weights(blocks), keys[i] & (2**64 - 1)
-            pages[host] += 1
             seen[root] = 1
             for path, n in seen.items():
                 s = sums[host, path]
@@ -231,10 +230,12 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 s[2] += _mix(key, n)
                 s[3] += weights.get(path, 0)
             texts = {text_hash(clean(raw)) for path, raw, _ in blocks if not path.hard}
-            common[host] = common[host] & texts if host in common else texts
+            if texts:  # empty pages say nothing about fixed texts
+                common[host] = common[host] & texts if host in common else texts
+                pages[host] += 1
         rows = [(h, p.key, p.parent.key if p.parent else "", p.depth, p.cut > 0, p.hard, s[0], s[1], _signed(s[2]), s[3], None)
                 for (h, p), s in sums.items()]
-        # texts that all pages of this batch have; only such can be in all pages of the host
+        # texts that all pages with text in this batch have; only such can be in all of the host
         rows += [(h, None, None, 0, False, False, pages[h], 0, 0, 0, t) for h, ts in common.items() for t in ts]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _FOLD_TYPES)], names=_FOLD_NAMES)
 
@@ -298,9 +299,12 @@ def deduce_templates(pages: DataFrame) -> DataFrame:
     best = (template.where(ok).withColumn("rank", rank).where("rank is not null")
             .groupBy("host").agg(F.max(F.struct(
                 "rank", F.when(F.col("rank") > 0, F.col("weight")).otherwise(F.col("depth")).alias("worth"),
-                "depth", F.col("path"))).alias("best")).select("host", F.col("best.path").alias("container")))
+                "depth", F.col("path"), "support", tagged.alias("tagged"))).alias("best"))
+            .select("host", F.col("best.path").alias("container"), "best.support", "best.tagged"))
+    untold = best.where(~F.col("tagged") & (F.col("support") > 1)).select("host", F.col("support").alias("with_it"))
+    best = best.select("host", "container")
     fixed = (folded.where("fixed is not null").groupBy("host", "fixed").agg(F.sum("support").alias("n"))
-             .join(n_pages, "host").where((F.col("n") == F.col("pages")) & (F.col("pages") >= FIXED_PAGES))
+             .join(untold, "host").where(F.col("n") >= F.col("with_it"))
              .groupBy("host").agg(F.collect_list("fixed").alias("fixed")))
     return reliable(n_pages.select("host").join(best, "host", "left").join(fixed, "host", "left"))
 

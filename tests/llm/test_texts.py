@@ -198,6 +198,29 @@ def test_main_text_of_several_templates(spark):
         assert got == {i: "\n\n".join(w) for i, w in want.items()}
 
 
+def test_a_paragraph_on_every_page_is_main_text_of_articles(spark):
+    rng, rows = random.Random(31), []
+    same = sentence(rng, 25)
+    for host, n in (("a", 2), ("b", 9), ("c", 10), ("d", 51)):
+        for i in range(n):
+            rows.append((len(rows), f"http://{host}.org/{i}", page(f"<nav>menu</nav><article><p>{sentence(rng, 40)}</p><p>{same}</p></article>")))
+    rows.append((len(rows), "http://d.org/x", None))
+    out = html_template.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert all(same in r.text for r in out if r.page_id < len(rows) - 1)
+
+
+def test_fixed_text_of_a_deduced_container_whatever_the_number_of_pages(spark):
+    rng, rows, want = random.Random(32), [], {}
+    for host, n in (("a", 3), ("b", 9), ("c", 10), ("d", 30)):
+        for i in range(n):
+            text = sentence(rng, 60)
+            want[len(rows)] = text
+            rows.append((len(rows), f"http://{host}.org/{i}", page(f"<div class='top'>x</div><div class='box'><p>All rights stay here.</p><p>{text}</p></div>")))
+    rows.append((len(rows), "http://d.org/x", None))
+    out = html_template.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in out if r.page_id in want} == want
+
+
 def test_copies_of_one_page_keep_their_text(spark):
     html = page("<nav><a href='/'>menu</a></nav><article><h1>T</h1><p>one</p><p>two</p></article>")
     df = spark.createDataFrame([(i, f"http://h/{i}", html) for i in range(15)], "page_id long, url string, html string")
