@@ -265,6 +265,16 @@ SELECT message_id, dim1, metrics1, event_ts AS event_ms,
             WHEN {_SLICE} >= 2 AND dim1 = 'click' THEN 'landing' ELSE dim1_val END AS dim1_val
 FROM enr""",
 
+    # the value that was valid at the event's time
+    "stream_enrich_as_of": f"""
+WITH {ENR.strip()},
+lim AS (SELECT (min(arrival_us) // 86400000000) * 86400000 AS t0 FROM enr)
+SELECT message_id, dim1, metrics1, event_ts AS event_ms,
+       CASE WHEN dim1 = 'error' AND event_ts >= t0 + 864000000 THEN 'support'
+            WHEN dim1 = 'click' AND event_ts >= t0 + 1296000000 THEN 'landing'
+            WHEN dim1 = 'view' AND event_ts >= t0 + 1728000000 THEN 'Not Found' ELSE dim1_val END AS dim1_val
+FROM enr, lim""",
+
     "stream_update_stats": f"WITH {ENR.strip()}, {_sliced('enr', L30M).strip()} {_UPDATE}",
 
     "stream_append_stats": f"WITH {ENR.strip()}, {_sliced('enr', L30M).strip()} {_APPEND}",

@@ -18,6 +18,7 @@ from eventlake.sinks.tall import CELL, TallTable
 from eventlake.sources.log import BUCKET, drain, read_message_log
 from eventlake.sources.dims import fixture_dimension, read_dimension
 from eventlake.streaming import stats as st
+from eventlake.streaming.asof import start_as_of_query
 from eventlake.streaming.enrich import RefreshingDimension, start_refreshing_enrich_query
 from eventlake.streaming.fanout import FanOut, with_window_ms
 from eventlake.sinks.keyed import KeyedTable, window_day
@@ -321,6 +322,34 @@ def q_stream_enrich_refreshing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out").drop("batch_id", "dim_version")
 
 
+def q_stream_enrich_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lookup as a change log: known from the start, but ``error`` from the tenth day on, ``click`` with a
+    newer value from the 15th, ``view`` gone from the 20th. Events get the value of their time."""
+    root, slices = _staged(spark, sf_dir, "stream_enrich_as_of")
+    first = spark.read.schema(MESSAGE).parquet(f"{root}/src").agg(F.min(F.unix_micros("publish_ts"))).first()[0] or 0
+    t0 = first // 86_400_000_000 * 86_400_000
+    day = 86_400_000
+    later = spark.createDataFrame([("error", "support", t0 + 10 * day), ("click", "landing", t0 + 15 * day), ("view", None, t0 + 20 * day)],
+                                  "dim1 string, dim1_val string, event_ms long")
+    changes = fixture_dimension(spark).select("dim1", "dim1_val", F.lit(0).cast("long").alias("event_ms")).unionByName(later)
+    at = F.greatest(F.col("event_ms"), F.lit(t0)) - F.lit(t0 - SHIFT_MINUTES * 60_000)
+    changes = changes.withColumn("event_time", F.timestamp_millis("event_ms")).withColumn(
+        SLICE, F.floor(at / F.lit(SLICE_MINUTES * 60_000)).cast("int"))
+    schema = changes.drop(SLICE).schema
+    changes.write.partitionBy(SLICE).parquet(f"{root}/changes")
+    shown: list[int] = []
+    s = S.with_(allowed_lateness="2h")
+
+    def start(messages: DataFrame):
+        shown.append(slices[len(shown)])
+        log = spark.readStream.schema(schema).parquet(f"{root}/changes/{SLICE}={{{','.join(map(str, shown))}}}")
+        events = _valid(messages).select("message_id", "dim1", "metrics1", "event_ms", "event_time")
+        return start_as_of_query(events, log, f"{root}/out", f"{root}/ckpt", s)
+
+    replay(spark, f"{root}/src", slices, MESSAGE, start)
+    return spark.read.parquet(f"{root}/out")
+
+
 def q_stream_fanout_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every sink holds after one run over the faulty messages: (sink, key, value)."""
     prepare(spark)
@@ -371,5 +400,6 @@ STREAM_QUERIES = {
     "read_tall_latest": q_read_tall_latest,
     "stream_per_trigger_stats": q_stream_per_trigger_stats,
     "stream_enrich_refreshing": q_stream_enrich_refreshing,
+    "stream_enrich_as_of": q_stream_enrich_as_of,
     "stream_fanout_sinks": q_stream_fanout_sinks,
 }
