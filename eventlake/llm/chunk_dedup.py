@@ -17,9 +17,9 @@ passage keeps all of it, even where shorter parts stand in still earlier ones. E
 a passage that share a chunk with other text fall away, so ``min_words`` lies well under
 the length of the passages to be found.
 
-Window digests are computed once and written to the shared folder; they are shuffled once to
-count them (pre-aggregated, so one that all documents hold is one row per task) and once to
-find their places. Digests have 64 bits.
+Window digests are computed once and written to the shared folder; all are shuffled once to
+count them (pre-aggregated, so one that all documents hold is one row per task), the repeated
+ones once more to find their places. Digests have 64 bits.
 
 Defined results: null and empty texts have no chunks, and texts of fewer chunks than a window no
 repeats; a document is an id, rows that repeat an id and a text count once; rows with a null id
@@ -36,6 +36,8 @@ from pyspark.sql import functions as F
 
 from eventlake.functions.shipping import ship_by_value
 from eventlake.llm import hashing
+from eventlake.llm.collocations import Bits, bit_table
+from eventlake.llm.common import reliable
 from eventlake.llm.hashing import SpanHash, text_slices, word_spans
 from eventlake.session import scratch_path
 
@@ -44,7 +46,8 @@ LONGEST = 256
 MIN_WORDS = 25
 WINDOW = 3  # neighbouring chunks that are compared together
 
-WINDOWS = "doc_id long, text long, seq long, start long, end long, before long, upto long, digest long"
+WINDOWS = "doc_id long, text long, seq int, start int, end int, before int, upto int, digest long"
+FILTER_BITS = 1 << 27
 
 
 def gear_hash(data: np.ndarray) -> np.ndarray:
@@ -114,7 +117,7 @@ def chunks_of(data: np.ndarray, offsets: np.ndarray):
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, text_hash, text) -> windows of chunks: the number of the first chunk, bytes from and to,
     words of the text before the window and up to its end, digest."""
-    names = [x.split()[0] for x in WINDOWS.split(", ")]
+    names, types = zip(*[x.split() for x in WINDOWS.split(", ")])
     for b in batches:
         ids, texts = (b.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
         for a, z, data, offsets in text_slices(b.column(2)):
@@ -131,7 +134,18 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             base = sums[lo[row[i]]]
             cols = (ids[a + row[i]], texts[a + row[i]], i - lo[row[i]], start[i] - offsets[row[i]], end[j] - offsets[row[i]],
                     sums[i] - base, sums[j + 1] - base, mixed.view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64 if t == "long" else np.int32)) for c, t in zip(cols, types)], names=names)
+
+
+def _perhaps_repeated(shared):
+    """The windows whose digest the bit table does not deny."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = Bits(shared.value, FILTER_BITS)
+        for b in batches:
+            digest = b.column(b.num_columns - 1).to_numpy(zero_copy_only=False).view(np.uint64)
+            yield b.filter(pa.array(bits.has(digest)))
+
+    return run
 
 
 def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -143,10 +157,14 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)).alias("doc_id"),
                        F.xxhash64(text).alias("text_hash"), text.alias("text"))
     path = scratch_path(docs.sparkSession, "chunk-windows")
-    rows.mapInArrow(_windows, WINDOWS).write.parquet(path)
-    windows = docs.sparkSession.read.parquet(path)
-    shared = (windows.groupBy("digest").agg(F.count("*").alias("n"), F.min("doc_id").alias("first")).where("n > 1"))
-    found = windows.join(shared.select("digest", "first"), "digest")
+    spark = docs.sparkSession
+    rows.mapInArrow(_windows, WINDOWS).write.option("compression", "zstd").parquet(path)
+    windows = spark.read.schema(WINDOWS).parquet(path)
+    shared = reliable(windows.groupBy("digest").agg(F.count("*").alias("n"), F.min("doc_id").alias("first"))
+                      .where("n > 1").select("digest", "first"))
+    # what is not repeated does not travel: a bit table of fixed size tells (it lets a few others through)
+    bits = spark.sparkContext.broadcast(bit_table(shared.select(F.col("digest").alias("x")), FILTER_BITS))
+    found = windows.mapInArrow(_perhaps_repeated(bits), WINDOWS).join(shared, "digest")
     # of rows with the same id and text one counts; the first place of a digest in its first document
     found = found.groupBy("digest", "doc_id", "text", "seq").agg(
         *[F.min(c).alias(c) for c in ("start", "end", "before", "upto", "first")])

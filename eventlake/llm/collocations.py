@@ -297,12 +297,13 @@ def _word_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], names=["lang", "n"])
 
 
-def _bit_table(hashes: DataFrame) -> np.ndarray:
-    """The bit table of the hashes ``x``: at most FILTER_BITS / 64 rows reach the driver."""
-    at = F.col("x").bitwiseAND(F.lit(FILTER_BITS - 1))
+def bit_table(hashes: DataFrame, size: int | None = None) -> np.ndarray:
+    """The bit table of the hashes ``x`` (FILTER_BITS bits unless given): a 64th as many rows reach the driver at most."""
+    size = size or FILTER_BITS
+    at = F.col("x").bitwiseAND(F.lit(size - 1))
     rows = (hashes.select(F.shiftright(at, 6).alias("word"), F.expr("shiftleft(1L, int(x & 63))").alias("bit"))
             .groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow())
-    words = np.zeros(FILTER_BITS // 64, np.uint64)
+    words = np.zeros(size // 64, np.uint64)
     words[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
     return words
 
@@ -322,9 +323,9 @@ def candidates(texts: DataFrame, min_count: int, longest: int = LONGEST) -> Data
     frequent = level = hashed([1, 2], None)
     for k in range(3, longest + 1):
         shorter = level.where(F.col("h").bitwiseAND(F.lit(3)) == k - 1).select(F.shiftrightunsigned("h", 2).alias("x"))
-        level = hashed([k], spark.sparkContext.broadcast(_bit_table(shorter)))
+        level = hashed([k], spark.sparkContext.broadcast(bit_table(shorter)))
         frequent = frequent.unionByName(level)
-    owners = spark.sparkContext.broadcast(_bit_table(frequent.mapInArrow(_owners, "x long")))
+    owners = spark.sparkContext.broadcast(bit_table(frequent.mapInArrow(_owners, "x long")))
     spelled = texts.mapInArrow(_spelled(owners, longest), "lang string, phrase string, h long")
     return spelled.distinct().join(frequent.select("h"), "h", "left_semi").select("lang", "phrase")
 
