@@ -5,9 +5,10 @@ FIRE_IF_NON_EMPTY, accumulating and discarding panes with pane metadata.
 The rows of a micro-batch are first folded per task into partial aggregates of
 (keys, window), so a hot key is a few rows per task. The partials go to
 ``transformWithState`` keyed by (keys, window): the pane counters live in its state
-store (RocksDB), its event-time timers fire the on-time pane at the window's end and
-close the window at end + lateness, and checkpoints, restarts and state cleanup are
-Spark's. With W the watermark (the greatest event time of earlier batches) rows of a
+store (RocksDB), an event-time timer fires the on-time pane at the window's end and closes the
+window too if the watermark is past end + lateness by then; else it sets another one for that. Rows
+of a key come and go as ``Row``s, a frame per key would cost more than the work. Checkpoints,
+restarts and state cleanup are Spark's. With W the watermark (the greatest event time of earlier batches) rows of a
 window with W >= end + lateness are dropped (and counted in a ``DROPPED`` row that
 carries no pane), W >= end makes a late pane once ``late_firing_count`` rows are
 buffered, anything else an early pane. An on-time pane without new rows is emitted
@@ -28,7 +29,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -72,9 +73,13 @@ class PaneProcessor(StatefulProcessor):
             p + c: self.number for p in ("", "p", "e") for c in ("s", "mn", "mx")}
         self.totals = handle.getValueState("totals", ", ".join(f"{c} {kinds[c]}" for c in _STATE))
 
-    def _load(self) -> dict:
-        if self.totals.exists():
-            return dict(zip(_STATE, self.totals.get()))
+    def _load(self) -> dict | None:
+        """The state of the key, None if there is none: one call of the store."""
+        got = self.totals.get()
+        return None if got is None else dict(zip(_STATE, got))
+
+    @staticmethod
+    def _new() -> dict:
         return dict.fromkeys(_STATE, 0) | dict.fromkeys(
             ("mn", "mx", "pmn", "pmx", "emn", "emx", "opened", "due")) | {"on_time": False}
 
@@ -98,28 +103,27 @@ class PaneProcessor(StatefulProcessor):
             st[ns] += timing != "EARLY"
         return out
 
-    def _frame(self, rows: list[tuple]) -> Iterator[pd.DataFrame]:
-        if rows:
-            yield pd.DataFrame(rows, columns=[*self.keys, "win_start_ms", "timing", "pane_idx", "pane_nonspeculative_idx",
-                                              "is_first", "is_last", "num_records", "sum", "min", "max", "mode"])
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        n, s, mn, mx, last, clock = 0, 0, None, None, None, None
-        for b in rows:
-            n, s = n + int(b["n"].sum()), s + b["s"].sum().item()
-            lo, hi = b["mn"].min().item(), b["mx"].max().item()
-            mn, mx = lo if mn is None else min(mn, lo), hi if mx is None else max(mx, hi)
-            last, clock = max(last or 0, int(b["last"].max())), max(clock or 0, int(b["clock"].max()))
+    def _rows(self, rows: list[tuple]) -> Iterator[Row]:
+        out = Row(*self.keys, "win_start_ms", "timing", "pane_idx", "pane_nonspeculative_idx",
+                  "is_first", "is_last", "num_records", "sum", "min", "max", "mode")
+        return (out(*r) for r in rows)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        n, s, mn, mx, last, clock = 0, 0, None, None, 0, 0
+        for r in rows:
+            n, s = n + r["n"], s + r["s"]
+            mn = r["mn"] if mn is None else min(mn, r["mn"])
+            mx = r["mx"] if mx is None else max(mx, r["mx"])
+            last, clock = max(last, r["last"]), max(clock, r["clock"])
         w, end = timerValues.getCurrentWatermarkInMs(), int(key[-1]) + self.size
-        key = tuple(k.item() if hasattr(k, "item") else k for k in key)
         if w >= end + self.lateness:
-            yield from self._frame([(*key, "DROPPED", 0, 0, False, False, n, s, mn, mx, "dropped")])
+            yield from self._rows([(*key, "DROPPED", 0, 0, False, False, n, s, mn, mx, "dropped")])
             return
-        known, st, out = self.totals.exists(), self._load(), []
-        if not known:
-            if w < end:
-                self.handle.registerTimer(end)
-            self.handle.registerTimer(end + self.lateness)
+        st, out = self._load(), []
+        known = st is not None
+        st = st if known else self._new()
+        if not known:  # the timer of the end registers the closing one, if that is still ahead
+            self.handle.registerTimer(end if w < end else end + self.lateness)
         if w < end:
             self._add(st, "e", n, s, mn, mx)
             if st["opened"] is None:
@@ -136,7 +140,7 @@ class PaneProcessor(StatefulProcessor):
             if st["pn"] >= self.late_count:
                 out += self._fire(st, key, "LATE", self._take(st, "p"), False)
         self._store(st)
-        yield from self._frame(out)
+        yield from self._rows(out)
 
     def _early(self, st: dict, key: tuple) -> list[tuple]:
         st["opened"] = st["due"] = None
@@ -152,28 +156,28 @@ class PaneProcessor(StatefulProcessor):
     def _store(self, st: dict) -> None:
         self.totals.update(tuple(st[c] for c in _STATE))
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if not self.totals.exists():
-            return
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         st, end = self._load(), int(key[-1]) + self.size
-        key = tuple(k.item() if hasattr(k, "item") else k for k in key)
-        at, out = expiredTimerInfo.getExpiryTimeInMs(), []
+        if st is None:
+            return
+        at, w, out = expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs(), []
         if at < end:  # an early pane is due, unless it has fired or the window has ended
-            if st["due"] == at and timerValues.getCurrentWatermarkInMs() < end:
+            if st["due"] == at and w < end:
                 out = self._early(st, key)
                 self._store(st)
-            yield from self._frame(out)
+            yield from self._rows(out)
             return
-        if not st["on_time"]:  # both later timers may be due; the on-time pane comes first
+        if not st["on_time"]:  # the watermark may be past the close too; the on-time pane comes first
             out = self._fire(st, key, "ON_TIME", self._take(st, "e"), False)
             st["on_time"] = True
-        if at < end + self.lateness:
+        if w < end + self.lateness:
+            self.handle.registerTimer(end + self.lateness)
             self._store(st)
         else:
             if st["pn"]:
                 out += self._fire(st, key, "LATE", self._take(st, "p"), True)
             self.totals.clear()
-        yield from self._frame(out)
+        yield from self._rows(out)
 
     def close(self) -> None:
         pass
@@ -200,7 +204,7 @@ def pane_stream(valid: DataFrame, settings: Settings = Settings(), keys=("dim1",
             .where(F.col(value).isNotNull()).drop(time_col))
     parts = rows.mapInPandas(_fold(keys, value, settings.window_ms),
                              f"{named}, win_start_ms long, n long, s {number}, mn {number}, mx {number}, last long, clock long")
-    panes = parts.groupBy(*keys, "win_start_ms").transformWithStateInPandas(
+    panes = parts.groupBy(*keys, "win_start_ms").transformWithState(
         PaneProcessor(keys, settings.window_ms, settings.lateness_ms, settings.late_firing_count, number,
                       0 if clock is None else settings.early_ms),
         f"{named}, win_start_ms long, timing string, pane_idx long, pane_nonspeculative_idx long, is_first boolean, "

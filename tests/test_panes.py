@@ -2,6 +2,7 @@
 early period 2 s, key x, one micro-batch per input group)."""
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from eventlake.operators import encode as enc
@@ -9,6 +10,7 @@ from eventlake.operators.aggregates import window_stats
 from pane_model import (classify_rows, lateness_audit, pane_replay_accumulating,
                                        pane_replay_discarding)
 from eventlake.settings import Settings
+from eventlake.streaming.panes import PaneProcessor
 
 S = Settings.deployed()
 # (batch, value, event second)
@@ -97,3 +99,55 @@ def test_live_replay_late_count_closing_pane(rows):
     d = pane_replay_discarding(rows, s2, live=True).filter("win_start_ms = 0").orderBy("pane_idx").collect()
     assert [(p.timing, p.sum, p.is_last) for p in d] == [("EARLY", 1, False), ("EARLY", 5, False),
                                                          ("LATE", 9, True)]
+
+
+class FakeStore:
+    """A handle with one value state that keeps count of the calls of the store."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, [], 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+        self.calls += 1
+
+    def exists(self):
+        self.calls += 1
+        return self.value is not None
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls += 1
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+
+class At:
+    """Timer values at a watermark, and the info of a timer that is due."""
+
+    def __init__(self, ms):
+        self.getCurrentWatermarkInMs = self.getExpiryTimeInMs = lambda: ms
+
+
+@pytest.mark.parametrize("watermark, timings, timers", [(6000, ["ON_TIME"], [14000]), (20000, ["ON_TIME"], [])])
+def test_a_key_takes_few_calls_of_the_store(watermark, timings, timers):
+    store = FakeStore()
+    p = PaneProcessor(["k"], 6000, 8000, 1, "long")
+    p.init(store)
+    part = Row(n=2, s=5, mn=1, mx=4, last=1000, clock=0)
+    fired = list(p.handleInputRows(("x", 0), iter([part, part]), At(0)))
+    assert [(r.timing, r.num_records, r["sum"], r["min"], r["max"]) for r in fired] == [("EARLY", 4, 10, 1, 4)] * 2
+    assert store.calls == 3 and store.timers == [6000]  # read, one timer, write
+    store.timers = []
+    ended = list(p.handleExpiredTimer(("x", 0), At(watermark), At(6000)))
+    assert [r.timing for r in ended] == timings and ended[0].mode == "accumulating"
+    assert store.timers == timers and (store.value is None) == (not timers)  # past the close the key is gone at once
+    assert not timers or not list(p.handleExpiredTimer(("x", 0), At(14000), At(14000))) and store.value is None
