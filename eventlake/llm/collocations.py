@@ -47,7 +47,8 @@ from eventlake.session import scratch_path
 MIN_COUNT, LONGEST, TOP = 10, 3, 2000
 TRIE_BYTES = 24_000_000  # candidate text of one shard
 FILTER_BITS = 1 << 28
-HELD = 1_000_000  # different hashes a task holds before it passes them on
+SLICE = 300_000  # bytes of text worked on together
+HELD = 500_000  # different hashes a task holds before it passes them on
 SEEN = 500_000  # phrases a task remembers to have spelled out
 
 _SEPARATOR = np.zeros(256, bool)
@@ -88,7 +89,7 @@ class Pieces:
         # a fingerprint of the text of every word
         first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])) if n else np.empty(0, np.int64)
         last = np.append(first[1:], n) - 1 if n else first
-        prints = (self.sums.of(self.start[first], self.end[last]) >> np.uint64(33)).astype(np.int64)
+        prints = (self.sums.of(self.start[first], self.end[last]) >> np.uint64(33)).astype(np.int32)
         self.text = np.repeat(prints, last - first + 1)
         salt = np.array([splitmix(np.array([SpanHash(np.frombuffer(x.encode() + LANG_END, np.uint8), _SEED)
                                             .of(np.array([0]), np.array([len(x.encode()) + 1]))[0]]))[0]
@@ -113,7 +114,7 @@ def held_by(h: np.ndarray, text: np.ndarray) -> np.ndarray:
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[Pieces]:
     for b in batches:
-        for i, j, data, offsets in text_slices(b.column(1), 1_000_000):
+        for i, j, data, offsets in text_slices(b.column(1), SLICE):
             yield Pieces(data, offsets, b.column(0).slice(i, j - i))
 
 
@@ -140,26 +141,32 @@ class Summed:
         self.parts.append(self.merged(h, np.ones(len(h), np.int64), text))
         self.held += len(self.parts[-1][0])
         if self.held > HELD:
-            self.parts = [self.merged(*(np.concatenate(x) for x in zip(*self.parts)))]
+            self.parts = [self.merged(*self.taken())]
             self.held = len(self.parts[0][0])
             if self.held > HELD // 2:
                 yield from self.rest()
 
+    def taken(self) -> list[np.ndarray]:
+        """All that is held, column by column; it is held no longer."""
+        parts, self.parts, self.held = [list(p) for p in self.parts], [], 0
+        return [np.concatenate([p.pop(0) for p in parts]) for _ in range(3)]
+
     @staticmethod
     def merged(h: np.ndarray, n: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         order = np.argsort(h)
         h = h[order]
-        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        new = np.ones(len(h), bool)
+        np.not_equal(h[1:], h[:-1], out=new[1:])
+        first = np.flatnonzero(new)
         return h[first], np.add.reduceat(n[order], first), np.minimum.reduceat(text[order], first)
 
     def rest(self) -> Iterator[pa.RecordBatch]:
         if self.parts:
-            h, n, text = self.merged(*(np.concatenate(x) for x in zip(*self.parts)))
+            h, n, text = self.merged(*self.taken())
             for i in range(0, len(h), 100_000):
                 z = i + 100_000
                 yield pa.RecordBatch.from_arrays([pa.array(h[i:z].view(np.int64)), pa.array(n[i:z]), pa.array(text[i:z], pa.int32())],
                                                  names=["h", "n", "text"])
-        self.parts, self.held = [], 0
 
 
 def _hash_counts(sizes: list[int], shared):

@@ -2,9 +2,11 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from eventlake.llm import collocations
@@ -94,3 +96,15 @@ def test_scores_beyond_64_bits(spark):
     counts = spark.createDataFrame([("x", "a", big), ("x", "b", big + 7), ("x", "a b", big - 3)], "lang string, phrase string, f long")
     r = collocations._scored(counts).first()
     assert r.score == 1_000_000 * (big - 3)**2 // (big * (big + 7))
+
+
+def test_counting_holds_little_at_a_time():
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(500)) for _ in range(3000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * len(texts)), pa.array(texts)], names=["lang", "text"])
+    tracemalloc.start()
+    n = sum(sum(b.column(1).to_pylist()) for b in collocations._hash_counts([1, 2], None)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 3000 * (500 + 499)  # all occurrences, however often the task passes its counts on
+    assert peak < 100e6
