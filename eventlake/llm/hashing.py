@@ -11,6 +11,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+SLICE = 500_000  # bytes of text worked on together; a worker's arrays are some hundred times that
+
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -35,7 +37,7 @@ class SpanHash:
         p = int(splitmix(np.array([seed], np.uint64))[0]) | 1
         pw, inv = SpanHash._powers.get(seed, (np.empty(0, np.uint64),) * 2)
         if len(pw) < len(data) + 1:
-            n = max(len(data) + 1, 1 << 20)
+            n = max(len(data) + 1, SLICE)
             ones = lambda x: np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, np.uint64(x))]), dtype=np.uint64)
             pw, inv = ones(p), ones(pow(p, -1, 1 << 64))
             SpanHash._powers[seed] = (pw, inv)
@@ -47,7 +49,7 @@ class SpanHash:
         return splitmix((self.sums[end] - self.sums[start]) * self.inv[start] + (end - start).astype(np.uint64))
 
 
-def text_slices(column: pa.Array, most: int = 2_000_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_slices(column: pa.Array, most: int = SLICE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, row after the last, bytes, offsets of the rows) for runs of rows
     with about ``most`` bytes; a longer text is a run of its own. Null: empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -10,7 +10,8 @@ The tokens come from a public tokenizer file, read by every worker from
 ``tokenizer_path``. BPE works on single words, so a batch's words are dictionary
 encoded as arrays, each different word is tokenized once per worker, and the ids of
 the texts are gathered from the words' ids by array operations. One pass, no
-shuffle; memory per task is one batch of texts plus the bounded word cache.
+shuffle; memory per task is one batch of texts plus the bounded caches: ``CACHE``
+different words and as many word parts, of which those in most use outlast a full cache.
 
 Defined results: a null text is empty; an empty text has the end id alone;
 repeated rows are packed each for itself; a row's other columns are not read.
@@ -19,6 +20,7 @@ repeated rows are packed each for itself; a row's other columns are not read.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +33,9 @@ from eventlake.llm.hashing import text_slices, word_spans
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long"
 
+CACHE, KEPT = 200_000, 60_000  # words (and parts of words) a worker holds at most, and those in most use that it keeps then
+SLICE = 1_000_000  # bytes of text tokenized together
+
 #: words of printable Latin-1 characters take the short way; its classes are those of the tokenizer
 _PLAIN = re.compile("[!-~¡-¬®-ÿ]+")
 _L = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
@@ -46,51 +51,65 @@ class WordTokenizer:
     Words outside printable Latin-1 go through the whole tokenizer, as do whole
     texts that contain the string of a special token, which may span words."""
 
-    def __init__(self, path: str, cache_words: int = 1_000_000):
+    def __init__(self, path: str, cache_words: int = CACHE):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
         self.special = [t.content.encode() for t in self.whole.get_added_tokens_decoder().values()]
         self.limit = cache_words
-        self.parts: dict[str, list[int]] = {}
-        # words met: number by bytes; ids of word k are flat[at[k]:at[k] + size[k]]
+        # ids as bytes: of a part of a word
+        self.parts: dict[str, bytes] = {}
+        # words met: number by bytes; ids of word k are flat[at[k]:at[k] + size[k]]; slices it was in
         self.words: dict[str, int] = {}
         self.flat, self.at, self.size = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.uses = np.empty(0, np.int64)
         # byte-level alphabet: printable bytes stand for themselves, the others for 256, 257, ...
         keep = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in keep]
         self.alphabet = {**{b: b for b in keep}, **{b: 256 + i for i, b in enumerate(rest)}}
 
-    def part(self, p: str) -> list[int]:
+    def part(self, p: str) -> bytes:
         ids = self.parts.get(p)
         if ids is None:
             if len(self.parts) >= self.limit:
                 self.parts.clear()
             s = p.encode().decode("latin-1").translate(self.alphabet)
-            ids = self.parts[p] = [t.id for t in self.model.tokenize(s)]
+            ids = self.parts[p] = array("I", [t.id for t in self.model.tokenize(s)]).tobytes()
         return ids
 
-    def word(self, w: str) -> list[int]:
+    def word(self, w: str) -> bytes:
         if _PLAIN.fullmatch(w):
-            return [i for p in _PARTS.findall(w.lower()) for i in self.part(p)]
-        return self.whole.encode(w, add_special_tokens=False).ids
+            return b"".join([self.part(p) for p in _PARTS.findall(w.lower())])
+        return array("I", self.whole.encode(w, add_special_tokens=False).ids).tobytes()
 
     def numbers(self, words: list[str]) -> np.ndarray:
         """The numbers of different ``words``; new ones are tokenized."""
         if len(self.words) + len(words) > self.limit:
-            self.words.clear()
-            self.flat, self.at, self.size = self.flat[:0], self.at[:0], self.size[:0]
+            self._forget()
         known = len(self.words)
         out = np.array([self.words.setdefault(w, len(self.words)) for w in words], np.int64)
         new = [self.word(words[k]) for k in np.flatnonzero(out >= known)]
         if new:
-            size = np.array([len(x) for x in new], np.int64)
-            flat = np.fromiter((i for x in new for i in x), np.uint32, int(size.sum()))
+            size = np.array([len(x) for x in new], np.int64) >> 2
             self.at = np.concatenate([self.at, len(self.flat) + np.cumsum(size) - size])
-            self.size, self.flat = np.concatenate([self.size, size]), np.concatenate([self.flat, flat])
+            self.size = np.concatenate([self.size, size])
+            self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(new), np.uint32)])
+            self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
+        self.uses[out] += 1
         return out
 
+    def _forget(self) -> None:
+        """Keep the words in most use."""
+        kept = min(KEPT, self.limit // 3)
+        keep = np.sort(np.argsort(-self.uses, kind="stable")[:kept])
+        keep = keep[self.uses[keep] > 1]
+        names = list(self.words)
+        self.words = {names[k]: i for i, k in enumerate(keep)}
+        self.flat, self.size = gather(self.flat, self.at[keep], self.size[keep])
+        self.at = np.cumsum(self.size) - self.size
+        self.uses = self.uses[keep] // 2
+
     def batch(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, ids per text) of texts that lie in ``data`` at ``offsets``."""
         start, end, row = word_spans(data, offsets)
@@ -123,7 +142,9 @@ def words_of(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
 def gather(values: np.ndarray, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The runs ``values[at:at + size]`` one after another, and their sizes."""
     first = np.cumsum(size) - size
-    return values[np.repeat(at - first, size) + np.arange(int(size.sum()))], size
+    place = np.repeat(at - first, size)
+    place += np.arange(len(place))
+    return values[place], size
 
 
 def piece_lengths(n: int, max_length: int) -> list[int]:
@@ -151,7 +172,7 @@ def _pack(path: str, end_id: int, max_length: int):
         tok = None
         for b in batches:
             tok = tok or WordTokenizer(path)
-            for a, z, data, offsets in text_slices(b.column(1)):
+            for a, z, data, offsets in text_slices(b.column(1), SLICE):
                 ids, per_text = tok.batch(data, offsets)
                 ids = np.insert(ids, np.cumsum(per_text), end_id).astype("<u4")
                 total = per_text + 1

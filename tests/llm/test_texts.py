@@ -1,6 +1,7 @@
 """Toxicity (5), packing (6), mixing (8) and page text (9)."""
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -82,6 +83,32 @@ def test_pieces_are_the_tokenizer_s_ids(spark, odd_docs):
     assert digest.ids_crc32 == zlib.crc32(np.array([1], "<u4").tobytes())
 
 
+def _slice_of(words):
+    raw = " ".join(words).encode()
+    return np.frombuffer(raw, np.uint8), np.array([0, len(raw)])
+
+
+def test_tokenizer_caches_stay_small_and_right():
+    tok = packing.WordTokenizer(WORDS, cache_words=60)
+    whole = tok.whole
+    for k in range(12):  # the cache runs over again and again; words of every slice stay
+        words = ["the", "The", "cat's", "naïve", "日本", "x²", "don't!"] + [f"w{k}q{j}" for j in range(k, 50)]
+        ids, per_text = tok.batch(*_slice_of(words))
+        assert ids.tolist() == whole.encode(" ".join(words), add_special_tokens=False).ids and per_text.tolist() == [len(ids)]
+        assert len(tok.words) <= 120 and len(tok.parts) <= 60
+    assert "the" in tok.words
+    rng = random.Random(3)
+    tok = packing.WordTokenizer(WORDS)
+    slices = [_slice_of(["".join(rng.choices("abcdefghij", k=9)) for _ in range(60_000)]) for _ in range(8)]
+    tracemalloc.start()
+    for s in slices:
+        tok.batch(*s)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(tok.words) <= packing.CACHE and len(tok.parts) <= packing.CACHE
+    assert peak < 120e6
+
+
 def test_packing_odd_rows_and_buckets(spark, odd_docs, no_docs, tmp_path):
     pieces = packing.pack_power_of_two(odd_docs, WORDS)
     assert pieces.where("doc_id is null").groupBy("doc_tokens").count().count() == 2
