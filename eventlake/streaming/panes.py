@@ -111,10 +111,14 @@ class PaneProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         n, s, mn, mx, last, clock = 0, 0, None, None, 0, 0
         for r in rows:
-            n, s = n + r["n"], s + r["s"]
-            mn = r["mn"] if mn is None else min(mn, r["mn"])
-            mx = r["mx"] if mx is None else max(mx, r["mx"])
+            # a partial of NaN values alone comes as null; it counts rows only
+            n, s = n + r["n"], s + (0.0 if r["s"] is None else r["s"])
+            if r["mn"] is not None:
+                mn = r["mn"] if mn is None else min(mn, r["mn"])
+                mx = r["mx"] if mx is None else max(mx, r["mx"])
             last, clock = max(last, r["last"]), max(clock, r["clock"])
+        if mn is None:
+            mn = mx = float("nan")
         w, end = timerValues.getCurrentWatermarkInMs(), int(key[-1]) + self.size
         if w >= end + self.lateness:
             yield from self._rows([(*key, "DROPPED", 0, 0, False, False, n, s, mn, mx, "dropped")])

@@ -151,3 +151,15 @@ def test_a_key_takes_few_calls_of_the_store(watermark, timings, timers):
     assert [r.timing for r in ended] == timings and ended[0].mode == "accumulating"
     assert store.timers == timers and (store.value is None) == (not timers)  # past the close the key is gone at once
     assert not timers or not list(p.handleExpiredTimer(("x", 0), At(14000), At(14000))) and store.value is None
+
+
+def test_partials_of_nan_alone_count_rows_only():
+    store = FakeStore()
+    p = PaneProcessor(["k"], 6000, 8000, 1, "double")
+    p.init(store)
+    part = Row(n=2, s=5.5, mn=1.5, mx=4.0, last=1000, clock=0)
+    empty = Row(n=1, s=None, mn=None, mx=None, last=900, clock=0)
+    fired = list(p.handleInputRows(("x", 0), iter([empty, part, empty]), At(0)))
+    assert [(r.num_records, r["sum"], r["min"], r["max"]) for r in fired] == [(4, 5.5, 1.5, 4.0)] * 2
+    fired = list(p.handleInputRows(("y", 0), iter([empty]), At(0)))
+    assert fired[1].num_records == 1 and fired[1]["min"] != fired[1]["min"]
