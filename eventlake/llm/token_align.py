@@ -2,18 +2,19 @@
 
 Side A is a byte-level BPE (tokenizers), side B a piece model (sentencepiece, which
 puts a space before the text); both see a space and then the text. A token of
-either side covers a byte range. Per Arrow batch, keyed by document, pandas
-``merge_asof`` finds for each token's start the other side's token that covers it;
-the union of both directions is the set of overlapping pairs (two ranges overlap
-exactly if one holds the other's start). Offsets where tokens of both sides end cut
-a document into groups.
+either side covers a byte range. A binary search finds for each token's start the
+other side's token that covers it; the union of both directions is the set of
+overlapping pairs (two ranges overlap exactly if one holds the other's start).
+Offsets where tokens of both sides end cut a document into groups.
 
 Tokens. Neither tokenizer joins a white-space run to what stands before it, so a
-text is cut before each space, tab or newline that follows something else, and each
-different chunk is tokenized once per worker. Where that would not hold (a piece of
-the model with white space behind other characters, a text with Unicode white
-space) the whole text is one chunk. The chunks of both sides are compared with the
-text's bytes.
+text is cut before each space, tab or newline that follows something else. Tokens of
+both sides end at every cut, so no link and no group crosses one: each different
+chunk is tokenized and aligned once and kept in a bounded cache, and a document is
+the sequence of its chunks. For the same reason new chunks are tokenized many in one
+string. Where that would not hold (a piece of the model with white space behind
+other characters, a text with Unicode white space) the whole text is one chunk, and
+tokenized alone. The tokens of both sides are compared with the text's bytes.
 
 Counts over the corpus: the first pass writes each document's different (A id, B id)
 pairs with their links as compact arrays to a table in the shared folder; a pair's
@@ -34,9 +35,9 @@ import os
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,9 +49,11 @@ from eventlake.llm.packing import gather, words_of
 from eventlake.session import scratch_path
 
 PAIRS_AT_ONCE = 8_000_000
-B_IDS = 1 << 24  # a pair is one number: A id * B_IDS + B id
+B_IDS = 1 << 20  # a pair is one number: A id * B_IDS + B id
+PAIR_IDS = B_IDS << 20
 CACHE, KEPT = 150_000, 50_000  # chunks a worker holds at most, and those in most use that it keeps then
-AT_ONCE = 5_000  # chunks given to a tokenizer together
+HELD = 64_000_000  # bytes of ids, links and group texts of the chunks that a worker holds at most
+AT_ONCE, JOINED = 5_000, 500  # chunks given to a tokenizer together, and in one string
 SLICE = 500_000  # bytes of text aligned together
 
 _CUT = np.zeros(256, bool)
@@ -58,7 +61,10 @@ _CUT[[32, 9, 10]] = True
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 #: white space outside ASCII, and the separators U+001C to U+001F
-_ODD_SPACE = re.compile("[\\x1c-\\x1f\\x85\\xa0\\u1680\\u180e\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
+_ODD = "\\x1c-\\x1f\\x85\\xa0\\u1680\\u180e\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+_ODD_SPACE = re.compile(f"[{_ODD}]")
+#: chunks with these are tokenized alone: a side may not spell them as they are
+_ALONE = re.compile(f"[{_ODD}\\x00▁]")
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -92,42 +98,110 @@ class Sides:
         # a piece with white space behind another character would cross a cut
         self.cuts = not any(re.search("[^▁\\s][▁\t\n]|[▁\\s][\t\n]", p) for p in pieces)
         self.known: dict[str, int] = {}
-        self.tokens = [Runs(), Runs()]
+        # of every known chunk: ids of both sides, pairs of its links, number and text of its groups
+        self.tokens = [Runs(np.int32), Runs(np.int32)]
+        self.links = Runs(np.int64)
+        self.n_groups, self.texts = np.empty(0, np.int64), []
         self.spells, self.uses = np.empty(0, bool), np.empty(0, np.int64)
+        self.held = 0
 
     def encode(self, chunks: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of chunks that begin with white space, on both sides."""
-        a = [e.ids for e in self.a.encode_batch(chunks, add_special_tokens=False)]
-        # the model puts a space before: it stands for the chunk's own, or is dropped
+        """Ids of texts that begin with white space, on both sides."""
+        a = [e.ids for e in self.a.encode_batch_fast(chunks, add_special_tokens=False)]
+        # the model puts a space before: it stands for the text's own, or is dropped
         b = self.b.encode([c[1:] if c[0] == " " else c for c in chunks], num_threads=1)
         b = [ids or [self.space] if c[0] == " " else ids[1:] for c, ids in zip(chunks, b)]
         return a, b
 
-    def numbers(self, chunks: list[str], uses: np.ndarray) -> np.ndarray:
-        """The numbers of different ``chunks`` that occur ``uses`` times; new ones are tokenized."""
-        if len(self.known) + len(chunks) > CACHE:
+    def _alone(self, chunks: list[str]) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+        """Per side (ids, ids per chunk), and whether both sides spell the chunk; each chunk by itself."""
+        both = self.encode(chunks)
+        ok = [self.a_bytes.join(x) == c.encode() == self.b_bytes.join(y) for c, x, y in zip(chunks, *both)]
+        return [(_flat_ids(ids), np.array([len(x) for x in ids], np.int64)) for ids in both], np.array(ok, bool)
+
+    def _joined(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]] | None:
+        """Per side (ids, ids per chunk) of chunks that may stand behind one another; None if a side does not
+        spell them or a token crosses from one to the next."""
+        raw, steps = data.tobytes(), [*range(0, len(offsets) - 1, JOINED), len(offsets) - 1]
+        out = []
+        for ids, spelling in zip(self.encode([raw[offsets[i]:offsets[j]].decode() for i, j in zip(steps, steps[1:])]),
+                                 (self.a_bytes, self.b_bytes)):
+            ids = _flat_ids(ids)
+            stop = np.cumsum(spelling.size[ids])
+            if not len(ids) or stop[-1] != len(data) or spelling.of(ids) != raw:
+                return None
+            last = np.searchsorted(stop, offsets[1:])
+            if (stop[last] != offsets[1:]).any():
+                return None
+            out.append((ids, np.diff(last, prepend=-1)))
+        return out
+
+    def _tokenize(self, chunks: pa.Array) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+        """Per side (ids, ids per chunk), and whether both sides spell the chunk."""
+        _, _, data, offsets = next(text_slices(chunks, 1 << 62))
+        joins = ~_SPACE[data[offsets[1:] - 1]]
+        if not self.cuts or _ALONE.search(data.tobytes().decode()):
+            joins &= [self.cuts and not _ALONE.search(c) for c in chunks.to_pylist()]
+        on, off = np.flatnonzero(joins), np.flatnonzero(~joins)
+        size = np.diff(offsets)
+        first = self._joined(gather(data, offsets[on], size[on])[0], np.concatenate([[0], np.cumsum(size[on])])) if len(on) else None
+        if first is None:
+            on, off = off[:0], np.arange(len(chunks))
+            first = [(np.empty(0, np.int32), np.empty(0, np.int64))] * 2
+        rest, ok = self._alone(chunks.take(pa.array(off)).to_pylist())
+        order = np.argsort(np.concatenate([on, off]))
+        both = []
+        for (x, n), (y, m) in zip(first, rest):
+            per = np.concatenate([n, m])
+            both.append((gather(np.concatenate([x, y]), (np.cumsum(per) - per)[order], per[order])[0], per[order]))
+        return both, np.concatenate([np.ones(len(on), bool), ok])[order]
+
+    def _add(self, chunks: pa.Array) -> None:
+        """Tokenize and align new chunks."""
+        both, spells = self._tokenize(chunks)
+        for k, (ids, per) in enumerate(both):
+            if not spells.all():
+                ids, per = ids[np.repeat(spells, per)], np.where(spells, per, 0)
+                both[k] = ids, per
+            self.tokens[k].add(ids, per)
+        g = linked(self, both)
+        pairs = g.a.ids[g.link_a].astype(np.int64) * B_IDS + g.b.ids[g.link_b]
+        doc = g.a.doc[g.link_a]
+        self.links.add(pairs[np.argsort(doc, kind="stable")], np.bincount(doc, minlength=g.n))
+        self.n_groups = np.concatenate([self.n_groups, np.bincount(g.group_doc, minlength=g.n)])
+        texts = group_texts(g)
+        self.texts += texts
+        self.spells = np.concatenate([self.spells, spells])
+        self.held += 8 * len(pairs) + 4 * (len(g.a.ids) + len(g.b.ids)) + sum(map(len, texts))
+
+    def numbers(self, chunks: pa.Array, uses: np.ndarray) -> np.ndarray:
+        """The numbers of different ``chunks`` that occur ``uses`` times; new ones are tokenized and aligned."""
+        if len(self.known) + len(chunks) > CACHE or self.held > HELD:
             self._forget()
-        before = len(self.known)
-        out = np.array([self.known.setdefault(c, len(self.known)) for c in chunks], np.int64)
-        new = [chunks[k] for k in np.flatnonzero(out >= before)]
+        before, known = len(self.known), self.known
+        out = np.array([known.setdefault(c, len(known)) for c in chunks.to_numpy(zero_copy_only=False).tolist()], np.int64)
+        new = chunks.take(pa.array(np.flatnonzero(out >= before)))
         for i in range(0, len(new), AT_ONCE):
-            some = new[i:i + AT_ONCE]
-            a, b = self.encode(some)
-            self.tokens[0].add(a)
-            self.tokens[1].add(b)
-            ok = [self.a_bytes.join(x) == c.encode() == self.b_bytes.join(y) for c, x, y in zip(some, a, b)]
-            self.spells = np.concatenate([self.spells, np.array(ok, bool)])
+            self._add(new.slice(i, AT_ONCE))
         self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
         self.uses[out] += uses
         return out
 
     def _forget(self) -> None:
         """Keep the chunks in most use."""
-        keep = np.sort(np.argsort(-self.uses, kind="stable")[:KEPT])
+        keep = np.argsort(-self.uses, kind="stable")[:KEPT]
+        cost = 8 * self.links.size + 4 * (self.tokens[0].size + self.tokens[1].size) + np.fromiter(map(len, self.texts), np.int64)
+        keep = np.sort(keep[np.cumsum(cost[keep]) <= HELD // 2])
         names = list(self.known)
         self.known = {names[k]: i for i, k in enumerate(keep)}
-        self.tokens = [t.take(keep) for t in self.tokens]
+        self.tokens, self.links = [t.take(keep) for t in self.tokens], self.links.take(keep)
+        self.n_groups, self.texts = self.n_groups[keep], [self.texts[k] for k in keep]
         self.spells, self.uses = self.spells[keep], self.uses[keep] // 2
+        self.held = int(cost[keep].sum())
+
+
+def _flat_ids(lists: list[list[int]]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(lists), np.int32, sum(map(len, lists)))
 
 
 class Spelling:
@@ -135,26 +209,31 @@ class Spelling:
 
     def __init__(self, spelled: list[bytes]):
         self.spelled, self.size = spelled, np.array([len(s) for s in spelled], np.int64)
+        self.flat, self.at = np.frombuffer(b"".join(spelled), np.uint8), np.cumsum(self.size) - self.size
 
     def join(self, ids: list[int]) -> bytes:
         return b"".join([self.spelled[i] for i in ids])
 
+    def of(self, ids: np.ndarray) -> bytes:
+        return gather(self.flat, self.at[ids], self.size[ids])[0].tobytes()
+
 
 class Runs:
-    """Id lists one after another."""
+    """Lists one after another."""
 
-    def __init__(self):
-        self.flat, self.at, self.size = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+    def __init__(self, kind: type):
+        self.flat, self.at, self.size = np.empty(0, kind), np.empty(0, np.int64), np.empty(0, np.int64)
 
-    def add(self, lists: list[list[int]]) -> None:
-        size = np.array([len(x) for x in lists], np.int64)
-        flat = np.fromiter((i for x in lists for i in x), np.int32, int(size.sum()))
+    def add(self, flat: np.ndarray, size: np.ndarray) -> None:
         self.at = np.concatenate([self.at, len(self.flat) + np.cumsum(size) - size])
         self.size, self.flat = np.concatenate([self.size, size]), np.concatenate([self.flat, flat])
 
+    def of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return gather(self.flat, self.at[numbers], self.size[numbers])
+
     def take(self, keep: np.ndarray) -> Runs:
-        out = Runs()
-        out.flat, out.size = gather(self.flat, self.at[keep], self.size[keep])
+        out = Runs(self.flat.dtype)
+        out.flat, out.size = self.of(keep)
         out.at = np.cumsum(out.size) - out.size
         return out
 
@@ -182,18 +261,33 @@ class Aligned:
 
 
 def overlaps(a: Tokens, b: Tokens) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs (position in ``a``, position in ``b``) whose byte ranges overlap."""
-    frames = [pd.DataFrame({"doc": t.doc, "at": t.start, "k": np.arange(len(t.ids))}) for t in (a, b)]
-    over_a = pd.merge_asof(frames[0], frames[1], on="at", by="doc", suffixes=("", "_other"))["k_other"].to_numpy()
-    over_b = pd.merge_asof(frames[1], frames[0], on="at", by="doc", suffixes=("", "_other"))["k_other"].to_numpy()
+    """All pairs (position in ``a``, position in ``b``) whose byte ranges overlap; both cover the same bytes."""
+    over_a = np.searchsorted(b.start, a.start, side="right") - 1
+    over_b = np.searchsorted(a.start, b.start, side="right") - 1
     # tokens that begin together find each other in both directions: keep one
     later = b.start != a.start[over_b]
     return (np.concatenate([np.arange(len(a.ids)), over_b[later]]),
             np.concatenate([over_a, np.flatnonzero(later)]))
 
 
-def align(sides: Sides, data: np.ndarray, offsets: np.ndarray) -> Aligned:
-    """Align the texts that lie in ``data`` at ``offsets``."""
+def linked(sides: Sides, both: list[tuple[np.ndarray, np.ndarray]]) -> Aligned:
+    """Align texts given per side as (ids of all texts, ids per text); both sides of a text spell the same bytes."""
+    tokens = []
+    for (ids, per), spelling in zip(both, (sides.a_bytes, sides.b_bytes)):
+        length = spelling.size[ids]
+        stop = np.cumsum(length)
+        tokens.append(Tokens(ids, np.repeat(np.arange(len(per)), per), stop - length, stop))
+    a, b = tokens
+    link_a, link_b = overlaps(a, b) if len(a.ids) else (np.empty(0, np.int64),) * 2
+    group_a, group_b = np.searchsorted(b.end, a.end), np.searchsorted(a.end, b.end)
+    ends_a, ends_b = b.end[group_a] == a.end, a.end[group_b] == b.end
+    # a token's group: the shared ends before its own
+    group_a, group_b = np.cumsum(ends_a) - ends_a, np.cumsum(ends_b) - ends_b
+    return Aligned(len(both[0][1]), a, b, link_a, link_b, group_a, group_b, a.doc[ends_a])
+
+
+def chunked(sides: Sides, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number, text) of all chunks in order, of texts that lie in ``data`` at ``offsets``; none of texts without tokens."""
     n, size = len(offsets) - 1, np.diff(offsets)
     data = np.insert(data, offsets[:-1], 32)
     offsets = offsets + np.arange(n + 1)
@@ -209,26 +303,21 @@ def align(sides: Sides, data: np.ndarray, offsets: np.ndarray) -> Aligned:
     start = np.flatnonzero(cut)
     coded = words_of(data, start, np.append(start[1:], len(data))).dictionary_encode()
     of = coded.indices.to_numpy()
-    number = sides.numbers(coded.dictionary.to_pylist(), np.bincount(of, minlength=len(coded.dictionary)))[of]
+    number = sides.numbers(coded.dictionary, np.bincount(of, minlength=len(coded.dictionary)))[of]
     doc = np.searchsorted(offsets, start, side="right") - 1
     good = (np.bincount(doc, weights=~sides.spells[number], minlength=n) == 0) & (size > 0)
     on = good[doc]
-    number, doc, base = number[on], doc[on], start[on]
+    return number[on], doc[on]
+
+
+def align(sides: Sides, data: np.ndarray, offsets: np.ndarray) -> Aligned:
+    """Align the texts that lie in ``data`` at ``offsets``."""
+    number, doc = chunked(sides, data, offsets)
     both = []
-    for runs, spelling in zip(sides.tokens, (sides.a_bytes, sides.b_bytes)):
-        ids, per = gather(runs.flat, runs.at[number], runs.size[number])
-        length = spelling.size[ids]
-        # chunks follow one another without gaps, except where a document has no tokens
-        stop = np.cumsum(length)
-        first = np.cumsum(per) - per
-        begin = np.where(first > 0, stop[first - 1], 0) if len(stop) else np.empty(0, np.int64)
-        end = stop + np.repeat(base - begin, per)
-        both.append(Tokens(ids, np.repeat(doc, per), end - length, end))
-    a, b = both
-    link_a, link_b = overlaps(a, b) if len(a.ids) else (np.empty(0, np.int64),) * 2
-    shared = np.intersect1d(a.end, b.end, assume_unique=True)
-    return Aligned(n, a, b, link_a, link_b, np.searchsorted(shared, a.end), np.searchsorted(shared, b.end),
-                   np.searchsorted(offsets, shared, side="left") - 1)
+    for runs in sides.tokens:
+        ids, per = runs.of(number)
+        both.append((ids, np.bincount(doc, weights=per, minlength=len(offsets) - 1).astype(np.int64)))
+    return linked(sides, both)
 
 
 class Decimals:
@@ -246,8 +335,8 @@ class Decimals:
         return cls
 
 
-def group_texts(g: Aligned) -> list[str]:
-    """Per document ``a1,a2|b1;a3|b2,b3``, hashed; '' without tokens."""
+def group_texts(g: Aligned) -> list[bytes]:
+    """Per text ``a1,a2|b1;a3|b2,b3;``; empty without tokens."""
     n_groups = len(g.group_doc)
     sa, sb = np.bincount(g.group_a, minlength=n_groups), np.bincount(g.group_b, minlength=n_groups)
     to_a, to_b = np.cumsum(sa), np.cumsum(sb)
@@ -261,27 +350,20 @@ def group_texts(g: Aligned) -> list[str]:
     ten = Decimals.upto(int(ids.max(initial=1 << 15)))
     size = ten.size[ids]
     flat, _ = gather(ten.flat, ten.at[ids], size)
-    stop = np.cumsum(size)
-    flat[stop - 1] = mark
-    per_doc = np.bincount(g.a.doc, minlength=g.n) + np.bincount(g.b.doc, minlength=g.n)
-    last = np.cumsum(per_doc)
-    raw, out = memoryview(flat.tobytes()), []
-    for d in range(g.n):
-        if not per_doc[d]:
-            out.append("")
-            continue
-        first = last[d] - per_doc[d]
-        out.append(hashlib.sha256(raw[stop[first - 1] if first else 0:stop[last[d] - 1] - 1]).hexdigest())
-    return out
-
-
-def _over_slices(a_path: str, b_path: str, rows: Callable[[Aligned, pa.Array], pa.RecordBatch]):
+    stop = np.concatenate([[0], np.cumsum(size)])
+    flat[stop[1:] - 1] = mark
+    last = np.cumsum(np.bincount(g.a.doc, minlength=g.n) + np.bincount(g.b.doc, minlength=g.n))
+    raw, ends = flat.tobytes(), [0, *stop[last].tolist()]
+    return [raw[i:j] for i, j in zip(ends, ends[1:])]
+
+
+def _over_slices(a_path: str, b_path: str, rows: Callable[[Sides, np.ndarray, np.ndarray, pa.Array], pa.RecordBatch]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sides = None
         for batch in batches:
             sides = sides or Sides(a_path, b_path)
             for i, j, data, offsets in text_slices(batch.column(1), SLICE):
-                yield rows(align(sides, data, offsets), batch.column(0).slice(i, j - i))
+                yield rows(sides, data, offsets, batch.column(0).slice(i, j - i))
 
     return run
 
@@ -292,7 +374,8 @@ def _lists(values: np.ndarray, doc: np.ndarray, n: int, kind: pa.DataType = pa.i
     return pa.ListArray.from_arrays(pa.array(cuts), pa.array(values, kind))
 
 
-def _links(g: Aligned, doc_id: pa.Array) -> pa.RecordBatch:
+def _links(sides: Sides, data: np.ndarray, offsets: np.ndarray, doc_id: pa.Array) -> pa.RecordBatch:
+    g = align(sides, data, offsets)
     base_a, base_b = (np.searchsorted(t.doc, np.arange(g.n)) for t in (g.a, g.b))
     base_g = np.searchsorted(g.group_doc, np.arange(g.n))
     order = np.lexsort((g.link_b, g.link_a))
@@ -318,18 +401,27 @@ def token_links(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         "link_a array<int>, link_b array<int>"))
 
 
-def _pairs(g: Aligned, doc_id: pa.Array) -> pa.RecordBatch:
+def _pairs(sides: Sides, data: np.ndarray, offsets: np.ndarray, doc_id: pa.Array) -> pa.RecordBatch:
     """Counts and digest per document, and its different pairs with their links."""
-    key = g.a.ids[g.link_a].astype(np.int64) * B_IDS + g.b.ids[g.link_b]
-    doc = g.a.doc[g.link_a]
-    order = np.lexsort((key, doc))
-    key, doc = key[order], doc[order]
-    first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])])) if len(key) else np.empty(0, np.int64)
-    links = np.diff(np.append(first, len(key)))
-    count = lambda x: pa.array(np.bincount(x, minlength=g.n).astype(np.int64))
+    n = len(offsets) - 1
+    number, doc = chunked(sides, data, offsets)
+    cuts = np.searchsorted(doc, np.arange(n + 1))
+    sums = lambda x: pa.array(_exact(doc, x[number], n))
+    texts, sha = [sides.texts[k] for k in number.tolist()], []
+    for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        sha.append(hashlib.sha256(b"".join(texts[i:j])[:-1]).hexdigest() if j > i else "")
+    # the documents that have tokens, and so bytes, are few enough for one number with the pair
+    having = np.flatnonzero(np.diff(cuts))
+    pair, links = sides.links.of(number)
+    pair += np.repeat(np.searchsorted(having, doc), links) * PAIR_IDS
+    pair.sort()
+    first = np.flatnonzero(np.diff(pair, prepend=-1))
+    links = np.diff(first, append=len(pair))
+    pair = pair[first]
+    holder = having[pair // PAIR_IDS]
     return pa.RecordBatch.from_arrays(
-        [doc_id, count(g.a.doc), count(g.b.doc), count(g.group_doc), count(doc), pa.array(group_texts(g), pa.string()),
-         _lists(key[first], doc[first], g.n, pa.int64()), _lists(links, doc[first], g.n)],
+        [doc_id, sums(sides.tokens[0].size), sums(sides.tokens[1].size), sums(sides.n_groups), sums(sides.links.size),
+         pa.array(sha, pa.string()), _lists(pair % PAIR_IDS, holder, n, pa.int64()), _lists(links, holder, n)],
         names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "links"])
 
 

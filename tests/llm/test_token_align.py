@@ -1,8 +1,10 @@
 """Cross-tokenizer alignment (13) against a brute-force version."""
 
 import hashlib
+import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from eventlake.llm import token_align
@@ -100,3 +102,42 @@ def test_links_are_overlapping_tokens(spark):
 
 def test_empty_table(spark, no_docs):
     assert token_align.alignment_digests(no_docs, A, B).count() == 0
+
+
+def _slice(texts):
+    raw = [t.encode() for t in texts]
+    return np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in raw])]).astype(np.int64)
+
+
+def test_new_words_are_tokenized_many_in_one_string(monkeypatch):
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdeéß中.,'9", k=rng.randint(1, 9))) + str(i) for i in range(2500)]
+    texts = [" ".join(words[:1500]), "\n".join(words[1000:]) + "\t  ", "\r\n odd\u3000space ▁ end", "x\n\n  y \n", "", "plain x\x00y"]
+    sides, given, aligned = token_align.Sides(A, B), [], []
+    encode, linked = sides.encode, token_align.linked
+    monkeypatch.setattr(sides, "encode", lambda some: (given.append(len(some)), encode(some))[1])
+    monkeypatch.setattr(token_align, "linked", lambda *x: (aligned.append(len(x[1][0][1])), linked(*x))[1])
+    number, doc = token_align.chunked(sides, *_slice(texts))
+    assert sum(given) < 50 and len(number) > 2900  # 2500 words, not a string each
+    before = sum(given), sum(aligned)
+    again, _ = token_align.chunked(sides, *_slice(texts))
+    assert again.tolist() == number.tolist() and (sum(given), sum(aligned)) == before
+    # chunk by chunk the same as whole texts
+    cache = []
+    for d, t in enumerate(texts):
+        mine, want = number[doc == d], spelled(cache, t)
+        assert bool(len(mine)) == (want is not None)
+        for runs, tokens in zip(sides.tokens, want or ([], [])):
+            assert runs.of(mine)[0].tolist() == [x[0] for x in tokens]
+
+
+def test_whole_texts_in_the_cache_are_bounded(monkeypatch):
+    monkeypatch.setattr(token_align, "HELD", 60_000)
+    sides, cache = token_align.Sides(A, B), []
+    for k in range(6):  # texts with Unicode white space are chunks of their own, however long
+        texts = [f"text {k} {j} with\u3000space " + "and more words " * 20 for j in range(20)] + ["the same words"]
+        number, doc = token_align.chunked(sides, *_slice(texts))
+        assert len(sides.known) <= 60
+        for d in (0, 19, 20):
+            for runs, tokens in zip(sides.tokens, spelled(cache, texts[d])):
+                assert runs.of(number[doc == d])[0].tolist() == [x[0] for x in tokens]
