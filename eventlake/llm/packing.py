@@ -8,7 +8,8 @@ from (``write_buckets`` lays them out as one folder per length).
 
 The tokens come from a public tokenizer file, read by every worker from
 ``tokenizer_path``. BPE works on single words, so a batch's words are dictionary
-encoded as arrays, each different word is tokenized once per worker, and the ids of
+encoded as arrays, each different word is tokenized once per worker (new ones are
+taken apart many at a time, and their parts looked up), and the ids of
 the texts are gathered from the words' ids by array operations. One pass, no
 shuffle; memory per task is one batch of texts plus the bounded caches: ``CACHE``
 different words and as many word parts, of which those in most use outlast a full cache.
@@ -19,9 +20,11 @@ repeated rows are packed each for itself; a row's other columns are not read.
 
 from __future__ import annotations
 
+import os
 import re
-from array import array
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,10 +40,11 @@ CACHE, KEPT = 200_000, 60_000  # words (and parts of words) a worker holds at mo
 SLICE = 1_000_000  # bytes of text tokenized together
 
 #: words of printable Latin-1 characters take the short way; its classes are those of the tokenizer
-_PLAIN = re.compile("[!-~¡-¬®-ÿ]+")
+_PLAIN, _PLAIN_LINES = re.compile("[!-~¡-¬®-ÿ]+"), re.compile("[!-~¡-¬®-ÿ\n]+")
 _L = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
 _N = "0-9²³¹¼-¾"
-_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^\\s{_L}{_N}]+")
+_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^\\s{_L}{_N}]+|\n")  # a line end closes a word
+AT_ONCE = 20_000  # new words taken apart together
 
 
 class WordTokenizer:
@@ -52,49 +56,74 @@ class WordTokenizer:
     texts that contain the string of a special token, which may span words."""
 
     def __init__(self, path: str, cache_words: int = CACHE):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
         self.special = [t.content.encode() for t in self.whole.get_added_tokens_decoder().values()]
         self.limit = cache_words
-        # ids as bytes: of a part of a word
-        self.parts: dict[str, bytes] = {}
-        # words met: number by bytes; ids of word k are flat[at[k]:at[k] + size[k]]; slices it was in
-        self.words: dict[str, int] = {}
+        # parts of words met: number by text, the line end is 0 and without ids; ids as those of words
+        self._forget_parts()
+        # words met: number by text; ids of word k are flat[at[k]:at[k] + size[k]]; slices it was in
+        self.words = numbered()
         self.flat, self.at, self.size = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
         self.uses = np.empty(0, np.int64)
-        # byte-level alphabet: printable bytes stand for themselves, the others for 256, 257, ...
-        keep = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        rest = [b for b in range(256) if b not in keep]
-        self.alphabet = {**{b: b for b in keep}, **{b: 256 + i for i, b in enumerate(rest)}}
-
-    def part(self, p: str) -> bytes:
-        ids = self.parts.get(p)
-        if ids is None:
-            if len(self.parts) >= self.limit:
-                self.parts.clear()
-            s = p.encode().decode("latin-1").translate(self.alphabet)
-            ids = self.parts[p] = array("I", [t.id for t in self.model.tokenize(s)]).tobytes()
-        return ids
-
-    def word(self, w: str) -> bytes:
-        if _PLAIN.fullmatch(w):
-            return b"".join([self.part(p) for p in _PARTS.findall(w.lower())])
-        return array("I", self.whole.encode(w, add_special_tokens=False).ids).tobytes()
+        # byte-level alphabet: printable bytes stand for themselves, the others for 256, 257, ...; line ends stay between parts
+        keep = [10, *range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [b for b in range(256) if b not in keep or b == 10]
+        self.alphabet = {**{b: 256 + i for i, b in enumerate(rest)}, **{b: b for b in keep}}
+
+    def _part_numbers(self, parts: list[str]) -> np.ndarray:
+        """The numbers of ``parts``; new ones are tokenized."""
+        known = len(self.parts)
+        out = np.fromiter(map(self.parts.__getitem__, parts), np.int64, len(parts))
+        new = [*islice(reversed(self.parts), len(self.parts) - known)][::-1]
+        if new:
+            tokenize = self.model.tokenize
+            spelled = "\n".join(new).encode().decode("latin-1").translate(self.alphabet)
+            ids = [[t.id for t in tokenize(s)] for s in spelled.split("\n")]
+            size = np.array([len(x) for x in ids], np.int64)
+            self.part_at = np.concatenate([self.part_at, len(self.part_flat) + np.cumsum(size) - size])
+            self.part_size = np.concatenate([self.part_size, size])
+            self.part_flat = np.concatenate([self.part_flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))])
+        return out
+
+    def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words in a row, ids per word)."""
+        text = "\n".join(words)
+        plain = _PLAIN_LINES.fullmatch(text) is not None or [bool(_PLAIN.fullmatch(w)) for w in words]
+        short = words if plain is True else [w if p else "" for w, p in zip(words, plain)]
+        parts = _PARTS.findall("".join([w + "\n" for w in short]).lower())
+        number = self._part_numbers(parts)
+        ids, size = gather(self.part_flat, self.part_at[number], self.part_size[number])
+        per = np.diff(np.cumsum(size)[number == 0], prepend=0)
+        if len(self.parts) > self.limit:
+            self._forget_parts()
+        if plain is not True:
+            odd = [k for k, p in enumerate(plain) if not p]
+            long = [e.ids for e in self.whole.encode_batch_fast([words[k] for k in odd], add_special_tokens=False)]
+            ids = np.insert(ids, np.repeat(np.cumsum(per)[odd], [len(x) for x in long]), [i for x in long for i in x])
+            per[odd] = [len(x) for x in long]
+        return ids, per
+
+    def _forget_parts(self) -> None:
+        self.parts = numbered("\n")
+        self.part_flat, self.part_at, self.part_size = np.empty(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)
 
     def numbers(self, words: list[str]) -> np.ndarray:
         """The numbers of different ``words``; new ones are tokenized."""
         if len(self.words) + len(words) > self.limit:
             self._forget()
         known = len(self.words)
-        out = np.array([self.words.setdefault(w, len(self.words)) for w in words], np.int64)
-        new = [self.word(words[k]) for k in np.flatnonzero(out >= known)]
+        out = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        new = [words[k] for k in np.flatnonzero(out >= known).tolist()]
         if new:
-            size = np.array([len(x) for x in new], np.int64) >> 2
+            some = [self._ids(new[i:i + AT_ONCE]) for i in range(0, len(new), AT_ONCE)]
+            size = np.concatenate([s for _, s in some])
             self.at = np.concatenate([self.at, len(self.flat) + np.cumsum(size) - size])
             self.size = np.concatenate([self.size, size])
-            self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(new), np.uint32)])
+            self.flat = np.concatenate([self.flat, *[ids for ids, _ in some]])
             self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
         self.uses[out] += 1
         return out
@@ -105,7 +134,7 @@ class WordTokenizer:
         keep = np.sort(np.argsort(-self.uses, kind="stable")[:kept])
         keep = keep[self.uses[keep] > 1]
         names = list(self.words)
-        self.words = {names[k]: i for i, k in enumerate(keep)}
+        self.words = numbered([names[k] for k in keep.tolist()])
         self.flat, self.size = gather(self.flat, self.at[keep], self.size[keep])
         self.at = np.cumsum(self.size) - self.size
         self.uses = self.uses[keep] // 2
@@ -120,7 +149,7 @@ class WordTokenizer:
             keep = ~np.isin(row, odd)
             start, end, row = start[keep], end[keep], row[keep]
         coded = words_of(data, start, end).dictionary_encode()
-        number = self.numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        number = self.numbers(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy()]
         ids, size = gather(self.flat, self.at[number], self.size[number])
         per_text = np.bincount(row, weights=size, minlength=len(offsets) - 1).astype(np.int64)
         if odd:
@@ -131,6 +160,12 @@ class WordTokenizer:
         return ids, per_text
 
 
+def numbered(names: Iterable[str] = ()) -> defaultdict[str, int]:
+    """The numbers of ``names`` in order; a name that is asked for gets the next one."""
+    known = {name: k for k, name in enumerate(names)}
+    return defaultdict(count(len(known)).__next__, known)
+
+
 def words_of(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
     """The spans of ``data`` as strings."""
     size = end - start

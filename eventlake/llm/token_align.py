@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from eventlake.functions.shipping import ship_by_value
 from eventlake.llm.common import reliable
 from eventlake.llm.hashing import text_slices
-from eventlake.llm.packing import gather, words_of
+from eventlake.llm.packing import gather, numbered, words_of
 from eventlake.session import scratch_path
 
 PAIRS_AT_ONCE = 8_000_000
@@ -97,7 +97,7 @@ class Sides:
         self.space = self.b.piece_to_id("▁")
         # a piece with white space behind another character would cross a cut
         self.cuts = not any(re.search("[^▁\\s][▁\t\n]|[▁\\s][\t\n]", p) for p in pieces)
-        self.known: dict[str, int] = {}
+        self.known = numbered()
         # of every known chunk: ids of both sides, pairs of its links, number and text of its groups
         self.tokens = [Runs(np.int32), Runs(np.int32)]
         self.links = Runs(np.int64)
@@ -178,8 +178,8 @@ class Sides:
         """The numbers of different ``chunks`` that occur ``uses`` times; new ones are tokenized and aligned."""
         if len(self.known) + len(chunks) > CACHE or self.held > HELD:
             self._forget()
-        before, known = len(self.known), self.known
-        out = np.array([known.setdefault(c, len(known)) for c in chunks.to_numpy(zero_copy_only=False).tolist()], np.int64)
+        before = len(self.known)
+        out = np.fromiter(map(self.known.__getitem__, chunks.to_numpy(zero_copy_only=False)), np.int64, len(chunks))
         new = chunks.take(pa.array(np.flatnonzero(out >= before)))
         for i in range(0, len(new), AT_ONCE):
             self._add(new.slice(i, AT_ONCE))
@@ -193,7 +193,7 @@ class Sides:
         cost = 8 * self.links.size + 4 * (self.tokens[0].size + self.tokens[1].size) + np.fromiter(map(len, self.texts), np.int64)
         keep = np.sort(keep[np.cumsum(cost[keep]) <= HELD // 2])
         names = list(self.known)
-        self.known = {names[k]: i for i, k in enumerate(keep)}
+        self.known = numbered([names[k] for k in keep.tolist()])
         self.tokens, self.links = [t.take(keep) for t in self.tokens], self.links.take(keep)
         self.n_groups, self.texts = self.n_groups[keep], [self.texts[k] for k in keep]
         self.spells, self.uses = self.spells[keep], self.uses[keep] // 2

@@ -109,6 +109,30 @@ def test_tokenizer_caches_stay_small_and_right():
     assert peak < 120e6
 
 
+def test_new_words_are_taken_apart_many_at_once(monkeypatch):
+    class Counted:
+        calls = 0
+
+        def __init__(self, pattern):
+            self.pattern = pattern
+
+        def __getattr__(self, name):
+            Counted.calls += 1
+            return getattr(self.pattern, name)
+
+    rng = random.Random(8)
+    latin = ["".join(rng.choices("abcXYZàÉßµ12½.,'-st", k=rng.randint(1, 9))) for _ in range(3000)]
+    mixed = [w + rng.choice(["", "", "中", "İ", "\x1c", "\xad", "e\u0301"]) for w in latin[:300]]
+    tok = packing.WordTokenizer(WORDS)
+    monkeypatch.setattr(packing, "_PARTS", Counted(packing._PARTS))
+    for words in (latin, mixed, ["it's", "I'LL", "'", "x'", "s'"]):
+        ids, per_text = tok.batch(*_slice_of(words))
+        assert ids.tolist() == tok.whole.encode(" ".join(words), add_special_tokens=False).ids and per_text.tolist() == [len(ids)]
+    assert Counted.calls < 10  # 3000 words, not a call each
+    ids, _ = packing.WordTokenizer(WORDS, cache_words=20).batch(*_slice_of(latin))  # the parts run over
+    assert ids.tolist() == tok.whole.encode(" ".join(latin), add_special_tokens=False).ids
+
+
 def test_packing_odd_rows_and_buckets(spark, odd_docs, no_docs, tmp_path):
     pieces = packing.pack_power_of_two(odd_docs, WORDS)
     assert pieces.where("doc_id is null").groupBy("doc_tokens").count().count() == 2
