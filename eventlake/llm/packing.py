@@ -44,7 +44,7 @@ _PLAIN, _PLAIN_LINES = re.compile("[!-~¡-¬®-ÿ]+"), re.compile("[!-~¡-¬®-
 _L = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
 _N = "0-9²³¹¼-¾"
 _PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^\\s{_L}{_N}]+|\n")  # a line end closes a word
-AT_ONCE = 20_000  # new words taken apart together
+AT_ONCE = 4_000  # new words taken apart together
 
 
 class WordTokenizer:
