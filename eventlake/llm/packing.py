@@ -7,12 +7,12 @@ and none needs padding; equal lengths form the buckets that a trainer batches
 from (``write_buckets`` lays them out as one folder per length).
 
 The tokens come from a public tokenizer file, read by every worker from
-``tokenizer_path``. BPE works on single words, so a batch's words are dictionary
-encoded as arrays, each different word is tokenized once per worker (new ones are
-taken apart many at a time, and their parts looked up), and the ids of
-the texts are gathered from the words' ids by array operations. One pass, no
+``tokenizer_path``. BPE works on single parts of words. Words of printable Latin-1 are
+lower-cased and cut into those parts as arrays; other words stay whole. Parts and whole
+words are dictionary encoded, each different one is tokenized once per worker, and the ids of
+the texts are gathered by array operations. One pass, no
 shuffle; memory per task is one batch of texts plus the bounded caches: ``CACHE``
-different words and as many word parts, of which those in most use outlast a full cache.
+different words, of which those in most use outlast a full cache, and ``PARTS`` parts beyond ASCII.
 
 Defined results: a null text is empty; an empty text has the end id alone;
 repeated rows are packed each for itself; a row's other columns are not read.
@@ -36,7 +36,8 @@ from eventlake.llm.hashing import text_slices, word_spans
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long"
 
-CACHE, KEPT = 200_000, 60_000  # words (and parts of words) a worker holds at most, and those in most use that it keeps then
+CACHE, KEPT = 300_000, 100_000  # words a worker holds at most, and those in most use that it keeps then
+PARTS = 100_000  # parts of words beyond ASCII it holds at most
 SLICE = 1_000_000  # bytes of text tokenized together
 
 #: words of printable Latin-1 characters take the short way; its classes are those of the tokenizer
@@ -46,6 +47,13 @@ _N = "0-9²³¹¼-¾"
 _PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^\\s{_L}{_N}]+|\n")  # a line end closes a word
 AT_ONCE = 4_000  # new words taken apart together
 
+#: the same classes by code point: 1 letter, 2 digit, 3 other; 0 is not printable Latin-1. And what is added to a capital's last byte
+_CLASS = np.array([0 if not _PLAIN.fullmatch(chr(c)) else 1 if re.fullmatch(f"[{_L}]", chr(c)) else 2 if re.fullmatch(f"[{_N}]", chr(c)) else 3
+                   for c in range(256)], np.uint8)
+_CASE = np.array([32 if "A" <= chr(c) <= "Z" or "À" <= chr(c) <= "Þ" and c != 0xD7 else 0 for c in range(256)], np.uint8)
+_ASCII = np.where(np.arange(256) < 128, _CLASS, 0).astype(np.uint8)
+_LOWER = np.where(np.arange(256) < 128, np.arange(256) + _CASE, np.arange(256)).astype(np.uint8)
+
 
 class WordTokenizer:
     """Ids of whole texts by the tokenizer file's own BPE model, word by word.
@@ -90,7 +98,21 @@ class WordTokenizer:
         return out
 
     def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all words in a row, ids per word)."""
+        """(ids of all words in a row, ids per word). Words of printable ASCII are single parts."""
+        tokenize = self.model.tokenize
+        ids = [[t.id for t in tokenize(w)] if w.isascii() and w.isprintable() else None for w in words]
+        other = [k for k, x in enumerate(ids) if x is None]
+        if other:
+            flat, per = self._ids_of_parts([words[k] for k in other])
+            flat = flat.tolist()
+            stop = np.cumsum(per).tolist()
+            for k, a, z in zip(other, [0, *stop], stop):
+                ids[k] = flat[a:z]
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum())), size
+
+    def _ids_of_parts(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of words that are taken apart first."""
         text = "\n".join(words)
         plain = _PLAIN_LINES.fullmatch(text) is not None or [bool(_PLAIN.fullmatch(w)) for w in words]
         short = words if plain is True else [w if p else "" for w, p in zip(words, plain)]
@@ -98,7 +120,7 @@ class WordTokenizer:
         number = self._part_numbers(parts)
         ids, size = gather(self.part_flat, self.part_at[number], self.part_size[number])
         per = np.diff(np.cumsum(size)[number == 0], prepend=0)
-        if len(self.parts) > self.limit:
+        if len(self.parts) > min(self.limit, PARTS):
             self._forget_parts()
         if plain is not True:
             odd = [k for k, p in enumerate(plain) if not p]
@@ -148,6 +170,7 @@ class WordTokenizer:
         if odd:
             keep = ~np.isin(row, odd)
             start, end, row = start[keep], end[keep], row[keep]
+        data, start, end, row = latin_parts(data, start, end, row)
         coded = words_of(data, start, end).dictionary_encode()
         number = self.numbers(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy()]
         ids, size = gather(self.flat, self.at[number], self.size[number])
@@ -166,6 +189,44 @@ def numbered(names: Iterable[str] = ()) -> defaultdict[str, int]:
     return defaultdict(count(len(known)).__next__, known)
 
 
+def latin_parts(data: np.ndarray, start: np.ndarray, end: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(data, start, end, row): words of printable Latin-1 lower-cased and cut as ``_PARTS`` cuts them, other words whole and as they are."""
+    if not len(start):
+        return data, start, end, row
+    low = _LOWER[data]
+    kind = _ASCII[data]
+    lead = np.flatnonzero((data == 0xC2) | (data == 0xC3))  # these have one byte behind them
+    code = (data[lead] & 3) * np.uint8(64) + data[lead + 1] - np.uint8(128)
+    low[lead + 1] += _CASE[code]
+    kind[lead] = kind[lead + 1] = _CLASS[code]
+    strange = np.concatenate([[0], np.cumsum(kind == 0)])
+    odd = np.flatnonzero(strange[end] != strange[start])
+    at, _ = gather(np.arange(len(data)), start[odd], end[odd] - start[odd])
+    low[at], kind[at] = data[at], 4
+    first = np.zeros(len(data) + 3, bool)  # does a part start here?
+    first[1:len(data)] = (kind[1:] != kind[:-1]) | ((kind[1:] == 2) & (data[1:] & 0xC0 != 0x80))
+    inside = np.zeros(len(data) + 1, np.int8)  # white space is in no word; a word may end where another text starts
+    inside[start] += 1
+    inside[end] -= 1
+    inside = np.cumsum(inside[:-1], dtype=np.int8).view(bool)
+    first[:len(data)] &= inside
+    first[start] = True
+    # 's 't 'm 'd 're 've 'll where the apostrophe starts a part
+    quote = np.flatnonzero((low == 39) & (kind == 3) & first[:len(data)])
+    if len(quote):
+        stop = end[np.searchsorted(start, quote, side="right") - 1]
+        a, b = (np.where(quote + k < stop, low[np.minimum(quote + k, len(low) - 1)], 0) for k in (1, 2))
+        size = np.where(np.isin(a, [115, 116, 109, 100]), 1, 0)
+        size[((a == 114) | (a == 118)) & (b == 101) | (a == 108) & (b == 108)] = 2
+        quote, stop, size = quote[size > 0], stop[size > 0], size[size > 0]
+        first[quote + 1] = False
+        after = quote + 1 + size
+        first[after[after < stop]] = True
+    part = np.flatnonzero(first)
+    word = np.searchsorted(start, part, side="right") - 1
+    return low, part, np.minimum(np.append(part[1:], len(data)), end[word]), row[word]
+
+
 def words_of(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
     """The spans of ``data`` as strings."""
     size = end - start

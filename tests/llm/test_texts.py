@@ -133,6 +133,26 @@ def test_new_words_are_taken_apart_many_at_once(monkeypatch):
     assert ids.tolist() == tok.whole.encode(" ".join(latin), add_special_tokens=False).ids
 
 
+def test_parts_are_tokenized_once_in_all_their_words():
+    tok = packing.WordTokenizer(WORDS)
+    words = [w + mark for w in ("the", "The", "THE", "naïve", "NAÏVE", "12½", "x'", "it's", "'suns", "a''s", "'Ré", "'rest", "h\u0331", "H\u0331", "\xa0c", "ΣΑΣ")
+             for mark in ("", ",", ".", "!!", "'LL", "'s't", "-the")]
+    ids, per_text = tok.batch(*_slice_of(words))
+    assert ids.tolist() == tok.whole.encode(" ".join(words), add_special_tokens=False).ids and per_text.tolist() == [len(ids)]
+    plain = [w for w in tok.words if packing._PLAIN.fullmatch(w)]
+    assert all(packing._PARTS.fullmatch(w) and w == w.lower() for w in plain)  # no capitals, no punctuation but on its own
+    assert len(plain) < 30  # of 84 different words
+
+
+def test_parts_end_with_their_text():
+    texts = ["it'", "s", "é", "É'", "'LL", "", "a\xad", "b12", "34"]  # nothing between texts but their bounds
+    raw = [t.encode() for t in texts]
+    tok = packing.WordTokenizer(WORDS)
+    ids, per_text = tok.batch(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])]))
+    want = [tok.whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids.tolist() == sum(want, []) and per_text.tolist() == [len(w) for w in want]
+
+
 def test_packing_odd_rows_and_buckets(spark, odd_docs, no_docs, tmp_path):
     pieces = packing.pack_power_of_two(odd_docs, WORDS)
     assert pieces.where("doc_id is null").groupBy("doc_tokens").count().count() == 2
