@@ -8,9 +8,10 @@ are up to ``longest`` words inside a piece.
 per task and summed; a phrase takes part in the next level only if both phrases one
 word shorter may be frequent. That is asked of a bit table of fixed size made from the
 hashes with enough occurrences: it never denies a frequent phrase. With the counts goes
-the smallest fingerprint of a text that holds the phrase; in a last pass the phrases with enough
-occurrences are spelled out by that text alone (asked of a bit table again, so now and then by
-another one too) and made distinct: the frequent phrases, and little more (hashes may collide).
+the smallest fingerprint (one byte) of a text that holds the phrase; in a last pass the phrases with enough
+occurrences are spelled out by the texts of that fingerprint alone, one and a 256th of the others (asked of a bit table
+again, so now and then by another one too) and made distinct: the frequent phrases, and little more (hashes may collide).
+What a step has shuffled goes from the disks when the step is done, its broadcasts too.
 
 *Counting.* The candidates, single words included, are cut by their order into shards
 of at most about ``trie_bytes`` of text. Each shard becomes a double-array trie over
@@ -42,7 +43,7 @@ from eventlake.functions.shipping import ship_by_value
 from eventlake.llm.common import reliable
 from eventlake.llm.hashing import SpanHash, spans, splitmix, text_slices
 from eventlake.llm.packing import gather
-from eventlake.session import scratch_path
+from eventlake.session import done_shuffles_removed, scratch_path
 
 MIN_COUNT, LONGEST, TOP = 10, 3, 2000
 TRIE_BYTES = 24_000_000  # candidate text of one shard
@@ -89,7 +90,7 @@ class Pieces:
         # a fingerprint of the text of every word
         first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])) if n else np.empty(0, np.int64)
         last = np.append(first[1:], n) - 1 if n else first
-        prints = (self.sums.of(self.start[first], self.end[last]) >> np.uint64(33)).astype(np.int32)
+        prints = (self.sums.of(self.start[first], self.end[last]) >> np.uint64(56)).astype(np.int32)
         self.text = np.repeat(prints, last - first + 1)
         salt = np.array([splitmix(np.array([SpanHash(np.frombuffer(x.encode() + LANG_END, np.uint8), _SEED)
                                             .of(np.array([0]), np.array([len(x.encode()) + 1]))[0]]))[0]
@@ -244,7 +245,7 @@ class Trie:
             width = by[np.append(head[1:], len(by)) - 1] - by[head] + 1
             base = cursor + np.cumsum(width) - width - by[head]
             child = np.repeat(base, np.diff(np.append(head, len(by)))) + by
-            levels.append((of[head], base, child, of))
+            levels.append([x.astype(np.int32) for x in (of[head], base, child, of)])
             cursor += int(width.sum())
             state = child[np.cumsum(new) - 1]
             final[live] = state
@@ -322,19 +323,23 @@ def _owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def candidates(texts: DataFrame, min_count: int, longest: int = LONGEST) -> DataFrame:
-    """(lang, phrase): every phrase of 1 to ``longest`` words that may occur ``min_count`` times. ``texts``: lang, text."""
+    """(lang, phrase), kept reliably: every phrase of 1 to ``longest`` words that may occur ``min_count`` times. ``texts``: lang, text."""
     spark = texts.sparkSession
     hashed = lambda sizes, shared: reliable(
         texts.mapInArrow(_hash_counts(sizes, shared), "h long, n long, text int")
-        .groupBy("h").agg(F.sum("n").alias("n"), F.min("text").alias("text")).where(F.col("n") >= min_count).select("h", "text"))
+        .groupBy("h").agg(F.min("text").alias("text"), F.sum("n").alias("n")).where(F.col("n") >= min_count).select("h", "text"))
     frequent = level = hashed([1, 2], None)
     for k in range(3, longest + 1):
         shorter = level.where(F.col("h").bitwiseAND(F.lit(3)) == k - 1).select(F.shiftrightunsigned("h", 2).alias("x"))
-        level = hashed([k], spark.sparkContext.broadcast(bit_table(shorter)))
+        shared = spark.sparkContext.broadcast(bit_table(shorter))
+        level = hashed([k], shared)
+        shared.destroy()
         frequent = frequent.unionByName(level)
     owners = spark.sparkContext.broadcast(bit_table(frequent.mapInArrow(_owners, "x long")))
     spelled = texts.mapInArrow(_spelled(owners, longest), "lang string, phrase string, h long")
-    return spelled.distinct().join(frequent.select("h"), "h", "left_semi").select("lang", "phrase")
+    found = reliable(spelled.distinct().join(frequent.select("h"), "h", "left_semi").select("lang", "phrase"))
+    owners.destroy()
+    return found
 
 
 def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,7 +353,7 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def phrase_counts(texts: DataFrame, min_count: int, longest: int = LONGEST, trie_bytes: int = TRIE_BYTES) -> DataFrame:
     """lang, phrase, f of every phrase of 1 to ``longest`` words with at least ``min_count`` occurrences."""
     spark = texts.sparkSession
-    found = reliable(candidates(texts, min_count, longest))
+    found = candidates(texts, min_count, longest)
     size = found.agg(F.sum(F.octet_length("phrase") + F.octet_length("lang") + 1)).first()[0] or 0
     shards = max(1, -(-size // trie_bytes))
     path = scratch_path(spark, "collocations")
@@ -370,7 +375,7 @@ def phrase_counts(texts: DataFrame, min_count: int, longest: int = LONGEST, trie
         counts = (texts.mapInArrow(_occurrences(shared), "i long, n long").groupBy("i").agg(F.sum("n").alias("f"))
                   .where(F.col("f") >= min_count))
         parts.append(reliable(counts.join(own, "i").select("lang", "phrase", "f")))
-        shared.unpersist()
+        shared.destroy()
     if not parts:
         return spark.createDataFrame([], "lang string, phrase string, f long")
     out = parts[0]
@@ -401,9 +406,10 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP, tr
     ``docs`` (lang, text) by score, occurrences and phrase."""
     ship_by_value(__name__)
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
-    counts = phrase_counts(texts, min_count, LONGEST, trie_bytes)
+    with done_shuffles_removed(docs.sparkSession):
+        counts = phrase_counts(texts, min_count, LONGEST, trie_bytes)
+        scored = reliable(_scored(counts))
     totals = texts.mapInArrow(_word_totals, "lang string, n long").groupBy("lang").agg(F.sum("n").alias("n"))
-    scored = reliable(_scored(counts))
     words = F.split("phrase", " ")
     inside = (scored.where(F.col("words") > 2)
               .select("lang", "a", F.explode(F.array(

@@ -30,24 +30,35 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 @contextmanager
-def rocksdb_state(spark: SparkSession):
-    """Streams started inside keep their state in RocksDB, which ``transformWithState``
-    needs. A stream takes the session's settings when it starts and its checkpoint
-    remembers them, so the setting is put back afterwards and no other query sees it."""
-    before = spark.conf.get(STATE_PROVIDER, None)
-    spark.conf.set(STATE_PROVIDER, ROCKSDB)
+def _setting(spark: SparkSession, name: str, value: str):
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
         if before is None:
-            spark.conf.unset(STATE_PROVIDER)
+            spark.conf.unset(name)
         else:
-            spark.conf.set(STATE_PROVIDER, before)
+            spark.conf.set(name, before)
+
+
+def rocksdb_state(spark: SparkSession):
+    """Streams started inside keep their state in RocksDB, which ``transformWithState``
+    needs. A stream takes the session's settings when it starts and its checkpoint
+    remembers them, so the setting is put back afterwards and no other query sees it."""
+    return _setting(spark, STATE_PROVIDER, ROCKSDB)
+
+
+def done_shuffles_removed(spark: SparkSession):
+    """Actions run inside remove their shuffle files when they end, not when the driver happens
+    to collect garbage: for jobs of many steps, each of which writes its result reliably."""
+    return _setting(spark, SHUFFLE_CLEANUP, "true")
 
 
 def prepare(spark: SparkSession) -> SparkSession:

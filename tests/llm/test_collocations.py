@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import tracemalloc
 from collections import Counter
 
@@ -10,6 +11,7 @@ import pyarrow as pa
 import pytest
 
 from eventlake.llm import collocations
+from eventlake.session import SHUFFLE_CLEANUP
 from tests.llm.conftest import sentence
 
 SCHEMA = "doc_id long, text string, lang string, rank int, score string"
@@ -108,3 +110,29 @@ def test_counting_holds_little_at_a_time():
     tracemalloc.stop()
     assert n == 3000 * (500 + 499)  # all occurrences, however often the task passes its counts on
     assert peak < 100e6
+
+
+def _shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ")
+    return {f for f in files.split() if "/shuffle_" in f}
+
+
+def test_done_steps_leave_no_shuffle_files(spark):
+    before, setting = _shuffle_files(spark), spark.conf.get(SHUFFLE_CLEANUP, None)
+    rows = [("en", f"a b c{i % 3}. d e") for i in range(60)]
+    out = collocations.collocations(spark.createDataFrame(rows, "lang string, text string"))
+    for _ in range(100):  # files go in the background
+        if not (left := _shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    assert not left
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == setting
+    assert got(out) == brute(rows)
+
+
+def test_fingerprints_of_texts_are_one_byte():
+    texts = [f"text {i} of some. words" for i in range(2000)]
+    raw = [t.encode() for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+    prints = collocations.Pieces(np.frombuffer(b"".join(raw), np.uint8), offsets, pa.array(["en"] * len(texts))).text
+    assert 0 <= prints.min() < 8 and 248 <= prints.max() < 256
