@@ -219,18 +219,23 @@ def _spelled(shared, longest: int):
 
 class Trie:
     """A double-array trie over bytes. Keys are numbered in their (byte) order; the
-    child of state s by byte c is t = base[s] + c if check[t] = s."""
+    child of state s by byte c is t = base[s] + code[c] if check[t] = s. Codes follow the
+    bytes' frequency, so the children of a state lie close together."""
 
     ROOT = 256
 
-    def __init__(self, base: np.ndarray, check: np.ndarray, accept: np.ndarray, n: int):
-        self.base, self.check, self.accept, self.n = base, check, accept, n
+    def __init__(self, base: np.ndarray, check: np.ndarray, accept: np.ndarray, code: np.ndarray, n: int):
+        self.base, self.check, self.accept, self.code, self.n = base, check, accept, code, n
 
     @classmethod
     def of(cls, flat: np.ndarray, offsets: np.ndarray) -> Trie:
         """``flat``, ``offsets``: the bytes of sorted, different keys. States are laid out
-        level by level: the children of a state take the range of their bytes."""
+        level by level: several children of a state take the range of their codes, an only
+        child takes a hole in the ranges so far while there is one."""
         n, size = len(offsets) - 1, np.diff(offsets)
+        code = np.empty(256, np.int32)
+        code[np.argsort(-np.bincount(flat, minlength=256), kind="stable")] = np.arange(256)
+        holes = np.empty(0, np.int64)
         live, state = np.arange(n), np.full(n, cls.ROOT, np.int64)
         levels, cursor, depth = [], cls.ROOT + 1, 0
         final = np.full(n, cls.ROOT, np.int64)
@@ -238,15 +243,25 @@ class Trie:
             live, parent = live[size[live] > depth], state[size[live] > depth]
             if not len(live):
                 break
-            byte = flat[offsets[live] + depth].astype(np.int64)
+            byte = flat[offsets[live] + depth]
             new = np.concatenate([[True], (parent[1:] != parent[:-1]) | (byte[1:] != byte[:-1])])
-            of, by = parent[new], byte[new]
+            of, by = parent[new], code[byte[new]].astype(np.int64)
             head = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
-            width = by[np.append(head[1:], len(by)) - 1] - by[head] + 1
-            base = cursor + np.cumsum(width) - width - by[head]
-            child = np.repeat(base, np.diff(np.append(head, len(by)))) + by
+            children = np.diff(np.append(head, len(by)))
+            low, only = np.minimum.reduceat(by, head), np.flatnonzero(children == 1)
+            width = np.where(children > 1, np.maximum.reduceat(by, head) - low + 1, 0)
+            base = cursor + np.cumsum(width) - width - low
+            end = cursor + int(width.sum())
+            if end > cursor:
+                free = np.ones(end - cursor, bool)
+                free[(np.repeat(base, children) + by)[np.repeat(children > 1, children)] - cursor] = False
+                holes = np.concatenate([holes, np.flatnonzero(free) + cursor])
+            cursor = end + max(0, len(only) - len(holes))
+            if cursor > end:
+                holes = np.concatenate([holes, np.arange(end, cursor)])
+            base[only], holes = holes[:len(only)] - low[only], holes[len(only):]
+            child = np.repeat(base, children) + by
             levels.append([x.astype(np.int32) for x in (of[head], base, child, of)])
-            cursor += int(width.sum())
             state = child[np.cumsum(new) - 1]
             final[live] = state
             depth += 1
@@ -255,13 +270,13 @@ class Trie:
             arrays[0][owner], arrays[1][child] = base, parents
         arrays[2][final] = np.arange(n)
         arrays[2][cls.ROOT] = -1
-        return cls(*arrays, n)
+        return cls(*arrays, code, n)
 
     def walk(self, key: bytes) -> int:
         """The state after ``key``, -1 if there is none."""
         s = self.ROOT
         for c in key:
-            t = int(self.base[s]) + c
+            t = int(self.base[s] + self.code[c])
             if self.check[t] != s:
                 return -1
             s = t
@@ -278,7 +293,7 @@ class Trie:
             c = p.data[at]
             key = self.accept[state[(c == 32) | (c == 10)]]
             found.append(key[key >= 0])
-            child = self.base[state] + c.astype(np.int64)
+            child = self.base[state] + self.code[c]
             on = (self.check[child] == state) & (c != 10)
             state, at = child[on], at[on] + 1
         return np.bincount(np.concatenate(found), minlength=self.n)
@@ -322,12 +337,18 @@ def _owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64))], names=["x"])
 
 
+def _summed(rows: DataFrame) -> DataFrame:
+    """The counts and smallest fingerprints of the rows of :class:`Summed`, per hash. They are dealt out as they
+    come: their tasks have merged them, and to hold them once more before the shuffle takes most of an executor's heap."""
+    return rows.repartition("h").groupBy("h").agg(F.min("text").alias("text"), F.sum("n").alias("n"))
+
+
 def candidates(texts: DataFrame, min_count: int, longest: int = LONGEST) -> DataFrame:
     """(lang, phrase), kept reliably: every phrase of 1 to ``longest`` words that may occur ``min_count`` times. ``texts``: lang, text."""
     spark = texts.sparkSession
     hashed = lambda sizes, shared: reliable(
-        texts.mapInArrow(_hash_counts(sizes, shared), "h long, n long, text int")
-        .groupBy("h").agg(F.min("text").alias("text"), F.sum("n").alias("n")).where(F.col("n") >= min_count).select("h", "text"))
+        _summed(texts.mapInArrow(_hash_counts(sizes, shared), "h long, n long, text int"))
+        .where(F.col("n") >= min_count).select("h", "text"))
     frequent = level = hashed([1, 2], None)
     for k in range(3, longest + 1):
         shorter = level.where(F.col("h").bitwiseAND(F.lit(3)) == k - 1).select(F.shiftrightunsigned("h", 2).alias("x"))
@@ -371,7 +392,7 @@ def phrase_counts(texts: DataFrame, min_count: int, longest: int = LONGEST, trie
         rows = rows.cast(pa.large_binary())
         offsets = np.frombuffer(rows.buffers()[1], np.int64)[rows.offset:rows.offset + len(rows) + 1]
         trie = Trie.of(np.frombuffer(rows.buffers()[2], np.uint8), offsets)
-        shared = spark.sparkContext.broadcast((trie.base, trie.check, trie.accept, trie.n))
+        shared = spark.sparkContext.broadcast((trie.base, trie.check, trie.accept, trie.code, trie.n))
         counts = (texts.mapInArrow(_occurrences(shared), "i long, n long").groupBy("i").agg(F.sum("n").alias("f"))
                   .where(F.col("f") >= min_count))
         parts.append(reliable(counts.join(own, "i").select("lang", "phrase", "f")))

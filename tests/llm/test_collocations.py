@@ -93,6 +93,28 @@ def test_trie_finds_its_keys():
     assert len(trie.base) < 256 * 2 + sum(len(k) for k in keys) * 60
 
 
+def test_trie_of_phrases_has_few_empty_slots():
+    rng = random.Random(5)
+    words = ["".join(rng.choices("etaoinshrdlucmfwypvbgkjqxz", range(26, 0, -1), k=rng.randint(1, 8))) for _ in range(3000)]
+    keys = sorted({b"en\xff" + " ".join(rng.choices(words, range(3000, 0, -1), k=rng.randint(1, 3))).encode() for _ in range(20000)})
+    offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
+    trie = collocations.Trie.of(np.frombuffer(b"".join(keys), np.uint8), offsets)
+    assert [trie.accept[trie.walk(k)] for k in keys] == list(range(len(keys)))
+    states = len({k[:i] for k in keys for i in range(1, len(k) + 1)})
+    assert (trie.check >= 0).sum() == states
+    assert len(trie.base) < 1.6 * states + 1024
+
+
+def test_counts_are_not_held_again_before_the_shuffle(spark, rows, monkeypatch):
+    plans, reliable = [], collocations.reliable
+    monkeypatch.setattr(collocations, "reliable", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or reliable(df))
+    texts = spark.createDataFrame([("en", t) for _, t in rows[:90]], "lang string, text string")
+    assert collocations.candidates(texts, 10).count()
+    counted = [p for p in plans if "sum(n" in p]
+    assert len(counted) == 2
+    assert not any("Aggregate" in p[p.index("Exchange"):] for p in counted)
+
+
 def test_scores_beyond_64_bits(spark):
     big = 10**12
     counts = spark.createDataFrame([("x", "a", big), ("x", "b", big + 7), ("x", "a b", big - 3)], "lang string, phrase string, f long")
